@@ -281,7 +281,8 @@ def order_event_mapping(spark, folder):
 @query
 def route_counts(spark, folder):
     messages = sample.order_events(sample.table(spark, folder, "events"))
-    routed = ev.route_events(ev.parse_events(messages.select(ev.event_json(messages).alias("value"))))
+    texts = messages.select(ev.event_json(messages).alias("value"))
+    routed = ev.route_events(ev.parse_events(texts, fields=["event_type"]))
     return routed.groupBy("route").agg(F.count("*").alias("n_events"))
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import as_timestamp, iso_text, or_default, order_key, whole_number
 from ..schemas import CORRUPT_COLUMN, EVENT_TEXT, EVENT_TEXT_WITH_CORRUPT, MONEY, RAW_ERP_ORDERS
@@ -21,17 +22,21 @@ SENT_STATUS = "pending"
 LOADED_STATUS = "completed"
 
 
-def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
+def parse_events(raw: DataFrame, value: str = "value", fields: list[str] | None = None) -> DataFrame:
     """Add ``event``: the known fields of the JSON text in ``value``, as text.
 
-    ``event`` holds the whole text under ``_corrupt_record`` when it is no JSON object.
+    ``event`` holds the whole text under ``_corrupt_record`` when it is no JSON
+    object. It comes out of a one-element ``explode``: filters on it then stay
+    above the parsing, which otherwise would be repeated for every field they use.
+    ``fields`` limits what is taken out of the text.
     """
     text = F.col(value).cast("string")
+    wanted = [*(fields or EVENT_TEXT.names), CORRUPT_COLUMN]
     event = F.from_json(
-        text, EVENT_TEXT_WITH_CORRUPT,
+        text, StructType([f for f in EVENT_TEXT_WITH_CORRUPT.fields if f.name in wanted]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
     )
-    return raw.withColumn(value, text).withColumn("event", event)
+    return raw.withColumn(value, text).select("*", F.explode_outer(F.array(event)).alias("event"))
 
 
 def is_readable(value: str = "value") -> Column:

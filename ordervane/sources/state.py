@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
-from ..functions import utc_now
+from ..functions import as_timestamp
 
 CONTROL = StructType([
     StructField("value", StringType(), True),
@@ -50,8 +50,10 @@ class ControlTable:
         return newest["value"] if newest else default
 
     def set(self, key: str, value: str, set_at: dt.datetime | None = None) -> None:
-        row = self.spark.createDataFrame([(value, set_at or utc_now())], CONTROL)
-        row.coalesce(1).write.mode("append").parquet(self._folder(key))
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(value).alias("value"), as_timestamp(set_at).alias("set_at")
+        )
+        row.write.mode("append").parquet(self._folder(key))
 
 
 def get_watermark(control: ControlTable, source: str = CRM_MARK) -> str | None:

@@ -15,6 +15,12 @@ from .state import ControlTable, path_exists
 COMPACTED = "compacted"
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.range(0, 0, 1, 1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 class KeyedTable:
     """A raw table loaded by insert-or-update on its keys, on plain Parquet.
 
@@ -44,7 +50,9 @@ class KeyedTable:
     def create(self) -> None:
         """Create the table empty unless it is there."""
         if not path_exists(self.spark, self._folder()):
-            self.load(self.spark.createDataFrame([], self.schema), "created")
+            empty_frame(self.spark, self.schema).write.mode("overwrite").parquet(
+                f"{self._folder()}/load_id=created"
+            )
 
     def load(self, batch: DataFrame, load_id: str) -> None:
         """Append ``batch``, reduced to the latest row per key. Rows without a key are left out."""
@@ -58,7 +66,7 @@ class KeyedTable:
         try:
             return self.spark.read.schema(schema).parquet(self._folder())
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
 
     def read(self) -> DataFrame:
         """The current rows: folded ones, with later loads merged over them."""

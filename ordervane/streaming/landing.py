@@ -17,7 +17,7 @@ def landing_rows(stream: DataFrame, value: str = "value") -> DataFrame:
 
     Line breaks in valid JSON lie between tokens only, so blanks may replace them.
     """
-    routed = route_events(parse_events(stream, value), value)
+    routed = route_events(parse_events(stream, value, ["event_type"]), value)
     return routed.select(F.translate(value, "\r\n", "  ").alias("value"), "route")
 
 
