@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,21 +58,26 @@ def extract_crm(spark: SparkSession, source: DataFrame, places: Places, control:
     return {"count": row["extract_count"], "mark": next_mark(row["extract_count"], row["new_mark"], now)}
 
 
-def load_crm(spark: SparkSession, table: KeyedTable, places: Places, ds: str, run_id: str,
+def load_crm(spark: SparkSession, table: KeyedTable, places: Places, ds: str,
              now: dt.datetime, documents: bool = False) -> None:
-    """Load the day's customer snapshot. Rows that cannot be read, or lack a key, are kept apart."""
+    """Load the day's customer snapshot. Rows that cannot be read, or lack a key, are kept apart.
+
+    Every call is a load of its own: a repeated run may find fewer rows, as the
+    mark has moved, and must not replace those found before.
+    """
     if not path_exists(spark, snapshot_path(places.lake, "crm", ds)):
         return
     schema = StructType(CRM_EXTRACT.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
     rows = read_lake_snapshot(spark, places.lake, "crm", ds, schema, documents)
+    load_id = f"crm-{ds}-{uuid.uuid4().hex}"
     bad = F.col(CORRUPT_COLUMN).isNotNull() | F.col("customer_id").isNull()
     rows = stamp_loaded_at(rows, now).persist()
     try:
         good = rows.filter(~bad).select(*RAW_CRM_CUSTOMERS.names)
-        table.load(good, f"crm-{run_id}")
+        table.load(good, load_id)
         rejected = rows.filter(bad)
         if not rejected.isEmpty():
-            rejected.write.mode("overwrite").parquet(f"{places.quarantine}/crm/load_id=crm-{run_id}")
+            rejected.write.mode("overwrite").parquet(f"{places.quarantine}/crm/load_id={load_id}")
     finally:
         rows.unpersist()
 
@@ -89,20 +95,24 @@ def load_orders(spark: SparkSession, table: KeyedTable, places: Places, now: dt.
 
 
 def run_batch(spark: SparkSession, crm_source: DataFrame, places: Places, ds: str,
-              run_id: str | None = None, now: dt.datetime | None = None, as_of: dt.date | None = None,
-              with_tests: bool = False, order_date_from: str = "timestamp") -> dict:
-    """One scheduled run for the day ``ds``; repeating it with the same ``run_id`` changes nothing.
+              now: dt.datetime | None = None, as_of: dt.date | None = None,
+              with_tests: bool = False, order_date_from: str = "timestamp",
+              compact: bool = False) -> dict:
+    """One scheduled run for the day ``ds``; repeating it adds nothing.
 
-    The mark moves only after the raw tables are loaded.
+    The mark moves only after the raw tables are loaded. ``compact`` folds the
+    loads of the raw tables before the models read them.
     """
     now = now or utc_now()
-    run_id = run_id or f"{ds}-{now:%H%M%S}"
     control = ControlTable(spark, f"{places.state}/control")
     raw = create_raw_tables(spark, places.warehouse, control)
     extracted = extract_crm(spark, crm_source, places, control, ds, now)
-    load_crm(spark, raw["raw.crm_customers"], places, ds, run_id, now)
+    load_crm(spark, raw["raw.crm_customers"], places, ds, now)
     load_orders(spark, raw["raw.erp_orders"], places, now, order_date_from)
     set_watermark(control, extracted["mark"])
+    if compact:
+        for table in raw.values():
+            table.compact()
     run = ModelRun(
         spark, {name: table.read() for name, table in raw.items()},
         ModelTables(spark, places.warehouse, control), as_of or now.date(),

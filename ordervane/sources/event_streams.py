@@ -43,7 +43,7 @@ def read_event_stream(spark: SparkSession, servers: str, topics: tuple[str, ...]
     )
 
 
-def read_file_stream(spark: SparkSession, folder: str, schema: StructType, fmt: str = "json",
+def read_file_stream(spark: SparkSession, folder: str, schema: StructType | str, fmt: str = "json",
                      max_files_per_trigger: int | None = None, name_glob: str | None = None) -> DataFrame:
     """New files of a folder as a stream; each file is read once per checkpoint."""
     reader: DataStreamReader = spark.readStream.format(fmt).schema(schema)

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.sql.maxMetadataStringLength": "5000",
             "spark.sql.catalogImplementation": "in-memory",
         },
     )

@@ -7,12 +7,23 @@ from decimal import Decimal
 
 from ordervane.plans import intermediate, staging, warehouse
 from ordervane.schemas import RAW_CRM_CUSTOMERS, RAW_ERP_ORDERS
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 AS_OF = dt.date(2024, 3, 1)
 LOADED = dt.datetime(2024, 3, 1, 6)
 
 
+def frame(spark, rows, schema):
+    """A DataFrame from Python rows by Arrow, without Python workers."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(arrow)]
+    return spark.createDataFrame(pa.table(columns, schema=arrow), schema)
+
+
 def nullable(schema: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
 
@@ -29,7 +40,7 @@ def customers(spark):
         (7, "gus", "gus@x.io", "active", day(2024, 3, 15)),
     ]
     rows = [(i, n, e, " 555 ", " Ankara ", s, d, LOADED) for i, n, e, s, d in cells]
-    return spark.createDataFrame(rows, nullable(RAW_CRM_CUSTOMERS))
+    return frame(spark, rows, nullable(RAW_CRM_CUSTOMERS))
 
 
 def orders(spark):
@@ -50,7 +61,7 @@ def orders(spark):
         (o, c, p, q, Decimal(u), Decimal(t) if t else None, "paid", dt.datetime.fromisoformat(at), LOADED)
         for o, c, p, q, u, t, at in cells
     ]
-    return spark.createDataFrame(rows, nullable(RAW_ERP_ORDERS))
+    return frame(spark, rows, nullable(RAW_ERP_ORDERS))
 
 
 def stg_customers(spark):

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import golden
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -11,8 +12,8 @@ NOW = dt.datetime(2024, 3, 1, 12, 30, 15, 999)
 
 def source(spark):
     at = dt.datetime
-    return spark.createDataFrame(
-        [
+    return golden.frame(
+        spark, [
             (1, "active", at(2024, 2, 8, 23, 59)), (2, "active", at(2024, 2, 9)),
             (3, "active", at(2024, 2, 9, 0, 1)), (4, "active", at(2024, 2, 11)),
             (5, "Active", at(2024, 2, 11)), (6, "active", None),
@@ -62,8 +63,8 @@ def as_set(df):
 
 
 def test_later_row_of_a_batch_wins_and_repeats_change_nothing(spark):
-    target = spark.createDataFrame([(1, 1, "old"), (2, 9, "kept")], SCHEMA)
-    batch = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (3, 1, "new")], SCHEMA)
+    target = golden.frame(spark, [(1, 1, "old"), (2, 9, "kept")], SCHEMA)
+    batch = golden.frame(spark, [(1, 1, "a"), (1, 2, "b"), (3, 1, "new")], SCHEMA)
     once = merge.upsert(target, batch, ["k"], ["seq"])
     assert as_set(once) == [(1, 2, "b"), (2, 9, "kept"), (3, 1, "new")]
     assert as_set(merge.upsert(once, batch, ["k"], ["seq"])) == as_set(once)
@@ -80,14 +81,14 @@ def test_latest_per_key_against_brute_force(spark, rows):
     for row in rows:
         if row[0] not in best or rank(row) > rank(best[row[0]]):
             best[row[0]] = row
-    seen = merge.latest_per_key(spark.createDataFrame(rows, SCHEMA), ["k"], ["seq"])
+    seen = merge.latest_per_key(golden.frame(spark, rows, SCHEMA), ["k"], ["seq"])
     assert as_set(seen) == sorted(best.values(), key=repr)
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     shuffled = random.Random(7).sample(range(30_000), 30_000)
     rows = [(0 if i % 3 == 0 else i, i, "v") for i in shuffled]
-    df = spark.createDataFrame(rows, SCHEMA)
+    df = golden.frame(spark, rows, SCHEMA)
     latest = merge.latest_per_key(df, ["k"], ["seq"])
     assert latest.count() == 20_001
     assert latest.filter("k = 0").first().seq == 29_997
@@ -96,5 +97,5 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
 
 
 def test_columns_that_are_all_keys(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "a")], "k int, v string")
+    df = golden.frame(spark, [(1, "a"), (1, "a")], "k int, v string")
     assert as_set(merge.latest_per_key(df, ["k", "v"], [])) == [(1, "a")]

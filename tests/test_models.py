@@ -72,7 +72,7 @@ def test_metrics_equal_join_then_group_with_repeated_customers(spark):
     dim = golden.dim(spark)
     dim = dim.union(dim.filter("customer_id in (1, 6)"))
     fact = golden.fact(spark).union(
-        spark.createDataFrame([("o20", 3, dt.datetime(2024, 2, 2), None, SMALL)], golden.fact(spark).schema)
+        golden.frame(spark, [("o20", 3, dt.datetime(2024, 2, 2), None, SMALL)], golden.fact(spark).schema)
     )
     joined = dim.select("customer_id").join(fact, "customer_id", "left").groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),

@@ -84,13 +84,13 @@ def test_stored_failures(spark, tmp_path):
 
 
 def test_defaults_and_generated_column(spark):
-    stock = spark.createDataFrame([(1, 7, None), (2, None, 3)],
+    stock = golden.frame(spark, [(1, 7, None), (2, None, 3)],
                                   "product_id int, quantity_on_hand int, quantity_reserved int")
     filled = fill_defaults(stock, "erp.inventory", "2024-03-01 01:02:03")
     rows = add_quantity_available(filled).orderBy("product_id").collect()
     assert [r.quantity_available for r in rows] == [7, -3]
     assert [r.reorder_point for r in rows] == [0, 0]
     assert str(rows[0].last_updated) == "2024-03-01 01:02:03"
-    product = spark.createDataFrame([(1,)], "product_id int")
+    product = golden.frame(spark, [(1,)], "product_id int")
     row = fill_defaults(product, "erp.products", "2024-03-01 23:00:00").first()
     assert (row.product_status, str(row.created_date)) == ("Active", "2024-03-01")
