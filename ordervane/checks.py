@@ -292,6 +292,32 @@ def recent_events(spark, folder):
     return ev.recent_events(events, limit=0, order_by=("ts", "event_id"))
 
 
+@query
+def recent_total(spark, folder):
+    return ev.recent_total(sample.table(spark, folder, "events"))
+
+
+@query
+def upsert_erp_orders(spark, folder):
+    """Purchases merged over the signups and views, taken as orders of the same keys."""
+    events = _landed_text(sample.table(spark, folder, "events")).withColumn(
+        "event_id", F.concat_ws("-", "customer_id", "product_id")
+    )
+    purchase = F.col("event_type") == ev.ORDER_EVENT
+    earlier = ev.loadable(ev.map_order_event(events.filter(~purchase), "2024-02-01 00:00:00"))
+    target = merge.latest_per_key(earlier, ["order_id"], ["order_date"])
+    return merge.upsert_erp_orders(target, events.filter(purchase), "2024-02-02 00:00:00")
+
+
+@query
+def upsert_crm_customers(spark, folder):
+    """Newly created customers merged over all customers."""
+    source = sample.crm_source(spark, folder).withColumnRenamed("id", "customer_id")
+    target = rows.stamp_loaded_at(source, "2024-01-30 00:00:00").drop("created_at")
+    batch_rows = extract.incremental_extract(source, "2024-01-20T00:00:00").withColumn("city", F.lit("moved"))
+    return merge.upsert_crm_customers(target, batch_rows, "2024-01-31 00:00:00")
+
+
 # --- streams ------------------------------------------------------------------
 
 def _landed(spark, folder) -> tuple[str, str]:
@@ -324,7 +350,7 @@ def stream_upsert_orders(spark, folder):
     table = erp_orders_table(spark, f"{root}/warehouse", ControlTable(spark, f"{root}/control"))
     orders.stream_upsert_orders(
         landing.read_landed_stream(spark, place, "order"), table, f"{root}/orders-checkpoint",
-        f"{root}/quarantine", once=True, loaded_at=lambda: dt.datetime(2024, 2, 1),
+        once=True, loaded_at=lambda: dt.datetime(2024, 2, 1),
     ).awaitTermination()
     return table.read()
 

@@ -271,6 +271,28 @@ FROM sent""",
     "stream_upsert_orders": f"WITH {RAW_ORDERS} SELECT * FROM loaded",
     "route_counts": f"WITH {EVENTS} SELECT route, count(*) AS n_events FROM sent GROUP BY route",
     "recent_events": "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 100",
+    "recent_total": "SELECT least(count(*), 100) AS total FROM events",
+    "upsert_erp_orders": f"""WITH {EVENTS},
+keyed AS (
+  SELECT concat(customer_id, '-', product_id) AS order_id, customer_id, product_id, quantity,
+    CAST(price AS DECIMAL(10,2)) AS unit_price, CAST(quantity * price AS DECIMAL(10,2)) AS total_amount,
+    'completed' AS status, ts AS order_date,
+    CASE WHEN route = 'order' THEN TIMESTAMP '2024-02-02 00:00:00'
+      ELSE TIMESTAMP '2024-02-01 00:00:00' END AS extracted_at
+  FROM sent
+)
+SELECT order_id, customer_id, product_id, quantity, unit_price, total_amount, status, order_date, extracted_at
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY extracted_at DESC, order_date DESC) AS place
+      FROM keyed) WHERE place = 1""",
+    "upsert_crm_customers": """
+SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name AS customer_name,
+  concat('user', c_custkey, '@example.com') AS email, CAST(NULL AS VARCHAR) AS phone,
+  CASE WHEN renewed THEN 'moved' ELSE c_mktsegment END AS city,
+  CASE WHEN c_custkey % 11 = 0 THEN 'passive' ELSE 'active' END AS status,
+  DATE '2024-01-31' - CAST(c_custkey % 3650 AS INTEGER) AS registration_date,
+  CASE WHEN renewed THEN TIMESTAMP '2024-01-31 00:00:00' ELSE TIMESTAMP '2024-01-30 00:00:00' END AS extracted_at
+FROM (SELECT *, c_custkey % 11 <> 0 AND TIMESTAMP '2024-01-31 12:00:00' - to_days(CAST(c_custkey % 60 AS INTEGER))
+      > TIMESTAMP '2024-01-19 00:00:00' AS renewed FROM customer)""",
     "land_events_stream": f"""WITH {EVENTS}
 SELECT message_id AS event_id, customer_id, product_id, quantity, price, ts AS "timestamp",
   event_type, route FROM sent""",

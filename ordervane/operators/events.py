@@ -121,10 +121,11 @@ def route_events(parsed: DataFrame, value: str = "value") -> DataFrame:
 
 def map_order_event(events: DataFrame, loaded_at: dt.datetime | str | None = None,
                     order_date_from: str = "timestamp") -> DataFrame:
-    """Landed order events as raw orders, plus ``load_error``.
+    """Landed order events as raw orders, plus ``load_error`` and ``rejected_row``.
 
     ``load_error`` names the first value that is there but does not fit its
-    column; such rows are kept apart instead of stopping the load. The total is
+    column, ``rejected_row`` is then the event's text; such rows are kept apart
+    instead of stopping the load. The total is
     multiplied in double precision and then rounded to cents.
     """
     columns = {f.name: f.dataType for f in RAW_ERP_ORDERS.fields}
@@ -142,8 +143,11 @@ def map_order_event(events: DataFrame, loaded_at: dt.datetime | str | None = Non
         .when(quantity.isNotNull() & price.isNotNull() & total.isNull(), "total_amount")
         .when(F.col(order_date_from).isNotNull() & ordered.isNull(), order_date_from)
     )
+    text = F.to_json(F.struct(*known))
     if CORRUPT_COLUMN in events.columns:
-        error = F.when(F.col(CORRUPT_COLUMN).isNotNull(), "not a JSON object").otherwise(error)
+        corrupt = F.col(CORRUPT_COLUMN)
+        error = F.when(corrupt.isNotNull(), "not a JSON object").otherwise(error)
+        text = F.coalesce(corrupt, text)
     values = {
         "order_id": order_key(F.col("event_id"), F.col("order_id"), known),
         "customer_id": customer,
@@ -158,11 +162,12 @@ def map_order_event(events: DataFrame, loaded_at: dt.datetime | str | None = Non
     return events.select(
         *[values[name].cast(kind).alias(name) for name, kind in columns.items()],
         error.alias("load_error"),
+        F.when(error.isNotNull(), text).alias("rejected_row"),
     )
 
 
 def loadable(mapped: DataFrame) -> DataFrame:
-    return mapped.filter(F.col("load_error").isNull()).drop("load_error")
+    return mapped.filter(F.col("load_error").isNull()).drop("load_error", "rejected_row")
 
 
 def quarantined(mapped: DataFrame) -> DataFrame:
@@ -179,3 +184,8 @@ def recent_events(events: DataFrame, limit: int = 10, capacity: int = 100,
     count = min(limit, capacity) if limit > 0 else capacity
     newest = events.orderBy(*[F.col(c).desc_nulls_last() for c in order_by]).limit(count)
     return newest.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+
+
+def recent_total(events: DataFrame, capacity: int = 100) -> DataFrame:
+    """How many events the tail holds: all of them, up to ``capacity``."""
+    return events.limit(capacity).agg(F.count("*").alias("total"))

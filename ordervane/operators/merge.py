@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .events import loadable, map_order_event
+from .rows import stamp_loaded_at
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One whole row per key: the greatest by ``order_by``, then by all other columns.
@@ -27,10 +30,11 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[
     """``target`` with the rows of ``batch`` inserted or replaced by key.
 
     ``target`` holds each key once. Within ``batch`` the latest row of a key
-    wins. Rows of the target are only matched against the batch's keys, so with
+    wins; ``order_by`` may use columns only the batch has. Rows of the target are only matched against the batch's keys, so with
     a batch small enough to broadcast the target is not shuffled.
     """
-    newest = latest_per_key(batch.select(*target.columns), keys, order_by)
+    extra = [c for c in order_by if c not in target.columns]
+    newest = latest_per_key(batch.select(*target.columns, *extra), keys, order_by).select(*target.columns)
     kept = target.join(newest.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(newest)
 
@@ -50,3 +54,15 @@ def merge_into(batch: DataFrame, table: str, keys: list[str], order_by: list[str
         .whenNotMatched().insertAll()
         .merge()
     )
+
+
+def upsert_crm_customers(target: DataFrame, batch: DataFrame, loaded_at=None) -> DataFrame:
+    """The raw customers with an extract merged in, stamped with the load time."""
+    return upsert(target, stamp_loaded_at(batch, loaded_at), ["customer_id"], ["created_at"])
+
+
+def upsert_erp_orders(target: DataFrame, events: DataFrame, loaded_at=None,
+                      order_date_from: str = "timestamp") -> DataFrame:
+    """The raw orders with landed order events merged in; events that do not fit are left out."""
+    mapped = loadable(map_order_event(events, loaded_at, order_date_from))
+    return upsert(target, mapped, ["order_id"], ["order_date"])

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions import utc_now
 from ..operators.extract import high_water_mark, incremental_extract, next_mark
 from ..operators.rows import stamp_loaded_at
-from ..schemas import CORRUPT_COLUMN, CRM_EXTRACT, RAW_CRM_CUSTOMERS
+from ..schemas import CORRUPT_COLUMN, CRM_EXTRACT
 from ..sources.databases import crm_extract_columns
 from ..sources.lake import read_lake_snapshot, snapshot_path, write_lake_snapshot
 from ..sources.state import ControlTable, get_watermark, path_exists, set_watermark
@@ -36,10 +36,6 @@ class Places:
         root = root.rstrip("/")
         return cls(f"{root}/lake", f"{root}/warehouse", f"{root}/state")
 
-    @property
-    def quarantine(self) -> str:
-        return f"{self.lake}/quarantine"
-
 
 def extract_crm(spark: SparkSession, source: DataFrame, places: Places, control: ControlTable,
                 ds: str, now: dt.datetime) -> dict:
@@ -69,17 +65,13 @@ def load_crm(spark: SparkSession, table: KeyedTable, places: Places, ds: str,
         return
     schema = StructType(CRM_EXTRACT.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
     rows = read_lake_snapshot(spark, places.lake, "crm", ds, schema, documents)
-    load_id = f"crm-{ds}-{uuid.uuid4().hex}"
-    bad = F.col(CORRUPT_COLUMN).isNotNull() | F.col("customer_id").isNull()
-    rows = stamp_loaded_at(rows, now).persist()
-    try:
-        good = rows.filter(~bad).select(*RAW_CRM_CUSTOMERS.names)
-        table.load(good, load_id)
-        rejected = rows.filter(bad)
-        if not rejected.isEmpty():
-            rejected.write.mode("overwrite").parquet(f"{places.quarantine}/crm/load_id={load_id}")
-    finally:
-        rows.unpersist()
+    corrupt = F.col(CORRUPT_COLUMN)
+    rows = (
+        stamp_loaded_at(rows, now)
+        .withColumn("load_error", F.when(corrupt.isNotNull(), "not a readable customer"))
+        .withColumn("rejected_row", F.coalesce(corrupt, F.to_json(F.struct(*CRM_EXTRACT.names))))
+    )
+    table.load(rows, f"crm-{ds}-{uuid.uuid4().hex}", F.col("created_at"))
 
 
 def load_orders(spark: SparkSession, table: KeyedTable, places: Places, now: dt.datetime,
@@ -89,8 +81,7 @@ def load_orders(spark: SparkSession, table: KeyedTable, places: Places, now: dt.
         return
     stream_upsert_orders(
         read_landed_stream(spark, places.lake, "order"), table,
-        checkpoint=f"{places.state}/checkpoints/orders", quarantine=f"{places.quarantine}/order",
-        once=True, order_date_from=order_date_from, loaded_at=lambda: now,
+        checkpoint=f"{places.state}/checkpoints/orders", once=True, order_date_from=order_date_from, loaded_at=lambda: now,
     ).awaitTermination()
 
 
@@ -113,9 +104,10 @@ def run_batch(spark: SparkSession, crm_source: DataFrame, places: Places, ds: st
     if compact:
         for table in raw.values():
             table.compact()
-    run = ModelRun(
-        spark, {name: table.read() for name, table in raw.items()},
-        ModelTables(spark, places.warehouse, control), as_of or now.date(),
-    )
+    tables = ModelTables(spark, places.warehouse, control)
+    sources = {
+        name: tables.materialize_view(table.read(), name.replace(".", "_")) for name, table in raw.items()
+    }
+    run = ModelRun(spark, sources, tables, as_of or now.date())
     result = run_layers(run, with_tests=with_tests)
     return {**result, "extracted": extracted["count"], "watermark": get_watermark(control)}

@@ -7,13 +7,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Keeps deduplication state out of the executors' heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
 def build_session(app: str = "ordervane", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
-    """A session with adaptive execution and UTC timestamps.
+    """A session with adaptive execution, UTC timestamps and stream state on disk.
 
     Without ``shuffle_partitions`` the cluster's own setting stays; adaptive
     execution coalesces small partitions and splits skewed ones from there.
@@ -24,6 +27,7 @@ def build_session(app: str = "ordervane", master: str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
         builder = builder.master(master)

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampNTZType
 
 from ..operators.merge import latest_per_key, upsert
-from ..operators.rows import with_values
 from ..schemas import RAW_CRM_CUSTOMERS, RAW_ERP_ORDERS
 from .state import ControlTable, path_exists
 
-COMPACTED = "compacted"
+# Columns a load keeps next to the table's own.
+LOAD_FIELDS = [
+    StructField("load_order", TimestampNTZType(), True),
+    StructField("load_error", StringType(), True),
+    StructField("rejected_row", StringType(), True),
+    StructField("load_id", StringType(), True),
+    StructField("rejected", BooleanType(), True),
+]
 
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -24,11 +32,15 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
 class KeyedTable:
     """A raw table loaded by insert-or-update on its keys, on plain Parquet.
 
-    Every load is appended as its own folder, so a load costs as much as its rows
-    and a repeated load replaces its own folder. Reading takes the row loaded
-    last for each key. ``compact`` folds all loads into one, in a new generation,
-    and then moves the pointer; a folder being read is never rewritten. Where the
-    catalog has transactional tables, use ``merge_into`` instead.
+    Every load is appended as a folder of its own, in one pass and without a
+    shuffle; a repeated load replaces its own folder. Rows that do not fit lie
+    beside the others in that folder. Reading takes the row loaded last for each
+    key.
+
+    ``compact`` folds all loads into one bucketed table, in a new generation,
+    and then moves the pointer; a folder being read is never rewritten. Later
+    loads are matched against the folded rows by key, for which those need no
+    shuffle. Where the catalog has transactional tables, use ``merge_into``.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str, schema: StructType,
@@ -41,49 +53,105 @@ class KeyedTable:
         self.control = control
         self.path = f"{root.rstrip('/')}/{name}"
 
-    def _generation(self) -> int:
-        return int(self.control.get(f"{self.name}.generation", "0"))
+    def _pointer(self) -> tuple[int, int]:
+        """Generation, and number of buckets of its folded rows."""
+        generation, buckets = self.control.get(f"{self.name}.generation", "0 0").split()
+        return int(generation), int(buckets)
 
-    def _folder(self) -> str:
-        return f"{self.path}/generation={self._generation()}"
+    def _loads_path(self, generation: int) -> str:
+        return f"{self.path}/generation={generation}/loads"
 
     def create(self) -> None:
         """Create the table empty unless it is there."""
-        if not path_exists(self.spark, self._folder()):
-            empty_frame(self.spark, self.schema).write.mode("overwrite").parquet(
-                f"{self._folder()}/load_id=created"
+        generation, _ = self._pointer()
+        if generation == 0 and not path_exists(self.spark, self._loads_path(0)):
+            self.load(empty_frame(self.spark, self.schema), "created")
+
+    def load(self, batch: DataFrame, load_id: str, load_order: Column | None = None) -> None:
+        """Append ``batch``; ``load_order`` ranks rows of one key within it.
+
+        Rows with a ``load_error``, or without a key, are kept as rejected.
+        """
+        generation, _ = self._pointer()
+        no_text = F.lit(None).cast("string")
+        error = F.col("load_error") if "load_error" in batch.columns else no_text
+        text = F.col("rejected_row") if "rejected_row" in batch.columns else no_text
+        error = F.coalesce(error, *[F.when(F.col(k).isNull(), F.lit(k)) for k in self.keys])
+        order = load_order if load_order is not None else F.lit(None)
+        (
+            batch.select(
+                *self.schema.names,
+                order.cast("timestamp_ntz").alias("load_order"),
+                error.alias("load_error"),
+                F.when(error.isNotNull(), text).alias("rejected_row"),
+                error.isNotNull().alias("rejected"),
             )
-
-    def load(self, batch: DataFrame, load_id: str) -> None:
-        """Append ``batch``, reduced to the latest row per key. Rows without a key are left out."""
-        rows = with_values(batch.select(*self.schema.names), *self.keys)
-        newest = latest_per_key(rows, self.keys, self.order_by)
-        newest.write.mode("overwrite").parquet(f"{self._folder()}/load_id={load_id}")
+            .write.mode("overwrite").partitionBy("rejected")
+            .parquet(f"{self._loads_path(generation)}/load_id={load_id}")
+        )
 
     def loads(self) -> DataFrame:
-        """All loaded rows with their ``load_id``."""
-        schema = StructType(self.schema.fields + [StructField("load_id", StringType(), True)])
+        """All rows loaded since the last ``compact``, rejected ones too."""
+        generation, _ = self._pointer()
+        schema = StructType(self.schema.fields + LOAD_FIELDS)
         try:
-            return self.spark.read.schema(schema).parquet(self._folder())
+            return self.spark.read.schema(schema).parquet(self._loads_path(generation))
         except AnalysisException:
             return empty_frame(self.spark, schema)
 
+    def rejected(self) -> DataFrame:
+        return self.loads().filter("rejected").select(
+            *self.schema.names, "load_error", "rejected_row", "load_id"
+        )
+
     def read(self) -> DataFrame:
         """The current rows: folded ones, with later loads merged over them."""
-        rows = self.loads()
+        generation, buckets = self._pointer()
         columns = self.schema.names
-        folded = rows.filter(F.col("load_id") == COMPACTED).select(*columns)
-        later = rows.filter(F.col("load_id") != COMPACTED).select(*columns)
-        if self._generation() == 0:
-            return latest_per_key(later, self.keys, self.order_by)
-        return upsert(folded, later, self.keys, self.order_by)
-
-    def compact(self) -> None:
-        """Fold all loads into one. Run it while nothing else is loading."""
-        generation = self._generation() + 1
-        target = f"{self.path}/generation={generation}/load_id={COMPACTED}"
-        self.read().write.mode("overwrite").parquet(target)
-        self.control.set(f"{self.name}.generation", str(generation))
+        later = self.loads().filter("NOT rejected").select(*columns, "load_order")
+        if generation == 0:
+            return latest_per_key(later, self.keys, self._ranking()).select(*columns)
+        folded = self._folded(generation, buckets)
+        return upsert(folded, later, self.keys, self._ranking())
+
+    def _ranking(self) -> list[str]:
+        return [*self.order_by, "load_order"]
+
+    def _folded_name(self, generation: int) -> str:
+        place = zlib.crc32(self.path.encode())
+        return f"{self.name.replace('.', '_')}_{place}_folded_{generation}"
+
+    def _folded_path(self, generation: int) -> str:
+        return f"{self.path}/generation={generation}/folded"
+
+    def _folded(self, generation: int, buckets: int) -> DataFrame:
+        name = self._folded_name(generation)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(
+                f"CREATE TABLE `{name}` ({columns}) USING parquet CLUSTERED BY ({keys}) "
+                f"SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{self._folded_path(generation)}'"
+            )
+        return self.spark.table(name)
+
+    def compact(self, buckets: int | None = None) -> None:
+        """Fold all loads into one table of ``buckets`` key buckets; rejected rows stay behind.
+
+        Run it while nothing else is loading. The default is one bucket per
+        shuffle partition; fewer would make a join shuffle the folded rows again.
+        """
+        generation, previous = self._pointer()
+        following = generation + 1
+        buckets = buckets or previous or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (
+            self.read().repartition(buckets, *self.keys)
+            .write.mode("overwrite").format("parquet")
+            .bucketBy(buckets, *self.keys).sortBy(*self.keys)
+            .option("path", self._folded_path(following))
+            .saveAsTable(self._folded_name(following))
+        )
+        self.control.set(f"{self.name}.generation", f"{following} {buckets}")
 
 
 def crm_customers_table(spark: SparkSession, root: str, control: ControlTable) -> KeyedTable:

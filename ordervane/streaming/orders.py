@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import utc_now
-from ..operators.events import loadable, map_order_event, quarantined
+from ..operators.events import map_order_event
 from ..sources.tables import KeyedTable
 
 
-def stream_upsert_orders(orders: DataFrame, table: KeyedTable, checkpoint: str, quarantine: str,
+def stream_upsert_orders(orders: DataFrame, table: KeyedTable, checkpoint: str,
                          name: str | None = None, once: bool = False, trigger: str = "10 seconds",
                          order_date_from: str = "timestamp",
                          loaded_at: Callable[[], dt.datetime] = utc_now) -> StreamingQuery:
@@ -21,20 +21,12 @@ def stream_upsert_orders(orders: DataFrame, table: KeyedTable, checkpoint: str,
 
     A micro-batch becomes one load of the table, named after the query and the
     batch. A retried batch replaces its own load, so every event counts once.
-    Rows that do not fit go below ``quarantine``.
+    Rows that do not fit are kept in the load as rejected.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        load_id = f"{query_id}-{batch_id:012d}"
-        mapped = map_order_event(batch, loaded_at(), order_date_from).persist()
-        try:
-            table.load(loadable(mapped), load_id)
-            rejected = quarantined(mapped)
-            if not rejected.isEmpty():
-                rejected.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/load_id={load_id}")
-        finally:
-            mapped.unpersist()
+        table.load(map_order_event(batch, loaded_at(), order_date_from), f"{query_id}-{batch_id:012d}")
 
     writer = orders.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if name:

@@ -70,6 +70,40 @@ def test_upsert_broadcasts_or_joins_without_resorting_the_target(spark):
     assert "LeftAnti" in text
 
 
+def test_folded_rows_are_not_shuffled_for_a_large_load(spark, tmp_path):
+    from ordervane.sources.state import ControlTable
+    from ordervane.sources.tables import KeyedTable
+
+    rows = spark.range(1000).selectExpr("id AS k", "id AS v")
+    table = KeyedTable(spark, str(tmp_path), "t", rows.schema, ["k"], ["v"],
+                       ControlTable(spark, str(tmp_path / "control")))
+    table.load(rows, "a")
+    table.compact()
+    table.load(rows.selectExpr("k", "v + 1 AS v"), "b")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        current = table.read()
+        text = plan(current)
+        left = text[text.index("SortMergeJoin"):text.index("HashAggregate")]
+        assert "Bucketed: true" in left and "Exchange hashpartitioning" not in left
+        assert sum(r.v for r in current.collect()) == sum(range(1, 1001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_loading_does_not_shuffle(spark, tmp_path):
+    from ordervane.sources.state import ControlTable
+    from ordervane.sources.tables import erp_orders_table
+
+    table = erp_orders_table(spark, str(tmp_path), ControlTable(spark, str(tmp_path / "control")))
+    events = checks._landed_text(checks.sample.table(spark, FOLDER, "events"))
+    mapped = ev.map_order_event(events, "2024-02-01")
+    assert "Exchange" not in plan(mapped)
+    table.load(mapped, "one")
+    assert table.read().count() == events.count()
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     folder = session.scratch_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))

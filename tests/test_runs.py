@@ -141,4 +141,6 @@ def test_unreadable_customers_are_kept_apart(spark, tmp_path):
         '{"customer_id": 1, "customer_name": "ada"}\n{"customer_id": "x"}\n{"customer_name": "nokey"}\n')
     batch.load_crm(spark, raw["raw.crm_customers"], places, "2024-03-01", NOW)
     assert [r.customer_id for r in raw["raw.crm_customers"].read().collect()] == [1]
-    assert spark.read.parquet(f"{places.quarantine}/crm").count() == 2
+    rejected = raw["raw.crm_customers"].rejected().collect()
+    assert sorted((r.load_error, r.rejected_row) for r in rejected) == [
+        ("customer_id", '{"customer_name":"nokey"}'), ("not a readable customer", '{"customer_id": "x"}')]

@@ -71,7 +71,7 @@ def test_only_the_route_read_is_scanned(spark, tmp_path):
 def load(spark, tmp_path, table):
     stream = landing.read_landed_stream(spark, str(tmp_path / "lake"), "order")
     orders.stream_upsert_orders(
-        stream, table, str(tmp_path / "orders-checkpoint"), str(tmp_path / "quarantine"), once=True,
+        stream, table, str(tmp_path / "orders-checkpoint"), once=True,
         loaded_at=lambda: LOADED,
     ).awaitTermination()
 
@@ -83,9 +83,10 @@ def test_landed_orders_reach_the_raw_table_once(spark, tmp_path):
     load(spark, tmp_path, table)
     assert table.read().count() == 20
     load(spark, tmp_path, table)
-    assert table.read().count() == 20 and table.loads().count() == 20
-    bad = spark.read.parquet(str(tmp_path / "quarantine")).collect()
+    assert table.read().count() == 20 and table.loads().count() == 21
+    bad = table.rejected().collect()
     assert [(r.order_id, r.load_error) for r in bad] == [("e50", "price")]
+    assert json.loads(bad[0].rejected_row)["price"] == "1e300"
     send(tmp_path / "sent", "b.txt", [event(3, quantity=9), event(20)])
     land(spark, tmp_path)
     load(spark, tmp_path, table)
@@ -104,7 +105,7 @@ def test_later_load_wins_over_event_time_when_load_times_differ(spark, tmp_path)
         land(spark, tmp_path)
         orders.stream_upsert_orders(
             landing.read_landed_stream(spark, str(tmp_path / "lake"), "order"), table,
-            str(tmp_path / "orders-checkpoint"), str(tmp_path / "quarantine"), once=True,
+            str(tmp_path / "orders-checkpoint"), once=True,
             loaded_at=lambda: next(times),
         ).awaitTermination()
     assert [r.quantity for r in table.read().collect()] == [8]
