@@ -39,7 +39,10 @@ def days_since(day: Column, as_of: dt.date | str | Column | None) -> Column:
 
 
 def iso_text(moment: Column) -> Column:
-    return F.date_format(moment, ISO_PATTERN)
+    """A zone-free timestamp as ISO text with six decimals, whatever the session's zone."""
+    text = F.translate(moment.cast("timestamp_ntz").cast("string"), " ", "T")
+    point = F.when(text.contains("."), F.lit("")).otherwise(F.lit("."))
+    return F.rpad(F.concat(text, point), 26, "0")
 
 
 def order_calendar(moment: Column) -> dict[str, Column]:
@@ -47,5 +50,5 @@ def order_calendar(moment: Column) -> dict[str, Column]:
         "order_year": F.year(moment),
         "order_month": F.month(moment),
         "order_quarter": F.quarter(moment),
-        "order_year_month": F.date_format(moment, "yyyy-MM"),
+        "order_year_month": F.date_format(moment.cast("date"), "yyyy-MM"),
     }

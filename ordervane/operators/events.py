@@ -17,6 +17,9 @@ OTHER_ROUTE = "events"
 DEAD_LETTER_ROUTE = "dead_letter"
 ORDER_EVENT = "order_event"
 
+# Fields an order event must have.
+REQUIRED_FIELDS = ("customer_id", "product_id", "quantity", "price")
+
 # Status of an order that has none, at sending and at loading.
 SENT_STATUS = "pending"
 LOADED_STATUS = "completed"
@@ -50,33 +53,25 @@ def validate_order_event(parsed: DataFrame, value: str = "value") -> DataFrame:
     Required: customer_id, product_id, quantity, price. A number given as text is
     accepted when it has the right type, and so is a product number.
     """
-    text = {f.name: F.col(f"event.{f.name}") for f in EVENT_TEXT.fields}
-    order_id = whole_number(text["order_id"])
-    customer_id = whole_number(text["customer_id"])
-    quantity = whole_number(text["quantity"])
-    price = text["price"].try_cast("double")
-    reason = (
-        F.when(~is_readable(value), "not a JSON object")
-        .when(customer_id.isNull(), "customer_id")
-        .when(text["product_id"].isNull(), "product_id")
-        .when(quantity.isNull(), "quantity")
-        .when(price.isNull(), "price")
-        .when(text["order_id"].isNotNull() & order_id.isNull(), "order_id")
-    )
-    return parsed.select(
+    text = {name: F.col(f"event.{name}") for name in EVENT_TEXT.names}
+    typed = {
+        **text,
+        "order_id": whole_number(text["order_id"]),
+        "customer_id": whole_number(text["customer_id"]),
+        "quantity": whole_number(text["quantity"]),
+        "price": text["price"].try_cast("double"),
+    }
+    values = parsed.select(
         *[c for c in parsed.columns if c != "event"],
-        text["event_id"].alias("event_id"),
-        order_id.alias("order_id"),
-        customer_id.alias("customer_id"),
-        text["product_id"].alias("product_id"),
-        quantity.alias("quantity"),
-        price.alias("price"),
-        text["order_date"].alias("order_date"),
-        text["status"].alias("status"),
-        text["timestamp"].alias("timestamp"),
-        text["event_type"].alias("event_type"),
-        reason.alias("reject_reason"),
+        *[typed[name].alias(name) for name in EVENT_TEXT.names],
+        is_readable(value).alias("_readable"),
+        text["order_id"].isNotNull().alias("_numbered"),
     )
+    reason = F.when(~F.col("_readable"), "not a JSON object")
+    for name in REQUIRED_FIELDS:
+        reason = reason.when(F.col(name).isNull(), name)
+    reason = reason.when(F.col("_numbered") & F.col("order_id").isNull(), "order_id")
+    return values.withColumn("reject_reason", reason).drop("_readable", "_numbered")
 
 
 def valid_events(validated: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql.types import StructType
 
 from ..operators.events import event_json
 
-# Topics, consumer group, retries of the sender.
+# Topics, consumer group, records of one poll, retries of the sender.
 EVENT_TOPIC = "etl_events"
+POLL_RECORDS = 500
 TOPICS = ("etl_events", "crm_data", "erp_data")
 CONSUMER_GROUP = "etl_group"
 SEND_RETRIES = 3
@@ -25,8 +26,10 @@ def read_event_stream(spark: SparkSession, servers: str, topics: tuple[str, ...]
                       group: str = CONSUMER_GROUP) -> DataFrame:
     """Kafka messages with their text in ``value``.
 
-    There is one task per topic partition; ``max_per_trigger`` caps the messages
-    of a micro-batch. The position is kept in the query's checkpoint.
+    There is one task per topic partition. ``max_per_trigger`` caps the messages
+    of a micro-batch; ``POLL_RECORDS`` gives small polls, but a backlog needs
+    larger batches, so the default has no cap. The position is kept in the
+    query's checkpoint.
     """
     reader = (
         spark.readStream.format("kafka")
