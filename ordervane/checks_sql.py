@@ -312,7 +312,7 @@ FROM part LEFT JOIN (
 SELECT l_orderkey AS sale_id, l_linenumber AS line, l_partkey AS product_id,
   CASE WHEN l_returnflag = 'N' THEN 1 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
   CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price,
-  CASE WHEN l_discount > 0.05 THEN CAST(l_discount AS DECIMAL(10,2)) ELSE 0 END AS discount_amount,
+  CAST(CASE WHEN l_discount > 0.05 THEN l_discount ELSE 0 END AS DECIMAL(10,2)) AS discount_amount,
   TIMESTAMP '2001-08-02 00:00:00' AS created_at, TIMESTAMP '2001-08-02 00:00:00' AS updated_at
 FROM lineitem""",
     "run_batch": f"""WITH {RAW_ORDERS},

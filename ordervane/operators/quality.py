@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -82,6 +83,9 @@ class DataTest:
         return F.col(self.column) < self.min_value
 
 
+# Fixed value: tables built at a time.
+THREADS = 4
+
 UNIQUE, NOT_NULL, RANGE = "unique", "not_null", "accepted_range"
 
 # The declared tests, as (dataset, column, kinds). Ranges start at 0.
@@ -166,19 +170,20 @@ def dq_report(datasets: dict[str, DataFrame], tests: list[DataTest] | None = Non
 
 
 def store_failures(datasets: dict[str, DataFrame], report: list, write: Callable[[DataFrame, str], None],
-                   tests: list[DataTest] | None = None) -> list[str]:
+                   tests: list[DataTest] | None = None, threads: int = THREADS) -> list[str]:
     """Write the failing rows of each test by its name; returns the failed tests.
 
     ``report`` holds the collected report, a row per declared test. A passed test
-    gets an empty table without reading its dataset again.
+    gets an empty table without reading its dataset again. ``threads`` tables are
+    written at a time.
     """
     failures = {row["test_name"]: row["failures"] for row in report}
-    failed = []
-    for test in DECLARED_TESTS if tests is None else tests:
+    tests = DECLARED_TESTS if tests is None else tests
+
+    def store(test: DataTest) -> None:
         rows = test.failing_rows(datasets[test.dataset])
-        if failures[test.name]:
-            failed.append(test.name)
-        else:
-            rows = rows.limit(0)
-        write(rows, test.name)
-    return failed
+        write(rows if failures[test.name] else rows.limit(0), test.name)
+
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(store, tests))
+    return [test.name for test in tests if failures[test.name]]

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.rows import rename
 
-# The customer columns to extract, and their types.
+# The customers' table, the columns to extract, and the types to pin.
+CRM_TABLE = "crm.dbo.customers"
 CRM_COLUMNS = ["customer_id", "customer_name", "email", "phone", "city", "status",
                "registration_date", "created_at"]
-CRM_TYPES = "customer_name STRING, email STRING, phone STRING, city STRING, status STRING, " \
-            "registration_date DATE, created_at TIMESTAMP_NTZ"
+CRM_TYPES = ("customer_name STRING, email STRING, phone STRING, city STRING, status STRING, "
+             "registration_date DATE")
 
 
 def read_source_table(spark: SparkSession, url: str, table: str, user: str | None = None,
@@ -28,6 +29,7 @@ def read_source_table(spark: SparkSession, url: str, table: str, user: str | Non
         spark.read.format("jdbc")
         .option("url", url).option("dbtable", table)
         .option("fetchsize", fetch_size).option("pushDownPredicate", True)
+        .option("preferTimestampNTZ", True)
         .options(**options)
     )
     if user is not None:
@@ -43,6 +45,11 @@ def read_source_table(spark: SparkSession, url: str, table: str, user: str | Non
     return reader.load()
 
 
+def read_crm_source(spark: SparkSession, url: str, table: str = CRM_TABLE, **options) -> DataFrame:
+    """The customers' table of the source database, under its own column names."""
+    return read_source_table(spark, url, table, types=CRM_TYPES, **options)
+
+
 def crm_extract_columns(customers: DataFrame) -> DataFrame:
     """The source's customer columns under the names used from here on."""
     return rename(customers, {"id": "customer_id"}).select(*CRM_COLUMNS)

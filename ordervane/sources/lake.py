@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urlsplit
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +62,7 @@ def read_lake_prefix(spark: SparkSession, prefix: str, schema: StructType,
 
 def read_lake_object(spark: SparkSession, path: str, schema: StructType,
                      documents: bool = True) -> DataFrame:
-    """The JSON file at ``path``, as rows."""
+    """The JSON file at ``path``, as rows: one JSON value, or with ``documents=False`` one per line."""
     return _read_json(spark, path, schema, documents)
 
 
@@ -84,15 +87,16 @@ def list_lake_objects(spark: SparkSession, lake: str, prefix: str = "raw/",
     except AnalysisException:
         return spark.createDataFrame([], "name string, size bigint, last_modified timestamp")
     objects = files.select(
-        F.regexp_replace("path", r"^.*?/(?=" + _quoted(prefix) + ")", "").alias("name"),
+        F.regexp_replace("path", _leading(root), "").alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
     )
     return objects.orderBy("name").limit(max_items) if max_items is not None else objects
 
 
-def _quoted(text: str) -> str:
-    return r"\Q" + text.rstrip("/") + r"\E"
+def _leading(root: str) -> str:
+    """Pattern of ``root`` at the start of a file's full address, whatever its scheme and host."""
+    return r"^(\w[\w+.-]*:)?(//[^/]*)?" + re.escape(urlsplit(root).path) + "/"
 
 
 def object_count(objects: DataFrame) -> DataFrame:

@@ -208,6 +208,6 @@ class ModelTables:
         return reader.parquet(self._path(layer, name, slot))
 
     def _register(self, layer: str, name: str, path: str, schema: StructType) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/{layer}'")
         self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{name}`")
         self.spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=schema)

@@ -55,6 +55,20 @@ def test_listing(spark, tmp_path):
     assert lake.object_count(lake.list_lake_objects(spark, str(tmp_path), "")).first().object_count == 4
 
 
+@pytest.mark.parametrize("root, path", [
+    ("/d/raw-zone/lake", "file:/d/raw-zone/lake/raw/a.json"),
+    ("file:///d/lake", "file:/d/lake/raw/a.json"),
+    ("s3a://orders/orders", "s3a://orders/orders/raw/a.json"),
+    ("hdfs:///lake", "hdfs://name:8020/lake/raw/a.json"),
+    ("s3a://bucket", "s3a://bucket/raw/a.json"),
+])
+def test_names_are_relative_to_the_lake(spark, root, path):
+    from pyspark.sql import functions as F
+
+    name = F.regexp_replace(F.lit(path), lake._leading(root), "")
+    assert spark.range(1).select(name.alias("name")).first().name == "raw/a.json"
+
+
 def test_listing_reads_no_contents(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "a.json").write_text("{}")

@@ -84,6 +84,8 @@ def test_landed_orders_reach_the_raw_table_once(spark, tmp_path):
     assert table.read().count() == 20
     load(spark, tmp_path, table)
     assert table.read().count() == 20 and table.loads().count() == 21
+    loads = {r.load_id for r in table.loads().select("load_id").distinct().collect()}
+    assert len(loads) == 1 and loads.pop().endswith("-000000000000")
     bad = table.rejected().collect()
     assert [(r.order_id, r.load_error) for r in bad] == [("e50", "price")]
     assert json.loads(bad[0].rejected_row)["price"] == "1e300"
