@@ -120,8 +120,8 @@ def map_order_event(events: DataFrame, loaded_at: dt.datetime | str | None = Non
 
     ``load_error`` names the first value that is there but does not fit its
     column, ``rejected_row`` is then the event's text; such rows are kept apart
-    instead of stopping the load. The total is
-    multiplied in double precision and then rounded to cents.
+    instead of stopping the load. The total is multiplied in double precision and
+    then rounded to cents.
     """
     columns = {f.name: f.dataType for f in RAW_ERP_ORDERS.fields}
     known = [F.col(f.name) for f in EVENT_TEXT.fields]

@@ -81,7 +81,8 @@ def load_orders(spark: SparkSession, table: KeyedTable, places: Places, now: dt.
         return
     stream_upsert_orders(
         read_landed_stream(spark, places.lake, "order"), table,
-        checkpoint=f"{places.state}/checkpoints/orders", once=True, order_date_from=order_date_from, loaded_at=lambda: now,
+        checkpoint=f"{places.state}/checkpoints/orders", once=True,
+        order_date_from=order_date_from, loaded_at=lambda: now,
     ).awaitTermination()
 
 
@@ -92,7 +93,8 @@ def run_batch(spark: SparkSession, crm_source: DataFrame, places: Places, ds: st
     """One scheduled run for the day ``ds``; repeating it adds nothing.
 
     The mark moves only after the raw tables are loaded. ``compact`` folds the
-    loads of the raw tables before the models read them.
+    loads of the raw tables before the models read them; it rewrites the tables
+    once, and saves the models and tests a shuffle of them each.
     """
     now = now or utc_now()
     control = ControlTable(spark, f"{places.state}/control")

@@ -59,7 +59,7 @@ class KeyedTable:
         return int(generation), int(buckets)
 
     def _loads_path(self, generation: int) -> str:
-        return f"{self.path}/generation={generation}/loads"
+        return f"{self.path}/loads/generation={generation}"
 
     def create(self) -> None:
         """Create the table empty unless it is there."""
@@ -90,17 +90,21 @@ class KeyedTable:
             .parquet(f"{self._loads_path(generation)}/load_id={load_id}")
         )
 
-    def loads(self) -> DataFrame:
-        """All rows loaded since the last ``compact``, rejected ones too."""
-        generation, _ = self._pointer()
+    def _read_loads(self, path: str) -> DataFrame:
         schema = StructType(self.schema.fields + LOAD_FIELDS)
         try:
-            return self.spark.read.schema(schema).parquet(self._loads_path(generation))
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException:
             return empty_frame(self.spark, schema)
 
+    def loads(self) -> DataFrame:
+        """All rows loaded since the last ``compact``, rejected ones too."""
+        generation, _ = self._pointer()
+        return self._read_loads(self._loads_path(generation))
+
     def rejected(self) -> DataFrame:
-        return self.loads().filter("rejected").select(
+        """The rejected rows of all loads ever."""
+        return self._read_loads(f"{self.path}/loads").filter("rejected").select(
             *self.schema.names, "load_error", "rejected_row", "load_id"
         )
 
@@ -122,7 +126,7 @@ class KeyedTable:
         return f"{self.name.replace('.', '_')}_{place}_folded_{generation}"
 
     def _folded_path(self, generation: int) -> str:
-        return f"{self.path}/generation={generation}/folded"
+        return f"{self.path}/folded/generation={generation}"
 
     def _folded(self, generation: int, buckets: int) -> DataFrame:
         name = self._folded_name(generation)
@@ -136,7 +140,7 @@ class KeyedTable:
         return self.spark.table(name)
 
     def compact(self, buckets: int | None = None) -> None:
-        """Fold all loads into one table of ``buckets`` key buckets; rejected rows stay behind.
+        """Fold all loads into one table of ``buckets`` key buckets.
 
         Run it while nothing else is loading. The default is one bucket per
         shuffle partition; fewer would make a join shuffle the folded rows again.

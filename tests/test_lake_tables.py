@@ -118,6 +118,12 @@ def test_keyed_table(spark, tmp_path):
     assert current(table) == [(1, 2, "b"), (2, 5, "d"), (3, 0, "later load wins"), (4, 1, "f")]
     table.compact()
     assert current(table) == [(1, 2, "b"), (2, 5, "d"), (3, 0, "later load wins"), (4, 1, "f")]
+    # the row without key was replaced with its load, before any folding
+    assert table.rejected().count() == 0
+    table.load(golden.frame(spark, [(None, 1, "keyless")], "k int, seq int, v string"), "l4")
+    table.compact()
+    assert [(r.v, r.load_error) for r in table.rejected().collect()] == [("keyless", "k")]
+    assert table.loads().count() == 0 and len(current(table)) == 4
 
 
 def test_raw_tables_are_created_once(spark, tmp_path):
