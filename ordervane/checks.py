@@ -14,7 +14,9 @@ from .operators import extract, merge, quality, rows
 from .plans import batch, intermediate, layers, marts, staging, warehouse
 from .schemas import EVENT_TEXT, RAW_ERP_ORDERS
 from .session import scratch_folder
-from .sources import lake, sample_tables as sample
+from .sources import event_streams as streams
+from .sources import lake
+from .sources import sample_tables as sample
 from .sources.state import ControlTable, get_watermark, set_watermark
 from .sources.tables import KeyedTable, ModelTables, erp_orders_table
 from .streaming import dedup, landing, orders
@@ -157,6 +159,19 @@ def dq_relationship_count(spark, folder):
     return quality.count_orphans(fact_order(spark, folder), "customer_id", dim_customer(spark, folder))
 
 
+@query
+def dq_foreign_keys(spark, folder):
+    """Lines without their part, order or supplier, counted per foreign key."""
+    lines = sample.table(spark, folder, "lineitem")
+    parents = (("l_partkey", "part", "p_partkey"), ("l_orderkey", "orders", "o_orderkey"),
+               ("l_suppkey", "supplier", "s_suppkey"))
+    return rows.union_all([
+        quality.count_orphans(lines, child, sample.table(spark, folder, parent), key)
+        .withColumn("foreign_key", F.lit(child))
+        for child, parent, key in parents
+    ])
+
+
 @query
 def dq_total_mismatch(spark, folder):
     failing = quality.check_total_mismatch(sample.erp_orders(spark, folder))
@@ -287,6 +302,20 @@ def order_event_mapping(spark, folder):
     return ev.loadable(ev.map_order_event(purchases, "2024-02-01 00:00:00"))
 
 
+@query
+def event_messages(spark, folder):
+    """Events as they are sent."""
+    return streams.event_messages(sample.order_events(sample.table(spark, folder, "events")), partitions=8)
+
+
+@query
+def order_key_hash(spark, folder):
+    """Keys of events that carry no id."""
+    events = _landed_text(sample.table(spark, folder, "events"))
+    nameless = events.withColumn("event_id", F.lit(None).cast("string"))
+    return ev.map_order_event(nameless, "2024-02-01 00:00:00").select("order_id", "order_date")
+
+
 @query
 def route_counts(spark, folder):
     messages = sample.order_events(sample.table(spark, folder, "events"))

@@ -236,6 +236,10 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 WHERE customer_id NOT IN (SELECT customer_id FROM dim)""",
     "dq_relationship_count": f"""WITH {STARS} SELECT count(*) AS failures FROM fact
 WHERE customer_id NOT IN (SELECT customer_id FROM dim)""",
+    "dq_foreign_keys": """SELECT 'l_partkey' AS foreign_key, count(*) AS failures FROM lineitem
+  WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'l_orderkey', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'l_suppkey', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)""",
     "dq_total_mismatch": f"""WITH {ORDERS} SELECT order_id, quantity, unit_price, total_amount
 FROM erp WHERE total_amount <> quantity * unit_price""",
     "dq_report": DQ_TESTS,
@@ -269,6 +273,14 @@ SELECT event_id, customer_id, product_id, quantity, price,
 FROM sent""",
     "order_event_mapping": f"WITH {RAW_ORDERS} SELECT * FROM loaded",
     "stream_upsert_orders": f"WITH {RAW_ORDERS} SELECT * FROM loaded",
+    "event_messages": f"""WITH {EVENTS}
+SELECT concat('{{"event_id":"', event_id, '","customer_id":', customer_id, ',"product_id":"', product_id,
+  '","quantity":', quantity, ',"price":', price, ',"timestamp":"', "timestamp",
+  '","event_type":"', event_type, '"}}') AS value FROM sent""",
+    "order_key_hash": f"""WITH {EVENTS}
+SELECT sha256(concat('{{"event_id":null,"order_id":null,"customer_id":"', customer_id, '","product_id":"',
+  product_id, '","quantity":"', quantity, '","price":"', price, '","order_date":null,"status":null,"timestamp":"',
+  "timestamp", '","event_type":"', event_type, '"}}')) AS order_id, ts AS order_date FROM sent""",
     "route_counts": f"WITH {EVENTS} SELECT route, count(*) AS n_events FROM sent GROUP BY route",
     "recent_events": "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 100",
     "recent_total": "SELECT least(count(*), 100) AS total FROM events",

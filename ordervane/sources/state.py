@@ -43,10 +43,11 @@ class ControlTable:
         return f"{self.path}/key={key}"
 
     def get(self, key: str, default: str | None = None) -> str | None:
-        folder = self._folder(key)
-        if not path_exists(self.spark, folder):
+        try:
+            values = self.spark.read.schema(CONTROL).parquet(self._folder(key))
+        except AnalysisException:
             return default
-        newest = self.spark.read.schema(CONTROL).parquet(folder).orderBy(F.col("set_at").desc()).first()
+        newest = values.orderBy(F.col("set_at").desc()).first()
         return newest["value"] if newest else default
 
     def set(self, key: str, value: str, set_at: dt.datetime | None = None) -> None:

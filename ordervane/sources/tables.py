@@ -112,7 +112,8 @@ class KeyedTable:
         """The current rows: folded ones, with later loads merged over them."""
         generation, buckets = self._pointer()
         columns = self.schema.names
-        later = self.loads().filter("NOT rejected").select(*columns, "load_order")
+        loads = self._read_loads(self._loads_path(generation))
+        later = loads.filter("NOT rejected").select(*columns, "load_order")
         if generation == 0:
             return latest_per_key(later, self.keys, self._ranking()).select(*columns)
         folded = self._folded(generation, buckets)
