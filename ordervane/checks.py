@@ -382,6 +382,13 @@ def land_events_stream(spark, folder):
     )
 
 
+@query
+def recent_landed(spark, folder):
+    """The newest of the landed events."""
+    place, _ = _landed(spark, folder)
+    return lake.recent_landed(spark, place, EVENT_TEXT, limit=25).select("event_id", "timestamp", "route")
+
+
 @query
 def stream_upsert_orders(spark, folder):
     place, root = _landed(spark, folder)

@@ -308,6 +308,8 @@ FROM (SELECT *, c_custkey % 11 <> 0 AND TIMESTAMP '2024-01-31 12:00:00' - to_day
     "land_events_stream": f"""WITH {EVENTS}
 SELECT message_id AS event_id, customer_id, product_id, quantity, price, ts AS "timestamp",
   event_type, route FROM sent""",
+    "recent_landed": f"""WITH {EVENTS}
+SELECT event_id, "timestamp", route FROM sent ORDER BY "timestamp" DESC, event_id DESC LIMIT 25""",
     "dedup_events": "SELECT * FROM events",
     "snapshot_roundtrip": f"WITH {CUSTOMERS} SELECT * FROM crm",
     "lake_prefix": f"""WITH {ORDERS} SELECT order_id, CAST(customer_id AS INTEGER) AS customer_id,

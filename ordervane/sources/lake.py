@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from ..functions import utc_now
 from ..functions.dates import ISO_PATTERN
+from ..operators.events import recent_events, recent_total
+
+# Landed events lie in a folder per route and, in it, per day.
+LANDED_FOLDERS = StructType([
+    StructField("route", StringType(), True),
+    StructField("landed_on", DateType(), True),
+])
+
+# Spans of days looked through for the newest events.
+RECENT_DAYS = (1, 7, 31)
 
 # Written timestamps keep their microseconds. Reading sets no pattern and takes
 # any ISO form, with or without fraction.
@@ -26,7 +38,7 @@ def snapshot_path(lake: str, kind: str, ds: str) -> str:
 
 
 def landed_path(lake: str) -> str:
-    """Root of the landed events, with a ``route=`` folder per route."""
+    """Root of the landed events, with a folder per route and day."""
     return f"{lake.rstrip('/')}/raw/landed"
 
 
@@ -66,12 +78,34 @@ def read_lake_object(spark: SparkSession, path: str, schema: StructType,
     return _read_json(spark, path, schema, documents)
 
 
-def read_landed(spark: SparkSession, lake: str, schema: StructType,
-                route: str | None = None) -> DataFrame:
-    """Committed landed events; with ``route`` only that folder is read."""
-    with_route = StructType(schema.fields + [StructField("route", StringType(), True)])
-    rows = spark.read.schema(with_route).json(landed_path(lake))
-    return rows.filter(F.col("route") == route).drop("route") if route else rows
+def read_landed(spark: SparkSession, lake: str, schema: StructType, route: str | None = None,
+                since: dt.date | None = None) -> DataFrame:
+    """Committed landed events with ``route`` and ``landed_on``.
+
+    ``route`` and ``since`` limit the folders that are read.
+    """
+    rows = spark.read.schema(StructType(schema.fields + LANDED_FOLDERS.fields)).json(landed_path(lake))
+    if route:
+        rows = rows.filter(F.col("route") == route)
+    if since:
+        rows = rows.filter(F.col("landed_on") >= F.lit(since))
+    return rows
+
+
+def recent_landed(spark: SparkSession, lake: str, schema: StructType, limit: int = 10,
+                  capacity: int = 100, today: dt.date | None = None) -> DataFrame:
+    """The newest landed events, oldest first; see ``recent_events``.
+
+    Days are taken in from the newest on until they hold ``capacity`` events, so
+    a long history is read only when its last month holds fewer.
+    """
+    today = today or utc_now().date()
+    order = ("landed_on", "timestamp", "event_id")
+    for days in RECENT_DAYS:
+        rows = read_landed(spark, lake, schema, since=today - dt.timedelta(days=days))
+        if recent_total(rows, capacity).first()["total"] == capacity:
+            return recent_events(rows, limit, capacity, order)
+    return recent_events(read_landed(spark, lake, schema), limit, capacity, order)
 
 
 def list_lake_objects(spark: SparkSession, lake: str, prefix: str = "raw/",

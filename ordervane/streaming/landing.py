@@ -5,25 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..operators.events import DEAD_LETTER_ROUTE, parse_events, route_events
 from ..schemas import EVENT_TEXT_WITH_CORRUPT
-from ..sources.lake import landed_path
+from ..sources.lake import LANDED_FOLDERS, landed_path
 
 
 def landing_rows(stream: DataFrame, value: str = "value") -> DataFrame:
-    """The event texts with their ``route``, each on one line, otherwise unchanged.
+    """The event texts with ``route`` and day, each on one line, otherwise unchanged.
 
     Line breaks in valid JSON lie between tokens only, so blanks may replace them.
+    The day is that of the micro-batch and stays the same when it is retried.
     """
     routed = route_events(parse_events(stream, value, ["event_type"]), value)
-    return routed.select(F.translate(value, "\r\n", "  ").alias("value"), "route")
+    return routed.select(
+        F.translate(value, "\r\n", "  ").alias("value"), "route", F.current_date().cast("string").alias("landed_on")
+    )
 
 
 def land_events(stream: DataFrame, lake: str, checkpoint: str, name: str | None = None,
                 once: bool = False, trigger: str = "10 seconds") -> StreamingQuery:
-    """Write the stream of event texts below ``raw/landed/route=...``.
+    """Write the stream of event texts below ``raw/landed/route=.../landed_on=...``.
 
     Rows are written where they were read; a route with most of the events is
     spread over all tasks. A failed batch is retried from the checkpoint, and
@@ -32,7 +35,7 @@ def land_events(stream: DataFrame, lake: str, checkpoint: str, name: str | None
     """
     writer = (
         landing_rows(stream).writeStream.format("text").outputMode("append")
-        .partitionBy("route")
+        .partitionBy(*LANDED_FOLDERS.names)
         .option("path", landed_path(lake))
         .option("checkpointLocation", checkpoint)
     )
@@ -43,15 +46,18 @@ def land_events(stream: DataFrame, lake: str, checkpoint: str, name: str | None
 
 
 def read_dead_letters(spark: SparkSession, lake: str) -> DataFrame:
-    rows = spark.read.schema("value string, route string").text(landed_path(lake))
+    rows = spark.read.schema("value string, route string, landed_on string").text(landed_path(lake))
     return rows.filter(F.col("route") == DEAD_LETTER_ROUTE).select("value")
 
 
 def read_landed_stream(spark: SparkSession, lake: str, route: str,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Newly landed events of one route, fields as text."""
-    route_field = StructField("route", StringType(), True)
-    reader = spark.readStream.schema(StructType(EVENT_TEXT_WITH_CORRUPT.fields + [route_field]))
+    reader = spark.readStream.schema(
+        StructType(EVENT_TEXT_WITH_CORRUPT.fields + LANDED_FOLDERS.fields)
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landed_path(lake)).filter(F.col("route") == route).drop("route")
+    return reader.json(landed_path(lake)).filter(F.col("route") == route).drop(
+        *LANDED_FOLDERS.names
+    )

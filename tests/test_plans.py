@@ -8,7 +8,7 @@ from ordervane import checks, session
 from ordervane.operators import events as ev
 
 FOLDER = "/root/testdata/sf0.001"
-STREAMS = {"land_events_stream", "stream_upsert_orders", "dedup_events", "lake_listing", "run_batch",
+STREAMS = {"land_events_stream", "recent_landed", "stream_upsert_orders", "dedup_events", "lake_listing", "run_batch",
            "run_layers", "dq_stored_failures", "upsert_idempotent", "watermark_state", "snapshot_roundtrip",
            "lake_prefix"}
 PLAIN = [name for name in checks.QUERIES if name not in STREAMS]

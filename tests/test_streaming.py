@@ -55,7 +55,7 @@ def test_landed_text_is_the_sent_text(spark, tmp_path):
     text = event(1, extra={"deep": [1, 2.50, "ü"]})
     send(tmp_path / "sent", "a.txt", [text])
     land(spark, tmp_path)
-    stored = next((tmp_path / "lake/raw/landed/route=order").glob("part-*")).read_text(encoding="utf-8")
+    stored = next((tmp_path / "lake/raw/landed/route=order").glob("*/part-*")).read_text(encoding="utf-8")
     assert stored == text + "\n"
 
 
@@ -68,6 +68,28 @@ def test_only_the_route_read_is_scanned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(route" in plan
 
 
+def test_recent_landed_reads_the_newest_days_first(spark, tmp_path):
+    def write(day, numbers):
+        folder = tmp_path / f"lake/raw/landed/route=order/landed_on={day}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.txt").write_text("\n".join(event(i) for i in numbers) + "\n")
+
+    def seen(**options):
+        rows = lake.recent_landed(spark, str(tmp_path / "lake"), EVENT_TEXT, today=dt.date(2024, 3, 1), **options)
+        return rows, [r.event_id for r in rows.collect()]
+
+    write("2020-01-01", range(10, 20))
+    write("2024-02-28", range(20, 24))
+    write("2024-03-01", range(30, 33))
+    rows, ids = seen(limit=2, capacity=3)
+    assert ids == ["e31", "e32"]
+    assert "landed_on#" in rows._jdf.queryExecution().executedPlan().toString()
+    assert {r.landed_on for r in rows.collect()} == {dt.date(2024, 3, 1)}
+    assert seen(limit=0, capacity=7)[1] == [f"e{i}" for i in (20, 21, 22, 23, 30, 31, 32)]
+    assert seen(limit=0, capacity=9)[1] == [f"e{i}" for i in (18, 19, 20, 21, 22, 23, 30, 31, 32)]
+    assert len(seen(limit=0)[1]) == 17
+
+
 def load(spark, tmp_path, table):
     stream = landing.read_landed_stream(spark, str(tmp_path / "lake"), "order")
     orders.stream_upsert_orders(
