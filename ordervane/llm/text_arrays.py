@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACES = b" \t\n\v\f\r"
 _IN_WORD = np.ones(256, dtype=bool)
@@ -50,7 +51,7 @@ def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``most_bytes`` of text; a longer text is a piece of its own."""
-    sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     begin, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > most_bytes:
