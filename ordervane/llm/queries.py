@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe
+from ..session import scratch_folder
+from . import byte_bpe, language_id, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark, folder):
+    """The language of every document, learned from the labelled ones of four fifths."""
+    docs = _table(spark, folder, "documents").withColumn("held_out", language_id.held_out())
+    net = language_id.train(docs.filter(~F.col("held_out")))
+    return language_id.label_languages(docs, net, keep=["doc_id", "held_out"])
+
+
 @query
 def op6_byte_bpe(spark, folder):
     """Token count and digests of every document's tokens and of the bytes they decode to."""
@@ -30,3 +39,19 @@ def op6_byte_bpe(spark, folder):
         "doc_id", byte_bpe.n_tokens("ids").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_warc(spark, folder):
+    """All pages written as archives and read back."""
+    pages = _table(spark, folder, "pages")
+    place = scratch_folder(spark, "warc")
+    warc.write_archives(warc.classify(pages), place)
+    read = warc.read_archives(spark, place)
+    key = pages.schema["page_id"].dataType
+    response = F.col("record_type") == "response"
+    return read.select(
+        F.col("name").cast(key).alias("page_id"), "payload_bytes",
+        F.when(response, F.sha2("payload", 256)).otherwise(F.col("digest")).alias("payload_digest"),
+        "record_type", F.col("refers_to").cast(key).alias("refers_to"),
+    )
