@@ -15,3 +15,19 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM p JOIN f USING (payload_digest)
 """
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES["op5_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+windows AS (SELECT s.doc_id, s.i, md5(array_to_string(d.w[s.i:s.i + 49], ' ')) AS h FROM starts s JOIN d USING (doc_id)),
+firsts AS (SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (h) WHERE doc_id > first_id),
+positions AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT p.doc_id, string_agg(d.w[p.p], ' ' ORDER BY p.p) AS k, count(*) AS n
+         FROM positions p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.p = g.p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

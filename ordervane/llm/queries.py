@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, language_id, warc
+from . import byte_bpe, language_id, lm_score, substring_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,25 @@ def op1_language_id(spark, folder):
     return language_id.label_languages(docs, net, keep=["doc_id", "held_out"])
 
 
+@query
+def op3_lm_score(spark, folder):
+    """Every document's log-probability, learned from four fifths of the documents."""
+    docs = _table(spark, folder, "documents")
+    place = scratch_folder(spark, "lm")
+    model = lm_score.train(spark, docs.filter(lm_score.trained_on()), f"{place}/counts")
+    scored = lm_score.score(spark, docs, model, f"{place}/counts", f"{place}/texts")
+    return scored.select("doc_id", (~lm_score.trained_on()).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
+@query
+def op5_substring_dedup(spark, folder):
+    """Words left in every document without runs that earlier documents have."""
+    docs = _table(spark, folder, "documents")
+    cut = substring_dedup.remove_repeats(spark, docs, scratch_folder(spark, "substrings"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_byte_bpe(spark, folder):
     """Token count and digests of every document's tokens and of the bytes they decode to."""

@@ -135,22 +135,30 @@ def window_ok(offsets: np.ndarray, length: int, total: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def anchors(grams: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """Positions that stand for all windows of ``window`` items (winnowing).
+def anchor_of_windows(grams: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every window of ``window`` items that lies in one text, and its anchor (winnowing).
 
-    ``grams`` holds the hash of the ``gram`` items at each position. Every window
-    that lies in one text has its smallest hash among the result, and which
-    positions a window selects depends on its own items only.
+    ``grams`` holds the hash of the ``gram`` items at each position. The anchor is
+    the place of the window's smallest hash, the first one of equals; it depends on
+    the window's own items only.
     """
     width, total = window - gram + 1, int(offsets[-1])
     if total < window:
-        return np.zeros(0, np.int64)
-    smallest = _sliding(grams[:total - gram + 1], width, np.minimum, 2**64 - 1)
-    smallest = np.where(window_ok(offsets, window, total)[:len(smallest)], smallest, np.uint64(0))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    grams = grams[:total - gram + 1]
+    smallest = _sliding(grams, width, np.minimum, 2**64 - 1)
+    whole = window_ok(offsets, window, total)[:len(smallest)]
     spread = np.zeros(len(smallest) + 2 * (width - 1), np.uint64)
-    spread[width - 1:width - 1 + len(smallest)] = smallest
+    spread[width - 1:width - 1 + len(smallest)] = np.where(whole, smallest, np.uint64(0))
     largest = _sliding(spread, width, np.maximum, 0)
-    return np.flatnonzero((largest == grams[:len(largest)]) & (largest > 0))
+    chosen = np.flatnonzero((largest == grams[:len(largest)]) & (largest > 0))
+    starts = np.flatnonzero(whole)
+    wanted, at = smallest[starts], np.searchsorted(chosen, starts)
+    open_ = np.arange(len(starts))
+    while len(open_):
+        open_ = open_[grams[chosen[at[open_]]] != wanted[open_]]
+        at[open_] += 1
+    return starts, chosen[at]
 
 
 def covered(starts: np.ndarray, length: int, total: int) -> np.ndarray:
