@@ -31,3 +31,22 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
        sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+ORACLES["op9_suffix_array"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, n - 198)) AS i FROM d WHERE n >= 200),
+windows AS (SELECT s.doc_id, s.i, md5(substr(d.h, 2 * s.i - 1, 400)) AS w FROM starts s JOIN d USING (doc_id)),
+often AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+hits AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 200, true) AS opens
+         FROM windows JOIN often USING (w)),
+runs AS (SELECT doc_id, i, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS before FROM spans),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+                string_agg(substr(h, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) AS head
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN head IS NULL THEN h ELSE head || substr(h, 2 * tail - 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

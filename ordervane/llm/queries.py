@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, language_id, lm_score, substring_dedup, warc
+from . import byte_bpe, language_id, lm_score, substring_dedup, suffix_array, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,3 +74,12 @@ def op8_warc(spark, folder):
         F.when(response, F.sha2("payload", 256)).otherwise(F.col("digest")).alias("payload_digest"),
         "record_type", F.col("refers_to").cast(key).alias("refers_to"),
     )
+
+
+@query
+def op9_suffix_array(spark, folder):
+    """Bytes left in every document without strings that occur elsewhere."""
+    docs = _table(spark, folder, "documents")
+    cut = suffix_array.remove_repeats(spark, docs, scratch_folder(spark, "suffixes"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
