@@ -4,6 +4,22 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
+_LOWER_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                r"'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')")
+
+ORACLES["op7_hyperminhash"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT s.doc_id, md5(array_to_string(d.w[s.i:s.i + 3], ' ')) AS h FROM starts s JOIN d USING (doc_id)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id <> b.doc_id
+           GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(r) AS component_id, d.doc_id = min(r) AS kept
+FROM d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, n
+"""
+
 ORACLES["op8_warc"] = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, language_id, lm_score, substring_dedup, suffix_array, warc
+from . import byte_bpe, hyperminhash, language_id, lm_score, substring_dedup, suffix_array, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,13 @@ def op6_byte_bpe(spark, folder):
     )
 
 
+@query
+def op7_hyperminhash(spark, folder):
+    """The class of near copies of every document, on shingles of four words."""
+    docs = _table(spark, folder, "documents")
+    return hyperminhash.near_duplicates(spark, docs, scratch_folder(spark, "near"), words=4, percent=80)
+
+
 @query
 def op8_warc(spark, folder):
     """All pages written as archives and read back."""
