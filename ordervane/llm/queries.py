@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, hyperminhash, language_id, lm_score, substring_dedup, suffix_array, warc
+from . import byte_bpe, hyperminhash, language_id, line_dedup, lm_score, substring_dedup, suffix_array, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,12 @@ def op9_suffix_array(spark, folder):
     cut = suffix_array.remove_repeats(spark, docs, scratch_folder(spark, "suffixes"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_line_dedup(spark, folder):
+    """Lines left in every document without those that an earlier line equals up to one edit."""
+    docs = _table(spark, folder, "documents")
+    cut = line_dedup.remove_lines(spark, docs, scratch_folder(spark, "lines"))
+    return cut.select("doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"),
+                      F.sha2("kept", 256).alias("kept_sha256"))

@@ -101,6 +101,12 @@ class SpanHash:
     def __call__(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         return mix((self._sums[stops] - self._sums[starts]) * self._down[starts])
 
+    def without(self, starts: np.ndarray, places: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """The hash of every span with the code at ``places`` taken out."""
+        left = (self._sums[places] - self._sums[starts]) * self._down[starts]
+        right = (self._sums[stops] - self._sums[places + 1]) * self._down[starts + 1]
+        return mix(left + right)
+
     def windows(self, length: int) -> np.ndarray:
         """The hash of every span of ``length`` codes."""
         n = max(0, len(self._sums) - length)
