@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, hyperminhash, language_id, line_dedup, lm_score, substring_dedup, suffix_array, warc
+from . import (
+    byte_bpe,
+    decontaminate,
+    hyperminhash,
+    language_id,
+    line_dedup,
+    lm_score,
+    neighbours,
+    substring_dedup,
+    suffix_array,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +42,13 @@ def op1_language_id(spark, folder):
     return language_id.label_languages(docs, net, keep=["doc_id", "held_out"])
 
 
+@query
+def op2_decontaminate(spark, folder):
+    """Every passage that a document shares with a benchmark item."""
+    return decontaminate.find_passages(spark, _table(spark, folder, "documents"), _table(spark, folder, "benchmark"),
+                                       scratch_folder(spark, "seeds"))
+
+
 @query
 def op3_lm_score(spark, folder):
     """Every document's log-probability, learned from four fifths of the documents."""
@@ -42,6 +60,13 @@ def op3_lm_score(spark, folder):
                          F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
+@query
+def op4_neighbours(spark, folder):
+    """The 20 nearest vectors of every twentieth one."""
+    found = neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, most=20)
+    return found.withColumn("query_id", F.col("query_id").cast("bigint")).withColumn("vec_id", F.col("vec_id").cast("bigint"))
+
+
 @query
 def op5_substring_dedup(spark, folder):
     """Words left in every document without runs that earlier documents have."""

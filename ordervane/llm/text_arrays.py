@@ -49,7 +49,7 @@ def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``most_bytes`` of text; a longer text is a piece of its own."""
     sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     begin, held = 0, 0
@@ -66,9 +66,10 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               word_bytes: np.ndarray = _IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every word, and where each text's words begin in that list."""
-    inside = _IN_WORD[data]
+    inside = word_bytes[data]
     filled = offsets[1:] > offsets[:-1]
     first, last = offsets[:-1][filled], offsets[1:][filled] - 1
     begins, ends = inside.copy(), inside.copy()
