@@ -24,12 +24,13 @@ an empty result. Lines end at line feeds only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .repeats import with_texts
 from .text_arrays import SpanHash, mix, slices
@@ -216,9 +217,13 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, folder: str, min_chars:
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, folder: str, min_chars: int = MIN_CHARS,
-                 key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``n_lines``, ``removed`` (line numbers, from 0) and ``kept``, the other lines."""
-    texts = with_texts(docs, repeated_lines(spark, docs, folder, min_chars, key, text), ["line"], "left", key, text)
+                 key: str = "doc_id", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``key``, ``n_lines``, ``removed`` (line numbers, from 0) and ``kept``, the other lines.
+
+    ``keep`` names columns to carry along; they must not be called like the result's.
+    """
+    repeated = repeated_lines(spark, docs, folder, min_chars, key, text)
+    texts = with_texts(docs, repeated, ["line"], "left", key, text, keep)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,7 +237,9 @@ def remove_lines(spark: SparkSession, docs: DataFrame, folder: str, min_chars: i
                     kept.append("\n".join([line for n, line in enumerate(lines) if n not in gone]) if gone else content or "")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(counts, pa.int64()), pa.array(removed, pa.list_(pa.int32())),
-                     pa.array(kept, pa.string())], ["key", "n_lines", "removed", "kept"])
+                     pa.array(kept, pa.string()), *(part.column(c) for c in keep)],
+                    ["key", "n_lines", "removed", "kept", *keep])
 
-    kind = texts.schema["key"].dataType.simpleString()
-    return texts.mapInArrow(cut, f"key {kind}, n_lines bigint, removed array<int>, kept string").withColumnRenamed("key", key)
+    new = "n_lines bigint, removed array<int>, kept string"
+    schema = T.StructType([texts.schema["key"], *T.StructType.fromDDL(new).fields, *(texts.schema[c] for c in keep)])
+    return texts.mapInArrow(cut, schema).withColumnRenamed("key", key)

@@ -17,7 +17,7 @@ that occur again as a whole. What is left lies at the edges of repeated passages
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -113,10 +113,10 @@ def settle(table: DataFrame) -> DataFrame:
 
 
 def with_texts(docs: DataFrame, found: DataFrame, names: list[str], how: str,
-               key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``text`` and ``found``, a list of structs of ``names``, of each document."""
+               key: str = "doc_id", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``key``, ``text``, ``found``, a list of structs of ``names``, and what to ``keep`` of each document."""
     lists = found.groupBy("key").agg(F.collect_list(F.struct(*names)).alias("found"))
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *keep)
     return rows.join(lists, "key", how)
 
 
