@@ -305,7 +305,7 @@ def order_event_mapping(spark, folder):
 @query
 def event_messages(spark, folder):
     """Events as they are sent."""
-    return streams.event_messages(sample.order_events(sample.table(spark, folder, "events")), partitions=8)
+    return streams.event_messages(sample.order_events(sample.table(spark, folder, "events")))
 
 
 @query
@@ -316,6 +316,19 @@ def order_key_hash(spark, folder):
     return ev.map_order_event(nameless, "2024-02-01 00:00:00").select("order_id", "order_date")
 
 
+@query
+def order_keys(spark, folder):
+    """Orders by key, where some events have a blank id, and some an order id that is another's event id."""
+    number = F.col("event_id").cast("bigint")
+    events = _landed_text(sample.table(spark, folder, "events"))
+    mixed = events.withColumns({
+        "event_id": F.when(number % 4 == 0, "").when(number % 4 > 1, F.col("event_id")),
+        "order_id": F.when(number % 8 == 4, (number + 2).cast("string")).when(number % 4 == 1, (number + 1).cast("string")),
+    })
+    mapped = ev.map_order_event(mixed, "2024-02-01 00:00:00")
+    return merge.latest_per_key(mapped, ["order_id"], ["order_date"]).select("order_id", "customer_id", "order_date")
+
+
 @query
 def route_counts(spark, folder):
     messages = sample.order_events(sample.table(spark, folder, "events"))
@@ -402,10 +415,13 @@ def stream_upsert_orders(spark, folder):
 
 @query
 def dedup_events(spark, folder):
-    """Every event sent twice, each kept once."""
+    """Every event sent twice over several micro-batches, in no order of time; each is kept once."""
     root = scratch_folder(spark, "dedup")
-    events = sample.event_stream(spark, folder)
-    once = dedup.dedup_events(events.union(events), "ts", delay="90 days")
+    events = sample.table(spark, folder, "events")
+    sent = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    sent.repartition(6, F.xxhash64("event_id", "copy")).drop("copy").write.parquet(f"{root}/sent")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/sent")
+    once = dedup.dedup_events(stream)
     (
         once.writeStream.format("parquet").outputMode("append")
         .option("path", f"{root}/events").option("checkpointLocation", f"{root}/checkpoint")
@@ -429,8 +445,9 @@ def lake_prefix(spark, folder):
     """All days' snapshots below one prefix."""
     root = scratch_folder(spark, "prefix")
     shaped = sample.erp_orders(spark, folder)
-    for ds, status in (("2001-08-01", "F"), ("2001-08-02", "O"), ("2001-08-03", "P")):
-        lake.write_lake_snapshot(shaped.filter(F.col("status") == status), root, "erp", ds)
+    part = F.pmod(F.xxhash64("order_id"), F.lit(3))
+    for number, ds in enumerate(("2001-08-01", "2001-08-02", "2001-08-03")):
+        lake.write_lake_snapshot(shaped.filter(part == number), root, "erp", ds)
     return lake.read_lake_prefix(spark, f"{root}/raw/erp", RAW_ERP_ORDERS).select(
         "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount",
         "status", "order_date",

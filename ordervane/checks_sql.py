@@ -278,9 +278,15 @@ SELECT concat('{{"event_id":"', event_id, '","customer_id":', customer_id, ',"pr
   '","quantity":', quantity, ',"price":', price, ',"timestamp":"', "timestamp",
   '","event_type":"', event_type, '"}}') AS value FROM sent""",
     "order_key_hash": f"""WITH {EVENTS}
-SELECT sha256(concat('{{"event_id":null,"order_id":null,"customer_id":"', customer_id, '","product_id":"',
+SELECT 'hash:' || sha256(concat('{{"event_id":null,"order_id":null,"customer_id":"', customer_id, '","product_id":"',
   product_id, '","quantity":"', quantity, '","price":"', price, '","order_date":null,"status":null,"timestamp":"',
   "timestamp", '","event_type":"', event_type, '"}}')) AS order_id, ts AS order_date FROM sent""",
+    "order_keys": f"""WITH {EVENTS}
+SELECT CASE WHEN message_id % 4 > 1 THEN CAST(message_id AS VARCHAR)
+    WHEN message_id % 8 = 4 THEN concat('order:', message_id + 2) WHEN message_id % 4 = 1 THEN concat('order:', message_id + 1)
+    ELSE 'hash:' || sha256(concat('{{"event_id":"","order_id":null,"customer_id":"', customer_id, '","product_id":"',
+      product_id, '","quantity":"', quantity, '","price":"', price, '","order_date":null,"status":null,"timestamp":"',
+      "timestamp", '","event_type":"', event_type, '"}}')) END AS order_id, customer_id, ts AS order_date FROM sent""",
     "route_counts": f"WITH {EVENTS} SELECT route, count(*) AS n_events FROM sent GROUP BY route",
     "recent_events": "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 100",
     "recent_total": "SELECT least(count(*), 100) AS total FROM events",
@@ -313,8 +319,7 @@ SELECT event_id, "timestamp", route FROM sent ORDER BY "timestamp" DESC, event_i
     "dedup_events": "SELECT * FROM events",
     "snapshot_roundtrip": f"WITH {CUSTOMERS} SELECT * FROM crm",
     "lake_prefix": f"""WITH {ORDERS} SELECT order_id, CAST(customer_id AS INTEGER) AS customer_id,
-  product_id, quantity, unit_price, total_amount, status, order_date FROM erp
-WHERE status IN ('F', 'O', 'P')""",
+  product_id, quantity, unit_price, total_amount, status, order_date FROM erp""",
     "lake_listing": f"WITH {EVENTS} SELECT DISTINCT route, true AS has_content FROM sent",
     "inventory_available": """
 SELECT p_partkey AS product_id, p_brand AS warehouse_id, p_size * 100 AS quantity_on_hand,

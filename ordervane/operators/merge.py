@@ -30,13 +30,18 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[
     """``target`` with the rows of ``batch`` inserted or replaced by key.
 
     ``target`` holds each key once. Within ``batch`` the latest row of a key
-    wins; ``order_by`` may use columns only the batch has. Rows of the target are only matched against the batch's keys, so with
-    a batch small enough to broadcast the target is not shuffled.
+    wins; ``order_by`` may use columns only the batch has. Both sides are read once: they are
+    matched in one full join, whose rows come from the batch where it has the key. Keys that
+    are null match as equal ones do.
     """
     extra = [c for c in order_by if c not in target.columns]
-    newest = latest_per_key(batch.select(*target.columns, *extra), keys, order_by).select(*target.columns)
-    kept = target.join(newest.select(*keys), keys, "left_anti").select(*target.columns)
-    return kept.unionByName(newest)
+    newest = latest_per_key(batch.select(*target.columns, *extra), keys, order_by)
+    old = target.select(F.struct(*target.columns).alias("old"))
+    new = newest.select(F.struct(*target.columns).alias("new"))
+    same_key = F.lit(True)
+    for name in keys:
+        same_key &= F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}"))
+    return old.join(new, same_key, "full").select(F.coalesce("new", "old").alias("row")).select("row.*")
 
 
 def merge_into(batch: DataFrame, table: str, keys: list[str], order_by: list[str]) -> None:

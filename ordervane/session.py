@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,8 +9,6 @@ from pyspark.sql import SparkSession
 # Keeps deduplication state out of the executors' heap.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_local_scratch: tempfile.TemporaryDirectory | None = None
-
 
 def build_session(app: str = "ordervane", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -41,15 +38,8 @@ def build_session(app: str = "ordervane", master: str | None = None,
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables and stream checkpoints.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. Only
-    a local session without that setting gets a folder on this machine.
+    It lies under ``spark.checkpoint.dir``, or without that setting under the
+    warehouse; every executor can reach both.
     """
-    global _local_scratch
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        if _local_scratch is None:
-            _local_scratch = tempfile.TemporaryDirectory(prefix="ordervane-")
-        shared = _local_scratch.name
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/ordervane/{purpose}-{uuid.uuid4().hex}"

@@ -13,7 +13,8 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..functions import utc_now
 from ..functions.dates import ISO_PATTERN
-from ..operators.events import recent_events, recent_total
+from ..operators.events import DEAD_LETTER_ROUTE, recent_events, recent_total
+from .state import is_missing_path
 
 # Landed events lie in a folder per route and, in it, per day.
 LANDED_FOLDERS = StructType([
@@ -79,14 +80,16 @@ def read_lake_object(spark: SparkSession, path: str, schema: StructType,
 
 
 def read_landed(spark: SparkSession, lake: str, schema: StructType, route: str | None = None,
-                since: dt.date | None = None) -> DataFrame:
-    """Committed landed events with ``route`` and ``landed_on``.
+                since: dt.date | None = None, with_dead_letters: bool = False) -> DataFrame:
+    """Committed landed events with ``route`` and ``landed_on``; unreadable messages only if asked for.
 
     ``route`` and ``since`` limit the folders that are read.
     """
     rows = spark.read.schema(StructType(schema.fields + LANDED_FOLDERS.fields)).json(landed_path(lake))
     if route:
         rows = rows.filter(F.col("route") == route)
+    elif not with_dead_letters:
+        rows = rows.filter(F.col("route") != DEAD_LETTER_ROUTE)
     if since:
         rows = rows.filter(F.col("landed_on") >= F.lit(since))
     return rows
@@ -118,7 +121,9 @@ def list_lake_objects(spark: SparkSession, lake: str, prefix: str = "raw/",
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
         files = reader.load(f"{root}/{prefix}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return spark.createDataFrame([], "name string, size bigint, last_modified timestamp")
     objects = files.select(
         F.regexp_replace("path", _leading(root), "").alias("name"),

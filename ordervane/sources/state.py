@@ -19,15 +19,28 @@ CONTROL = StructType([
 CRM_MARK = "crm_last_loaded_at"
 
 
+def is_missing_path(error: AnalysisException) -> bool:
+    """Whether an analysis failed because nothing lies at a path; any other failure must be raised."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` can be listed as a data folder or file."""
     try:
         spark.read.format("binaryFile").load(path).schema
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return False
     return True
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the lake, if it is there, by the file system it lies in."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 class ControlTable:
     """Small key/value state in a lake folder; the last value set for a key counts.
 
@@ -45,7 +58,9 @@ class ControlTable:
     def get(self, key: str, default: str | None = None) -> str | None:
         try:
             values = self.spark.read.schema(CONTROL).parquet(self._folder(key))
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             return default
         newest = values.orderBy(F.col("set_at").desc()).first()
         return newest["value"] if newest else default

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
+import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType,
 
 from ..operators.merge import latest_per_key, upsert
 from ..schemas import RAW_CRM_CUSTOMERS, RAW_ERP_ORDERS
-from .state import ControlTable, path_exists
+from .state import ControlTable, delete_folder, is_missing_path, path_exists
 
 # Columns a load keeps next to the table's own.
 LOAD_FIELDS = [
@@ -37,10 +38,11 @@ class KeyedTable:
     beside the others in that folder. Reading takes the row loaded last for each
     key.
 
-    ``compact`` folds all loads into one bucketed table, in a new generation,
-    and then moves the pointer; a folder being read is never rewritten. Later
-    loads are matched against the folded rows by key, for which those need no
-    shuffle. Where the catalog has transactional tables, use ``merge_into``.
+    ``compact`` folds the loads it finds into one table and lists them with it; then
+    the pointer moves. What is not listed counts as not folded, so loads that end
+    while it runs are not lost. A generation stays until the next but one is there, for
+    those still reading it. Where the catalog has transactional tables, use
+    ``merge_into``.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str, schema: StructType,
@@ -53,26 +55,24 @@ class KeyedTable:
         self.control = control
         self.path = f"{root.rstrip('/')}/{name}"
 
-    def _pointer(self) -> tuple[int, int]:
-        """Generation, and number of buckets of its folded rows."""
-        generation, buckets = self.control.get(f"{self.name}.generation", "0 0").split()
-        return int(generation), int(buckets)
+    def _generation(self) -> int:
+        return int(self.control.get(f"{self.name}.generation", "0"))
 
-    def _loads_path(self, generation: int) -> str:
-        return f"{self.path}/loads/generation={generation}"
+    @property
+    def _loads_path(self) -> str:
+        return f"{self.path}/loads"
 
     def create(self) -> None:
         """Create the table empty unless it is there."""
-        generation, _ = self._pointer()
-        if generation == 0 and not path_exists(self.spark, self._loads_path(0)):
+        if not path_exists(self.spark, self._loads_path):
             self.load(empty_frame(self.spark, self.schema), "created")
 
     def load(self, batch: DataFrame, load_id: str, load_order: Column | None = None) -> None:
         """Append ``batch``; ``load_order`` ranks rows of one key within it.
 
-        Rows with a ``load_error``, or without a key, are kept as rejected.
+        Rows with a ``load_error``, or without a key, are kept as rejected. A load that
+        has been folded stays as it was when it is repeated.
         """
-        generation, _ = self._pointer()
         no_text = F.lit(None).cast("string")
         error = F.col("load_error") if "load_error" in batch.columns else no_text
         text = F.col("rejected_row") if "rejected_row" in batch.columns else no_text
@@ -87,76 +87,83 @@ class KeyedTable:
                 error.isNotNull().alias("rejected"),
             )
             .write.mode("overwrite").partitionBy("rejected")
-            .parquet(f"{self._loads_path(generation)}/load_id={load_id}")
+            .parquet(f"{self._loads_path}/load_id={load_id}")
         )
 
-    def _read_loads(self, path: str) -> DataFrame:
+    def _all_loads(self) -> DataFrame:
         schema = StructType(self.schema.fields + LOAD_FIELDS)
         try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException:
+            return self.spark.read.schema(schema).parquet(self._loads_path)
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             return empty_frame(self.spark, schema)
 
+    def _folded_loads(self, generation: int) -> set[str]:
+        """The loads that are in the folded rows."""
+        if not generation:
+            return set()
+        listed = self.spark.read.schema("load_id string").parquet(f"{self._folded_path(generation)}/loads")
+        return {r["load_id"] for r in listed.collect()}
+
+    def _pending(self, generation: int) -> tuple[DataFrame, set[str]]:
+        """The rows of all loads that are not folded yet, and those loads' names.
+
+        Only their folders are read. The names come from the listing of files, which a
+        read makes anyway.
+        """
+        loads = self._all_loads()
+        there = {unquote(m[1]) for f in loads.inputFiles() if (m := re.search(r"/load_id=([^/]*)/", f))}
+        names = there - self._folded_loads(generation)
+        return loads.filter(F.col("load_id").isin(sorted(names))), names
+
     def loads(self) -> DataFrame:
         """All rows loaded since the last ``compact``, rejected ones too."""
-        generation, _ = self._pointer()
-        return self._read_loads(self._loads_path(generation))
+        return self._pending(self._generation())[0]
 
     def rejected(self) -> DataFrame:
         """The rejected rows of all loads ever."""
-        return self._read_loads(f"{self.path}/loads").filter("rejected").select(
-            *self.schema.names, "load_error", "rejected_row", "load_id"
-        )
+        return self._all_loads().filter("rejected").select(*self.schema.names, "load_error", "rejected_row", "load_id")
 
     def read(self) -> DataFrame:
         """The current rows: folded ones, with later loads merged over them."""
-        generation, buckets = self._pointer()
-        columns = self.schema.names
-        loads = self._read_loads(self._loads_path(generation))
-        later = loads.filter("NOT rejected").select(*columns, "load_order")
-        if generation == 0:
-            return latest_per_key(later, self.keys, self._ranking()).select(*columns)
-        folded = self._folded(generation, buckets)
-        return upsert(folded, later, self.keys, self._ranking())
+        generation = self._generation()
+        loads, names = self._pending(generation)
+        return self._merged(generation, loads) if names else self._folded(generation)
 
-    def _ranking(self) -> list[str]:
-        return [*self.order_by, "load_order"]
+    def _folded(self, generation: int) -> DataFrame:
+        if not generation:
+            return empty_frame(self.spark, self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self._folded_path(generation)}/rows")
 
-    def _folded_name(self, generation: int) -> str:
-        place = zlib.crc32(self.path.encode())
-        return f"{self.name.replace('.', '_')}_{place}_folded_{generation}"
+    def _merged(self, generation: int, loads: DataFrame) -> DataFrame:
+        columns = self.schema.names
+        later = loads.filter("NOT rejected").select(*columns, "load_order")
+        ranking = [*self.order_by, "load_order"]
+        if not generation:
+            return latest_per_key(later, self.keys, ranking).select(*columns)
+        return upsert(self._folded(generation), later, self.keys, ranking)
 
     def _folded_path(self, generation: int) -> str:
         return f"{self.path}/folded/generation={generation}"
 
-    def _folded(self, generation: int, buckets: int) -> DataFrame:
-        name = self._folded_name(generation)
-        if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
-            keys = ", ".join(f"`{k}`" for k in self.keys)
-            self.spark.sql(
-                f"CREATE TABLE `{name}` ({columns}) USING parquet CLUSTERED BY ({keys}) "
-                f"SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{self._folded_path(generation)}'"
-            )
-        return self.spark.table(name)
-
-    def compact(self, buckets: int | None = None) -> None:
-        """Fold all loads into one table of ``buckets`` key buckets.
+    def compact(self) -> None:
+        """Fold all loads there are into one table; loads may go on meanwhile.
 
-        Run it while nothing else is loading. The default is one bucket per
-        shuffle partition; fewer would make a join shuffle the folded rows again.
+        Rows are written as the merge leaves them, so their number of files follows
+        their size. Folds of one table must not run side by side.
         """
-        generation, previous = self._pointer()
-        following = generation + 1
-        buckets = buckets or previous or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (
-            self.read().repartition(buckets, *self.keys)
-            .write.mode("overwrite").format("parquet")
-            .bucketBy(buckets, *self.keys).sortBy(*self.keys)
-            .option("path", self._folded_path(following))
-            .saveAsTable(self._folded_name(following))
-        )
-        self.control.set(f"{self.name}.generation", f"{following} {buckets}")
+        generation = self._generation()
+        loads, names = self._pending(generation)
+        if not names:
+            return
+        following = self._folded_path(generation + 1)
+        self._merged(generation, loads).write.mode("overwrite").parquet(f"{following}/rows")
+        listed = [(name,) for name in sorted(names | self._folded_loads(generation))]
+        self.spark.createDataFrame(listed, "load_id string").coalesce(1).write.mode("overwrite").parquet(f"{following}/loads")
+        self.control.set(f"{self.name}.generation", str(generation + 1))
+        if generation > 1:
+            delete_folder(self.spark, self._folded_path(generation - 1))
 
 
 def crm_customers_table(spark: SparkSession, root: str, control: ControlTable) -> KeyedTable:

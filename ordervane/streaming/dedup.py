@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_events(stream: DataFrame, event_time: str, keys: list[str] | None = None,
-                 delay: str = "1 hour", salts: int = 16) -> DataFrame:
-    """One event per key; repeats within ``delay`` of event time are dropped.
+def dedup_events(stream: DataFrame, keys: list[str] | None = None, salts: int = 16) -> DataFrame:
+    """One event per key, however late and in whatever order events come.
 
-    The stream is deduplicated twice: first per key and salt, the salt being the
-    reading task modulo ``salts``, then per key. An id repeated very often is so
-    thinned out by up to ``salts`` tasks, and at most that many copies meet in
-    one. ``salts=0`` leaves out the first step.
+    All keys seen are remembered, in the state store on disk; no event is dropped
+    but repeats. The stream is deduplicated twice: first per key and salt, the
+    salt being the reading task modulo ``salts``, then per key. An id repeated very
+    often is so thinned out by up to ``salts`` tasks, and at most that many copies
+    meet in one. ``salts=0`` leaves out the first step and its state.
     """
     keys = keys or ["event_id"]
     columns = stream.columns
-    timed = stream.withColumn("_time", F.col(event_time).cast("timestamp")).withWatermark("_time", delay)
     if salts:
-        salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        timed = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-    return timed.dropDuplicatesWithinWatermark(keys).select(*columns)
+        salted = stream.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        stream = salted.dropDuplicates([*keys, "_salt"]).drop("_salt")
+    return stream.dropDuplicates(keys).select(*columns)

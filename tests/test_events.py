@@ -98,12 +98,14 @@ def test_mapping(spark):
 
 def test_order_key(spark):
     events = landed(spark, {**FULL, "event_id": "e", "order_id": 9}, {**FULL, "order_id": 9}, FULL, FULL,
-                    {**FULL, "quantity": 3})
+                    {**FULL, "quantity": 3}, {**FULL, "event_id": " ", "order_id": 9}, {**FULL, "event_id": "9", "order_id": ""},
+                    {**FULL, "event_id": "order:9"})
     first = [r.order_id for r in ev.map_order_event(events, "2024-03-02").collect()]
     again = [r.order_id for r in ev.map_order_event(events, "2024-03-03").collect()]
     assert first == again
-    assert first[:2] == ["e", "9"]
-    assert first[2] == first[3] != first[4] and len(first[2]) == 64
+    assert first[:2] == ["e", "order:9"]
+    assert first[2] == first[3] != first[4] and first[2].startswith("hash:") and len(first[2]) == 69
+    assert first[5:] == ["order:9", "9", "event:order:9"]
 
 
 @pytest.mark.parametrize("change, error", [

@@ -126,6 +126,41 @@ def test_keyed_table(spark, tmp_path):
     assert table.loads().count() == 0 and len(current(table)) == 4
 
 
+def test_loads_during_folding_are_kept_and_old_generations_go(spark, tmp_path, monkeypatch):
+    table = keyed(spark, tmp_path)
+    table.load(golden.frame(spark, [(1, 1, "a")], "k int, seq int, v string"), "l1")
+    table.compact()
+    merged, number = KeyedTable._merged, iter(range(2, 9))
+
+    def slow(self, generation, loads):
+        i = next(number)
+        keyed(spark, tmp_path).load(golden.frame(spark, [(i, 1, "b")], "k int, seq int, v string"), f"l{i}")
+        return merged(self, generation, loads)
+
+    table.load(golden.frame(spark, [(0, 1, "z")], "k int, seq int, v string"), "l0")
+    monkeypatch.setattr(KeyedTable, "_merged", slow)
+    table.compact()
+    table.compact()
+    monkeypatch.undo()
+    assert [r[0] for r in current(table)] == [0, 1, 2, 3]
+    folders = sorted(p.name for p in (tmp_path / "t/folded").iterdir() if p.is_dir())
+    assert folders == ["generation=2", "generation=3"]
+
+
+def test_only_a_missing_path_means_empty(spark, tmp_path, monkeypatch):
+    from ordervane.sources import state, tables
+    from pyspark.errors import AnalysisException
+
+    monkeypatch.setattr(state, "is_missing_path", lambda error: False)
+    monkeypatch.setattr(tables, "is_missing_path", lambda error: False)
+    monkeypatch.setattr(lake, "is_missing_path", lambda error: False)
+    none = str(tmp_path / "none")
+    for read in (lambda: ControlTable(spark, none).get("x"), lambda: state.path_exists(spark, none),
+                 lambda: lake.list_lake_objects(spark, none), lambda: keyed(spark, tmp_path)._all_loads()):
+        with pytest.raises(AnalysisException):
+            read()
+
+
 def test_raw_tables_are_created_once(spark, tmp_path):
     control = ControlTable(spark, str(tmp_path / "control"))
     tables = create_raw_tables(spark, str(tmp_path), control)

@@ -32,7 +32,7 @@ def land(spark, tmp_path, **options):
 
 
 def counts(spark, tmp_path):
-    rows = lake.read_landed(spark, str(tmp_path / "lake"), EVENT_TEXT).groupBy("route").count().collect()
+    rows = lake.read_landed(spark, str(tmp_path / "lake"), EVENT_TEXT, with_dead_letters=True).groupBy("route").count().collect()
     return {r.route: r["count"] for r in rows}
 
 
@@ -90,6 +90,16 @@ def test_recent_landed_reads_the_newest_days_first(spark, tmp_path):
     assert len(seen(limit=0)[1]) == 17
 
 
+def test_recent_landed_leaves_out_dead_letters(spark, tmp_path):
+    for route, day, lines in (("dead_letter", "2024-03-01", ["broken {"] * 4), ("order", "2024-03-01", [event(9)]),
+                              ("order", "2024-02-27", [event(i) for i in range(5)])):
+        folder = tmp_path / f"lake/raw/landed/route={route}/landed_on={day}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.txt").write_text("\n".join(lines) + "\n")
+    rows = lake.recent_landed(spark, str(tmp_path / "lake"), EVENT_TEXT, limit=0, capacity=5, today=dt.date(2024, 3, 1))
+    assert [r.event_id for r in rows.collect()] == ["e1", "e2", "e3", "e4", "e9"]
+
+
 def load(spark, tmp_path, table):
     stream = landing.read_landed_stream(spark, str(tmp_path / "lake"), "order")
     orders.stream_upsert_orders(
@@ -143,7 +153,7 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
 
     def run():
         stream = read_file_stream(spark, str(sent), EVENT, max_files_per_trigger=1)
-        once = dedup.dedup_events(stream, "at", delay="2 hours", salts=4)
+        once = dedup.dedup_events(stream, salts=4)
         (
             once.writeStream.format("parquet").option("path", str(tmp_path / "out"))
             .option("checkpointLocation", str(tmp_path / "checkpoint"))
@@ -159,8 +169,10 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
     run()
     send(sent, "b.json", [line("hot", 5, 99), line("y", 30, 1), line("y", 31, 1)])
     run()
+    send(sent, "c.json", [line("late", 0, 1).replace("T10", "T07"), line("x0", 59, 2)])
+    run()
     seen = sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert seen == ["hot", "x0", "x1", "x2", "y"]
+    assert seen == ["hot", "late", "x0", "x1", "x2", "y"]
 
 
 def test_start_status_stop(spark, tmp_path):
