@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import as_timestamp
 from .operators import events as ev
 from .operators import extract, merge, quality, rows
-from .plans import batch, intermediate, layers, marts, staging, warehouse
+from .plans import batch, intermediate, layers, marts, sending, staging, warehouse
 from .schemas import EVENT_TEXT, RAW_ERP_ORDERS
 from .session import scratch_folder
 from .sources import event_streams as streams
@@ -115,6 +115,13 @@ def kpi_union_all(spark, folder):
     return rows.union_all([marts.kpi(metrics, name, sample.AS_OF) for name in marts.KPIS])
 
 
+@query
+def order_flags(spark, folder):
+    """The validity flags of all orders, before any is left out."""
+    return sample.erp_orders(spark, folder).select(
+        "order_id", *[flag.alias(name) for name, flag in staging.order_flags().items()])
+
+
 @query
 def customer_segments(spark, folder):
     return stg_crm_customers(spark, folder).groupBy("customer_segment").agg(F.count("*").alias("customers"))
@@ -273,6 +280,35 @@ def dead_letter_events(spark, folder):
     return ev.dead_letters(validated, keep=["message_id"]).select("message_id", "reject_reason")
 
 
+@query
+def send_orders(spark, folder):
+    """Order requests sent to files and read back, with the rejected ones beside them."""
+    root = scratch_folder(spark, "sent")
+    messages, rejects = sending.send_orders(sample.faulty_messages(spark, folder), "2024-02-01 08:30:00.25")
+    messages.write.text(f"{root}/messages")
+    rejects.write.parquet(f"{root}/rejects")
+    sent = ev.parse_events(spark.read.text(f"{root}/messages")).select("event.*").select(
+        *EVENT_TEXT.names, F.lit(None).cast("string").alias("reject_reason"))
+    nothing = [F.lit(None).cast("string").alias(name) for name in EVENT_TEXT.names]
+    return sent.unionByName(spark.read.schema("value string, reject_reason string").parquet(f"{root}/rejects")
+                            .select(*nothing, "reject_reason"))
+
+
+@query
+def load_order_documents(spark, folder):
+    """Purchases lying as one JSON document per file, loaded into the raw orders."""
+    root = scratch_folder(spark, "documents")
+    messages = sample.order_events(sample.table(spark, folder, "events"))
+    purchases = messages.filter(F.col("event_type") == ev.ORDER_EVENT)
+    # some hundred events to a document, as an array
+    array = F.concat(F.lit("["), F.concat_ws(",", F.collect_list(ev.event_json(purchases))), F.lit("]"))
+    documents = purchases.groupBy((F.col("event_id").cast("bigint") % 20).alias("file")).agg(array.alias("value"))
+    documents.write.partitionBy("file").text(f"{root}/raw/order")
+    table = erp_orders_table(spark, f"{root}/warehouse", ControlTable(spark, f"{root}/control"))
+    batch.load_order_documents(spark, table, f"{root}/raw/order", dt.datetime(2024, 2, 1), "documents")
+    return table.read()
+
+
 @query
 def enrich_order_event(spark, folder):
     sent = sample.order_events(sample.table(spark, folder, "events")).select(
@@ -323,7 +359,7 @@ def order_keys(spark, folder):
     events = _landed_text(sample.table(spark, folder, "events"))
     mixed = events.withColumns({
         "event_id": F.when(number % 4 == 0, "").when(number % 4 > 1, F.col("event_id")),
-        "order_id": F.when(number % 8 == 4, (number + 2).cast("string")).when(number % 4 == 1, (number + 1).cast("string")),
+        "order_id": F.when(number % 8 == 4, (number + 2).cast("string")).when(number % 4 == 1, (number + 2).cast("string")),
     })
     mapped = ev.map_order_event(mixed, "2024-02-01 00:00:00")
     return merge.latest_per_key(mapped, ["order_id"], ["order_date"]).select("order_id", "customer_id", "order_date")
@@ -474,8 +510,25 @@ def inventory_available(spark, folder):
 
 @query
 def column_defaults(spark, folder):
-    sales = rows.fill_defaults(sample.crm_sales(spark, folder), "crm.sales", "2001-08-02 00:00:00")
-    return sales.drop("sale_date")
+    return rows.fill_defaults(sample.crm_sales(spark, folder), "crm.sales", "2001-08-02 00:00:00", fill_nulls=True)
+
+
+def _omitted(name: str, table: str, columns) -> None:
+    """A query that inserts without the columns that have defaults; given nulls stay."""
+    def run(spark, folder):
+        return rows.fill_defaults(columns(spark, folder), table, "2001-08-02 00:00:00")
+
+    run.__name__ = name
+    query(run)
+
+
+_omitted("customer_defaults", "crm.customers", lambda spark, folder: sample.table(spark, folder, "customer").select(
+    F.col("c_custkey").alias("customer_id"),
+    F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("customer_type")))
+_omitted("product_defaults", "erp.products", lambda spark, folder: sample.table(spark, folder, "part").select(
+    F.col("p_partkey").alias("product_id")))
+_omitted("inventory_defaults", "erp.inventory", lambda spark, folder: sample.erp_inventory(spark, folder).select(
+    "product_id", "quantity_on_hand"))
 
 
 # --- runs -----------------------------------------------------------------------

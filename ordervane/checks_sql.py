@@ -283,7 +283,7 @@ SELECT 'hash:' || sha256(concat('{{"event_id":null,"order_id":null,"customer_id"
   "timestamp", '","event_type":"', event_type, '"}}')) AS order_id, ts AS order_date FROM sent""",
     "order_keys": f"""WITH {EVENTS}
 SELECT CASE WHEN message_id % 4 > 1 THEN CAST(message_id AS VARCHAR)
-    WHEN message_id % 8 = 4 THEN concat('order:', message_id + 2) WHEN message_id % 4 = 1 THEN concat('order:', message_id + 1)
+    WHEN message_id % 8 = 4 THEN concat('order:', message_id + 2) WHEN message_id % 4 = 1 THEN concat('order:', message_id + 2)
     ELSE 'hash:' || sha256(concat('{{"event_id":"","order_id":null,"customer_id":"', customer_id, '","product_id":"',
       product_id, '","quantity":"', quantity, '","price":"', price, '","order_date":null,"status":null,"timestamp":"',
       "timestamp", '","event_type":"', event_type, '"}}')) END AS order_id, customer_id, ts AS order_date FROM sent""",
@@ -327,8 +327,28 @@ SELECT p_partkey AS product_id, p_brand AS warehouse_id, p_size * 100 AS quantit
 FROM part LEFT JOIN (
   SELECT l_partkey, CAST(sum(l_quantity) AS INTEGER) AS reserved FROM lineitem GROUP BY l_partkey
 ) ON l_partkey = p_partkey""",
+    "customer_defaults": """SELECT c_custkey AS customer_id,
+  CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS customer_type, 'Active' AS customer_status,
+  TIMESTAMP '2001-08-02 00:00:00' AS created_at, TIMESTAMP '2001-08-02 00:00:00' AS updated_at FROM customer""",
+    "product_defaults": """SELECT p_partkey AS product_id, 'Active' AS product_status,
+  DATE '2001-08-02' AS created_date, DATE '2001-08-02' AS updated_date FROM part""",
+    "inventory_defaults": """SELECT p_partkey AS product_id, p_size * 100 AS quantity_on_hand, 0 AS quantity_reserved,
+  0 AS reorder_point, 0 AS max_stock_level, TIMESTAMP '2001-08-02 00:00:00' AS last_updated FROM part""",
+    "order_flags": f"""WITH {ORDERS} SELECT order_id, coalesce(quantity > 0 AND unit_price > 0, false) AS has_valid_amounts,
+  product_id IS NOT NULL AS has_valid_product FROM erp""",
+    "send_orders": f"""WITH {EVENTS}
+SELECT CAST(message_id AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+  product_id, CAST(quantity AS VARCHAR) AS quantity, CAST(price AS VARCHAR) AS price,
+  '2024-02-01T08:30:00.250000' AS order_date, 'pending' AS status, '2024-02-01T08:30:00.250000' AS "timestamp",
+  'order_event' AS event_type, CAST(NULL AS VARCHAR) AS reject_reason
+FROM sent WHERE message_id % 10 IN (0, 6, 8, 9)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE event_id % 10
+  WHEN 1 THEN 'customer_id' WHEN 2 THEN 'quantity' WHEN 3 THEN 'quantity'
+  WHEN 7 THEN 'product_id' ELSE 'not a JSON object' END
+FROM events WHERE event_id % 10 IN (1, 2, 3, 4, 5, 7)""",
+    "load_order_documents": f"WITH {RAW_ORDERS} SELECT * FROM loaded",
     "column_defaults": """
-SELECT l_orderkey AS sale_id, l_linenumber AS line, l_partkey AS product_id,
+SELECT l_orderkey AS sale_id, l_linenumber AS line, l_partkey AS product_id, CAST(l_shipdate AS DATE) AS sale_date,
   CASE WHEN l_returnflag = 'N' THEN 1 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
   CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price,
   CAST(CASE WHEN l_discount > 0.05 THEN l_discount ELSE 0 END AS DECIMAL(10,2)) AS discount_amount,

@@ -29,10 +29,11 @@ def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
-def fill_defaults(df: DataFrame, table: str, now: dt.datetime | str | None = None) -> DataFrame:
-    """Fill missing values of a source table with the table's column defaults.
+def fill_defaults(df: DataFrame, table: str, now: dt.datetime | str | None = None,
+                  fill_nulls: bool = False) -> DataFrame:
+    """Add the columns that ``df`` leaves out, with the source table's defaults.
 
-    A column absent from ``df`` is added when the table has a default for it.
+    As on insertion, a null that is there stays; ``fill_nulls`` replaces it too.
     """
     schema = SOURCE_TABLES[table]
     moment = as_timestamp(now)
@@ -45,9 +46,10 @@ def fill_defaults(df: DataFrame, table: str, now: dt.datetime | str | None = Non
         else:
             value = F.lit(default)
         value = value.cast(kind)
-        df = df.withColumn(
-            name, F.coalesce(F.col(name).cast(kind), value) if name in df.columns else value
-        )
+        if name in df.columns:
+            given = F.col(name).cast(kind)
+            value = F.coalesce(given, value) if fill_nulls else given
+        df = df.withColumn(name, value)
     return df
 
 

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import utc_now
+from ..operators.events import map_order_event
 from ..operators.extract import high_water_mark, incremental_extract, next_mark
 from ..operators.rows import stamp_loaded_at
-from ..schemas import CORRUPT_COLUMN, CRM_EXTRACT
+from ..schemas import CORRUPT_COLUMN, CRM_EXTRACT, EVENT_TEXT_WITH_CORRUPT
 from ..sources.databases import crm_extract_columns
-from ..sources.lake import read_lake_snapshot, snapshot_path, write_lake_snapshot
+from ..sources.lake import read_lake_prefix, read_lake_snapshot, snapshot_path, write_lake_snapshot
 from ..sources.state import ControlTable, get_watermark, path_exists, set_watermark
 from ..sources.tables import KeyedTable, ModelTables, create_raw_tables
 from ..streaming.landing import read_landed_stream
@@ -86,6 +87,17 @@ def load_orders(spark: SparkSession, table: KeyedTable, places: Places, now: dt.
     ).awaitTermination()
 
 
+def load_order_documents(spark: SparkSession, table: KeyedTable, prefix: str, now: dt.datetime,
+                         load_id: str, order_date_from: str = "timestamp") -> None:
+    """Load all order events below ``prefix`` that lie as one JSON object, or array, per file.
+
+    Such files come from other writers than ``land_events``. A file that cannot be read is
+    kept as a rejected row. The same ``load_id`` again replaces the load.
+    """
+    events = read_lake_prefix(spark, prefix, EVENT_TEXT_WITH_CORRUPT, documents=True)
+    table.load(map_order_event(events, now, order_date_from), load_id)
+
+
 def run_batch(spark: SparkSession, crm_source: DataFrame, places: Places, ds: str,
               now: dt.datetime | None = None, as_of: dt.date | None = None,
               with_tests: bool = False, order_date_from: str = "timestamp",

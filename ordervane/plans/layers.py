@@ -64,8 +64,8 @@ class Model:
 
 LAYERS = ["staging", "intermediate", "warehouse", "marts"]
 
-# In dependency order. The customer metrics need the warehouse tables and are
-# kept as a table, so the mart and the tests read them without joining again.
+# In dependency order. The customer metrics are kept as a table, so the mart and the
+# tests read them without joining again; the warehouse tables have the rows they are made of.
 MODELS = {
     "stg_crm_customers": Model("staging", VIEW, lambda run: staging.stg_crm_customers(
         run.source("raw.crm_customers"), run.as_of)),
@@ -75,12 +75,12 @@ MODELS = {
         run.ref("stg_crm_customers"))),
     "int_order_cleaned": Model("intermediate", VIEW, lambda run: intermediate.int_order_cleaned(
         run.ref("stg_erp_orders"))),
+    "int_customer_metrics": Model("intermediate", TABLE, lambda run: intermediate.int_customer_metrics(
+        run.ref("int_customer_cleaned"), run.ref("int_order_cleaned"))),
     "dim_customer": Model("warehouse", TABLE, lambda run: warehouse.dim_customer(
         run.ref("int_customer_cleaned"))),
     "fact_order": Model("warehouse", TABLE, lambda run: warehouse.fact_order(
         run.ref("int_order_cleaned"))),
-    "int_customer_metrics": Model("marts", TABLE, lambda run: intermediate.int_customer_metrics(
-        run.ref("dim_customer"), run.ref("fact_order"))),
     "executive_dashboard": Model("marts", TABLE, lambda run: marts.executive_dashboard(
         run.ref("int_customer_metrics"), run.as_of, run.strict_mask)),
 }

@@ -23,6 +23,7 @@ def _struct(*columns: tuple, required: tuple[str, ...] = ()) -> StructType:
     return StructType([StructField(name, kind, name not in required) for name, kind in columns])
 
 
+# Columns and types of the raw and source tables.
 RAW_CRM_CUSTOMERS = _struct(
     ("customer_id", IntegerType()),
     ("customer_name", StringType()),

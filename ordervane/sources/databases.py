@@ -5,8 +5,11 @@ Both need the database's driver jar on the class path.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import utc_now
 from ..operators.rows import rename
 
 # The customers' table, the columns to extract, and the types to pin.
@@ -45,8 +48,16 @@ def read_source_table(spark: SparkSession, url: str, table: str, user: str | Non
     return reader.load()
 
 
-def read_crm_source(spark: SparkSession, url: str, table: str = CRM_TABLE, **options) -> DataFrame:
-    """The customers' table of the source database, under its own column names."""
+def read_crm_source(spark: SparkSession, url: str, table: str = CRM_TABLE, mark: dt.datetime | None = None,
+                    now: dt.datetime | None = None, parts: int = 16, **options) -> DataFrame:
+    """The customers' table of the source database, under its own column names.
+
+    It is read in ``parts`` by creation time between the last extract's ``mark`` and ``now``; rows
+    outside fall into the first and last part. ``split_by`` in ``options`` chooses another split.
+    """
+    now = now or utc_now()
+    mark = mark or now - dt.timedelta(days=30)
+    options.setdefault("split_by", ("created_at", mark.isoformat(" "), now.isoformat(" "), parts))
     return read_source_table(spark, url, table, types=CRM_TYPES, **options)
 
 

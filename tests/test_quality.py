@@ -86,7 +86,9 @@ def test_stored_failures(spark, tmp_path):
 def test_defaults_and_generated_column(spark):
     stock = golden.frame(spark, [(1, 7, None), (2, None, 3)],
                                   "product_id int, quantity_on_hand int, quantity_reserved int")
-    filled = fill_defaults(stock, "erp.inventory", "2024-03-01 01:02:03")
+    kept = fill_defaults(stock, "erp.inventory", "2024-03-01 01:02:03").orderBy("product_id").first()
+    assert (kept.quantity_reserved, kept.reorder_point) == (None, 0)
+    filled = fill_defaults(stock, "erp.inventory", "2024-03-01 01:02:03", fill_nulls=True)
     rows = add_quantity_available(filled).orderBy("product_id").collect()
     assert [r.quantity_available for r in rows] == [7, -3]
     assert [r.reorder_point for r in rows] == [0, 0]

@@ -45,9 +45,9 @@ def test_clean_rows_complete(spark, tmp_path):
 
 def test_selection(spark, tmp_path):
     run = model_run(spark, tmp_path)
-    result = layers.run_layers(run, select=["warehouse", "int_order_cleaned"], with_tests=False)
+    result = layers.run_layers(run, select=["warehouse", "int_order_cleaned", "int_customer_metrics"], with_tests=False)
     assert {k: v["models"] for k, v in result["stages"].items()} == {
-        "intermediate": ["int_order_cleaned"], "warehouse": ["dim_customer", "fact_order"]}
+        "intermediate": ["int_order_cleaned", "int_customer_metrics"], "warehouse": ["dim_customer", "fact_order"]}
     later = layers.ModelRun(spark, run.sources, run.tables, golden.AS_OF)
     assert layers.run_layer(later, "marts")["status"] == "success"
     assert board(later) == GOLDEN_BOARD
