@@ -197,7 +197,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a", 1 << 20):
+            for part in slices(batch, "text_a", "text_b"):
                 sets = [shingle_sets(part.column(c), words) for c in ("text_a", "text_b")]
                 sizes = [np.diff(firsts) for _, firsts in sets]
                 hashes = np.concatenate([h for h, _ in sets])

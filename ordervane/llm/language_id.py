@@ -268,7 +268,7 @@ def label_languages(docs: DataFrame, net: Network, text: str = "text", keep: Seq
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 19):
+            for part in slices(batch, "_text"):
                 names, scores = predict_texts(net, part.column("_text"))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())],

@@ -60,7 +60,7 @@ def _lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text"):
                 rows, numbers, lines = [], [], []
                 for row, content in enumerate(part.column("text").to_pylist()):
                     for number, line in enumerate(content.split("\n") if content else ()):
@@ -89,7 +89,7 @@ def _contents(docs: DataFrame, places: DataFrame, key: str, text: str) -> DataFr
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text"):
                 found, texts = part.column("found").to_pylist(), part.column("text").to_pylist()
                 rows = [i for i, places_ in enumerate(found) for _ in places_]
                 lines = [p["line"] for places_ in found for p in places_]
@@ -115,7 +115,7 @@ def _region_keys(lines: DataFrame) -> DataFrame:
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "content", 2 << 20):
+            for piece in slices(batch, "content"):
                 spans, begin, length = _characters(piece.column("content").to_pylist())
                 row, spare, part = (x.ravel() for x in np.meshgrid(
                     np.arange(len(length)), np.arange(2), np.arange(REGIONS), indexing="ij"))
@@ -140,7 +140,7 @@ def _variants(lines: DataFrame, regions: DataFrame) -> DataFrame:
 
     def varied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "content", 1 << 20):
+            for piece in slices(batch, "content"):
                 spans, begin, length = _characters(piece.column("content").to_pylist())
                 found = piece.column("found")
                 regions_ = found.flatten()
@@ -227,7 +227,7 @@ def remove_lines(spark: SparkSession, docs: DataFrame, folder: str, min_chars: i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text"):
                 counts, removed, kept = [], [], []
                 for content, found in zip(part.column("text").to_pylist(), part.column("found").to_pylist(), strict=True):
                     lines = [] if content is None else content.split("\n")

@@ -97,7 +97,7 @@ def op8_warc(spark, folder):
     """All pages written as archives and read back."""
     pages = _table(spark, folder, "pages")
     place = scratch_folder(spark, "warc")
-    warc.write_archives(warc.classify(pages), place)
+    warc.write_archives(warc.classify(pages), place, warc.train_dictionary(pages))
     read = warc.read_archives(spark, place)
     key = pages.schema["page_id"].dataType
     response = F.col("record_type") == "response"

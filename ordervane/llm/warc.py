@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the Zstandard and WARC formats.
@@ -38,13 +38,18 @@ SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 300, 64 << 10, 64 << 10
 ARCHIVE_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 100
 _ID = "urn:x-page:"
+#: The records' date, where none is given.
+DATE = "2024-01-01T00:00:00Z"
+
+
+def _body(payload: str) -> Column:
+    return F.coalesce(F.col(payload).cast("string").cast("binary"), F.lit(b""))
 
 
 def classify(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html",
              min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """``key``, ``url``, ``payload``, ``digest`` and ``refers_to``, null for what is stored as response."""
-    body = F.coalesce(F.col(payload).cast("string").cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), body.alias("payload"))
+    rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), _body(payload).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     long = F.octet_length("payload") >= min_bytes
     shared = (rows.filter(long).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n"))
@@ -70,10 +75,18 @@ def record(key, url: str | None, payload: bytes, digest: str, refers_to, date: s
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def train_dictionary(pages: DataFrame, date: str, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from the records of a sample of pages; empty where there are too few."""
-    sample = (pages.select("key", "url", "payload", "digest").filter(F.octet_length("payload") <= SAMPLE_BYTES)
-              .orderBy(F.xxhash64("digest"), "key").limit(SAMPLE_PAGES).collect())
+def train_dictionary(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html",
+                     date: str = DATE, size: int = DICTIONARY_BYTES) -> bytes:
+    """A dictionary from the records of a bounded sample of pages; empty where there are too few.
+
+    Pages are drawn by a hash of their content, at a share that gives about twice
+    ``SAMPLE_PAGES`` of them, whatever the number of tasks.
+    """
+    rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), _body(payload).alias("payload"))
+    share = min(1.0, 2 * SAMPLE_PAGES / max(1, rows.count()))
+    drawn = F.pmod(F.xxhash64("payload"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = (rows.filter(drawn & (F.octet_length("payload") <= SAMPLE_BYTES)).limit(SAMPLE_PAGES)
+              .withColumn("digest", F.sha2("payload", 256)).collect())
     records = [record(r["key"], r["url"], bytes(r["payload"]), r["digest"], None, date) for r in sample]
     if len(records) < 16:
         return b""
@@ -83,10 +96,9 @@ def train_dictionary(pages: DataFrame, date: str, size: int = DICTIONARY_BYTES)
         return b""
 
 
-def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", level: int = 3,
+def write_archives(pages: DataFrame, folder: str, dictionary: bytes, date: str = DATE, level: int = 3,
                    archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Writes classified pages as archives of bounded size below ``folder``."""
-    dictionary = train_dictionary(pages, date)
 
     def archived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
