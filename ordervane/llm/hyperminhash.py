@@ -11,7 +11,8 @@ full sets. Linked documents form classes.
 Equal sets are one node from the start. Candidates are verified in three rounds, each
 leaving out pairs that are in one class already: every node with the smallest node of
 all its bands' groups, then with each band group's smallest node, then nodes of different
-classes that still share a band. So a large group of near copies costs about one
+classes that still share a band, if their sets can reach the threshold at all: shingles that
+no other text has are in no intersection. So a large group of near copies costs about one
 verification for each of its members, and no link between classes is passed over.
 
 With ``BANDS`` x ``ROWS`` registers a pair at similarity 0.8 shares no band with a chance
@@ -212,6 +213,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(kept, pairs.select("a", "b").schema)
 
 
+def _own_shingles(texts: DataFrame, words: int) -> DataFrame:
+    """``key`` and ``own``, how many of its shingles no other of these texts has."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes, firsts = shingle_sets(part.column("text"), words)
+                at = np.repeat(np.arange(part.num_rows), np.diff(firsts))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key").take(pa.array(at)), pa.array(hashes.view(np.int64))], ["key", "shingle"])
+
+    kind = texts.schema["key"].dataType.simpleString()
+    rows = texts.select("key", "text").mapInArrow(listed, f"key {kind}, shingle bigint")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("key").alias("key")).filter("n = 1")
+    return alone.groupBy("key").agg(F.count("*").alias("own"))
+
+
 def components(spark: SparkSession, links: DataFrame, folder: str) -> DataFrame:
     """``key`` and ``class``, the smallest key reachable over links ``a``, ``b``, for all linked keys.
 
@@ -274,8 +292,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str, words: in
     members = classed(shared.select("band", F.col("key").alias("a")), classes, "a")
     mixed = members.groupBy("band").agg(F.min("of_a").alias("x"), F.max("of_a").alias("y")).filter("x <> y").select("band")
     members = _stored(members.join(mixed, "band"), spark, f"{folder}/mixed")
-    others = members.select("band", F.col("a").alias("b"), F.col("of_a").alias("of_b"))
-    rest = members.join(others, "band").filter(F.col("of_a") < F.col("of_b")).select("a", "b").distinct()
+    own = _own_shingles(texts.join(members.select(F.col("a").alias("key")).distinct(), "key", "left_semi"), words)
+    shared_part = nodes.select("key", "n").join(own, "key").select(
+        "key", "n", (F.col("n") - F.col("own")).alias("common")).unionByName(
+        nodes.join(own, "key", "left_anti").select("key", "n", F.col("n").alias("common")))
+
+    def side(name: str) -> DataFrame:
+        sizes = shared_part.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("common").alias(f"common_{name}"))
+        rows = members.select("band", F.col("a").alias(name), F.col("of_a").alias(f"of_{name}"))
+        return rows.join(sizes, name)
+
+    # no pair shares more than what either has in common with any other text
+    most = F.least("common_a", "common_b")
+    can_reach = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
+    a, b = side("a").alias("l"), side("b").alias("r")
+    rest = a.join(b, (F.col("l.band") == F.col("r.band")) & (F.col("of_a") < F.col("of_b")) & can_reach)
+    rest = rest.select("a", "b").distinct()
     links = links.unionByName(linked(rest, 3))
     classes = components(spark, links, f"{folder}/classes3")
 
