@@ -264,12 +264,13 @@ def held_out(key: str = "doc_id", remainder: int = 0) -> Column:
 
 def label_languages(docs: DataFrame, net: Network, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep``, ``lang_pred`` and ``score`` of every row; nothing is shuffled."""
-    rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
+    read = text if text in keep else "_text"  # a text that is carried along is sent once
+    rows = docs.select(*keep, *([] if text in keep else [F.col(text).cast("string").alias("_text")]))
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                names, scores = predict_texts(net, part.column("_text"))
+            for part in slices(batch, read):
+                names, scores = predict_texts(net, part.column(read))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                     [*keep, "lang_pred", "score"])

@@ -63,6 +63,7 @@ def slices(batch: pa.RecordBatch, *texts: str, most_bytes: int = 1 << 19) -> Ite
         held += int(size)
     if begin < len(sizes):
         yield batch.slice(begin)
+    pa.default_memory_pool().release_unused()  # idle workers would hold on to it
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
