@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordervane.llm import byte_bpe, decontaminate, hyperminhash, language_id, line_dedup
@@ -17,16 +17,26 @@ from ordervane.session import scratch_folder
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _others(docs: DataFrame) -> Column:
+    """All columns but the text, as one that no name can clash with."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+
+
+def _columns(docs: DataFrame, rows: DataFrame, new: dict[str, Column]) -> DataFrame:
+    """The columns of ``docs``: the new ones, and the others as they were."""
+    return rows.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any letter; fills in the language where there is none.
 
     The network learns from a bounded sample of the labelled documents.
     """
     net = language_id.train(docs)
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    kept = language_id.label_languages(rows, net, keep=["row"]).filter(F.col("lang_pred") != language_id.UNKNOWN)
+    rows = docs.select(_others(docs), "text")
+    kept = language_id.label_languages(rows, net, keep=["row", "text"]).filter(F.col("lang_pred") != language_id.UNKNOWN)
     lang = F.coalesce("row.lang", F.col("lang_pred").cast(docs.schema["lang"].dataType))
-    return kept.select(*[lang.alias(c) if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
+    return _columns(docs, kept, {"text": F.col("text"), "lang": lang})
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +44,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that loses lines and has none left but too short ones is dropped.
     """
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    rows = docs.select(_others(docs), "doc_id", "text")
     cut = line_dedup.remove_lines(spark, rows, scratch_folder(spark, "pipeline-lines"), keep=["row"])
     touched = F.size("removed") > 0
     left = F.exists(F.split("kept", "\n"), lambda line: F.length(line) >= line_dedup.MIN_CHARS)
-    new = {"text": F.when(touched, F.col("kept")).otherwise(F.col("row.text")),
-           "n_chars": F.when(touched, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))}
-    return cut.filter(~touched | left).select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    n_chars = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return _columns(docs, cut.filter(~touched | left), {
+        "text": F.when(F.col("n_lines") > 0, F.col("kept")),  # only a null text has no line
+        "n_chars": F.when(touched, n_chars).otherwise(F.col("row.n_chars")),
+    })
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
