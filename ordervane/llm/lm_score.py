@@ -8,10 +8,12 @@ probability one (Katz backoff with absolute discounting). The root has an arc fo
 every word, known or not, with the smoothed share of the word. A text is read once
 from left to right; the state is carried along and the weights are summed.
 
-What is broadcast is bounded: words and word sequences with at least 1/``MOST_ARCS``
-of all tokens become parts of the automaton, and at most ``MOST_ARCS`` of each
-length can have that share. The root's weights of all other words are joined from
-the stored table of all counts, however many there are.
+Every pair and triple seen ``LEAST_COUNT`` times or more is an arc, at any size of the
+input. What is broadcast is bounded: arcs with at least 1/``MOST_ARCS`` of all tokens,
+and at most ``MOST_ARCS`` of each length can have that share. All others stay in stored
+tables. Where the broadcast part lacks an arc, its failure arcs are taken; the difference
+to the arc's own weight depends on the word sequence only, so it is joined and added, as
+are the root's weights of words that are not broadcast.
 
 Words are compared by 64-bit hashes of their lower-cased bytes.
 
@@ -33,10 +35,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .text_arrays import lower_ascii, slices, utf8_buffers, word_hashes, word_spans
+from .text_arrays import lower_ascii, mix, slices, utf8_buffers, word_hashes, word_spans
 
-#: Bounds of the automaton's parts (words, pairs, triples each) and of the root's broadcast weights.
+#: Bounds of the broadcast parts (words, pairs, triples each) and of the root's broadcast weights.
 MOST_ARCS, MOST_WEIGHTS = 1 << 18, 1 << 21
 LEAST_COUNT = 2
 DISCOUNT = 0.5
@@ -98,12 +101,12 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return _count(docs, text, lambda column: token_hashes(column)[0])
 
 
-def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded counted table as arrays, sorted by code."""
-    table = rows.select("code", "n").toArrow()
+def _arrays(rows: DataFrame, *names: str) -> list[np.ndarray]:
+    """The columns of a bounded table as arrays, sorted by code, which comes first."""
+    table = rows.select("code", *names).toArrow()
     codes = table["code"].to_numpy().view(np.uint64)
     order = np.argsort(codes)
-    return codes[order], table["n"].to_numpy()[order]
+    return [codes[order], *(table[name].to_numpy()[order] for name in names)]
 
 
 def _find(sorted_codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -114,37 +117,113 @@ def _find(sorted_codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(sorted_codes[at] == wanted, at, -1)
 
 
-def _sequences(words: np.ndarray, column: pa.Array, length: int, stored: np.ndarray | None) -> np.ndarray:
-    """Codes of ``length`` neighbouring frequent tokens, the start before each text included.
+def sequence_codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hashes of pairs of words, or of triples by their two pairs."""
+    return mix(mix(left) * np.uint64(3) + right)
 
-    For triples, only those whose two pairs are ``stored``.
-    """
-    tokens, firsts = token_hashes(column)
-    ids = _find(words, np.insert(tokens, firsts[:-1], END))
+
+def _sequences(tokens: np.ndarray, firsts: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Left and right part, code and text of all pairs and of all triples, the start before each text included."""
+    padded = np.insert(tokens, firsts[:-1], END)
     begins = firsts[:-1] + np.arange(len(firsts) - 1)
-    pairs, ok = ids[:-1] << _BITS | ids[1:], (ids[:-1] >= 0) & (ids[1:] >= 0)
+    text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts) + 1)
+    codes = sequence_codes(padded[:-1], padded[1:])
+    ok = np.ones(len(codes), bool)
     ok[begins[1:] - 1] = False  # from one text's end to the next one's start
-    if length == 2:
-        return pairs[ok]
-    ok &= _find(stored, np.where(ok, pairs, 0).astype(np.uint64)) >= 0
     both = ok[:-1] & ok[1:]
-    return (pairs[:-1] << _BITS | ids[2:])[both]
+    left, right = codes[:-1][both], codes[1:][both]
+    return ((padded[:-1][ok], padded[1:][ok], codes[ok], text[:-1][ok]),
+            (left, right, sequence_codes(left, right), text[:-2][both]))
+
+
+def count_sequences(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``triple``, ``left``, ``right`` and ``n`` for all pairs and triples of all texts."""
+
+    def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        triple, left, right, code, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        _, at, back = np.unique(code, return_index=True, return_inverse=True)
+        return triple[at], left[at], right[at], code[at], np.bincount(back, weights=n).astype(np.int64)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            triple, left, right, _, n = added(parts)
+            return pa.RecordBatch.from_arrays([pa.array(triple), pa.array(left.view(np.int64)), pa.array(right.view(np.int64)),
+                                               pa.array(n)], ["triple", "left", "right", "n"])
+
+        parts, held = [], 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for triple, (left, right, code, _) in enumerate(_sequences(*token_hashes(part.column("text")))):
+                    parts.append((np.full(len(code), bool(triple)), left, right, code, np.ones(len(code), np.int64)))
+                    held += len(code)
+                if held > _FLUSH:
+                    parts = [added(parts)]
+                    held = len(parts[0][0])
+                    if held > _FLUSH // 2:
+                        yield out()
+                        parts, held = [], 0
+        if parts:
+            yield out()
+
+    rows = docs.select(F.col(text).cast("string").alias("text"))
+    return (rows.mapInArrow(counted, "triple boolean, left bigint, right bigint, n bigint")
+            .groupBy("triple", "left", "right").agg(F.sum("n").alias("n")))
+
+
+def _coded(rows: DataFrame) -> DataFrame:
+    """With ``code``, from ``left`` and ``right``."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (batch.column(c).to_numpy().view(np.uint64) for c in ("left", "right"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sequence_codes(left, right).view(np.int64))],
+                                             [*batch.schema.names, "code"])
+
+    return rows.mapInArrow(coded, T.StructType([*rows.schema, T.StructField("code", T.LongType())]))
+
+
+def _with_value(spark: SparkSession, rows: DataFrame, by: str, name: str, hot: tuple[np.ndarray, np.ndarray],
+                table: DataFrame) -> DataFrame:
+    """With ``name``, the value of ``by``: from the broadcast codes and values, else from ``table`` (``code``, ``value``).
+
+    Only values that are not broadcast are joined by key, so no key has many rows.
+    """
+    known = spark.sparkContext.broadcast(hot)
+
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, values = known.value
+        for batch in batches:
+            at = _find(codes, batch.column(by).to_numpy().view(np.uint64))
+            value = values[at].astype(np.float64) if len(codes) else np.zeros(len(at))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value, mask=at < 0)], [*batch.schema.names, name])
+
+    found = rows.mapInArrow(looked_up, T.StructType([*rows.schema, T.StructField(name, T.DoubleType())]))
+    spread = F.when(F.col(name).isNull(), F.col(by)).otherwise(F.xxhash64("left", "right", "code"))
+    rest = table.select(F.col("code").alias("at_"), F.col("value").cast("double").alias("value_"))
+    return (found.withColumn("at_", spread).join(rest, "at_", "left")
+            .withColumn(name, F.coalesce(name, "value_")).drop("at_", "value_"))
 
 
 @dataclass
 class Automaton:
-    """The model: bounded parts as sorted arrays; dictionaries are made in each worker once."""
+    """The broadcast part as sorted arrays; dictionaries are made in each worker once."""
 
     tokens: int
     types: int
     weight_codes: np.ndarray  # hashes of the words whose root weights are broadcast
     weight_counts: np.ndarray
+    weight_costs: np.ndarray  # of their failure arcs
     words: np.ndarray  # hashes of the frequent words; their places are the words' numbers
-    word_counts: np.ndarray
+    word_costs: np.ndarray
     pairs: np.ndarray
-    pair_counts: np.ndarray
+    pair_left: np.ndarray
+    pair_right: np.ndarray
+    pair_shares: np.ndarray
+    pair_costs: np.ndarray
     triples: np.ndarray
-    triple_counts: np.ndarray
+    triple_left: np.ndarray
+    triple_right: np.ndarray
+    triple_shares: np.ndarray
 
     def root_weights(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
@@ -152,31 +231,19 @@ class Automaton:
     @cached_property
     def parts(self) -> tuple[dict[int, int], list[float], list[int], list[int], list[float], list[int]]:
         """Arcs by state and word, arcs' weights and targets, states' failure arcs, and words' states."""
-        mask = (1 << _BITS) - 1
-        pairs, triples = self.pairs.astype(np.int64), self.triples.astype(np.int64)
-        left, right = pairs >> _BITS, pairs & mask
-        share = (self.pair_counts - DISCOUNT) / self.word_counts[left]
-        root = 10.0 ** self.root_weights(self.word_counts)
-        kept = np.bincount(left, weights=share, minlength=len(self.words))
-        lower = np.bincount(left, weights=root[right], minlength=len(self.words))
-        has_arcs = np.bincount(left, minlength=len(self.words)) > 0
-        state_of_word = np.where(has_arcs, np.cumsum(has_arcs), 0)
-        context = _find(self.pairs, (triples >> _BITS).astype(np.uint64))
-        below = _find(self.pairs, (triples & ((1 << 2 * _BITS) - 1)).astype(np.uint64))
-        share3 = (self.triple_counts - DISCOUNT) / self.pair_counts[context]
-        kept3 = np.bincount(context, weights=share3, minlength=len(pairs))
-        lower3 = np.bincount(context, weights=share[below], minlength=len(pairs))
-        has_arcs3 = np.bincount(context, minlength=len(pairs)) > 0
-        state_of_pair = np.where(has_arcs3, has_arcs.sum() + np.cumsum(has_arcs3), 0)
-        after_pair = np.where(has_arcs3, state_of_pair, state_of_word[right])
-        arcs = dict(zip((state_of_word[left] << _BITS | right).tolist(), range(len(pairs))))
-        arcs.update(zip((state_of_pair[context] << _BITS | (triples & mask)).tolist(),
-                        range(len(pairs), len(pairs) + len(triples))))
-        weights = np.log10(np.concatenate([share, share3])).tolist()
+        left, right = _find(self.words, self.pair_left), _find(self.words, self.pair_right)
+        backs, backs3 = self.word_costs != 0, self.pair_costs != 0
+        context, below = _find(self.pairs, self.triple_left), _find(self.pairs, self.triple_right)
+        backs[left], backs3[context] = True, True
+        state_of_word = np.where(backs, np.cumsum(backs), 0)
+        state_of_pair = np.where(backs3, backs.sum() + np.cumsum(backs3), 0)
+        after_pair = np.where(backs3, state_of_pair, state_of_word[right])
+        arcs = dict(zip((state_of_word[left] << _BITS | right).tolist(), range(len(left))))
+        arcs.update(zip((state_of_pair[context] << _BITS | right[below]).tolist(), range(len(left), len(left) + len(below))))
+        weights = np.log10(np.concatenate([self.pair_shares, self.triple_shares])).tolist()
         targets = np.concatenate([after_pair, after_pair[below]]).tolist()
-        fails = [0, *[0] * int(has_arcs.sum()), *state_of_word[right][has_arcs3].tolist()]
-        costs = [0.0, *np.log10((1 - kept[has_arcs]) / (1 - lower[has_arcs])).tolist(),
-                 *np.log10((1 - kept3[has_arcs3]) / (1 - lower3[has_arcs3])).tolist()]
+        fails = [0, *[0] * int(backs.sum()), *state_of_word[right][backs3].tolist()]
+        costs = [0.0, *self.word_costs[backs].tolist(), *self.pair_costs[backs3].tolist()]
         return arcs, weights, targets, fails, costs, [*state_of_word.tolist(), 0]
 
     def traverse(self, ids: list[int], root: list[float], start: int) -> float:
@@ -198,63 +265,110 @@ class Automaton:
         return total
 
 
+def _stored(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def train(spark: SparkSession, docs: DataFrame, folder: str, text: str = "text") -> Automaton:
-    """Learns from all rows. The table of all word counts is stored in ``folder`` for ``score``."""
-    count_words(docs, text).write.mode("overwrite").parquet(folder)
-    counts = spark.read.schema("code bigint, n bigint").parquet(folder)
+    """Learns from all rows. What is not broadcast is stored in ``folder`` for ``score``."""
+    counts = _stored(spark, count_words(docs, text), f"{folder}/words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
-    tokens = total["tokens"]
+    tokens, types = total["tokens"], total["types"]
 
     def least(most: int) -> int:
+        """The count from which on something is broadcast; it has no say in what is kept."""
         return max(LEAST_COUNT, -(-tokens // most))
 
-    weights, weight_counts = _arrays(counts.filter(F.col("n") >= least(MOST_WEIGHTS)))
-    core = (weight_counts >= least(MOST_ARCS)) | (weights == END)
-    words, word_counts = weights[core], weight_counts[core]
-
-    def frequent(length: int, stored: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        known = spark.sparkContext.broadcast((words, stored))
-        counted = _count(docs, text, lambda column: _sequences(known.value[0], column, length, known.value[1]))
-        return _arrays(counted.filter(F.col("n") >= least(MOST_ARCS)))
+    def cost(share: str, lower: str) -> Column:
+        return F.log10((1 - F.sum(share)) / (1 - F.sum(lower))).alias("value")
+
+    hot = F.col("n") >= least(MOST_ARCS)
+    weights, weight_counts = _arrays(counts.filter(F.col("n") >= least(MOST_WEIGHTS)), "n")
+    sequences = _stored(spark, count_sequences(docs, text).filter(F.col("n") >= LEAST_COUNT), f"{folder}/sequences")
+
+    pairs = _coded(sequences.filter("not triple").select("left", "right", "n"))
+    word_values = counts.select("code", F.col("n").alias("value"))
+    for side in ("left", "right"):
+        pairs = _with_value(spark, pairs, side, f"n_{side}", (weights, weight_counts), word_values)
+    pairs = _stored(spark, pairs.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_left")).withColumn(
+        "lower", (F.col("n_right") + 0.5) / (tokens + 0.5 * (types + 1))), f"{folder}/pairs")
+    costs = _stored(spark, pairs.groupBy(F.col("left").alias("code")).agg(cost("share", "lower"), F.first("n_left").alias("n")),
+                    f"{folder}/word_costs")
+    costed, hot_costs = _arrays(costs.filter(F.col("n") >= least(MOST_WEIGHTS)), "value")
+    at = _find(costed, weights)
+    weight_costs = np.where(at >= 0, hot_costs[at], 0.0) if len(costed) else np.zeros(len(weights))
+    hot_pairs, pair_counts, pair_left, pair_right, pair_shares = _arrays(pairs.filter(hot), "n", "left", "right", "share")
+
+    triples = _coded(sequences.filter("triple").select("left", "right", "n"))
+    triples = _with_value(spark, triples, "left", "n_left", (hot_pairs, pair_counts), pairs.select("code", F.col("n").alias("value")))
+    triples = _with_value(spark, triples, "right", "lower", (hot_pairs, pair_shares), pairs.select("code", F.col("share").alias("value")))
+    triples = _stored(spark, triples.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_left")), f"{folder}/triples")
+    costs3 = _stored(spark, triples.groupBy(F.col("left").alias("code")).agg(cost("share", "lower"), F.first("n_left").alias("n")),
+                     f"{folder}/pair_costs")
+    costed3, hot_costs3 = _arrays(costs3.filter(hot), "value")
+    at = _find(costed3, hot_pairs)
+    pair_costs = np.where(at >= 0, hot_costs3[at], 0.0) if len(costed3) else np.zeros(len(hot_pairs))
+    hot_triples, triple_left, triple_right, triple_shares = _arrays(triples.filter(hot), "left", "right", "share")
+
+    # what is added where the broadcast part took its failure arcs: words' root weights are taken as those of unknown ones
+    rare_words = counts.filter(F.col("n") < least(MOST_WEIGHTS)).join(costs.select("code", "value"), "code", "left").select(
+        "code", F.log10((F.col("n") + 0.5) / 0.5).alias("base"), F.coalesce("value", F.lit(0.0)).alias("more"), F.lit(1).alias("known"))
+    rare_pairs = _with_value(spark, pairs.filter(~hot), "left", "back", (costed, hot_costs), costs).join(
+        costs3.select("code", "value"), "code", "left").select(
+        "code", F.lit(0.0).alias("base"),
+        (F.log10("share") - F.log10("lower") - F.col("back") + F.coalesce("value", F.lit(0.0))).alias("more"), F.lit(0).alias("known"))
+    rare_triples = _with_value(spark, triples.filter(~hot), "left", "back", (costed3, hot_costs3), costs3).select(
+        "code", F.lit(0.0).alias("base"), (F.log10("share") - F.log10("lower") - F.col("back")).alias("more"), F.lit(0).alias("known"))
+    rare_words.unionByName(rare_pairs).unionByName(rare_triples).write.mode("overwrite").parquet(f"{folder}/rest")
 
-    if not len(words) or words[0] != END:  # no text, or one only: no context was seen twice
-        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        return Automaton(tokens, total["types"], weights, weight_counts, *none, *none, *none)
-    pairs, pair_counts = frequent(2, None)
-    return Automaton(tokens, total["types"], weights, weight_counts, words, word_counts, pairs, pair_counts,
-                     *frequent(3, pairs))
+    core = (weight_counts >= least(MOST_ARCS)) | (weights == END)
+    return Automaton(tokens, types, weights, weight_counts, weight_costs, weights[core], weight_costs[core],
+                     hot_pairs, pair_left.view(np.uint64), pair_right.view(np.uint64), pair_shares, pair_costs,
+                     hot_triples, triple_left.view(np.uint64), triple_right.view(np.uint64), triple_shares)
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder: str, folder: str,
           key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` of every row.
 
-    ``folder`` takes the traversed texts with the words whose root weights are still to be
-    joined from the counts stored by ``train``.
+    ``folder`` takes the traversed texts with the words, pairs and triples whose weights are
+    still to be joined from what ``train`` stored.
     """
     shared = spark.sparkContext.broadcast(model)
 
     def traversed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, row = shared.value, TaskContext.get().partitionId() << 40
-        start = 0 if len(automaton.words) else -1
+        start = int(_find(automaton.words, np.array([END]))[0])
+        unknown = automaton.root_weights(np.zeros(1))[0]
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, firsts = token_hashes(part.column("text"))
-                found = _find(automaton.weight_codes, tokens)
+                found, ids = _find(automaton.weight_codes, tokens), _find(automaton.words, tokens)
                 counts = automaton.weight_counts[found] if len(automaton.weight_counts) else np.zeros(len(tokens))
-                root = np.where(found >= 0, automaton.root_weights(counts), 0.0)
+                costs = automaton.weight_costs[found] if len(automaton.weight_costs) else np.zeros(len(tokens))
+                root = np.where(found >= 0, automaton.root_weights(counts), unknown)
                 base = np.add.reduceat(root, firsts[:-1])
                 known = np.add.reduceat((found >= 0).astype(np.int64), firsts[:-1])
-                ids, weights = _find(automaton.words, tokens).tolist(), root.tolist()
+                # each word is the context of one other, as the start stands for the end
+                backs = np.add.reduceat(np.where((found >= 0) & (ids < 0), costs, 0.0), firsts[:-1])
+                ids, weights = ids.tolist(), root.tolist()
                 scores = [automaton.traverse(ids[a:b], weights[a:b], start)
                           for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
                 rare = found < 0
-                places = np.concatenate([[0], np.cumsum(rare)])[firsts].astype(np.int32)
-                words = pa.ListArray.from_arrays(places, pa.array(tokens[rare].view(np.int64)))
+                rest, of = [tokens[rare]], [np.repeat(np.arange(part.num_rows), np.diff(firsts))[rare]]
+                for hot, (_, _, codes, texts) in zip((automaton.pairs, automaton.triples), _sequences(tokens, firsts), strict=True):
+                    out = _find(hot, codes) < 0
+                    rest.append(codes[out])
+                    of.append(texts[out])
+                of = np.concatenate(of)
+                places = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=part.num_rows))]).astype(np.int32)
+                codes = np.concatenate(rest)[np.argsort(of, kind="stable")]
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(np.arange(row, row + n)), pa.array(np.diff(firsts)), pa.array(known),
-                     pa.array(base), pa.array(scores, pa.float64()), words],
+                     pa.array(base), pa.array(np.array(scores, np.float64) + backs),
+                     pa.ListArray.from_arrays(places, pa.array(codes.view(np.int64)))],
                     ["key", "row", "n_tokens", "n_known", "base_score", "score", "rare"])
                 row += n
 
@@ -263,13 +377,11 @@ def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder:
               "base_score double, score double, rare array<bigint>")
     rows.mapInArrow(traversed, schema).write.mode("overwrite").parquet(folder)
     read = spark.read.schema(schema).parquet(folder)
-    counts = spark.read.schema("code bigint, n bigint").parquet(counts_folder)
-    share = (F.coalesce("n", F.lit(0)) + 0.5) / (model.tokens + 0.5 * (model.types + 1))
-    rest = (read.select("row", F.explode("rare").alias("code")).groupBy("row", "code").agg(F.count("*").alias("times"))
-            .join(counts, "code", "left").groupBy("row")
-            .agg(F.sum(F.col("times") * F.log10(share)).alias("weight"),
-                 F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known")))
-    weight = F.coalesce("weight", F.lit(0.0))
+    weights = spark.read.schema("code bigint, base double, more double, known int").parquet(f"{counts_folder}/rest")
+    rest = (read.select("row", F.explode("rare").alias("code")).join(weights, "code").groupBy("row")
+            .agg(F.sum("base").alias("base"), F.sum("more").alias("more"), F.sum("known").alias("known")))
+    base = F.coalesce("base", F.lit(0.0))
     return read.drop("rare").join(rest, "row", "left").select(
         F.col("key").alias(key), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + weight).alias("base_score"), (F.col("score") + weight).alias("score"))
+        (F.col("base_score") + base).alias("base_score"),
+        (F.col("score") + base + F.coalesce("more", F.lit(0.0))).alias("score"))

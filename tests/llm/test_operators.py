@@ -226,6 +226,20 @@ def test_scores_equal_a_plain_backoff_model(spark):
                    and r["score"] == pytest.approx(wanted) and r["base_score"] == pytest.approx(base) for r in got), (d, t)
 
 
+def test_broadcast_size_does_not_decide_on_sequences(spark, monkeypatch):
+    rng = random.Random(14)
+    parts = ["the cat sat", "on the mat", "a dog ran", "far away", "so it is"] + [f"rare{i} pair{i} seen{i}" for i in range(20)]
+    docs = plain.table(spark, [(i, " ".join(rng.choice(parts) for _ in range(9))) for i in range(60)])
+    wanted = by_id(_scored(spark, docs)[1], "n_known", "base_score", "score")
+    for arcs, weights in ((16, 1 << 21), (16, 64), (1, 1)):
+        monkeypatch.setattr(lm_score, "MOST_ARCS", arcs)
+        monkeypatch.setattr(lm_score, "MOST_WEIGHTS", weights)
+        model, got = _scored(spark, docs)
+        assert len(model.pairs) <= arcs and len(model.triples) <= arcs
+        found = by_id(got, "n_known", "base_score", "score")
+        assert found.keys() == wanted.keys() and all(found[d] == pytest.approx(wanted[d]) for d in wanted)
+
+
 def test_scores_without_training_rows(spark):
     _, got = _scored(spark, plain.table(spark, [(None, "a b"), (None, None)]))
     assert {(r["n_tokens"], r["n_known"]) for r in got} == {(3, 0), (1, 0)}
