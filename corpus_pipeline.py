@@ -42,12 +42,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines that an earlier line equals up to one edit.
 
-    A document that loses lines and has none left but too short ones is dropped.
+    A document that loses lines and has none left but blank ones is dropped. Lines that are
+    too short to be judged are not known to be copies, so a document of such lines stays.
     """
     rows = docs.select(_others(docs), "doc_id", "text")
     cut = line_dedup.remove_lines(spark, rows, scratch_folder(spark, "pipeline-lines"), keep=["row"])
     touched = F.size("removed") > 0
-    left = F.exists(F.split("kept", "\n"), lambda line: F.length(line) >= line_dedup.MIN_CHARS)
+    left = F.col("kept").rlike(r"\S")
     n_chars = F.length("kept").cast(docs.schema["n_chars"].dataType)
     return _columns(docs, cut.filter(~touched | left), {
         "text": F.when(F.col("n_lines") > 0, F.col("kept")),  # only a null text has no line
