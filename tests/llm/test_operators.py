@@ -286,6 +286,30 @@ def test_neighbours_block_by_block(spark, monkeypatch):
     assert neighbours.nearest(table.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_neighbours_are_whole_whatever_the_norms(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    few = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate([np.array([1.0, 0, 0, 0]), np.array([-1.0, 0, 0, 0]),
+                                                                       np.array([-1e-9, 1e-9, 0, 0])])], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "HASHED_ROWS", 1)
+    assert [r["vec_id"] for r in neighbours.nearest(few, F.col("vec_id") == 0, most=20).orderBy("rank").collect()] == [2, 1]
+    monkeypatch.undo()
+    monkeypatch.setattr(neighbours, "_hashes", lambda vectors: 6)
+    vectors = rng.standard_normal((3000, 16))
+    vectors *= np.where(np.arange(3000) < 1, 100, rng.uniform(0.5, 1, 3000))[:, None] / np.linalg.norm(vectors, axis=1)[:, None]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got: dict[int, set] = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 60 == 7, most=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sorted(got) == list(range(7, 3000, 60)) and all(len(found) == 20 for found in got.values())
+    hits = 0
+    for q, found in got.items():
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(found & set(np.argsort(-scores)[:20].tolist()))
+    print("recall", hits / (20 * len(got)))
+    assert hits / (20 * len(got)) >= 0.95
+
+
 # --- 5, 9 repeats --------------------------------------------------------------------
 
 @pytest.mark.parametrize("length", [3, 12, 50])
