@@ -6,6 +6,7 @@ inside a task and know nothing of Spark.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +19,13 @@ _IN_WORD[list(SPACES)] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-#: Odd multiplier of the polynomial hashes and its inverse modulo 2**64.
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Span hashes are polynomials modulo this prime at a point that texts know nothing of. (Modulo
+#: a power of two there are different sequences with one hash whatever the point is.)
+PRIME = (1 << 61) - 1
+_POINT = int.from_bytes(hashlib.blake2b(b"point of the span hashes", digest_size=8).digest(), "big") % PRIME
+_LOW = np.uint64((1 << 32) - 1)
+_KEPT_POWERS = 1 << 20
+_STEP = 1 << 13  # products of so many at a time stay in the processor's cache
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -34,7 +39,7 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,10 +89,65 @@ def word_spans(data: np.ndarray, offsets: np.ndarray,
     return starts, stops, np.searchsorted(starts, offsets)
 
 
+def _once(values: np.ndarray) -> np.ndarray:
+    """Values of 64 bits modulo the prime."""
+    values = (values & np.uint64(PRIME)) + (values >> np.uint64(61))
+    return np.minimum(values, values - np.uint64(PRIME))  # the smaller one has not wrapped around
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, of factors below it, put together from halves."""
+    if a.size <= _STEP:
+        return _product(a, b)
+    found = np.empty(a.size, np.uint64)
+    for i in range(0, a.size, _STEP):
+        found[i:i + _STEP] = _product(a[i:i + _STEP], b if b.ndim == 0 else b[i:i + _STEP])
+    return found
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a1, a0, b1, b0 = a >> np.uint64(32), a & _LOW, b >> np.uint64(32), b & _LOW
+    middle = a1 * b0
+    middle += a0 * b1
+    a1 *= b1
+    a0 *= b0
+    # 2**61 is 1, so 2**64 is 8, and what lies above bit 61 is added at the bottom
+    total = a1 << np.uint64(3)
+    total += middle >> np.uint64(29)
+    middle &= np.uint64((1 << 29) - 1)
+    middle <<= np.uint64(32)
+    total += middle
+    total += a0 >> np.uint64(61)
+    a0 &= np.uint64(PRIME)
+    total += a0
+    return _once(total)
+
+
+def _minus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    values = a - b
+    return np.minimum(values, values + np.uint64(PRIME))
+
+
+def _running(point: int, n: int) -> np.ndarray:
+    """The powers 0 to n of ``point``."""
+    powers, top = np.ones(1, np.uint64), point
+    while len(powers) <= n:
+        powers = np.concatenate([powers, times(powers, np.array(top, np.uint64))])
+        top = top * top % PRIME
+    return powers[:n + 1]
+
+
+_kept: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n + 1, _BASE, np.uint64), np.full(n + 1, _INVERSE, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+    """Powers of the point and of its inverse; those that common pieces need are kept."""
+    if n >= _KEPT_POWERS:
+        return _running(_POINT, n), _running(pow(_POINT, -1, PRIME), n)
+    if not _kept or len(_kept[0][0]) <= n:
+        size = min(_KEPT_POWERS, 2 * n + 1)
+        _kept[:] = [(_running(_POINT, size), _running(pow(_POINT, -1, PRIME), size))]
+    return _kept[0][0][:n + 1], _kept[0][1][:n + 1]
 
 
 class SpanHash:
@@ -97,25 +157,35 @@ class SpanHash:
         n = len(codes)
         up, self._down = _powers(n)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes * up[:n], out=self._sums[1:])
+        total = np.uint64(0)
+        for i in range(0, n, _STEP):
+            terms = _product(_once(codes[i:i + _STEP]), up[i:min(i + _STEP, n)])
+            high, low = np.cumsum(terms >> np.uint64(32)), np.cumsum(terms & _LOW)
+            low += high >> np.uint64(29)
+            high &= np.uint64((1 << 29) - 1)
+            sums = _once(_once((high << np.uint64(32)) + low) + total)
+            self._sums[i + 1:i + 1 + len(sums)] = sums
+            total = sums[-1]
 
     @classmethod
     def of_bytes(cls, data: np.ndarray) -> SpanHash:
         return cls(_BYTE_CODES[data])
 
+    def _span(self, starts: np.ndarray, stops: np.ndarray, down: np.ndarray) -> np.ndarray:
+        return times(_minus(self._sums[stops], self._sums[starts]), down)
+
     def __call__(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        return mix((self._sums[stops] - self._sums[starts]) * self._down[starts])
+        return mix(self._span(starts, stops, self._down[starts]))
 
     def without(self, starts: np.ndarray, places: np.ndarray, stops: np.ndarray) -> np.ndarray:
         """The hash of every span with the code at ``places`` taken out."""
-        left = (self._sums[places] - self._sums[starts]) * self._down[starts]
-        right = (self._sums[stops] - self._sums[places + 1]) * self._down[starts + 1]
-        return mix(left + right)
+        left = self._span(starts, places, self._down[starts])
+        return mix(_once(left + self._span(places + 1, stops, self._down[starts + 1])))
 
     def windows(self, length: int) -> np.ndarray:
         """The hash of every span of ``length`` codes."""
         n = max(0, len(self._sums) - length)
-        return mix((self._sums[length:length + n] - self._sums[:n]) * self._down[:n])
+        return mix(times(_minus(self._sums[length:length + n], self._sums[:n]), self._down[:n]))
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
