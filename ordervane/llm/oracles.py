@@ -88,3 +88,31 @@ SELECT o.doc_id, CAST(coalesce(len(d.l), 0) AS BIGINT) AS n_lines,
        CAST(coalesce(len(d.l), 0) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
 FROM documents o LEFT JOIN d USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+def _rounds(n: int) -> str:
+    """Assignments ``a0`` .. ``a<n>`` to the centroids ``c0`` .. ``c<n>``, a component per row."""
+    parts = []
+    for i in range(n + 1):
+        parts.append(f"""
+a{i} AS (SELECT id, k, d FROM (
+  SELECT id, k, d, row_number() OVER (PARTITION BY id ORDER BY d, k) AS r FROM (
+    SELECT v.id, c.k, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{i} c USING (j) GROUP BY v.id, c.k)) WHERE r = 1)""")
+        if i < n:
+            parts.append(f"""
+c{i + 1} AS (SELECT c.k, c.j, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+  SELECT a.k, v.j, CAST((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+  FROM a{i} a JOIN v USING (id) GROUP BY a.k, v.j) m USING (k, j))""")
+    return ",".join(parts)
+
+
+ORACLES["op13_va_clusters"] = f"""
+WITH v AS (SELECT vec_id AS id, unnest(range(64)) AS j, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+           FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+firsts AS (SELECT id, row_number() OVER (ORDER BY sha256('1:' || id)) - 1 AS k FROM (SELECT DISTINCT id FROM v)
+           QUALIFY k < 16),
+c0 AS (SELECT k, j, x FROM firsts JOIN v USING (id)),{_rounds(3)}
+SELECT id AS vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, digest AS centroid_sha256
+FROM a3 a JOIN (SELECT k, sha256(string_agg(x, ',' ORDER BY j)) AS digest FROM c3 GROUP BY k) USING (k)
+"""

@@ -16,8 +16,10 @@ from . import (
     line_dedup,
     lm_score,
     neighbours,
+    periodic_runs,
     substring_dedup,
     suffix_array,
+    va_clusters,
     warc,
 )
 
@@ -124,3 +126,29 @@ def op10_line_dedup(spark, folder):
     cut = line_dedup.remove_lines(spark, docs, scratch_folder(spark, "lines"))
     return cut.select("doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_repair_runs(spark, folder):
+    """The periodic runs of words of every document, a tenth of which get a periodic end first."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    seed = F.when(number % 10 == 0, F.floor(number / 10))
+    found = periodic_runs.find_periodic_runs(_table(spark, folder, "documents"), tail_seed=seed)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = F.col("best")
+    return found.withColumn("best", periodic_runs.longest_run()).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_va_clusters(spark, folder):
+    """The cluster of every vector after three rounds, with the sums of squared distances."""
+    place = scratch_folder(spark, "clusters")
+    found = va_clusters.cluster_vectors(spark, _table(spark, folder, "embeddings"), place)
+    return va_clusters.with_inertia(spark, found, place).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.concat_ws(",", "centroid"), 256).alias("centroid_sha256"),
+    )
