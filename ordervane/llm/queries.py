@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
@@ -17,6 +17,7 @@ from . import (
     lm_score,
     neighbours,
     periodic_runs,
+    personal_data,
     substring_dedup,
     suffix_array,
     va_clusters,
@@ -143,6 +144,22 @@ def op11_repair_runs(spark, folder):
     )
 
 
+@query
+def op12_personal_data(spark, folder):
+    """Personal data of every document, by patterns (counts, digest) and with what the model adds (spans)."""
+    docs = _table(spark, folder, "documents")
+    found = personal_data.find_personal_data(docs, personal_data.train(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in personal_data.KINDS], F.sha2(personal_data.span_text(base), 256).alias("base_sha256"),
+        personal_data.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op13_va_clusters(spark, folder):
     """The cluster of every vector after three rounds, with the sums of squared distances."""

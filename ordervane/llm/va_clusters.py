@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Integers up to this size have exact squared distances as doubles, in up to 128 dimensions.
@@ -287,7 +287,7 @@ def _moved(centroids: list[Centroid], sums: list[list[int]], parts: DataFrame) -
     return [[x // row[-1] for x in row[:-1]] if row[-1] else c for c, row in zip(centroids, sums, strict=True)]
 
 
-def _long_total(name: str) -> F.Column:
+def _long_total(name: str) -> Column:
     """The sum as a long, null where a part is null or the sum does not fit."""
     total = F.sum(F.col(name).cast("decimal(38,0)"))
     return F.when((F.count(name) == F.count("*")) & (total <= MOST_LONG), total).cast("bigint")
