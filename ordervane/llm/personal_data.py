@@ -95,6 +95,8 @@ write [[card|4111111111111111]] 3 times
 the [[card|5500000000000004]] 12 of it
 server [[ip|192[.]168[.]10[.]24]] went down
 block [[ip|10[.]0[.]12[.]7]] at once
+node [[ip|10[.]21[.]33[.]44]] is slow
+gateway [[ip|172[.]31[.]5[.]9]] and more
 from [[ip|172.16[.]254.1]] came a request
 host [[ip|2001:0db8:85a3:0000:0000:8a2e:0370:7334]] replied
 born on 12.03.1987 in a small town
