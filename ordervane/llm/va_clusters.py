@@ -163,24 +163,22 @@ class _Sums:
                 new = [x + y for x, y in zip(new, exact_numbers(values[row], scale), strict=True)]
             self.sums[k] = [x + sign * y for x, y in zip(self.sums[k], [*new, int(held.sum())], strict=True)]
 
-    def parts(self) -> Iterator[dict]:
-        """All sums that are not 0, in parts of ``LIMB`` bits."""
+    def rows(self) -> Iterator[tuple[int, int, list[int]]]:
+        """Cluster, number of the part, and that part of ``LIMB`` bits of its sums and of its number of vectors."""
         for k, row in enumerate(self.sums):
-            for d, value in enumerate(row):
-                sign, rest, limb = (-1 if value < 0 else 1), abs(value), 0
-                while rest:
-                    yield {"cluster": k, "dimension": d, "limb": limb, "part": sign * (rest & ((1 << LIMB) - 1))}
-                    rest, limb = rest >> LIMB, limb + 1
+            rest, limb = [abs(value) for value in row], 0
+            while any(rest):
+                yield k, limb, [(-1 if value < 0 else 1) * (r & ((1 << LIMB) - 1)) for value, r in zip(row, rest, strict=True)]
+                rest, limb = [r >> LIMB for r in rest], limb + 1
 
 
-_PARTS = "array<struct<cluster:int,dimension:int,limb:int,part:bigint>>"
-_SETTLED = f"rid bigint, cells binary, cluster int, parts {_PARTS}, is_sum boolean"
+_SETTLED = "rid bigint, cells binary, cluster int, limb int, parts array<bigint>, is_sum boolean"
 
 
 def _settle(rows: DataFrame, centroids: list[Centroid], cells: Cells, scale: int) -> DataFrame:
-    """From ``rid``, ``cells``, ``vector`` and the ``cluster`` before (-1: none): the clusters, and a row of sums per task."""
+    """From ``rid``, ``cells``, ``vector`` and the ``cluster`` before (-1: none): the clusters, and each task's sums by cluster."""
     tables, dimensions = cells.tables(centroids), len(cells.firsts)
-    parts_type = pa.list_(pa.struct([("cluster", pa.int32()), ("dimension", pa.int32()), ("limb", pa.int32()), ("part", pa.int64())]))
+    names = ["rid", "cells", "cluster", "limb", "parts", "is_sum"]
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(len(centroids), dimensions)
@@ -196,16 +194,14 @@ def _settle(rows: DataFrame, centroids: list[Centroid], cells: Cells, scale: int
             numbers, plain = whole_numbers(values[moved], scale)
             sums.add(cluster[moved], numbers, plain, values[moved], scale, 1)
             sums.add(before[moved], numbers, plain, values[moved], scale, -1)
+            n = len(cluster)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("cells"), pa.array(cluster.astype(np.int32)),
-                 pa.nulls(len(cluster), parts_type), pa.array(np.zeros(len(cluster), bool))],
-                ["rid", "cells", "cluster", "parts", "is_sum"])
-        parts = list(sums.parts())
-        if parts:
+                [batch.column("rid"), batch.column("cells"), pa.array(cluster.astype(np.int32)), pa.nulls(n, pa.int32()),
+                 pa.nulls(n, pa.list_(pa.int64())), pa.array(np.zeros(n, bool))], names)
+        for k, limb, parts in sums.rows():
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()),
-                 pa.array([parts], parts_type), pa.array([True])],
-                ["rid", "cells", "cluster", "parts", "is_sum"])
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([k], pa.int32()), pa.array([limb], pa.int32()),
+                 pa.array([parts], pa.list_(pa.int64())), pa.array([True])], names)
 
     return rows.select("rid", "cells", "vector", "cluster").mapInArrow(settle, _SETTLED)
 
@@ -280,10 +276,12 @@ def _first_centroids(rows: DataFrame, clusters: int, scale: int, seed: int) -> l
 
 def _moved(centroids: list[Centroid], sums: list[list[int]], parts: DataFrame) -> list[Centroid]:
     """The centroids after a round; ``sums`` are brought up to date."""
-    total = (parts.select(F.explode("parts").alias("p")).groupBy("p.cluster", "p.dimension", "p.limb")
-             .agg(F.sum(F.col("p.part").cast("decimal(38,0)")).alias("part")))
-    for r in total.collect():  # clusters times dimensions
-        sums[r["cluster"]][r["dimension"]] += int(r["part"]) << (LIMB * r["limb"])
+    width = len(sums[0])
+    total = parts.groupBy("cluster", "limb").agg(
+        F.array(*[F.sum(F.col("parts")[d].cast("decimal(38,0)")) for d in range(width)]).alias("parts"))
+    for r in total.collect():  # clusters times parts
+        row = sums[r["cluster"]]
+        row[:] = [x + (int(part) << (LIMB * r["limb"])) for x, part in zip(row, r["parts"], strict=True)]
     return [[x // row[-1] for x in row[:-1]] if row[-1] else c for c, row in zip(centroids, sums, strict=True)]
 
 
