@@ -421,10 +421,13 @@ def fit(examples: list[Example], rounds: int = 120, rate: float = 0.2, decay: fl
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, lines: Sequence[Example] | None = None) -> Field:
     """A field learned from the labelled lines and from passages of at most ``sample`` texts.
 
-    The texts are those with the smallest hashes among the ones of at most ``SAMPLE_CHARS`` characters.
+    The texts are the different ones of the smallest hashes among those of at most ``SAMPLE_CHARS`` characters.
     """
     texts = docs.select(F.col(text).cast("string").alias("text")).filter(F.length("text").between(1, SAMPLE_CHARS))
-    chosen = texts.select("text", F.xxhash64("text").alias("hash")).orderBy("hash", "text").limit(sample).collect()
+    hashed = texts.select("text", F.xxhash64("text").alias("hash"))
+    # tasks send hashes to the driver first, then only the texts chosen
+    last = hashed.select("hash").distinct().orderBy("hash").limit(sample).agg(F.max("hash")).first()[0]
+    chosen = hashed.filter(F.col("hash") <= F.lit(last)).dropDuplicates(["hash"]).orderBy("hash").limit(sample).collect()
     examples = list(labelled_lines() if lines is None else lines)
     return fit(examples + [e for r in chosen for e in passages(r["text"])])
 
