@@ -17,6 +17,7 @@ from .session import scratch_folder
 from .sources import event_streams as streams
 from .sources import lake
 from .sources import sample_tables as sample
+from .sources.batch_folders import DAY, BatchFolders
 from .sources.state import ControlTable, get_watermark, set_watermark
 from .sources.tables import KeyedTable, ModelTables, erp_orders_table
 from .streaming import dedup, landing, orders
@@ -431,6 +432,43 @@ def land_events_stream(spark, folder):
     )
 
 
+def _landed_with_faults(spark, folder) -> str:
+    """Land the faulty messages by a stream as if they came from a topic; gives the lake."""
+    root = scratch_folder(spark, "faults")
+    number = F.col("message_id")
+    sample.faulty_messages(spark, folder).select(
+        number.cast("bigint").alias("offset"), "value", F.lit(streams.EVENT_TOPIC).alias("topic"),
+        (number.cast("bigint") % 3).cast("int").alias("partition"),
+    ).write.parquet(f"{root}/sent")
+    sent = spark.readStream.schema("offset bigint, value string, topic string, partition int").parquet(f"{root}/sent")
+    landing.land_events(sent, f"{root}/lake", f"{root}/checkpoint", once=True).awaitTermination()
+    return f"{root}/lake"
+
+
+@query
+def landed_dead_letters(spark, folder):
+    """The unreadable messages in the lake, with why and where they came from."""
+    return landing.read_dead_letters(spark, _landed_with_faults(spark, folder)).drop(DAY.name)
+
+
+@query
+def replayed_dead_letters(spark, folder):
+    """What the lake holds by route and replays after unreadable messages were mended and landed again, twice."""
+    place = _landed_with_faults(spark, folder)
+
+    def repair(letters: DataFrame) -> DataFrame:
+        """Of texts that are cut off the event id stays; the others cannot be mended."""
+        begun = F.regexp_extract("value", r'^\{"event_id":"\d+"', 0)
+        return letters.withColumn("value", F.when(begun != "", F.concat(begun, F.lit("}"))).otherwise(F.col("value")))
+
+    for _ in range(2):
+        landing.replay_dead_letters(spark, place, f"{place}/../replay", repair).awaitTermination()
+    letters = landing.read_dead_letters(spark, place)
+    landed = lake.read_landed(spark, place, EVENT_TEXT).select("route", F.lit(None).cast("int").alias("replays"))
+    return landed.unionByName(letters.select(F.lit(ev.DEAD_LETTER_ROUTE).alias("route"), "replays")).groupBy("route", "replays").agg(
+        F.count("*").alias("n_messages"))
+
+
 @query
 def recent_landed(spark, folder):
     """The newest of the landed events."""
@@ -457,13 +495,13 @@ def dedup_events(spark, folder):
     sent = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     sent.repartition(6, F.xxhash64("event_id", "copy")).drop("copy").write.parquet(f"{root}/sent")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/sent")
-    once = dedup.dedup_events(stream)
-    (
-        once.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{root}/events").option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True).start().awaitTermination()
-    )
-    return spark.read.schema(events.schema).parquet(f"{root}/events")
+    kept = BatchFolders(spark, f"{root}/events", events.schema, [])
+
+    def write(fresh: DataFrame, query_id: str, number: int) -> None:
+        kept.write(fresh.withColumn(DAY.name, F.current_date()), query_id, number)
+
+    dedup.write_distinct(stream, dedup.SeenIds(spark, f"{root}/seen"), write, f"{root}/checkpoint", once=True).awaitTermination()
+    return kept.read().drop(DAY.name)
 
 
 # --- lake ---------------------------------------------------------------------
@@ -492,12 +530,28 @@ def lake_prefix(spark, folder):
 
 @query
 def lake_listing(spark, folder):
-    """The landed files, by folder."""
+    """The landed files by route: their bytes, whether they are the files read, and how many a cap leaves."""
     place, _ = _landed(spark, folder)
     files = lake.list_lake_objects(spark, place, max_items=None)
-    return files.groupBy(F.regexp_extract("name", r"route=(\w+)/", 1).alias("route")).agg(
-        (F.sum("size") > 0).alias("has_content")
-    )
+    path = F.regexp_replace("_metadata.file_path", r"^.*/(raw/)", "$1")
+    read = spark.read.text(lake.landed_events(spark, place).batches_path).select(path.alias("read")).distinct()
+    both = files.join(read, F.col("name") == F.col("read"), "full")
+    name = F.coalesce("name", "read")
+    capped = lake.object_count(lake.list_lake_objects(spark, place, "raw/landed", max_items=2))
+    return both.groupBy(F.regexp_extract(name, r"^raw/landed/batches/route=(\w+)/landed_on=", 1).alias("route")).agg(
+        F.sum("size").alias("total_bytes"), F.bool_and(F.col("name").isNotNull() & F.col("read").isNotNull()).alias("same_names"),
+        (F.min("last_modified") <= F.current_timestamp()).alias("in_the_past"),
+    ).join(F.broadcast(capped.withColumnRenamed("object_count", "capped")), F.lit(True))
+
+
+@query
+def lake_objects(spark, folder):
+    """A snapshot's files read one by one, as an object each."""
+    root = scratch_folder(spark, "objects")
+    customers = sample.crm_customers(spark, folder)
+    lake.write_lake_snapshot(customers.repartition(3), root, "crm", "2001-08-02")
+    names = [r["name"] for r in lake.list_lake_objects(spark, root, "raw/crm").collect()]
+    return rows.union_all([lake.read_lake_object(spark, f"{root}/{name}", customers.schema, documents=False) for name in names])
 
 
 # --- source tables --------------------------------------------------------------

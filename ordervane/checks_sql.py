@@ -320,7 +320,23 @@ SELECT event_id, "timestamp", route FROM sent ORDER BY "timestamp" DESC, event_i
     "snapshot_roundtrip": f"WITH {CUSTOMERS} SELECT * FROM crm",
     "lake_prefix": f"""WITH {ORDERS} SELECT order_id, CAST(customer_id AS INTEGER) AS customer_id,
   product_id, quantity, unit_price, total_amount, status, order_date FROM erp""",
-    "lake_listing": f"WITH {EVENTS} SELECT DISTINCT route, true AS has_content FROM sent",
+    "lake_listing": f"""WITH {EVENTS}
+SELECT route, CAST(sum(strlen(concat('{{"event_id":"', event_id, '","customer_id":', customer_id, ',"product_id":"', product_id,
+  '","quantity":', quantity, ',"price":', price, ',"timestamp":"', "timestamp",
+  '","event_type":"', event_type, '"}}')) + 1) AS BIGINT) AS total_bytes,
+  true AS same_names, true AS in_the_past, CAST(2 AS BIGINT) AS capped FROM sent GROUP BY route""",
+    "lake_objects": f"WITH {CUSTOMERS} SELECT * FROM crm",
+    "landed_dead_letters": f"""WITH {EVENTS}
+SELECT CASE WHEN message_id % 10 = 4 THEN left(concat('{{"event_id":"', event_id, '","customer_id":', customer_id, ',"product_id":"',
+    product_id, '"}}'), 30) END AS value,
+  CASE WHEN message_id % 10 = 4 THEN 'not a JSON object' ELSE 'no text' END AS reason, 'etl_events' AS topic,
+  CAST(message_id % 3 AS INTEGER) AS "partition", CAST(message_id AS BIGINT) AS "offset", 0 AS replays
+FROM sent WHERE message_id % 10 IN (4, 5)""",
+    "replayed_dead_letters": f"""WITH {EVENTS}
+SELECT route, CAST(NULL AS INTEGER) AS replays, count(*) AS n_messages FROM (
+  SELECT CASE WHEN message_id % 10 = 4 THEN 'events' ELSE route END AS route FROM sent WHERE message_id % 10 <> 5) GROUP BY route
+UNION ALL SELECT 'dead_letter', 0, count(*) FROM sent WHERE message_id % 10 IN (4, 5)
+UNION ALL SELECT 'dead_letter', 1, count(*) FROM sent WHERE message_id % 10 = 5""",
     "inventory_available": """
 SELECT p_partkey AS product_id, p_brand AS warehouse_id, p_size * 100 AS quantity_on_hand,
   coalesce(reserved, 0) AS quantity_reserved, p_size * 100 - coalesce(reserved, 0) AS quantity_available

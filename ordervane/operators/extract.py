@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import utc_now
@@ -55,12 +55,14 @@ def incremental_extract(source: DataFrame, mark: dt.datetime | str | None,
     return rows.orderBy(ordered_by) if ordered_by else rows
 
 
+def mark_columns(created: str = "created_at") -> list[Column]:
+    """``extract_count`` and the newest non-null ``created`` as ``new_mark``, to aggregate or to observe."""
+    return [F.count(F.lit(1)).alias("extract_count"), F.max(created).cast("timestamp_ntz").alias("new_mark")]
+
+
 def high_water_mark(extract: DataFrame, created: str = "created_at") -> DataFrame:
-    """One row: ``extract_count`` and the newest non-null ``created`` as ``new_mark``."""
-    return extract.agg(
-        F.count("*").alias("extract_count"),
-        F.max(created).cast("timestamp_ntz").alias("new_mark"),
-    )
+    """One row with ``mark_columns``."""
+    return extract.agg(*mark_columns(created))
 
 
 def next_mark(count: int, newest: dt.datetime | None, now: dt.datetime | None = None) -> str | None:

@@ -6,17 +6,17 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import utc_now
 from ..operators.events import map_order_event
-from ..operators.extract import high_water_mark, incremental_extract, next_mark
+from ..operators.extract import incremental_extract, mark_columns, next_mark
 from ..operators.rows import stamp_loaded_at
 from ..schemas import CORRUPT_COLUMN, CRM_EXTRACT, EVENT_TEXT_WITH_CORRUPT
 from ..sources.databases import crm_extract_columns
-from ..sources.lake import read_lake_prefix, read_lake_snapshot, snapshot_path, write_lake_snapshot
+from ..sources.lake import landed_events, read_lake_prefix, read_lake_snapshot, replace_lake_snapshot, snapshot_path
 from ..sources.state import ControlTable, get_watermark, path_exists, set_watermark
 from ..sources.tables import KeyedTable, ModelTables, create_raw_tables
 from ..streaming.landing import read_landed_stream
@@ -42,17 +42,16 @@ def extract_crm(spark: SparkSession, source: DataFrame, places: Places, control:
                 ds: str, now: dt.datetime) -> dict:
     """Snapshot the customers created since the mark.
 
-    Count and new mark come from the written snapshot, so the source is queried
-    once more only to see whether there is anything. Without new rows an earlier
+    Count and new mark are observed while the snapshot is written: the source is queried
+    once, and the snapshot is not read again. Without new rows an earlier
     snapshot of the day stays. The mark is returned, not stored yet.
     """
     extract = incremental_extract(crm_extract_columns(source), get_watermark(control), now)
-    if extract.isEmpty():
+    seen = Observation()
+    observed = extract.observe(seen, *mark_columns())
+    if not replace_lake_snapshot(observed, places.lake, "crm", ds, lambda: seen.get["extract_count"] > 0):
         return {"count": 0, "mark": None}
-    write_lake_snapshot(extract, places.lake, "crm", ds)
-    snapshot = read_lake_snapshot(spark, places.lake, "crm", ds, CRM_EXTRACT)
-    row = high_water_mark(snapshot).first()
-    return {"count": row["extract_count"], "mark": next_mark(row["extract_count"], row["new_mark"], now)}
+    return {"count": seen.get["extract_count"], "mark": next_mark(seen.get["extract_count"], seen.get["new_mark"], now)}
 
 
 def load_crm(spark: SparkSession, table: KeyedTable, places: Places, ds: str,
@@ -77,12 +76,20 @@ def load_crm(spark: SparkSession, table: KeyedTable, places: Places, ds: str,
 
 def load_orders(spark: SparkSession, table: KeyedTable, places: Places, now: dt.datetime,
                 order_date_from: str = "timestamp") -> None:
-    """Load the order events landed since the last load."""
-    if not path_exists(spark, f"{places.lake}/raw/landed"):
+    """Load the order events landed since the last load.
+
+    The first load takes the days that have been merged by then; the stream sees new files only.
+    """
+    checkpoint = f"{places.state}/checkpoints/orders"
+    landed = landed_events(spark, places.lake)
+    if not path_exists(spark, checkpoint):
+        merged = landed.read_merged(EVENT_TEXT_WITH_CORRUPT, "json", route="order").drop("route", "landed_on")
+        if not merged.isEmpty():
+            table.load(map_order_event(merged, now, order_date_from), "merged-days")
+    if not path_exists(spark, f"{landed.batches_path}/route=order"):
         return
     stream_upsert_orders(
-        read_landed_stream(spark, places.lake, "order"), table,
-        checkpoint=f"{places.state}/checkpoints/orders", once=True,
+        read_landed_stream(spark, places.lake, "order"), table, checkpoint=checkpoint, once=True,
         order_date_from=order_date_from, loaded_at=lambda: now,
     ).awaitTermination()
 
@@ -107,7 +114,8 @@ def run_batch(spark: SparkSession, crm_source: DataFrame, places: Places, ds: st
     The mark moves only after the raw tables are loaded. ``compact`` folds the
     loads of the raw tables before the models read them: they are merged once, and
     the models and tests, about ten readers, take the rows as they are. Without it
-    each of them merges anew.
+    each of them merges anew. Folded raw tables are registered in the catalog, and the
+    views over them are stored there.
     """
     now = now or utc_now()
     control = ControlTable(spark, f"{places.state}/control")
@@ -123,6 +131,9 @@ def run_batch(spark: SparkSession, crm_source: DataFrame, places: Places, ds: st
     sources = {
         name: tables.materialize_view(table.read(), name.replace(".", "_")) for name, table in raw.items()
     }
-    run = ModelRun(spark, sources, tables, as_of or now.date())
+    stored = {}
+    if compact:
+        stored = {name: tables.register("raw", name.split(".")[1], table.folded_rows(), table.schema) for name, table in raw.items()}
+    run = ModelRun(spark, sources, tables, as_of or now.date(), stored=stored)
     result = run_layers(run, with_tests=with_tests)
     return {**result, "extracted": extracted["count"], "watermark": get_watermark(control)}

@@ -12,6 +12,7 @@ from ..functions import utc_now
 from ..operators.quality import DECLARED_TESTS, dq_report, store_failures
 from ..sources.tables import ModelTables
 from . import intermediate, marts, staging, warehouse
+from .views import VIEWS
 
 VIEW, TABLE = "view", "table"
 
@@ -25,6 +26,8 @@ class ModelRun:
     tables: ModelTables
     as_of: dt.date
     strict_mask: bool = False
+    #: The catalog's names of the raw tables, if they are stored; then the views are stored, too.
+    stored: dict[str, str] = field(default_factory=dict)
     built: dict[str, DataFrame] = field(default_factory=dict)
 
     def source(self, name: str) -> DataFrame:
@@ -45,10 +48,16 @@ class ModelRun:
         rows = model.rows(self)
         if model.kind == VIEW:
             self.built[name] = self.tables.materialize_view(rows, name)
+            if self.stored:
+                self.tables.store_view(model.layer, name, VIEWS[name](self.stored_name, self.as_of))
         else:
             self.built[name] = self.tables.materialize_table(rows, model.layer, name)
         return self.built[name]
 
+    def stored_name(self, name: str) -> str:
+        """The catalog's name of a raw table or model."""
+        return self.stored[name] if name in self.stored else self.tables.table_name(MODELS[name].layer, name)
+
     def datasets(self) -> dict[str, DataFrame]:
         """Everything the declared tests look at."""
         names = {t.dataset for t in DECLARED_TESTS}

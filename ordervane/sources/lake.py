@@ -4,23 +4,24 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
+from collections.abc import Callable
 from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import utc_now
 from ..functions.dates import ISO_PATTERN
 from ..operators.events import DEAD_LETTER_ROUTE, recent_events, recent_total
-from .state import is_missing_path
+from .batch_folders import BatchFolders
+from .listing import SCHEMA, LakeListing, can_list
+from .state import delete_folder, is_missing_path, replace_folder
 
-# Landed events lie in a folder per route and, in it, per day.
-LANDED_FOLDERS = StructType([
-    StructField("route", StringType(), True),
-    StructField("landed_on", DateType(), True),
-])
+# A landed event is a line of JSON text.
+LANDED_TEXT = StructType([StructField("value", StringType(), True)])
 
 # Spans of days looked through for the newest events.
 RECENT_DAYS = (1, 7, 31)
@@ -38,9 +39,9 @@ def snapshot_path(lake: str, kind: str, ds: str) -> str:
     return f"{lake.rstrip('/')}/raw/{kind}/ds={ds}"
 
 
-def landed_path(lake: str) -> str:
-    """Root of the landed events, with a folder per route and day."""
-    return f"{lake.rstrip('/')}/raw/landed"
+def landed_events(spark: SparkSession, lake: str) -> BatchFolders:
+    """The table of landed events, with folders per route, day and batch."""
+    return BatchFolders(spark, f"{lake.rstrip('/')}/raw/landed", LANDED_TEXT, ["route"], "text")
 
 
 def write_lake_snapshot(df: DataFrame, lake: str, kind: str, ds: str) -> str:
@@ -50,6 +51,17 @@ def write_lake_snapshot(df: DataFrame, lake: str, kind: str, ds: str) -> str:
     return path
 
 
+def replace_lake_snapshot(df: DataFrame, lake: str, kind: str, ds: str, wanted: Callable[[], bool]) -> bool:
+    """Write a snapshot aside, and put it in the place of the day's if ``wanted`` says so once it is written."""
+    spark, aside = df.sparkSession, f"{lake.rstrip('/')}/_writing/{uuid.uuid4().hex}"
+    written = write_lake_snapshot(df, aside, kind, ds)
+    keep = wanted()
+    if keep:
+        replace_folder(spark, written, snapshot_path(lake, kind, ds))
+    delete_folder(spark, aside)
+    return keep
+
+
 def _read_json(spark: SparkSession, path: str, schema: StructType, documents: bool,
                recursive: bool = False) -> DataFrame:
     reader = spark.read.schema(schema)
@@ -81,18 +93,20 @@ def read_lake_object(spark: SparkSession, path: str, schema: StructType,
 
 def read_landed(spark: SparkSession, lake: str, schema: StructType, route: str | None = None,
                 since: dt.date | None = None, with_dead_letters: bool = False) -> DataFrame:
-    """Committed landed events with ``route`` and ``landed_on``; unreadable messages only if asked for.
+    """Landed events with ``route`` and ``landed_on``; unreadable messages only if asked for.
 
-    ``route`` and ``since`` limit the folders that are read.
+    ``route`` and ``since`` limit the folders that are read, ``route`` also those that are listed.
     """
-    rows = spark.read.schema(StructType(schema.fields + LANDED_FOLDERS.fields)).json(landed_path(lake))
+    events = landed_events(spark, lake)
     if route:
-        rows = rows.filter(F.col("route") == route)
-    elif not with_dead_letters:
-        rows = rows.filter(F.col("route") != DEAD_LETTER_ROUTE)
-    if since:
-        rows = rows.filter(F.col("landed_on") >= F.lit(since))
-    return rows
+        return events.read(schema, "json", since, route=route)
+    rows = events.read(schema, "json", since)
+    return rows if with_dead_letters else rows.filter(F.col("route") != DEAD_LETTER_ROUTE)
+
+
+def merge_landed_days(spark: SparkSession, lake: str, before: dt.date) -> int:
+    """Merge the landed files of all days before this one; see ``BatchFolders``."""
+    return landed_events(spark, lake).merge_days(before)
 
 
 def recent_landed(spark: SparkSession, lake: str, schema: StructType, limit: int = 10,
@@ -115,22 +129,32 @@ def list_lake_objects(spark: SparkSession, lake: str, prefix: str = "raw/",
                       max_items: int | None = 50) -> DataFrame:
     """Name, size and change time of the files below ``prefix``, first names first.
 
-    The contents are not read. No prefix there gives no rows.
+    Executors list the folders, and with ``max_items`` each task keeps its first names only. The
+    contents are not read. No prefix there gives no rows. Where only Spark reaches the store, its own
+    listing on the driver stands in.
     """
     root = lake.rstrip("/")
+    if can_list(root):
+        spark.dataSource.register(LakeListing)
+        objects = spark.read.format(LakeListing.name()).options(root=root, prefix=prefix).load()
+    else:
+        objects = _driver_listing(spark, root, prefix)
+    return objects.orderBy("name").limit(max_items) if max_items is not None else objects
+
+
+def _driver_listing(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
         files = reader.load(f"{root}/{prefix}")
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
-        return spark.createDataFrame([], "name string, size bigint, last_modified timestamp")
-    objects = files.select(
+        return spark.createDataFrame([], SCHEMA)
+    return files.select(
         F.regexp_replace("path", _leading(root), "").alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
     )
-    return objects.orderBy("name").limit(max_items) if max_items is not None else objects
 
 
 def _leading(root: str) -> str:

@@ -35,10 +35,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and host of its file system."""
+    files, place = _file_system(spark, path)
+    return files.makeQualified(place).toString().rstrip("/")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the lake, if it is there, by the file system it lies in."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; both lie in one file system."""
+    files, place = _file_system(spark, path)
+    files.mkdirs(place.getParent())
+    files.delete(place, True)
+    if not files.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new), place):
+        raise OSError(f"{new} could not be moved to {path}")
+
+
+def names_below(spark: SparkSession, folder: str, pattern: str = "*", depth: int = 1) -> list[str]:
+    """The last ``depth`` parts of the paths below ``folder`` that match ``pattern``, which has as many parts.
+
+    Only folders of few entries are to be looked at this way: the names come to the driver.
+    """
+    files, place = _file_system(spark, f"{folder}/{pattern}")
+    found = files.globStatus(place) or []
+    return sorted("/".join(str(f.getPath()).split("/")[-depth:]) for f in found)
 
 
 class ControlTable:
@@ -72,6 +102,16 @@ class ControlTable:
         row.write.mode("append").parquet(self._folder(key))
 
 
+    def replace(self, key: str, value: str, keep: int = 5) -> None:
+        """As ``set``, for values that change all the time: of the older ones only the last few files stay."""
+        self.set(key, value)
+        folder = self._folder(key)
+        files, place = _file_system(self.spark, folder)
+        found = sorted((f for f in files.listStatus(place) if f.getPath().getName().startswith("part-")), key=lambda f: f.getModificationTime())
+        for old in found[:-keep]:
+            files.delete(old.getPath(), False)
+
+
 def get_watermark(control: ControlTable, source: str = CRM_MARK) -> str | None:
     """The stored mark as ISO text; None when there is none yet."""
     return control.get(source)

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
+import zlib
+from urllib.parse import quote, unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from ..operators.merge import latest_per_key, upsert
 from ..schemas import RAW_CRM_CUSTOMERS, RAW_ERP_ORDERS
-from .state import ControlTable, delete_folder, is_missing_path, path_exists
+from .state import ControlTable, delete_folder, names_below, path_exists, qualified
 
 # Columns a load keeps next to the table's own.
 LOAD_FIELDS = [
@@ -23,6 +22,8 @@ LOAD_FIELDS = [
     StructField("rejected", BooleanType(), True),
 ]
 
+LISTED = StructType([StructField("load_id", StringType(), True), StructField("generation", IntegerType(), True)])
+
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(0, 0, 1, 1).select(
@@ -35,14 +36,17 @@ class KeyedTable:
 
     Every load is appended as a folder of its own, in one pass and without a
     shuffle; a repeated load replaces its own folder. Rows that do not fit lie
-    beside the others in that folder. Reading takes the row loaded last for each
-    key.
-
-    ``compact`` folds the loads it finds into one table and lists them with it; then
-    the pointer moves. What is not listed counts as not folded, so loads that end
-    while it runs are not lost. A generation stays until the next but one is there, for
-    those still reading it. Where the catalog has transactional tables, use
-    ``merge_into``.
+    beside the others in that folder. A load counts from when its ``_SUCCESS`` file is
+    there, which Spark writes after it has moved the last of the load's files; a load that is
+    being written, or moved, is neither read nor folded. Reading takes the row loaded last for
+    each key.
+
+    ``compact`` folds the loads it finds into one table, lists their names beside it and
+    keeps their rejected rows apart; then the pointer moves. What is not listed counts as not
+    folded, so loads that end while it runs are not lost. A generation stays until the next but
+    one is there, for those still reading it, and so do the loads it needs: loads listed two
+    generations ago are deleted. Names stay listed, so a folded load can't come back when it is
+    repeated. Where the catalog has transactional tables, use ``merge_into``.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str, schema: StructType,
@@ -62,6 +66,21 @@ class KeyedTable:
     def _loads_path(self) -> str:
         return f"{self.path}/loads"
 
+    def _load_path(self, load_id: str) -> str:
+        return f"{self._loads_path}/load_id={quote(load_id, safe=' ')}"
+
+    @property
+    def _names_path(self) -> str:
+        return f"{self.path}/names"
+
+    @property
+    def _rejected_path(self) -> str:
+        return f"{self.path}/rejected"
+
+    @property
+    def _rejected_columns(self) -> list[str]:
+        return [*self.schema.names, "load_error", "rejected_row", "load_id"]
+
     def create(self) -> None:
         """Create the table empty unless it is there."""
         if not path_exists(self.spark, self._loads_path):
@@ -87,49 +106,55 @@ class KeyedTable:
                 error.isNotNull().alias("rejected"),
             )
             .write.mode("overwrite").partitionBy("rejected")
-            .parquet(f"{self._loads_path}/load_id={load_id}")
+            .parquet(self._load_path(load_id))
         )
 
-    def _all_loads(self) -> DataFrame:
+    def _finished(self) -> list[str]:
+        """The names of all loads that are whole and not deleted yet."""
+        found = names_below(self.spark, self._loads_path, "load_id=*/_SUCCESS", depth=2)
+        return [unquote(name.split("/")[0].removeprefix("load_id=")) for name in found]
+
+    def _rows_of(self, names: list[str]) -> DataFrame:
         schema = StructType(self.schema.fields + LOAD_FIELDS)
-        try:
-            return self.spark.read.schema(schema).parquet(self._loads_path)
-        except AnalysisException as error:
-            if not is_missing_path(error):
-                raise
+        if not names:
             return empty_frame(self.spark, schema)
-
-    def _folded_loads(self, generation: int) -> set[str]:
-        """The loads that are in the folded rows."""
-        if not generation:
-            return set()
-        listed = self.spark.read.schema("load_id string").parquet(f"{self._folded_path(generation)}/loads")
-        return {r["load_id"] for r in listed.collect()}
-
-    def _pending(self, generation: int) -> tuple[DataFrame, set[str]]:
-        """The rows of all loads that are not folded yet, and those loads' names.
-
-        Only their folders are read. The names come from the listing of files, which a
-        read makes anyway.
-        """
-        loads = self._all_loads()
-        there = {unquote(m[1]) for f in loads.inputFiles() if (m := re.search(r"/load_id=([^/]*)/", f))}
-        names = there - self._folded_loads(generation)
-        return loads.filter(F.col("load_id").isin(sorted(names))), names
+        paths = [self._load_path(name) for name in names]
+        return self.spark.read.schema(schema).option("basePath", self._loads_path).parquet(*paths)
+
+    def _listed(self, up_to: int) -> DataFrame:
+        """The names of loads folded in generations up to this one."""
+        if up_to < 1:
+            return empty_frame(self.spark, LISTED)
+        return self.spark.read.schema(LISTED).parquet(self._names_path).filter(F.col("generation") <= up_to)
+
+    def _pending(self, generation: int) -> list[str]:
+        """The whole loads that are not folded yet. Only names on both sides meet, those still on disk."""
+        finished = self._finished()
+        if not generation or not finished:
+            return finished
+        there = self.spark.createDataFrame([(name,) for name in finished], "load_id string")
+        return sorted(r["load_id"] for r in there.join(self._listed(generation), "load_id", "left_anti").collect())
 
     def loads(self) -> DataFrame:
         """All rows loaded since the last ``compact``, rejected ones too."""
-        return self._pending(self._generation())[0]
+        return self._rows_of(self._pending(self._generation()))
 
     def rejected(self) -> DataFrame:
         """The rejected rows of all loads ever."""
-        return self._all_loads().filter("rejected").select(*self.schema.names, "load_error", "rejected_row", "load_id")
+        generation = self._generation()
+        rows = self._rows_of(self._pending(generation)).filter("rejected").select(*self._rejected_columns)
+        if not generation:
+            return rows
+        schema = StructType([f for f in self.schema.fields + LOAD_FIELDS if f.name in self._rejected_columns]
+                            + [StructField("generation", IntegerType(), True)])
+        kept = self.spark.read.schema(schema).parquet(self._rejected_path).filter(F.col("generation") <= generation)
+        return rows.unionByName(kept.select(*self._rejected_columns))
 
     def read(self) -> DataFrame:
         """The current rows: folded ones, with later loads merged over them."""
         generation = self._generation()
-        loads, names = self._pending(generation)
-        return self._merged(generation, loads) if names else self._folded(generation)
+        names = self._pending(generation)
+        return self._merged(generation, self._rows_of(names)) if names else self._folded(generation)
 
     def _folded(self, generation: int) -> DataFrame:
         if not generation:
@@ -144,6 +169,11 @@ class KeyedTable:
             return latest_per_key(later, self.keys, ranking).select(*columns)
         return upsert(self._folded(generation), later, self.keys, ranking)
 
+    def folded_rows(self) -> str | None:
+        """Where the rows folded last lie; None before the first ``compact``."""
+        generation = self._generation()
+        return f"{self._folded_path(generation)}/rows" if generation else None
+
     def _folded_path(self, generation: int) -> str:
         return f"{self.path}/folded/generation={generation}"
 
@@ -154,16 +184,27 @@ class KeyedTable:
         their size. Folds of one table must not run side by side.
         """
         generation = self._generation()
-        loads, names = self._pending(generation)
+        names = self._pending(generation)
         if not names:
             return
-        following = self._folded_path(generation + 1)
-        self._merged(generation, loads).write.mode("overwrite").parquet(f"{following}/rows")
-        listed = [(name,) for name in sorted(names | self._folded_loads(generation))]
-        self.spark.createDataFrame(listed, "load_id string").coalesce(1).write.mode("overwrite").parquet(f"{following}/loads")
-        self.control.set(f"{self.name}.generation", str(generation + 1))
-        if generation > 1:
-            delete_folder(self.spark, self._folded_path(generation - 1))
+        following = generation + 1
+        loads = self._rows_of(names)
+        self._merged(generation, loads).write.mode("overwrite").parquet(f"{self._folded_path(following)}/rows")
+        rejected = loads.filter("rejected").select(*self._rejected_columns)
+        rejected.write.mode("overwrite").parquet(f"{self._rejected_path}/generation={following}")
+        listed = self.spark.createDataFrame([(name,) for name in names], "load_id string")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self._names_path}/generation={following}")
+        self.control.set(f"{self.name}.generation", str(following))
+        self._delete_older(following)
+
+    def _delete_older(self, generation: int) -> None:
+        """Delete the generation before the previous one, and the loads that were folded by then."""
+        if generation < 3:
+            return
+        delete_folder(self.spark, self._folded_path(generation - 2))
+        there = self.spark.createDataFrame([(name,) for name in self._finished()], "load_id string")
+        for row in there.join(self._listed(generation - 2), "load_id", "left_semi").collect():
+            delete_folder(self.spark, self._load_path(row["load_id"]))
 
 
 def crm_customers_table(spark: SparkSession, root: str, control: ControlTable) -> KeyedTable:
@@ -184,11 +225,13 @@ def create_raw_tables(spark: SparkSession, root: str, control: ControlTable) ->
 
 
 class ModelTables:
-    """Model outputs: views as temporary views, tables as refreshed Parquet tables.
+    """Model outputs: views, and tables as refreshed Parquet tables.
 
     A table has two folders. A refresh writes the one not in use and then moves
     the pointer, so readers keep the previous result until the new one is whole.
-    The table is also registered in the catalog, under its layer's database.
+    The table is also registered in the catalog, in its layer's database, where a refresh only changes
+    its location: it is there at any time. The database of a layer belongs to the root that made
+    it; other roots get one with their own mark in its name (``database``).
     """
 
     def __init__(self, spark: SparkSession, root: str, control: ControlTable):
@@ -199,17 +242,37 @@ class ModelTables:
     def _path(self, layer: str, name: str, slot: str) -> str:
         return f"{self.root}/{layer}/{name}/slot={slot}"
 
+    def database(self, layer: str) -> str:
+        """The catalog's database of a layer of this root; it is made if it is not there."""
+        place = qualified(self.spark, f"{self.root}/{layer}")
+        own = f"{layer}_{zlib.crc32(place.encode()):08x}"
+        for name in (layer, own):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{place}'")
+            if qualified(self.spark, self.spark.catalog.getDatabase(name).locationUri) == place:
+                return name
+        raise ValueError(f"the databases {layer} and {own} belong to other places than {place}")
+
+    def table_name(self, layer: str, name: str) -> str:
+        return f"`{self.database(layer)}`.`{name}`"
+
     def materialize_view(self, df: DataFrame, name: str) -> DataFrame:
+        """A view of this session."""
         df.createOrReplaceTempView(name)
         return df
 
+    def store_view(self, layer: str, name: str, sql: str) -> str:
+        """A view in the layer's database, for all sessions that share the catalog; gives its name."""
+        stored = self.table_name(layer, name)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {stored} AS {sql}")
+        return stored
+
     def materialize_table(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         key = f"{layer}.{name}.slot"
         slot = "b" if self.control.get(key) == "a" else "a"
         path = self._path(layer, name, slot)
         df.write.mode("overwrite").parquet(path)
         self.control.set(key, slot)
-        self._register(layer, name, path, df.schema)
+        self.register(layer, name, path, df.schema)
         return self.read_table(layer, name, df.schema)
 
     def read_table(self, layer: str, name: str, schema: StructType | None = None) -> DataFrame:
@@ -219,7 +282,15 @@ class ModelTables:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self._path(layer, name, slot))
 
-    def _register(self, layer: str, name: str, path: str, schema: StructType) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/{layer}'")
-        self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{name}`")
-        self.spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=schema)
+    def register(self, layer: str, name: str, path: str, schema: StructType) -> str:
+        """Let the catalog's table show the files at ``path``; gives its name. Only a new schema makes a new entry."""
+        stored = self.table_name(layer, name)
+        if self.spark.catalog.tableExists(stored):
+            columns = [(f.name, f.dataType) for f in self.spark.table(stored).schema]
+            if columns == [(f.name, f.dataType) for f in schema]:
+                self.spark.sql(f"ALTER TABLE {stored} SET LOCATION '{qualified(self.spark, path)}'")
+                self.spark.catalog.refreshTable(stored)
+                return stored
+            self.spark.sql(f"DROP TABLE {stored}")
+        self.spark.catalog.createTable(stored, path=path, source="parquet", schema=schema)
+        return stored

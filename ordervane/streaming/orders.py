@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import utc_now
 from ..operators.events import map_order_event
+from ..sources.batch_folders import query_of
 from ..sources.tables import KeyedTable
 
 
@@ -25,10 +26,7 @@ def stream_upsert_orders(orders: DataFrame, table: KeyedTable, checkpoint: str,
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if query_id is None:
-            raise RuntimeError("the stream's query id is needed to name its loads")
-        table.load(map_order_event(batch, loaded_at(), order_date_from), f"{query_id}-{batch_id:012d}")
+        table.load(map_order_event(batch, loaded_at(), order_date_from), f"{query_of(batch)}-{batch_id:012d}")
 
     writer = orders.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if name:

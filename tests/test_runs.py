@@ -28,7 +28,7 @@ def test_all_layers_then_tests(spark, tmp_path):
     assert list(result["stages"]) == ["staging", "intermediate", "warehouse", "marts", "tests"]
     assert board(run) == GOLDEN_BOARD
     assert spark.table("stg_erp_orders").count() == 9
-    assert spark.table("warehouse.dim_customer").count() == 5
+    assert spark.table(run.tables.table_name("warehouse", "dim_customer")).count() == 5
     # the golden rows break four of the declared tests
     assert result["status"] == "completed_with_errors"
     assert len(result["stages"]["tests"]["failed"]) == 4
@@ -36,6 +36,22 @@ def test_all_layers_then_tests(spark, tmp_path):
     assert [r.customer_id for r in kept.collect()] == [5]
 
 
+def test_stored_views_equal_the_models(spark, tmp_path):
+    run = model_run(spark, tmp_path)
+    names = {}
+    for source, rows in run.sources.items():
+        layer, name = source.split(".")
+        rows.write.parquet(str(tmp_path / "raw" / name))
+        names[source] = run.tables.register(layer, name, str(tmp_path / "raw" / name), rows.schema)
+    stored = layers.ModelRun(spark, run.sources, run.tables, golden.AS_OF, stored=names)
+    assert layers.run_layers(stored, with_tests=False)["status"] == "completed"
+    other = spark.newSession()
+    for name in layers.VIEWS:
+        view = other.table(stored.stored_name(name))
+        assert view.schema == layers.MODELS[name].rows(run).schema or view.dtypes == layers.MODELS[name].rows(run).dtypes
+        assert sorted(map(repr, view.collect())) == sorted(map(repr, layers.MODELS[name].rows(run).collect()))
+
+
 def test_clean_rows_complete(spark, tmp_path):
     orders = golden.orders(spark).filter("order_id in ('o1', 'o2', 'o3', 'o4')")
     customers = golden.customers(spark).filter("email is not null")
@@ -111,6 +127,28 @@ def test_batches_build_on_each_other(spark, tmp_path):
     assert values(spark, places) == ["3", "360.00", "120.00", "100.00%", "3"]
 
 
+def test_the_source_is_read_once_and_an_empty_extract_leaves_the_snapshot(spark, tmp_path):
+    from ordervane.sources import lake
+    from pyspark.sql import functions as F
+
+    places = batch.Places.below(str(tmp_path / "root"))
+    control = ControlTable(spark, f"{places.state}/control")
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    customers = source(spark, (1, "ada", dt.datetime(2024, 2, 20)), (2, "bob", dt.datetime(2024, 2, 28, 12)))
+    found = batch.extract_crm(spark, customers.withColumn("phone", counted("email")), places, control, "2024-03-01", NOW)
+    assert found == {"count": 2, "mark": "2024-02-28T12:00:00"} and reads.value == 2
+    again = batch.extract_crm(spark, customers.limit(0), places, control, "2024-03-01", NOW)
+    assert again == {"count": 0, "mark": None}
+    assert lake.read_lake_snapshot(spark, places.lake, "crm", "2024-03-01", batch.CRM_EXTRACT).count() == 2
+    assert not list((tmp_path / "root/lake/_writing").iterdir())
+
+
 def test_run_without_anything_new_keeps_the_mark(spark, tmp_path):
     places = batch.Places.below(str(tmp_path / "root"))
     result = batch.run_batch(spark, source(spark).limit(0), places, "2024-03-01", NOW, NOW.date())

@@ -48,14 +48,15 @@ def test_landing_routes_everything_once(spark, tmp_path):
     send(sent, "b.txt", [event(100, "crm_data")])
     land(spark, tmp_path)
     assert counts(spark, tmp_path) == {**expected, "crm": 11}
-    assert [r.value for r in landing.read_dead_letters(spark, str(tmp_path / "lake")).collect()] == ["broken {"]
+    letters = landing.read_dead_letters(spark, str(tmp_path / "lake")).collect()
+    assert [(r.value, r.reason, r.topic, r.offset, r.replays) for r in letters] == [("broken {", "not a JSON object", None, None, 0)]
 
 
 def test_landed_text_is_the_sent_text(spark, tmp_path):
     text = event(1, extra={"deep": [1, 2.50, "ü"]})
     send(tmp_path / "sent", "a.txt", [text])
     land(spark, tmp_path)
-    stored = next((tmp_path / "lake/raw/landed/route=order").glob("*/part-*")).read_text(encoding="utf-8")
+    stored = next((tmp_path / "lake/raw/landed/batches/route=order").glob("*/*/*/part-*")).read_text(encoding="utf-8")
     assert stored == text + "\n"
 
 
@@ -65,12 +66,12 @@ def test_only_the_route_read_is_scanned(spark, tmp_path):
     rows = lake.read_landed(spark, str(tmp_path / "lake"), EVENT_TEXT, route="crm")
     assert [r.event_id for r in rows.collect()] == ["e2"]
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(route" in plan
+    assert "batches/route=crm]" in plan  # the other routes are not listed either
 
 
 def test_recent_landed_reads_the_newest_days_first(spark, tmp_path):
     def write(day, numbers):
-        folder = tmp_path / f"lake/raw/landed/route=order/landed_on={day}"
+        folder = tmp_path / f"lake/raw/landed/batches/route=order/landed_on={day}/query=q/batch=0"
         folder.mkdir(parents=True)
         (folder / "part-0.txt").write_text("\n".join(event(i) for i in numbers) + "\n")
 
@@ -93,13 +94,119 @@ def test_recent_landed_reads_the_newest_days_first(spark, tmp_path):
 def test_recent_landed_leaves_out_dead_letters(spark, tmp_path):
     for route, day, lines in (("dead_letter", "2024-03-01", ["broken {"] * 4), ("order", "2024-03-01", [event(9)]),
                               ("order", "2024-02-27", [event(i) for i in range(5)])):
-        folder = tmp_path / f"lake/raw/landed/route={route}/landed_on={day}"
+        folder = tmp_path / f"lake/raw/landed/batches/route={route}/landed_on={day}/query=q/batch=0"
         folder.mkdir(parents=True)
         (folder / "part-0.txt").write_text("\n".join(lines) + "\n")
     rows = lake.recent_landed(spark, str(tmp_path / "lake"), EVENT_TEXT, limit=0, capacity=5, today=dt.date(2024, 3, 1))
     assert [r.event_id for r in rows.collect()] == ["e1", "e2", "e3", "e4", "e9"]
 
 
+def test_a_retried_batch_replaces_its_folders(spark, tmp_path):
+    from ordervane.sources.batch_folders import DAY
+    from pyspark.sql import functions as F
+
+    events = lake.landed_events(spark, str(tmp_path / "lake"))
+
+    def write(numbers, batch, query="q", route="order"):
+        rows = spark.createDataFrame([(event(i), route) for i in numbers], "value string, route string")
+        events.write(rows.withColumn(DAY.name, F.lit("2024-03-01").cast("date")), query, batch)
+
+    write(range(5), 0)
+    write(range(5, 8), 1)
+    write(range(5, 9), 1)
+    write(range(20, 22), 1, "other")
+    write([30], 1, route="crm")
+    assert counts(spark, tmp_path) == {"order": 11, "crm": 1}
+    assert not (tmp_path / "lake/raw/landed/batches/_spark_metadata").exists()
+
+
+def test_closed_days_are_merged_and_nothing_is_lost_or_doubled(spark, tmp_path):
+    from ordervane.sources.batch_folders import DAY
+    from pyspark.sql import functions as F
+
+    place = str(tmp_path / "lake")
+    events = lake.landed_events(spark, place)
+
+    def write(day, numbers, batch, route="order"):
+        rows = spark.createDataFrame([(event(i), route) for i in numbers], "value string, route string").repartition(2)
+        events.write(rows.withColumn(DAY.name, F.lit(day).cast("date")), "q", batch)
+
+    def seen(**options):
+        return sorted(int(r.event_id[1:]) for r in lake.read_landed(spark, place, EVENT_TEXT, **options).collect())
+
+    def files(part):
+        return len(list((tmp_path / "lake/raw/landed" / part).glob("**/part-*")))
+
+    for batch in range(6):
+        write("2024-03-01", range(10 * batch, 10 * batch + 5), batch)
+        write("2024-03-01", [100 + batch], batch, "crm")
+    write("2024-03-02", range(60, 63), 6)
+    before = seen()
+    assert files("batches") > 12
+    assert lake.merge_landed_days(spark, place, dt.date(2024, 3, 2)) == 2
+    assert seen() == before and files("batches") == 2 and files("merged") <= 8
+    assert seen(route="crm") == [100 + i for i in range(6)]
+    assert seen(since=dt.date(2024, 3, 2)) == [60, 61, 62]
+    assert seen(route="order", since=dt.date(2024, 3, 1)) == [i for i in before if i < 100]
+    # the last batch may be repeated, on an old day too, and is not merged before another one is there
+    assert lake.merge_landed_days(spark, place, dt.date(2024, 3, 9)) == 0
+    write("2024-03-02", range(60, 64), 6)
+    assert seen() == [*[i for i in before if i < 63], 63, *[100 + i for i in range(6)]]
+    write("2024-03-05", [70], 7)
+    assert lake.merge_landed_days(spark, place, dt.date(2024, 3, 9)) == 1
+    assert seen() == sorted([*before, 63, 70])
+    assert files("batches") == 1
+
+
+def test_a_merge_that_stopped_half_way_changes_nothing(spark, tmp_path, monkeypatch):
+    from ordervane.sources.batch_folders import DAY, BatchFolders
+    from ordervane.sources.state import ControlTable
+    from pyspark.sql import functions as F
+
+    place = str(tmp_path / "lake")
+    events = lake.landed_events(spark, place)
+    for batch in range(3):
+        rows = spark.createDataFrame([(event(batch), "order")], "value string, route string")
+        events.write(rows.withColumn(DAY.name, F.lit("2024-03-01").cast("date")), "q", batch)
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    for owner, step in ((ControlTable, "set"), (BatchFolders, "_delete_merged")):
+        with monkeypatch.context() as patch:
+            patch.setattr(owner, step, stop)
+            try:
+                lake.merge_landed_days(spark, place, dt.date(2024, 3, 9))
+            except RuntimeError:
+                pass
+        assert counts(spark, tmp_path) == {"order": 3}
+    lake.merge_landed_days(spark, place, dt.date(2024, 3, 9))
+    assert counts(spark, tmp_path) == {"order": 3}
+
+
+def test_dead_letters_keep_their_origin_and_are_replayed_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    place = str(tmp_path / "lake")
+    rows = [("{\"event_id\": \"a\"", "t", 1, 7), (None, "t", 2, 8), ("two\nlines", "t", 0, 9), (event(3), "t", 0, 10)]
+    spark.createDataFrame(rows, "value string, topic string, partition int, offset bigint").write.parquet(str(tmp_path / "sent"))
+    stream = spark.readStream.schema("value string, topic string, partition int, offset bigint").parquet(str(tmp_path / "sent"))
+    landing.land_events(stream, place, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+
+    def letters():
+        found = landing.read_dead_letters(spark, place).collect()
+        return sorted((r.offset, r.topic, r.partition, r.value, r.reason, r.replays) for r in found)
+
+    first = [(7, "t", 1, rows[0][0], "not a JSON object", 0), (8, "t", 2, None, "no text", 0), (9, "t", 0, "two\nlines", "not a JSON object", 0)]
+    assert letters() == first
+    for _ in range(2):
+        landing.replay_dead_letters(spark, place, str(tmp_path / "replay"), lambda df: df.withColumn(
+            "value", F.when(F.col("value").startswith("{"), F.concat("value", F.lit("}"))).otherwise(F.col("value")))).awaitTermination()
+        assert counts(spark, tmp_path) == {"order": 1, "events": 1, "dead_letter": 5}
+        again = [(8, "t", 2, None, "no text", 1), (9, "t", 0, "two\nlines", "not a JSON object", 1)]
+        assert letters() == sorted(first + again, key=str)
+
+
 def load(spark, tmp_path, table):
     stream = landing.read_landed_stream(spark, str(tmp_path / "lake"), "order")
     orders.stream_upsert_orders(
@@ -175,6 +282,91 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
     assert seen == ["hot", "late", "x0", "x1", "x2", "y"]
 
 
+def write_once(spark, tmp_path, sent, places=64):
+    from ordervane.sources.batch_folders import DAY, BatchFolders
+    from pyspark.sql import functions as F
+
+    stream = read_file_stream(spark, str(sent), EVENT, max_files_per_trigger=1)
+    out = BatchFolders(spark, str(tmp_path / "kept"), stream.schema, [])
+    seen = dedup.SeenIds(spark, str(tmp_path / "seen"), places=places)
+
+    def write(rows, query, number):
+        out.write(rows.withColumn(DAY.name, F.lit("2024-03-01").cast("date")), query, number)
+
+    days = iter(dt.date(2024, 3, 1) + dt.timedelta(days=i) for i in range(99))
+    dedup.write_distinct(stream, seen, write, str(tmp_path / "checkpoint"), once=True, today=lambda: next(days)).awaitTermination()
+    return out, seen
+
+
+def test_ids_on_disk_keep_repeats_out_however_late(spark, tmp_path):
+    sent = tmp_path / "sent"
+
+    def lines(*numbers):
+        return [json.dumps({"event_id": f"x{i}", "at": "2024-03-01T10:00:00", "n": i}) for i in numbers]
+
+    def ids(out):
+        return sorted(int(r.event_id[1:]) for r in out.read().filter("event_id IS NOT NULL").collect())
+
+    for part in range(4):  # each file repeats half of the one before, and some lines twice
+        send(sent, f"a{part}.json", lines(*range(50 * part, 50 * part + 100), *range(50 * part, 50 * part + 10)))
+    out, seen = write_once(spark, tmp_path, sent)
+    assert ids(out) == list(range(250))
+    assert seen.ids.read().count() == 250
+    seen.merge_days(dt.date(2030, 1, 1))
+    assert seen.ids.read().count() == 250 and seen.words.read().count() <= 4 * 64
+    send(sent, "b.json", lines(0, 60, 120, 249, 300) + [json.dumps({"n": 1}), json.dumps({"n": 2})])
+    out, seen = write_once(spark, tmp_path, sent)
+    assert ids(out) == [*range(250), 300]
+    assert out.read().filter("event_id IS NULL").count() == 1  # a missing id is a key as well
+
+
+def test_a_batch_taken_again_does_not_count_its_own_ids(spark, tmp_path):
+    seen = dedup.SeenIds(spark, str(tmp_path / "seen"))
+    batch = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "event_id string, n int")
+    for _ in range(2):
+        fresh = seen.new_rows(batch, "q", 0)
+        assert sorted(r.event_id for r in fresh.collect()) == ["a", "b"]
+        seen.add(fresh, "q", 0, dt.date(2024, 3, 1))
+    assert seen.new_rows(batch, "q", 1).count() == 0
+    assert seen.new_rows(batch, "other", 0).count() == 0
+
+
+def test_a_new_reader_of_orders_gets_merged_days_too(spark, tmp_path):
+    from ordervane.plans import batch
+
+    places = batch.Places(str(tmp_path / "lake"), str(tmp_path / "warehouse"), str(tmp_path / "state"))
+    for name, numbers in (("a.txt", range(5)), ("b.txt", range(5, 8)), ("c.txt", range(8, 10))):
+        send(tmp_path / "sent", name, [event(i) for i in numbers])
+        land(spark, tmp_path)
+    assert lake.merge_landed_days(spark, places.lake, dt.date(2999, 1, 1)) == 1
+    table = erp_orders_table(spark, places.warehouse, ControlTable(spark, str(tmp_path / "control")))
+    for _ in range(2):
+        batch.load_orders(spark, table, places, LOADED)
+        assert table.read().count() == 10
+
+
+def test_progress_is_kept_after_the_stream_ended(spark, tmp_path):
+    import time
+
+    kept = ControlTable(spark, str(tmp_path / "control"))
+    listener = control.KeepProgress(kept)
+    spark.streams.addListener(listener)
+    try:
+        send(tmp_path / "sent", "a.txt", [event(i) for i in range(7)])
+        land(spark, tmp_path, name="kept-landing")
+        for _ in range(100):
+            if control.last_progress(kept, "kept-landing"):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    progress = control.last_progress(kept, "kept-landing")
+    assert (progress["batch_id"], progress["input_rows"], progress["run_rows"]) == (0, 7, 7)
+    assert progress["rows_per_second"] > 0 and "logOffset" in str(progress["offsets"][0]["end"])
+    now = control.status(spark, "kept-landing", kept)
+    assert (now["running"], now["batch_id"], now["input_rows"]) == (False, 0, 7) and now["offsets"] == progress["offsets"]
+
+
 def test_start_status_stop(spark, tmp_path):
     send(tmp_path / "sent", "a.txt", [event(1)])
 
