@@ -26,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
+DATASET_KEYS = {"raw.crm_customers": "customer_id", "raw.erp_orders": "order_id", "stg_crm_customers": "customer_id",
+                "stg_erp_orders": "order_id", "int_customer_metrics": "customer_id", "executive_dashboard": "metric_name"}
 
 
 def query(run: Query) -> Query:
@@ -288,11 +290,25 @@ def send_orders(spark, folder):
     messages, rejects = sending.send_orders(sample.faulty_messages(spark, folder), "2024-02-01 08:30:00.25")
     messages.write.text(f"{root}/messages")
     rejects.write.parquet(f"{root}/rejects")
-    sent = ev.parse_events(spark.read.text(f"{root}/messages")).select("event.*").select(
-        *EVENT_TEXT.names, F.lit(None).cast("string").alias("reject_reason"))
+    return _sent(spark.read.text(f"{root}/messages"), spark.read.schema("value string, reject_reason string").parquet(f"{root}/rejects"))
+
+
+def _sent(messages: DataFrame, rejects: DataFrame) -> DataFrame:
+    sent = ev.parse_events(messages).select("event.*").select(*EVENT_TEXT.names, F.lit(None).cast("string").alias("reject_reason"))
     nothing = [F.lit(None).cast("string").alias(name) for name in EVENT_TEXT.names]
-    return sent.unionByName(spark.read.schema("value string, reject_reason string").parquet(f"{root}/rejects")
-                            .select(*nothing, "reject_reason"))
+    return sent.unionByName(rejects.select(*nothing, "reject_reason"))
+
+
+@query
+def send_order_stream(spark, folder):
+    """Order requests taken from a stream and sent to files, with the rejected ones beside them."""
+    root = scratch_folder(spark, "sent")
+    sample.faulty_messages(spark, folder).select("value").write.parquet(f"{root}/requests")
+    requests = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).parquet(f"{root}/requests")
+    outbox = sending.FileOutbox(spark, root)
+    sending.send_order_stream(requests, outbox, outbox.rejects, f"{root}/checkpoint", "2024-02-01 08:30:00.25",
+                              once=True).awaitTermination()
+    return _sent(outbox.messages.read(), outbox.rejects.read())
 
 
 @query
@@ -301,9 +317,9 @@ def load_order_documents(spark, folder):
     root = scratch_folder(spark, "documents")
     messages = sample.order_events(sample.table(spark, folder, "events"))
     purchases = messages.filter(F.col("event_type") == ev.ORDER_EVENT)
-    # some hundred events to a document, as an array
+    # purchases of a hundred following event ids to a document, as an array
     array = F.concat(F.lit("["), F.concat_ws(",", F.collect_list(ev.event_json(purchases))), F.lit("]"))
-    documents = purchases.groupBy((F.col("event_id").cast("bigint") % 20).alias("file")).agg(array.alias("value"))
+    documents = purchases.groupBy(F.floor(F.col("event_id").cast("bigint") / 100).alias("file")).agg(array.alias("value"))
     documents.write.partitionBy("file").text(f"{root}/raw/order")
     table = erp_orders_table(spark, f"{root}/warehouse", ControlTable(spark, f"{root}/control"))
     batch.load_order_documents(spark, table, f"{root}/raw/order", dt.datetime(2024, 2, 1), "documents")
@@ -603,22 +619,41 @@ def run_layers(spark, folder):
     return tables.read_table("marts", "executive_dashboard")
 
 
+def _faulty_raw(spark, folder) -> dict[str, DataFrame]:
+    """The raw tables with repeated rows, and amounts that are missing or negative."""
+    customers, orders = sample.crm_customers(spark, folder), sample.erp_orders(spark, folder)
+    number = F.col("order_id").cast("bigint")
+
+    def spoilt(column: str, missing: int, negative: int):
+        kept = F.when(number % negative == 0, F.lit(-1)).otherwise(F.col(column))
+        return F.when(number % missing != 0, kept).cast(orders.schema[column].dataType)
+
+    faulty = orders.withColumns({"quantity": spoilt("quantity", 31, 37), "unit_price": spoilt("unit_price", 41, 43),
+                                 "total_amount": spoilt("total_amount", 47, 53)})
+    return {"raw.crm_customers": customers.unionByName(customers.filter("customer_id % 29 = 0")),
+            "raw.erp_orders": faulty.unionByName(faulty.filter(number % 23 == 0))}
+
+
 @query
 def dq_stored_failures(spark, folder):
-    """The stored failing rows of the e-mail test, after a run with tests."""
+    """The stored failing rows of all declared tests: key and value, or value and count of repeated ones."""
     root = scratch_folder(spark, "tests")
-    raw = {
-        "raw.crm_customers": sample.crm_customers(spark, folder),
-        "raw.erp_orders": sample.erp_orders(spark, folder),
-    }
     run = layers.ModelRun(
-        spark, raw, ModelTables(spark, root, ControlTable(spark, f"{root}/control")), sample.AS_OF
+        spark, _faulty_raw(spark, folder), ModelTables(spark, root, ControlTable(spark, f"{root}/control")), sample.AS_OF
     )
     result = layers.run_layers(run)
     if result["stages"]["tests"]["error"]:
         raise RuntimeError(str(result))
-    kept = spark.read.parquet(f"{root}/test_results/not_null_raw_crm_customers_email")
-    return kept.select("customer_id", "customer_name", "city")
+
+    def stored(test: quality.DataTest) -> DataFrame:
+        kept = spark.read.parquet(f"{root}/test_results/{test.name}")
+        unique = test.kind == quality.UNIQUE
+        return kept.select(
+            F.lit(test.name).alias("test_name"), (F.lit(None) if unique else F.col(DATASET_KEYS[test.dataset])).cast("string").alias("row_key"),
+            F.col(test.column).cast("string").alias("value"),
+            (F.col("n_records") if unique else F.lit(None)).cast("bigint").alias("n_records"))
+
+    return rows.union_all([stored(test) for test in quality.DECLARED_TESTS])
 
 
 @query

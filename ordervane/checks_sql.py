@@ -30,6 +30,7 @@ erp AS (
   FROM orders
 )"""
 
+# Labels and bounds of the segments and size classes, units and names of the figures.
 STG_CUSTOMERS = CUSTOMERS + """,
 aged AS (SELECT *, CAST(DATE '2001-08-02' - registration_date AS INTEGER) AS days FROM crm),
 stg_c AS (
@@ -39,8 +40,7 @@ stg_c AS (
     coalesce(length(trim(customer_name)) > 0, false) AS has_valid_name,
     coalesce(strpos(email, '@') > 0, false) AS has_valid_email,
     days AS days_since_registration,
-    CASE WHEN days >= 365 OR days IS NULL THEN 'Eski Müşteri'
-         WHEN days >= 30 THEN 'Aktif Müşteri' ELSE 'Yeni Müşteri' END AS customer_segment
+    CASE WHEN days < 30 THEN 'Yeni Müşteri' WHEN days < 365 THEN 'Aktif Müşteri' ELSE 'Eski Müşteri' END AS customer_segment
   FROM aged
 )"""
 
@@ -51,8 +51,8 @@ stg_o AS (
     CAST(month(order_date) AS INTEGER) AS order_month,
     CAST(quarter(order_date) AS INTEGER) AS order_quarter,
     strftime(order_date, '%Y-%m') AS order_year_month,
-    CASE WHEN total_amount >= 500 OR total_amount IS NULL THEN 'Büyük Sipariş'
-         WHEN total_amount >= 100 THEN 'Orta Sipariş' ELSE 'Küçük Sipariş' END AS order_category,
+    CASE WHEN total_amount < 100 THEN 'Küçük Sipariş' WHEN total_amount < 500 THEN 'Orta Sipariş'
+         ELSE 'Büyük Sipariş' END AS order_category,
     CAST(quantity * unit_price AS DECIMAL(20,2)) AS calculated_total
   FROM erp
   WHERE quantity > 0 AND unit_price > 0 AND product_id IS NOT NULL
@@ -201,6 +201,55 @@ SELECT concat(test_type, '_', replace(dataset, '.', '_'), '_', column_name) AS t
   CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status
 FROM counted"""
 
+# The same tables with repeated rows, and amounts that are missing or negative.
+FAULTY_STARS = STARS.replace("crm AS (", "crm0 AS (", 1).replace("FROM customer\n)", """FROM customer
+),
+crm AS (SELECT * FROM crm0 UNION ALL SELECT * FROM crm0 WHERE customer_id % 29 = 0)""", 1).replace(
+    "erp AS (", "erp0 AS (", 1).replace("FROM orders\n)", """FROM orders
+),
+erp1 AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(order_id AS BIGINT) % 31 <> 0 THEN CASE WHEN CAST(order_id AS BIGINT) % 37 = 0 THEN -1 ELSE quantity END END AS quantity,
+    CASE WHEN CAST(order_id AS BIGINT) % 41 <> 0 THEN CASE WHEN CAST(order_id AS BIGINT) % 43 = 0 THEN CAST(-1 AS DECIMAL(10,2))
+      ELSE unit_price END END AS unit_price,
+    CASE WHEN CAST(order_id AS BIGINT) % 47 <> 0 THEN CASE WHEN CAST(order_id AS BIGINT) % 53 = 0 THEN CAST(-1 AS DECIMAL(10,2))
+      ELSE total_amount END END AS total_amount) FROM erp0
+),
+erp AS (SELECT * FROM erp1 UNION ALL SELECT * FROM erp1 WHERE CAST(order_id AS BIGINT) % 23 = 0)""", 1)
+
+# Of each declared test: table, key, dataset and column, and which rows fail.
+_TESTED = [
+    ("crm", "customer_id", "raw_crm_customers", "customer_id", "unique"), ("crm", "customer_id", "raw_crm_customers", "customer_id", "not_null"),
+    ("crm", "customer_id", "raw_crm_customers", "email", "unique"), ("crm", "customer_id", "raw_crm_customers", "email", "not_null"),
+    ("erp", "order_id", "raw_erp_orders", "order_id", "unique"), ("erp", "order_id", "raw_erp_orders", "order_id", "not_null"),
+    ("erp", "order_id", "raw_erp_orders", "customer_id", "not_null"),
+    ("erp", "order_id", "raw_erp_orders", "quantity", "not_null"), ("erp", "order_id", "raw_erp_orders", "quantity", "accepted_range"),
+    ("erp", "order_id", "raw_erp_orders", "unit_price", "not_null"), ("erp", "order_id", "raw_erp_orders", "unit_price", "accepted_range"),
+    ("stg_c", "customer_id", "stg_crm_customers", "customer_id", "unique"), ("stg_c", "customer_id", "stg_crm_customers", "customer_id", "not_null"),
+    ("stg_c", "customer_id", "stg_crm_customers", "has_valid_email", "not_null"),
+    ("stg_o", "order_id", "stg_erp_orders", "order_id", "unique"), ("stg_o", "order_id", "stg_erp_orders", "order_id", "not_null"),
+    ("stg_o", "order_id", "stg_erp_orders", "total_amount", "not_null"), ("stg_o", "order_id", "stg_erp_orders", "total_amount", "accepted_range"),
+    ("metrics", "customer_id", "int_customer_metrics", "customer_id", "unique"),
+    ("metrics", "customer_id", "int_customer_metrics", "customer_id", "not_null"),
+    ("metrics", "customer_id", "int_customer_metrics", "total_revenue", "not_null"),
+    ("dashboard", "metric_name", "executive_dashboard", "metric_name", "not_null"),
+    ("dashboard", "metric_name", "executive_dashboard", "metric_value", "not_null"),
+]
+
+
+def _stored_failures() -> str:
+    parts = []
+    for table, key, dataset, column, kind in _TESTED:
+        name = f"'{kind}_{dataset}_{column}' AS test_name"
+        if kind == "unique":
+            parts.append(f"SELECT {name}, NULL AS row_key, CAST({column} AS VARCHAR) AS value, count(*) AS n_records "
+                         f"FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1")
+        else:
+            fails = f"{column} IS NULL" if kind == "not_null" else f"{column} < 0"
+            parts.append(f"SELECT {name}, CAST({key} AS VARCHAR), CAST({column} AS VARCHAR), NULL FROM {table} WHERE {fails}")
+    return "\nUNION ALL ".join(parts)
+
+
 ORACLES = {
     "stg_crm_customers": f"WITH {STG_CUSTOMERS} SELECT * FROM stg_c",
     "stg_erp_orders": f"WITH {STG_ORDERS} SELECT * FROM stg_o",
@@ -230,7 +279,7 @@ SELECT order_category, count(*) AS orders FROM stg_o GROUP BY order_category""",
     "dq_unique": """SELECT concat(l_orderkey, '-', l_linenumber) AS line_key, count(*) AS n_records
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "dq_not_null": f"WITH {CUSTOMERS} SELECT customer_id, city FROM crm WHERE email IS NULL",
-    "dq_stored_failures": f"WITH {CUSTOMERS} SELECT customer_id, customer_name, city FROM crm WHERE email IS NULL",
+    "dq_stored_failures": f"WITH {FAULTY_STARS},{_metrics()},{_dashboard(AS_OF)} " + _stored_failures(),
     "dq_accepted_range": f"WITH {ORDERS} SELECT order_id, total_amount FROM erp WHERE total_amount < 100",
     "dq_relationship": f"""WITH {STARS} SELECT * FROM fact
 WHERE customer_id NOT IN (SELECT customer_id FROM dim)""",
@@ -358,6 +407,16 @@ SELECT CAST(message_id AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS order_i
   '2024-02-01T08:30:00.250000' AS order_date, 'pending' AS status, '2024-02-01T08:30:00.250000' AS "timestamp",
   'order_event' AS event_type, CAST(NULL AS VARCHAR) AS reject_reason
 FROM sent WHERE message_id % 10 IN (0, 6, 8, 9)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE event_id % 10
+  WHEN 1 THEN 'customer_id' WHEN 2 THEN 'quantity' WHEN 3 THEN 'quantity'
+  WHEN 7 THEN 'product_id' ELSE 'not a JSON object' END
+FROM events WHERE event_id % 10 IN (1, 2, 3, 4, 5, 7)""",
+    "send_order_stream": f"""WITH {EVENTS}
+SELECT CAST(message_id AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+  product_id, CAST(quantity AS VARCHAR) AS quantity, CAST(price AS VARCHAR) AS price,
+  '2024-02-01T08:30:00.250000' AS order_date, 'pending' AS status, '2024-02-01T08:30:00.250000' AS "timestamp",
+  'order_event' AS event_type, CAST(NULL AS VARCHAR) AS reject_reason
+FROM sent WHERE message_id % 10 IN (0, 6, 8, 9)
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE event_id % 10
   WHEN 1 THEN 'customer_id' WHEN 2 THEN 'quantity' WHEN 3 THEN 'quantity'
   WHEN 7 THEN 'product_id' ELSE 'not a JSON object' END

@@ -13,10 +13,8 @@ from pyspark.sql.types import StructType
 
 from ..operators.events import event_json
 
-# Topics, consumer group, records of one poll, retries of the sender.
+# Topic, consumer group, retries of the sender.
 EVENT_TOPIC = "etl_events"
-POLL_RECORDS = 500
-TOPICS = ("etl_events", "crm_data", "erp_data")
 CONSUMER_GROUP = "etl_group"
 SEND_RETRIES = 3
 
@@ -27,9 +25,8 @@ def read_event_stream(spark: SparkSession, servers: str, topics: tuple[str, ...]
     """Kafka messages with their text in ``value``.
 
     There is one task per topic partition. ``max_per_trigger`` caps the messages
-    of a micro-batch; ``POLL_RECORDS`` gives small polls, but a backlog needs
-    larger batches, so the default has no cap. The position is kept in the
-    query's checkpoint.
+    of a micro-batch; a backlog needs large batches, so the default has no cap.
+    The position is kept in the query's checkpoint.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -72,9 +69,14 @@ def _kafka_options(servers: str, topic: str) -> dict[str, str]:
     }
 
 
+def write_messages(messages: DataFrame, servers: str, topic: str = EVENT_TOPIC) -> None:
+    """Send a batch of JSON texts in ``value``."""
+    messages.write.format("kafka").options(**_kafka_options(servers, topic)).save()
+
+
 def write_events(events: DataFrame, servers: str, topic: str = EVENT_TOPIC) -> None:
     """Send a batch of events."""
-    event_messages(events).write.format("kafka").options(**_kafka_options(servers, topic)).save()
+    write_messages(event_messages(events), servers, topic)
 
 
 def write_event_stream(events: DataFrame, servers: str, checkpoint: str,
