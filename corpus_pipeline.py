@@ -59,19 +59,30 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of every class of near copies.
 
-    Rows without id stay; of rows repeated with one id, one does.
+    Rows without id stay. Of rows with one id and one text one stays; different texts with one
+    id are documents of their own.
     """
-    found = hyperminhash.near_duplicates(spark, docs, scratch_folder(spark, "pipeline-near"), words=5, percent=80)
-    dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    named = docs.filter(F.col("doc_id").isNotNull())
+    row_key = F.struct("doc_id", F.xxhash64("text").alias("hash"))
+    found = hyperminhash.near_duplicates(spark, named.select(row_key.alias("doc_id"), "text"), scratch_folder(spark, "pipeline-near"),
+                                         words=5, percent=80)
+    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("row_key")).distinct()
+    kept = named.withColumn("row_key", row_key).join(dropped, "row_key", "left_anti").dropDuplicates(["doc_id", "text"])
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that share a passage with a benchmark item."""
+    """Drops documents that share a passage with a benchmark item.
+
+    Only the text decides, so rows are named by a digest of it: rows without id are
+    examined like all others, and different texts with one id each by itself.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_passages(spark, docs, items, scratch_folder(spark, "pipeline-seeds"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    digest = F.coalesce(F.md5("text"), F.lit(""))
+    found = decontaminate.find_passages(spark, docs.select(digest.alias("doc_id"), "text"), items, scratch_folder(spark, "pipeline-seeds"))
+    leaked = found.select(F.col("doc_id").alias("digest")).distinct()
+    others = docs.select(_others(docs), "text", digest.alias("digest"))
+    return _columns(docs, others.join(leaked, "digest", "left_anti"), {"text": F.col("text")})
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
