@@ -10,18 +10,21 @@ full sets. Linked documents form classes.
 
 Equal sets are one node from the start. Candidates are verified in three rounds, each
 leaving out pairs that are in one class already: every node with the smallest node of
-all its bands' groups, then with each band group's smallest node, then nodes of different
-classes that still share a band, if their sets can reach the threshold at all: shingles that
-no other text has are in no intersection. So a large group of near copies costs about one
-verification for each of its members, and no link between classes is passed over.
+all its bands' groups, then with each band group's smallest node, its center, then nodes of
+different classes that still share a band. For these, sets are written as what they lack of a
+center and what they have beside it. Two that are not both linked with the center reach the threshold
+only if enough of these differences are the same (``_candidates`` has the inequality); so pairs are formed
+by joining rare differences. A large group of near copies costs about one verification for each
+of its members, also if many of them lie just below the threshold, and no link is passed over.
 
 With ``BANDS`` x ``ROWS`` registers a pair at similarity 0.8 shares no band with a chance
 of about 5 in a million; nothing else is approximate (64-bit hashes aside).
 
 Inputs and results, also for odd ones: texts that are null or without words have an
 empty set, link with nothing and stay. A text with fewer words than a shingle has one
-shingle, all its words. Rows with null key link with nothing and stay. Rows repeated
-with one key are one node, and all of them get its class. Long texts count whole.
+shingle, all its words. Rows with null key link with nothing and stay. A node is a set and
+the smallest key that has it: rows repeated with one key and set get one class, and
+rows with one key but other texts are nodes of their own. Long texts count whole.
 Only the named columns are read, further ones are dropped. An empty table gives an
 empty result.
 """
@@ -132,6 +135,13 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return (equal - chance) / (1 - chance)
 
 
+def _digests(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over every set's mixed hashes, which together stand for the set."""
+    sums = [np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (mix(hashes), mix(hashes ^ np.uint64(77)))]
+    low, high = ((s[firsts[1:]] - s[firsts[:-1]]).view(np.int64) for s in sums)
+    return low, high
+
+
 def _stored(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     rows.write.mode("overwrite").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
@@ -144,8 +154,7 @@ def signatures(docs: DataFrame, words: int, key: str, text: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, firsts = shingle_sets(part.column("text"), words)
-                sums = [np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (mix(hashes), mix(hashes ^ np.uint64(77)))]
-                low, high = ((s[firsts[1:]] - s[firsts[:-1]]).view(np.int64) for s in sums)
+                low, high = _digests(hashes, firsts)
                 packed = registers(hashes, firsts)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(np.diff(firsts)), pa.array(low), pa.array(high),
@@ -157,6 +166,19 @@ def signatures(docs: DataFrame, words: int, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(signed, f"key {kind}, n bigint, low bigint, high bigint, signature binary")
 
 
+def _with_digests(rows: DataFrame, words: int) -> DataFrame:
+    """Adds ``low`` and ``high`` to ``key`` and ``text``."""
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                low, high = _digests(*shingle_sets(part.column("text"), words))
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("text"), pa.array(low), pa.array(high)],
+                                                 ["key", "text", "low", "high"])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(added, f"key {kind}, text string, low bigint, high bigint")
+
+
 def _band_rows(nodes: DataFrame) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,21 +235,74 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(kept, pairs.select("a", "b").schema)
 
 
-def _own_shingles(texts: DataFrame, words: int) -> DataFrame:
-    """``key`` and ``own``, how many of its shingles no other of these texts has."""
+def _differences(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """From pairs of a ``center`` and a ``key`` of class ``of``: the center's set's size ``n``, how many of its
+    shingles the key's set lacks (``less``), how many it has beside them (``more``), and a hash of each of these.
+    """
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("key").alias(name), F.col("text").alias(f"text_{name}"))
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                hashes, firsts = shingle_sets(part.column("text"), words)
-                at = np.repeat(np.arange(part.num_rows), np.diff(firsts))
+            for part in slices(batch, "text_center", "text_key"):
+                sets = [shingle_sets(part.column(c), words) for c in ("text_center", "text_key")]
+                sizes = [np.diff(firsts) for _, firsts in sets]
+                hashes = np.concatenate([h for h, _ in sets])
+                pair = np.concatenate([np.repeat(np.arange(len(s)), s) for s in sizes])
+                beside = np.repeat([False, True], [len(h) for h, _ in sets])
+                order = np.lexsort((hashes, pair))
+                hashes, pair, beside = hashes[order], pair[order], beside[order]
+                twice = np.zeros(len(hashes) + 1, bool)
+                twice[1:-1] = (hashes[1:] == hashes[:-1]) & (pair[1:] == pair[:-1])
+                alone = ~(twice[1:] | twice[:-1])
+                hashes, pair, beside = mix(hashes[alone] ^ beside[alone].astype(np.uint64)), pair[alone], beside[alone]
+                n = part.num_rows
+                places = np.append(0, np.cumsum(np.bincount(pair, minlength=n))).astype(np.int32)
+                less, more = (np.bincount(pair[beside == x], minlength=n) for x in (False, True))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key").take(pa.array(at)), pa.array(hashes.view(np.int64))], ["key", "shingle"])
+                    [*[part.column(c) for c in ("center", "key", "of")], pa.array(sizes[0]), pa.array(less), pa.array(more),
+                     pa.ListArray.from_arrays(places, pa.array(hashes.view(np.int64)))],
+                    ["center", "key", "of", "n", "less", "more", "differences"])
+
+    rows = pairs.join(side("center"), "center").join(side("key"), "key")
+    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("center", "key", "of"))
+    return rows.select("center", "key", "of", "text_center", "text_key").mapInArrow(
+        compared, f"{kinds}, n bigint, less bigint, more bigint, differences array<bigint>")
+
+
+def _candidates(different: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of keys of one center and of different classes whose sets may reach the threshold.
+
+    A center has n shingles, and a set lacks ``less`` of them and has ``more`` others. Two sets
+    that have s of these differences in common have n - less - less' + s shingles in common. So they
+    reach p percent just if ``(100 + p) s >= w + w' - (100 - p) n`` with ``w = 100 less + p more``, and a set
+    is linked with the center itself just if ``w <= (100 - p) n``. Not both are, as the classes differ.
+    So s is more than ``w / (100 + p)`` for one that is linked, and for another one at least
+    ``(w - (100 - p) n) / 100``, as s is no more than the number of the partner's differences. With
+    differences in order from rare to common, a pair then has one in common among the first ones of
+    either, and as many from there on as it needs.
+    """
+    own = ["center", "key", "of", "n", "less", "more"]
+    rows = different.select(*own, F.explode("differences").alias("difference"))
+    often = rows.groupBy("center", "difference").agg(F.count("*").alias("times")).filter("times > 1")
+    # differences of one set only come first, and meet nothing
+    shared = rows.join(often, ["center", "difference"]).groupBy(*own).agg(
+        F.sort_array(F.collect_list(F.struct("times", "difference"))).alias("shared"))
+    size, weight, slack = F.col("less") + F.col("more"), 100 * F.col("less") + percent * F.col("more"), (100 - percent) * F.col("n")
+    needed = F.when(weight <= slack, F.floor(weight / (100 + percent)) + 1).otherwise(F.greatest(F.ceil((weight - slack) / 100), F.lit(1)))
+    placed = shared.select("center", "key", "of", weight.alias("weight"), slack.alias("slack"), size.alias("size"), needed.alias("needed"),
+                           F.size("shared").alias("times"), F.posexplode("shared").alias("place", "one"))
+    placed = placed.select("center", "key", "of", "weight", "slack", F.col("one.difference").alias("difference"), "needed",
+                           (F.col("times") - F.col("place")).alias("left")).filter("left >= needed")
+
+    def side(name: str) -> DataFrame:
+        return placed.select("center", "difference", F.col("key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("of", "weight", "left")],
+                             *(["slack"] if name == "a" else []))
 
-    kind = texts.schema["key"].dataType.simpleString()
-    rows = texts.select("key", "text").mapInArrow(listed, f"key {kind}, shingle bigint")
-    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("key").alias("key")).filter("n = 1")
-    return alone.groupBy("key").agg(F.count("*").alias("own"))
+    a, b = side("a").alias("l"), side("b").alias("r")
+    same = (F.col("l.center") == F.col("r.center")) & (F.col("l.difference") == F.col("r.difference"))
+    enough = (100 + percent) * F.least("left_a", "left_b") >= F.col("weight_a") + F.col("weight_b") - F.col("slack")
+    return a.join(b, same & (F.col("of_a") < F.col("of_b")) & enough).select("a", "b").distinct()
 
 
 def components(spark: SparkSession, links: DataFrame, folder: str) -> DataFrame:
@@ -263,14 +338,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str, words: in
     signed = _stored(signatures(docs, words, key, text), spark, f"{folder}/signatures")
     filled = signed.filter(F.col("key").isNotNull() & (F.col("n") > 0))
     same = ["n", "low", "high"]
+    named = F.struct("one.key", "low", "high").alias("key")  # by key first, so that the smallest node has the smallest key
     nodes = _stored(filled.groupBy(*same).agg(F.min(F.struct("key", "signature")).alias("one"))
-                    .select("one.*", *same), spark, f"{folder}/nodes")
+                    .select(named, "one.signature", *same), spark, f"{folder}/nodes")
     banded = _band_rows(nodes)
     groups = banded.groupBy("band").agg(F.min("key").alias("center"), F.count("*").alias("members")).filter("members > 1")
     shared = _stored(banded.join(groups.drop("members"), "band"), spark, f"{folder}/shared")
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    texts = _stored(rows.join(shared.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]),
-                    spark, f"{folder}/texts")
+    wanted = shared.select("key.*", F.col("key").alias("node")).distinct()
+    several = rows.join(wanted.select("key").distinct(), "key", "left_semi")
+    texts = _with_digests(several, words).join(wanted, ["key", "low", "high"]).select(F.col("node").alias("key"), "text")
+    texts = _stored(texts.dropDuplicates(["key"]), spark, f"{folder}/texts")
 
     def linked(pairs: DataFrame, number: int) -> DataFrame:
         likely = _stored(_likely(pairs, nodes, percent / 100), spark, f"{folder}/likely{number}")
@@ -289,30 +367,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str, words: in
     star = classed(classed(star, classes, "a"), classes, "b").filter(apart).select("a", "b")
     links = links.unionByName(linked(star, 2))
     classes = components(spark, links, f"{folder}/classes2")
-    members = classed(shared.select("band", F.col("key").alias("a")), classes, "a")
-    mixed = members.groupBy("band").agg(F.min("of_a").alias("x"), F.max("of_a").alias("y")).filter("x <> y").select("band")
-    members = _stored(members.join(mixed, "band"), spark, f"{folder}/mixed")
-    own = _own_shingles(texts.join(members.select(F.col("a").alias("key")).distinct(), "key", "left_semi"), words)
-    shared_part = nodes.select("key", "n").join(own, "key").select(
-        "key", "n", (F.col("n") - F.col("own")).alias("common")).unionByName(
-        nodes.join(own, "key", "left_anti").select("key", "n", F.col("n").alias("common")))
-
-    def side(name: str) -> DataFrame:
-        sizes = shared_part.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("common").alias(f"common_{name}"))
-        rows = members.select("band", F.col("a").alias(name), F.col("of_a").alias(f"of_{name}"))
-        return rows.join(sizes, name)
-
-    # no pair shares more than what either has in common with any other text
-    most = F.least("common_a", "common_b")
-    can_reach = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
-    a, b = side("a").alias("l"), side("b").alias("r")
-    rest = a.join(b, (F.col("l.band") == F.col("r.band")) & (F.col("of_a") < F.col("of_b")) & can_reach)
-    rest = rest.select("a", "b").distinct()
-    links = links.unionByName(linked(rest, 3))
+    members = classed(shared.select("band", "center", "key"), classes, "key")
+    mixed = members.groupBy("band").agg(F.min("of_key").alias("x"), F.max("of_key").alias("y")).filter("x <> y").select("band")
+    around = members.join(mixed, "band").filter("key <> center").select("center", "key", F.col("of_key").alias("of")).distinct()
+    different = _stored(_differences(around, texts, words), spark, f"{folder}/differences")
+    links = links.unionByName(linked(_candidates(different, percent), 3))
     classes = components(spark, links, f"{folder}/classes3")
 
     by_set = nodes.select(F.col("key"), *same).join(classes, "key", "left").select(
-        *same, F.coalesce("class", "key").alias("class"))
+        *same, F.coalesce("class", "key")["key"].alias("class"))
     own = F.when(F.col("key").isNotNull() & (F.col("n") > 0), F.col("class")).otherwise(F.col("key"))
     placed = signed.drop("signature").join(by_set, same, "left").withColumn("class", own)
     return placed.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("class").alias("component_id"),

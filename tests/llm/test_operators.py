@@ -72,6 +72,54 @@ def test_span_without_a_code_equals_the_shorter_span():
     assert spans.without(at, at + 2, at + 4) == spans(at + 4, at + 7)
 
 
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_sequences_made_to_collide_have_different_hashes(n):
+    word = np.array([bin(i).count("1") % 2 for i in range(n)], np.uint8)
+    codes = np.concatenate([word, 1 - word])
+    starts, stops = np.array([0, n]), np.array([n, 2 * n])
+    as_bytes = text_arrays.word_hashes(codes + 97, starts, stops)
+    as_words = text_arrays.SpanHash(text_arrays.mix(codes.astype(np.uint64) + np.uint64(7)))(starts, stops)
+    assert as_bytes[0] != as_bytes[1] and as_words[0] != as_words[1]
+
+
+def test_products_modulo_the_prime():
+    rng, prime = random.Random(1), text_arrays.PRIME
+    pairs = [(rng.randrange(prime), rng.randrange(prime)) for _ in range(20_000)] + [(prime - 1, prime - 1), (0, 5), (1, prime - 1)]
+    got = text_arrays.times(*(np.array(x, np.uint64) for x in zip(*pairs, strict=True)))
+    assert got.tolist() == [a * b % prime for a, b in pairs]
+    codes = [rng.randrange(2**64) for _ in range(9000)]
+    spans, total, sums = text_arrays.SpanHash(np.array(codes, np.uint64)), 0, [0]
+    for i, c in enumerate(codes):
+        total = (total + c * pow(text_arrays._POINT, i, prime)) % prime
+        sums.append(total)
+    assert spans._sums.tolist() == sums
+
+
+def _hard_texts(n: int) -> list[tuple]:
+    """Words, lines and runs of words that hashes modulo powers of two would take for equal."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    return [(1, one), (2, other), (3, " ".join(one)), (4, " ".join(other))]
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_operators_tell_texts_made_to_collide_apart(spark, n):
+    rows = _hard_texts(n)
+    docs = plain.table(spark, rows)
+    items = spark.createDataFrame([(7, f"x y z {rows[0][1]} and more words that make it long enough for a seed of all of them")], "item_id long, text string")
+    leaked = plain.table(spark, [(1, f"x y z {rows[1][1]} and some others, in a text that has nothing more of the item than that")])
+    found = decontaminate.find_passages(spark, leaked, items, scratch_folder(spark, "t")).collect()
+    assert found == []
+    near = hyperminhash.near_duplicates(spark, plain.table(spark, rows[:2]), scratch_folder(spark, "t"), 4, 80).collect()
+    assert by_id(near, "component_id") == {1: (1,), 2: (2,)}
+    lines = line_dedup.remove_lines(spark, plain.table(spark, rows[:2]), scratch_folder(spark, "t")).collect()
+    assert {r["doc_id"]: r["kept"] for r in lines} == dict(rows[:2])
+    hashes, _ = lm_score.token_hashes(pa.array([rows[0][1], rows[1][1]]))
+    assert len(set(hashes.tolist())) == 3
+    cut = substring_dedup.remove_repeats(spark, docs, scratch_folder(spark, "t"), 50).collect()
+    assert by_id(cut, "n_words", "n_removed", "kept") == plain.kept_words(rows, 50)
+
+
 # --- 1 language ------------------------------------------------------------------
 
 def _labelled(n: int) -> list[tuple]:
@@ -410,6 +458,53 @@ def test_near_copies_in_a_chain_are_one_class(spark):
     assert by_id(got, "n_shingles", "component_id") == plain.classes(rows, 4, 80)
 
 
+def test_lookalikes_below_the_threshold_are_told_from_copies(spark):
+    """Many texts around one template, some linked with it, some just not, and a few linked with each other only."""
+    rng = random.Random(11)
+    template, rows = plain.words(rng, 120), []
+    for i in range(150):
+        text = list(template)
+        for at in rng.sample(range(len(text)), rng.choice([1, 2, 3, 5, 6, 7, 8])):
+            text[at] = f"e{i}x{at}" if i % 3 else f"e{at % 7}"
+        rows.append((i, " ".join(text)))
+        if i % 10 == 0:  # a copy of a copy
+            text[rng.randrange(len(text))] = "again"
+            rows.append((1000 + i, " ".join(text)))
+    got = hyperminhash.near_duplicates(spark, plain.table(spark, rows), scratch_folder(spark, "t"), 4, 80).collect()
+    wanted = plain.classes(rows, 4, 80)
+    assert by_id(got, "n_shingles", "component_id") == wanted
+    assert 20 < len({c for _, c in wanted.values()}) < 140
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_candidates_from_differences_leave_out_no_link(spark, percent):
+    """All pairs of one center that reach the threshold are among the candidates, unless both are linked with it."""
+    rng = random.Random(percent)
+    center = set(range(60))
+    sets = {}
+    for key in range(1, 90):
+        less = rng.sample(sorted(center), rng.randrange(1, 25))
+        more = {rng.choice([100 + rng.randrange(30), 1000 * key + rng.randrange(50)]) for _ in range(rng.randrange(20))}
+        sets[key] = (center - set(less)) | more
+    near = {k: 100 * len(s & center) >= percent * len(s | center) for k, s in sets.items()}
+    rows = [(0, k, 0 if near[k] else k, len(center), len(center - s), len(s - center),
+             [*(x + 10**6 for x in center - s), *(x for x in s - center)]) for k, s in sets.items()]
+    table = spark.createDataFrame(rows, "center long, key long, of long, n long, less long, more long, differences array<long>")
+    got = {tuple(sorted((r["a"], r["b"]))) for r in hyperminhash._candidates(table, percent).collect()}
+    linked = {(a, b) for a in sets for b in sets if a < b and not (near[a] and near[b])
+              and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert linked <= got and len(got) < len(sets) * (len(sets) - 1) / 2
+
+
+def test_one_id_with_two_texts_is_two_nodes(spark):
+    rng = random.Random(3)
+    one, two = " ".join(plain.words(rng, 40)), " ".join(plain.words(rng, 40))
+    rows = [(1, one), (1, two), (1, one), (2, two + " x"), (3, one + " y"), (0, "a b c d e")]
+    got = hyperminhash.near_duplicates(spark, plain.table(spark, rows), scratch_folder(spark, "t"), 4, 80).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == [
+        (0, 2, 0, True), (1, 37, 1, True), (1, 37, 1, True), (1, 37, 1, True), (2, 38, 1, False), (3, 38, 1, False)]
+
+
 def test_estimates_are_corrected(spark):
     rng = np.random.default_rng(3)
     common, a, b = (text_arrays.mix(rng.integers(0, 2**62, n).astype(np.uint64)) for n in (800, 100, 100))

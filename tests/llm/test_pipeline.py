@@ -29,7 +29,8 @@ def _rows() -> tuple[list[tuple], list[tuple]]:
         words = items[i % 4][1].split()
         words[i % 7] = "other"
         rows.append((i, " ".join(plain.words(rng, 30) + words)))
-    rows += [(90, "123 456"), (91, "\n".join(["the same line in all of them"] * 3)), (92, None), (93, ""), (92, None), (None, "some text")]
+    rows += [(90, "123 456"), (91, "\n".join(["the same line in all of them"] * 3)), (92, None), (93, ""), (92, None), (None, "some text"),
+             (None, " ".join(plain.words(rng, 5)) + " " + items[1][1]), (80, " ".join(plain.words(rng, 50)))]
     return [(*r, "en" if (r[0] or 0) % 2 else None) for r in rows], items
 
 
@@ -60,15 +61,18 @@ def test_stages_do_what_plain_versions_do(spark):
         _, gone, kept = cut.get(d, (0, [], t))
         if d is None or not gone:
             left.append((d, t))
-        elif any(len(line) >= least for line in kept.split("\n")):
+        elif kept.strip():
             left.append((d, kept))
     assert texts("line_dedup") == sorted((-1 if d is None else d, t) for d, t in left)
     assert all(r["n_chars"] == len(r["text"]) for r in out["line_dedup"])
-    near = plain.classes(left, 5, 80)
-    single = {(d, t) for d, t in left if d is None or near[d][1] == d}
+    # texts of one id are documents of their own, the smaller id stands for a class
+    numbered = dict(enumerate(sorted({(d, t) for d, t in left if d is not None})))
+    near = plain.classes([(i, t) for i, (_, t) in numbered.items()], 5, 80)
+    single = {numbered[i] for i, (_, of) in near.items() if numbered[of][0] == numbered[i][0]} | {(d, t) for d, t in left if d is None}
     assert texts("minhash_near_dedup") == sorted((-1 if d is None else d, t) for d, t in single)
-    leaked = {d for d, _, _ in plain.passages(sorted(single, key=str), items, 13, 2, 5)}
-    clean = [(d, t) for d, t in single if d not in leaked]
+    numbered = dict(enumerate(sorted(single, key=str)))
+    leaked = {i for i, _, _ in plain.passages([(i, t) for i, (_, t) in numbered.items()], items, 13, 2, 5)}
+    clean = [row for i, row in numbered.items() if i not in leaked]
     assert leaked and texts("benchmark_decontamination") == sorted((-1 if d is None else d, t) for d, t in clean)
     wanted = sorted((-1 if d is None else d, hashlib.sha256(t.encode()).hexdigest()) for d, t in clean)
     assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["decoded_sha256"]) for r in out["byte_bpe"]) == wanted
@@ -84,6 +88,22 @@ def test_short_lines_stay_when_a_shared_footer_goes(spark):
         None: (footer, len(footer))}
 
 
+def test_texts_with_one_id_are_judged_by_themselves(spark):
+    rng = random.Random(5)
+    item = " ".join(plain.words(rng, 30))
+    one, two = (" ".join(plain.words(rng, 60)) for _ in range(2))
+    folder = scratch_folder(spark, "sf")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(1, one), (1, two), (1, one), (2, two + " more"), (3, f"{one} {item}"), (3, two.upper()), (None, f"a b {item}"), (None, one), (None, one)]
+    near = corpus_pipeline.near_stage(spark, plain.table(spark, rows), folder)
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in near.collect())
+    assert kept == sorted([(1, one), (1, two), (3, rows[4][1]), (0, rows[6][1]), (0, one), (0, one)])
+    clean = corpus_pipeline.benchmark_stage(spark, plain.table(spark, rows), folder)
+    assert clean.columns == plain.table(spark, rows).columns
+    left = sorted((r["doc_id"] or 0, r["text"]) for r in clean.collect())
+    assert left == sorted((d or 0, t) for i, (d, t) in enumerate(rows) if i not in (4, 6))
+
+
 def test_stages_take_empty_tables(spark):
     folder = scratch_folder(spark, "sf")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
@@ -93,7 +113,7 @@ def test_stages_take_empty_tables(spark):
 
 def test_all_operators_are_registered():
     found = __spark_entry__.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in found)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in found)] == []
     assert "pipeline" in found and set(queries.QUERIES) >= set(oracles.ORACLES)
 
 
