@@ -8,13 +8,17 @@ probability one (Katz backoff with absolute discounting). The root has an arc fo
 every word, known or not, with the smoothed share of the word. A text is read once
 from left to right; the state is carried along and the weights are summed.
 
-Every pair and triple seen ``LEAST_COUNT`` times or more is an arc, at any size of the
+Every pair and triple seen ``least_count`` times or more is an arc, at any size of the
 input. What is broadcast is bounded: arcs with at least 1/``MOST_ARCS`` of all tokens,
 and at most ``MOST_ARCS`` of each length can have that share. All others stay in stored
 tables. Where the broadcast part lacks an arc, its failure arcs are taken; the difference
 to the arc's own weight depends on the word sequence only, so it is joined and added, as
 are the root's weights of words that are not broadcast.
 
+Most pairs and triples are seen once, and there are more bytes of their hashes than of text. So
+they are counted, and later looked up, in ``PARTS`` parts by their hash, one after the other, and a part's
+shuffle files are deleted before the next one is begun.
+
 Words are compared by 64-bit hashes of their lower-cased bytes.
 
 Inputs and results, also for odd ones: a null text counts as empty, and an empty
@@ -26,7 +30,8 @@ ones are dropped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -37,11 +42,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.state import delete_folder
 from .text_arrays import lower_ascii, mix, slices, utf8_buffers, word_hashes, word_spans
 
 #: Bounds of the broadcast parts (words, pairs, triples each) and of the root's broadcast weights.
 MOST_ARCS, MOST_WEIGHTS = 1 << 18, 1 << 21
 LEAST_COUNT = 2
+#: Passes over the texts for pairs and triples, a power of two.
+PARTS = 4
 DISCOUNT = 0.5
 #: The hash that stands for the end of a text, and for its start as a context.
 END = np.uint64(0)
@@ -136,38 +144,38 @@ def _sequences(tokens: np.ndarray, firsts: np.ndarray) -> tuple[tuple[np.ndarray
             (left, right, sequence_codes(left, right), text[:-2][both]))
 
 
-def count_sequences(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``triple``, ``left``, ``right`` and ``n`` for all pairs and triples of all texts."""
+def count_sequences(docs: DataFrame, triple: bool, part: int = 0, parts: int = 1, text: str = "text") -> DataFrame:
+    """``left``, ``right`` and ``n`` for the pairs, or triples, of all texts whose code is in this part of all."""
 
-    def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        triple, left, right, code, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    def added(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        left, right, code, n = (np.concatenate(x) for x in zip(*held, strict=True))
         _, at, back = np.unique(code, return_index=True, return_inverse=True)
-        return triple[at], left[at], right[at], code[at], np.bincount(back, weights=n).astype(np.int64)
+        return left[at], right[at], code[at], np.bincount(back, weights=n).astype(np.int64)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            triple, left, right, _, n = added(parts)
-            return pa.RecordBatch.from_arrays([pa.array(triple), pa.array(left.view(np.int64)), pa.array(right.view(np.int64)),
-                                               pa.array(n)], ["triple", "left", "right", "n"])
+            left, right, _, n = added(held)
+            return pa.RecordBatch.from_arrays([pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(n)],
+                                              ["left", "right", "n"])
 
-        parts, held = [], 0
+        held, size = [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
-                for triple, (left, right, code, _) in enumerate(_sequences(*token_hashes(part.column("text")))):
-                    parts.append((np.full(len(code), bool(triple)), left, right, code, np.ones(len(code), np.int64)))
-                    held += len(code)
-                if held > _FLUSH:
-                    parts = [added(parts)]
-                    held = len(parts[0][0])
-                    if held > _FLUSH // 2:
+            for piece in slices(batch, "text"):
+                left, right, code, _ = _sequences(*token_hashes(piece.column("text")))[triple]
+                ok = code & np.uint64(parts - 1) == part
+                held.append((left[ok], right[ok], code[ok], np.ones(int(ok.sum()), np.int64)))
+                size += len(held[-1][0])
+                if size > _FLUSH:
+                    held = [added(held)]
+                    size = len(held[0][0])
+                    if size > _FLUSH // 2:
                         yield out()
-                        parts, held = [], 0
-        if parts:
+                        held, size = [], 0
+        if held:
             yield out()
 
     rows = docs.select(F.col(text).cast("string").alias("text"))
-    return (rows.mapInArrow(counted, "triple boolean, left bigint, right bigint, n bigint")
-            .groupBy("triple", "left", "right").agg(F.sum("n").alias("n")))
+    return rows.mapInArrow(counted, "left bigint, right bigint, n bigint").groupBy("left", "right").agg(F.sum("n").alias("n"))
 
 
 def _coded(rows: DataFrame) -> DataFrame:
@@ -265,34 +273,64 @@ class Automaton:
         return total
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query are deleted when its table is written."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def _stored(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
     rows.write.mode("overwrite").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def train(spark: SparkSession, docs: DataFrame, folder: str, text: str = "text") -> Automaton:
+def _in_parts(spark: SparkSession, rows_of: Callable[[int], DataFrame], folder: str) -> DataFrame:
+    for part in range(PARTS):
+        rows = rows_of(part)
+        rows.write.mode("append" if part else "overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def train(spark: SparkSession, docs: DataFrame, folder: str, text: str = "text", least_count: int = LEAST_COUNT) -> Automaton:
     """Learns from all rows. What is not broadcast is stored in ``folder`` for ``score``."""
+    with _shuffles_deleted(spark):
+        return _trained(spark, docs, folder, text, least_count)
+
+
+def _trained(spark: SparkSession, docs: DataFrame, folder: str, text: str, least_count: int) -> Automaton:
     counts = _stored(spark, count_words(docs, text), f"{folder}/words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
     tokens, types = total["tokens"], total["types"]
 
     def least(most: int) -> int:
         """The count from which on something is broadcast; it has no say in what is kept."""
-        return max(LEAST_COUNT, -(-tokens // most))
+        return max(least_count, -(-tokens // most))
 
     def cost(share: str, lower: str) -> Column:
         return F.log10((1 - F.sum(share)) / (1 - F.sum(lower))).alias("value")
 
     hot = F.col("n") >= least(MOST_ARCS)
     weights, weight_counts = _arrays(counts.filter(F.col("n") >= least(MOST_WEIGHTS)), "n")
-    sequences = _stored(spark, count_sequences(docs, text).filter(F.col("n") >= LEAST_COUNT), f"{folder}/sequences")
 
-    pairs = _coded(sequences.filter("not triple").select("left", "right", "n"))
+    def often(triple: bool, name: str) -> DataFrame:
+        return _coded(_in_parts(spark, lambda part: count_sequences(docs, triple, part, PARTS, text).filter(F.col("n") >= least_count),
+                                f"{folder}/{name}"))
+
+    pairs = often(False, "pair_counts")
     word_values = counts.select("code", F.col("n").alias("value"))
     for side in ("left", "right"):
         pairs = _with_value(spark, pairs, side, f"n_{side}", (weights, weight_counts), word_values)
     pairs = _stored(spark, pairs.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_left")).withColumn(
-        "lower", (F.col("n_right") + 0.5) / (tokens + 0.5 * (types + 1))), f"{folder}/pairs")
+        "lower", (F.col("n_right") + 0.5) / (tokens + 0.5 * (types + 1))).drop("n_right"), f"{folder}/pairs")
+    delete_folder(spark, f"{folder}/pair_counts")
     costs = _stored(spark, pairs.groupBy(F.col("left").alias("code")).agg(cost("share", "lower"), F.first("n_left").alias("n")),
                     f"{folder}/word_costs")
     costed, hot_costs = _arrays(costs.filter(F.col("n") >= least(MOST_WEIGHTS)), "value")
@@ -300,10 +338,11 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, text: str = "text")
     weight_costs = np.where(at >= 0, hot_costs[at], 0.0) if len(costed) else np.zeros(len(weights))
     hot_pairs, pair_counts, pair_left, pair_right, pair_shares = _arrays(pairs.filter(hot), "n", "left", "right", "share")
 
-    triples = _coded(sequences.filter("triple").select("left", "right", "n"))
+    triples = often(True, "triple_counts")
     triples = _with_value(spark, triples, "left", "n_left", (hot_pairs, pair_counts), pairs.select("code", F.col("n").alias("value")))
     triples = _with_value(spark, triples, "right", "lower", (hot_pairs, pair_shares), pairs.select("code", F.col("share").alias("value")))
     triples = _stored(spark, triples.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_left")), f"{folder}/triples")
+    delete_folder(spark, f"{folder}/triple_counts")
     costs3 = _stored(spark, triples.groupBy(F.col("left").alias("code")).agg(cost("share", "lower"), F.first("n_left").alias("n")),
                      f"{folder}/pair_costs")
     costed3, hot_costs3 = _arrays(costs3.filter(hot), "value")
@@ -313,15 +352,18 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, text: str = "text")
 
     # what is added where the broadcast part took its failure arcs: words' root weights are taken as those of unknown ones
     rare_words = counts.filter(F.col("n") < least(MOST_WEIGHTS)).join(costs.select("code", "value"), "code", "left").select(
-        "code", F.log10((F.col("n") + 0.5) / 0.5).alias("base"), F.coalesce("value", F.lit(0.0)).alias("more"), F.lit(1).alias("known"))
+        "code", F.log10((F.col("n") + 0.5) / 0.5).alias("base"), F.coalesce("value", F.lit(0.0)).alias("more"))
     rare_pairs = _with_value(spark, pairs.filter(~hot), "left", "back", (costed, hot_costs), costs).join(
         costs3.select("code", "value"), "code", "left").select(
-        "code", F.lit(0.0).alias("base"),
-        (F.log10("share") - F.log10("lower") - F.col("back") + F.coalesce("value", F.lit(0.0))).alias("more"), F.lit(0).alias("known"))
+        "code", (F.log10("share") - F.log10("lower") - F.col("back") + F.coalesce("value", F.lit(0.0))).alias("more"))
     rare_triples = _with_value(spark, triples.filter(~hot), "left", "back", (costed3, hot_costs3), costs3).select(
-        "code", F.lit(0.0).alias("base"), (F.log10("share") - F.log10("lower") - F.col("back")).alias("more"), F.lit(0).alias("known"))
-    rare_words.unionByName(rare_pairs).unionByName(rare_triples).write.mode("overwrite").parquet(f"{folder}/rest")
+        "code", (F.log10("share") - F.log10("lower") - F.col("back")).alias("more"))
+    rare_words.write.mode("overwrite").parquet(f"{folder}/rare_words")
+    rare_pairs.write.mode("overwrite").parquet(f"{folder}/rare_sequences")
+    rare_triples.write.mode("append").parquet(f"{folder}/rare_sequences")
 
+    for name in ("words", "pairs", "triples", "word_costs", "pair_costs"):
+        delete_folder(spark, f"{folder}/{name}")
     core = (weight_counts >= least(MOST_ARCS)) | (weights == END)
     return Automaton(tokens, types, weights, weight_counts, weight_costs, weights[core], weight_costs[core],
                      hot_pairs, pair_left.view(np.uint64), pair_right.view(np.uint64), pair_shares, pair_costs,
@@ -332,9 +374,39 @@ def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder:
           key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` of every row.
 
-    ``folder`` takes the traversed texts with the words, pairs and triples whose weights are
-    still to be joined from what ``train`` stored.
+    ``folder`` takes the texts with the automaton's scores, and what is added for words, pairs
+    and triples whose weights are in what ``train`` stored.
     """
+    with _shuffles_deleted(spark):
+        return _scored(spark, docs, model, counts_folder, folder, key, text)
+
+
+def _rare(spark: SparkSession, texts: DataFrame, model: Automaton, part: int | None) -> DataFrame:
+    """``row`` and ``code`` of every word that is not broadcast, or, of a part, of every pair and triple."""
+    shared = spark.sparkContext.broadcast((model.weight_codes, model.pairs, model.triples))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, pairs, triples = shared.value
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                tokens, firsts = token_hashes(piece.column("text"))
+                if part is None:
+                    found = [(words, tokens, np.repeat(np.arange(piece.num_rows), np.diff(firsts)))]
+                else:
+                    found = [(hot, codes, texts) for hot, (_, _, codes, texts) in
+                             zip((pairs, triples), _sequences(tokens, firsts), strict=True)]
+                for hot, codes, of in found:
+                    if part is not None:
+                        ok = codes & np.uint64(PARTS - 1) == part
+                        codes, of = codes[ok], of[ok]
+                    rare = _find(hot, codes) < 0
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column("row").take(pa.array(of[rare])), pa.array(codes[rare].view(np.int64))], ["row", "code"])
+
+    return texts.select("row", "text").mapInArrow(listed, "row bigint, code bigint")
+
+
+def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder: str, folder: str, key: str, text: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def traversed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,8 +414,8 @@ def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder:
         start = int(_find(automaton.words, np.array([END]))[0])
         unknown = automaton.root_weights(np.zeros(1))[0]
         for batch in batches:
-            for part in slices(batch, "text"):
-                tokens, firsts = token_hashes(part.column("text"))
+            for piece in slices(batch, "text"):
+                tokens, firsts = token_hashes(piece.column("text"))
                 found, ids = _find(automaton.weight_codes, tokens), _find(automaton.words, tokens)
                 counts = automaton.weight_counts[found] if len(automaton.weight_counts) else np.zeros(len(tokens))
                 costs = automaton.weight_costs[found] if len(automaton.weight_costs) else np.zeros(len(tokens))
@@ -355,33 +427,33 @@ def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder:
                 ids, weights = ids.tolist(), root.tolist()
                 scores = [automaton.traverse(ids[a:b], weights[a:b], start)
                           for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
-                rare = found < 0
-                rest, of = [tokens[rare]], [np.repeat(np.arange(part.num_rows), np.diff(firsts))[rare]]
-                for hot, (_, _, codes, texts) in zip((automaton.pairs, automaton.triples), _sequences(tokens, firsts), strict=True):
-                    out = _find(hot, codes) < 0
-                    rest.append(codes[out])
-                    of.append(texts[out])
-                of = np.concatenate(of)
-                places = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=part.num_rows))]).astype(np.int32)
-                codes = np.concatenate(rest)[np.argsort(of, kind="stable")]
-                n = part.num_rows
+                n = piece.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.array(np.arange(row, row + n)), pa.array(np.diff(firsts)), pa.array(known),
-                     pa.array(base), pa.array(np.array(scores, np.float64) + backs),
-                     pa.ListArray.from_arrays(places, pa.array(codes.view(np.int64)))],
-                    ["key", "row", "n_tokens", "n_known", "base_score", "score", "rare"])
+                    [piece.column("key"), pa.array(np.arange(row, row + n)), pa.array(np.diff(firsts)), pa.array(known),
+                     pa.array(base), pa.array(np.array(scores, np.float64) + backs), piece.column("text")],
+                    ["key", "row", "n_tokens", "n_known", "base_score", "score", "text"])
                 row += n
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = (f"key {rows.schema['key'].dataType.simpleString()}, row bigint, n_tokens bigint, n_known bigint, "
-              "base_score double, score double, rare array<bigint>")
-    rows.mapInArrow(traversed, schema).write.mode("overwrite").parquet(folder)
-    read = spark.read.schema(schema).parquet(folder)
-    weights = spark.read.schema("code bigint, base double, more double, known int").parquet(f"{counts_folder}/rest")
-    rest = (read.select("row", F.explode("rare").alias("code")).join(weights, "code").groupBy("row")
-            .agg(F.sum("base").alias("base"), F.sum("more").alias("more"), F.sum("known").alias("known")))
+              "base_score double, score double, text string")
+    texts = _stored(spark, rows.mapInArrow(traversed, schema), f"{folder}/texts")
+    words = spark.read.schema("code bigint, base double, more double").parquet(f"{counts_folder}/rare_words")
+    sequences = spark.read.schema("code bigint, more double").parquet(f"{counts_folder}/rare_sequences")
+    sums = [F.sum(name).alias(name) for name in ("base", "more", "known")]
+    of_words = _rare(spark, texts, model, None).join(words, "code").withColumn("known", F.lit(1)).groupBy("row").agg(*sums)
+    _stored(spark, of_words, f"{folder}/sums")
+
+    def part_of(part: int) -> DataFrame:
+        own = sequences.filter(F.col("code").bitwiseAND(PARTS - 1) == part)
+        added = _rare(spark, texts, model, part).join(own, "code").groupBy("row").agg(F.sum("more").alias("more"))
+        return added.select("row", F.lit(0.0).alias("base"), "more", F.lit(0).cast("bigint").alias("known"))
+
+    for part in range(PARTS):
+        part_of(part).write.mode("append").parquet(f"{folder}/sums")
+    rest = spark.read.schema("row bigint, base double, more double, known bigint").parquet(f"{folder}/sums").groupBy("row").agg(*sums)
     base = F.coalesce("base", F.lit(0.0))
-    return read.drop("rare").join(rest, "row", "left").select(
+    return texts.drop("text").join(rest, "row", "left").select(
         F.col("key").alias(key), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         (F.col("base_score") + base).alias("base_score"),
         (F.col("score") + base + F.coalesce("more", F.lit(0.0))).alias("score"))

@@ -274,6 +274,19 @@ def test_scores_equal_a_plain_backoff_model(spark):
                    and r["score"] == pytest.approx(wanted) and r["base_score"] == pytest.approx(base) for r in got), (d, t)
 
 
+def test_parts_do_not_decide_on_scores(spark, monkeypatch):
+    docs = plain.table(spark, [r for r in plain.documents() if len(r[1] or "") < 3000])
+    found = []
+    for parts, least in ((1, 2), (8, 2), (1, 1), (4, 1)):
+        monkeypatch.setattr(lm_score, "PARTS", parts)
+        place = scratch_folder(spark, "lm")
+        model = lm_score.train(spark, docs.filter(lm_score.trained_on()), f"{place}/counts", least_count=least)
+        rows = lm_score.score(spark, docs, model, f"{place}/counts", f"{place}/texts").collect()
+        found.append(sorted((r["doc_id"] or -1, r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows))
+    assert found[0] == found[1] != found[2] == found[3]
+    assert spark.conf.get(lm_score._CLEANUP) == "false"
+
+
 def test_broadcast_size_does_not_decide_on_sequences(spark, monkeypatch):
     rng = random.Random(14)
     parts = ["the cat sat", "on the mat", "a dog ran", "far away", "so it is"] + [f"rare{i} pair{i} seen{i}" for i in range(20)]
