@@ -68,10 +68,11 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 # Within one edit is spelled out on characters, as the other engine's edit distance counts bytes.
-ORACLES["op10_line_dedup"] = """
+ORACLES["op10_line_dedup"] = r"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT doc_id, unnest(range(0, len(l))) AS i, unnest(l) AS t FROM d),
-judged AS (SELECT t, min((doc_id, i)) AS first_at FROM lines WHERE length(t) >= 20 GROUP BY t),
+filled AS (SELECT t, min((doc_id, i)) AS first_at FROM lines WHERE regexp_matches(t, '[^\x20\x09-\x0D]') GROUP BY t),
+judged AS (SELECT * FROM filled WHERE length(t) >= 20),
 keys AS (SELECT t, first_at, n, unnest(['p' || left(t, n // 2), 's' || right(t, n // 2)]) AS k
          FROM (SELECT t, first_at, unnest([length(t), length(t) - 1]) AS n FROM judged)),
 near AS (SELECT DISTINCT y.t FROM keys x JOIN keys y ON x.n = y.n AND x.k = y.k AND x.t <> y.t AND x.first_at < y.first_at
@@ -82,7 +83,7 @@ near AS (SELECT DISTINCT y.t FROM keys x JOIN keys y ON x.n = y.n AND x.k = y.k
              IF left(y.t, j - 1) || substr(y.t, j + 1) = x.t]) > 0
            OR length(y.t) + 1 = length(x.t) AND len([j FOR j IN range(1, length(x.t) + 1)
              IF left(x.t, j - 1) || substr(x.t, j + 1) = y.t]) > 0)),
-kept AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY i) AS k, count(*) AS n FROM lines LEFT JOIN judged USING (t)
+kept AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY i) AS k, count(*) AS n FROM lines LEFT JOIN filled USING (t)
          WHERE first_at IS NULL OR ((doc_id, i) = first_at AND t NOT IN (SELECT t FROM near)) GROUP BY doc_id)
 SELECT o.doc_id, CAST(coalesce(len(d.l), 0) AS BIGINT) AS n_lines,
        CAST(coalesce(len(d.l), 0) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256

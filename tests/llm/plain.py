@@ -108,17 +108,21 @@ def classes(rows: list[tuple], n: int, percent: int) -> dict:
     return {d: (len(s), found[d]) for d, s in sets.items()}
 
 
-def within_one_edit(a: str, b: str) -> bool:
-    if abs(len(a) - len(b)) > 1:
-        return False
-    if len(a) == len(b):
-        return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
-    if len(a) > len(b):
-        a, b = b, a
-    return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
-
-
-def kept_lines(rows: list[tuple], least: int) -> dict:
+def distance(a: str, b: str, most: int) -> int:
+    """The edit distance of two texts, or more than ``most``."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        if min(row) > most:
+            return most + 1
+    return row[-1]
+
+
+def kept_lines(rows: list[tuple], least: int, edits: int = 1) -> dict:
     """doc_id to its line count, the removed lines' numbers and the rest, for rows with an id."""
     texts = dict(sorted((d, t) for d, t, *_ in rows if d is not None and t is not None))
     seen: list[str] = []
@@ -127,8 +131,8 @@ def kept_lines(rows: list[tuple], least: int) -> dict:
         gone = []
         lines = t.split("\n")
         for i, line in enumerate(lines):
-            if len(line) >= least:
-                if any(within_one_edit(line, other) for other in seen):
+            if line.strip(" \t\n\v\f\r"):
+                if line in seen or len(line) >= least and any(len(o) >= least and distance(line, o, edits) <= edits for o in set(seen)):
                     gone.append(i)
                 seen.append(line)
         out[d] = (len(lines), gone, "\n".join(x for i, x in enumerate(lines) if i not in gone))

@@ -572,6 +572,45 @@ def test_archives_of_few_or_no_pages(spark):
 
 # --- 10 lines ---------------------------------------------------------------------------
 
+@pytest.mark.parametrize(("edits", "least"), [(0, 12), (2, 8), (3, 5)])
+def test_lines_within_a_bound(spark, edits, least):
+    rng = random.Random(edits)
+    base = ["".join(rng.choice("abcde ") for _ in range(rng.randrange(least, least + 6))) for _ in range(12)]
+    rows = []
+    for i in range(25):
+        text = []
+        for _ in range(rng.randrange(1, 5)):
+            line = list(rng.choice(base))
+            for _ in range(rng.randrange(edits + 2)):
+                at = rng.randrange(len(line))
+                line[at:at + rng.randrange(2)] = rng.choice(["", "x", "é"])
+            text.append("".join(line))
+        rows.append((i, "\n".join([*text, rng.choice(["}", "", " \t", "end"])])))
+    got = line_dedup.remove_lines(spark, plain.table(spark, rows), scratch_folder(spark, "t"), least, edits).collect()
+    assert by_id(got, "n_lines", "removed", "kept") == plain.kept_lines(rows, least, edits)
+    assert len({len(r["removed"]) for r in got}) > 2
+
+
+@pytest.mark.parametrize("edits", [2, 3])
+def test_parts_of_lines_within_the_bound_meet(edits):
+    rng = random.Random(edits)
+    for _ in range(300):
+        line = [rng.choice("ab") for _ in range(rng.randrange(6, 20))]
+        other = list(line)
+        for _ in range(edits):
+            at = rng.randrange(len(other) + 1)
+            other[at:at + rng.randrange(2)] = rng.choice(["", "c", "d"])
+        spans, begin, length = line_dedup._characters(["".join(line), "".join(other)])
+        one, two = line_dedup._part_keys(spans, begin, length, edits)
+        assert set(one.tolist()) & set(two.tolist())
+
+
+def test_short_lines_go_when_they_are_repeated(spark):
+    rows = [(1, "Home | About\nHome | Abour\n\n}"), (2, "Home | About\n \n}\n}")]
+    got = line_dedup.remove_lines(spark, plain.table(spark, rows), scratch_folder(spark, "t")).collect()
+    assert by_id(got, "removed", "kept") == {1: ([], rows[0][1]), 2: ([0, 2, 3], " ")}
+
+
 def test_lines_within_one_edit(spark):
     rng = random.Random(10)
     lines = [" ".join(plain.words(rng, rng.randrange(2, 9))) for _ in range(25)] + ["ééééé öööö üüüü aaaa"] * 2

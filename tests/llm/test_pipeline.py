@@ -81,7 +81,7 @@ def test_stages_do_what_plain_versions_do(spark):
 def test_short_lines_stay_when_a_shared_footer_goes(spark):
     footer = "the same line at the end of all of them"
     rows = [(1, f"one\n{footer}"), (2, f"roses are red\n\nviolets blue\n{footer}"), (3, f" \n\t\n{footer}\n"), (4, footer),
-            (5, "short"), (6, " "), (7, None), (None, footer)]
+            (5, "short"), (6, " "), (7, None), (None, footer), (8, f"one\n{footer}\n")]
     got = corpus_pipeline.line_stage(spark, plain.table(spark, rows), FOLDER).collect()
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in got} == {
         1: (rows[0][1], len(rows[0][1])), 2: ("roses are red\n\nviolets blue", 27), 5: ("short", 5), 6: (" ", 1), 7: (None, None),
