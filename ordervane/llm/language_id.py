@@ -30,6 +30,8 @@ UNKNOWN = "und"
 PIECE = 256
 #: Bound of the training sample: rows per language, passages per row, characters per passage.
 ROWS_PER_LANGUAGE, PASSAGES, PASSAGE_CHARS = 300, 6, 120
+#: Languages that are learned, those with the most rows; a label that few rows have is junk more often than not.
+LANGUAGES = 256
 #: Bytes of a training passage that are learned from.
 TRAIN_BYTES = 96
 
@@ -229,14 +231,14 @@ def predict_texts(net: Network, column: pa.Array) -> tuple[list[str], list[float
 
 
 def training_passages(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[bytes], list[str]]:
-    """A bounded sample: passages of about ``ROWS_PER_LANGUAGE`` texts of every language.
+    """A bounded sample: passages of about ``ROWS_PER_LANGUAGE`` texts of each of the ``LANGUAGES`` most frequent languages.
 
     Texts are picked by their hash, passages by place; the number collected does
     not grow with the table.
     """
     rows = labelled.select(F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l")).filter(
         F.col("l").isNotNull() & (F.length("t") > 0))
-    counts = {r["l"]: r["count"] for r in rows.groupBy("l").count().collect()}
+    counts = {r["l"]: r["count"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()}
     if not counts:
         return [], []
     chance = F.when(F.lit(False), 1.0)

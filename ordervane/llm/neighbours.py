@@ -18,7 +18,8 @@ fixed seed and need no sample.
 
 Inputs and results, also for odd ones: a vector that is null or zero, or holds null or
 non-finite components, takes no part, nor does one whose length is not the most frequent
-one; as a query it gets no rows. Rows with null id take no part. Rows repeated with one
+one; as a query it gets no rows. Vectors may be as long or short as doubles can say; inner products
+that doubles can't say are infinite, or NaN, which counts as the least. Rows with null id take no part. Rows repeated with one
 id are one candidate. Equal scores go to the smaller id. With fewer candidates than
 wanted all candidates are returned. Only the named columns are read, further ones
 are dropped. An empty table gives an empty result.
@@ -86,7 +87,7 @@ class Index:
 
     def visits(self, queries: np.ndarray) -> np.ndarray:
         """The buckets that each query visits, of all tables, most promising first in each."""
-        points = np.column_stack([queries / np.linalg.norm(queries, axis=1)[:, None], np.zeros(len(queries))])
+        points = np.column_stack([queries / norms_of(queries)[:, None], np.zeros(len(queries))])
         hashes = self.planes.shape[2]
         steps = np.array(list(itertools.product((-1, 0, 1), repeat=hashes)))
         out = []
@@ -110,7 +111,7 @@ class Ranges:
 
     def buckets(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The buckets that vectors are in, and whose each is."""
-        ranges = range_of(np.linalg.norm(vectors, axis=1), self.longest)
+        ranges = range_of(norms_of(vectors), self.longest)
         hashed = np.isin(ranges, list(self.indexes))
         codes, owners = [np.full((~hashed).sum(), WHOLE, np.int64)], [np.flatnonzero(~hashed)]
         for number in np.unique(ranges[hashed]).tolist():
@@ -127,6 +128,13 @@ class Ranges:
                 np.concatenate([np.repeat(np.arange(len(queries)), f.shape[1]) for f in found]))
 
 
+def norms_of(vectors: np.ndarray) -> np.ndarray:
+    """The norms, by way of the largest component, whose square may be no double."""
+    largest = np.abs(vectors).max(axis=1)
+    norms = largest * np.linalg.norm(vectors / largest[:, None], axis=1)
+    return np.minimum(norms, np.finfo(np.float64).max)
+
+
 def range_of(norms: np.ndarray, longest: float) -> np.ndarray:
     """The number of each norm's range, 0 for the longest."""
     return np.maximum(0, np.floor((math.log(longest) - np.log(norms)) / math.log(RATIO))).astype(np.int64)
@@ -137,8 +145,11 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     rows = rows.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector")).filter(
         F.col("key").isNotNull() & (F.size("vector") > 0)
         & F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x)))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    return rows.withColumn("norm", norm).filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    filled = rows.withColumn("largest", largest).filter("largest > 0")
+    share = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) * (x / F.col("largest")))
+    norm = F.least(F.col("largest") * F.sqrt(share), F.lit(float(np.finfo(np.float64).max)))
+    return filled.withColumn("norm", norm).drop("largest")
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
@@ -197,13 +208,16 @@ def _searched(rows: DataFrame, dimension: int, most: int) -> DataFrame:
         for begin in range(0, len(asked), 256):
             some = queries.slice(begin, 256)
             # no matrix product: equal vectors must get equal sums
-            scores = np.einsum("qd,vd->qv", asked[begin:begin + 256], vectors)
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = np.einsum("qd,vd->qv", asked[begin:begin + 256], vectors)
             if len(firsts) < len(vectors):  # rows repeated with one id are one candidate
                 scores = np.maximum.reduceat(scores, firsts, axis=1)
-            scores[some.to_numpy(zero_copy_only=False)[:, None] == names] = -np.inf
-            top = np.argsort(-scores, axis=1, kind="stable")[:, :most]
-            found = np.take_along_axis(scores, top, axis=1).ravel()
-            real = found > -np.inf
+            own = some.to_numpy(zero_copy_only=False)[:, None] == names
+            place = np.where(np.isnan(scores) | own, np.inf, -scores)
+            top = np.argsort(place, axis=1, kind="stable")[:, :most + 1]
+            real = ~np.take_along_axis(own, top, axis=1)
+            real &= np.cumsum(real, axis=1) <= most
+            found, real = np.take_along_axis(scores, top, axis=1).ravel(), real.ravel()
             at = np.repeat(np.arange(len(some)), top.shape[1])[real]
             yield pa.RecordBatch.from_arrays(
                 [some.take(pa.array(at)), keys.take(pa.array(order[top.ravel()[real]])), pa.array(found[real])],
@@ -235,8 +249,10 @@ def _answers(indexed: DataFrame, asking: DataFrame, blocks: DataFrame, dimension
     sent = asking.join(blocks, "bucket").select(
         "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"),
         "key", "vector")
-    found = _searched(placed.unionByName(sent), dimension, most).groupBy("query", "key").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "key")
+    number = F.max(F.when(~F.isnan("score"), F.col("score")))
+    found = _searched(placed.unionByName(sent), dimension, most).groupBy("query", "key").agg(
+        F.coalesce(number, F.lit(float("nan"))).alias("score"))
+    order = Window.partitionBy("query").orderBy(F.isnan("score"), F.desc("score"), "key")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
 
 
