@@ -1,12 +1,13 @@
 """Finding benchmark passages in documents by spaced-seed hashing.
 
-Tokens are runs of letters, digits and non-ASCII bytes, in lower case. A document
-shares a passage with a benchmark item where ``SPAN`` tokens in a row agree in all but
-at most ``SUBSTITUTIONS`` places. Each of the fixed masks ignores two of the four
-residue classes of positions; whichever two positions differ, some mask ignores both,
+Tokens are runs of letters, digits and non-ASCII bytes, in lower case; in scripts written without
+spaces every character is one. A document shares a passage with a benchmark item where ``SPAN``
+tokens in a row agree in all but at most ``SUBSTITUTIONS`` places. Each of the fixed masks ignores two
+of the four residue classes of positions; whichever two positions differ, some mask ignores both,
 so a shared passage always has an equal seed. Items' and documents' seeds are joined by
-hash, and the tokens around every hit are compared. Items of fewer tokens (at least
-``LEAST_TOKENS``) must occur whole and unchanged.
+hash, and the tokens around every hit are compared. Items of fewer tokens must occur whole: those
+of ``ONE_FROM`` or more with one substitution at most, for which two masks ignore every second position,
+those of ``LEAST_TOKENS`` or more unchanged. Shorter ones are in too many texts by chance.
 
 Only document seeds that may be an item's are shuffled: a bit table of fixed size
 (``SLOT_BITS``) over all items' seeds is broadcast and looked up first.
@@ -30,42 +31,64 @@ from pyspark.sql import functions as F
 
 from .text_arrays import mix, slices, utf8_buffers, word_hashes, word_spans
 
-SPAN, SUBSTITUTIONS, LEAST_TOKENS = 13, 2, 5
+SPAN, SUBSTITUTIONS, ONE_FROM, LEAST_TOKENS = 13, 2, 8, 5
 SLOT_BITS = 26
-#: The positions that each mask looks at.
+#: The positions that each mask of a span looks at.
 MASKS = [[i for i in range(SPAN) if i % 4 not in (a, b)] for a in range(4) for b in range(a + 1, 4)]
+#: Length, positions looked at and tag of all seeds.
+PATTERNS = [(SPAN, mask, i) for i, mask in enumerate(MASKS)]
+for _n in range(LEAST_TOKENS, SPAN):
+    PATTERNS += [(_n, list(range(_half, _n, 2)), 100 + 2 * _n + _half) for _half in (0, 1)] if _n >= ONE_FROM else [
+        (_n, list(range(_n)), 100 + 2 * _n)]
 
 _TOKEN_BYTES = np.zeros(256, bool)
 _TOKEN_BYTES[48:58] = _TOKEN_BYTES[97:123] = _TOKEN_BYTES[128:] = True
 _WEIGHTS = mix(np.arange(1, SPAN + 1, dtype=np.uint64)) | np.uint64(1)
 
+# First bytes, and second ones from and to, of characters of scripts without spaces, of three bytes each:
+# Thai and Lao, Burmese, Khmer, kana, and Chinese characters.
+_UNSPACED = [(0xE0, 0xB8, 0xBB), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), (0xE3, 0x81, 0x83), (0xE3, 0x90, 0xBF),
+             *((first, 0x80, 0xBF) for first in range(0xE4, 0xEA))]
+
+
+def _single(data: np.ndarray) -> np.ndarray | None:
+    """Bytes before which tokens break, as characters of scripts without spaces begin or end there."""
+    leads = np.flatnonzero((data[:-2] >= 0xE0) & (data[:-2] < 0xEA)) if len(data) > 2 else np.zeros(0, np.int64)
+    if not len(leads):
+        return None
+    first, second, chosen = data[leads], data[leads + 1], np.zeros(len(leads), bool)
+    for lead, low, high in _UNSPACED:
+        chosen |= (first == lead) & (second >= low) & (second <= high)
+    breaks = np.zeros(len(data) + 1, bool)
+    breaks[leads[chosen]] = breaks[leads[chosen] + 3] = True
+    return breaks[:-1]
+
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = utf8_buffers(pc.utf8_lower(column))
-    starts, stops, firsts = word_spans(data, offsets, _TOKEN_BYTES)
+    starts, stops, firsts = word_spans(data, offsets, _TOKEN_BYTES, _single(data))
     return word_hashes(data, starts, stops), firsts
 
 
-def _seeds(tokens: np.ndarray, left: np.ndarray, kinds: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places and seeds, for each mask of a span and for whole runs of the ``kinds`` lengths.
+def _seeds(tokens: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, places and seeds of each pattern.
 
     ``left``: how many tokens of the text begin at each place.
     """
-    for length, positions, tag in [*((SPAN, mask, i) for i, mask in enumerate(MASKS)),
-                                   *((n, list(range(n)), 100 + n) for n in kinds)]:
+    for length, positions, tag in PATTERNS:
         n = max(0, len(tokens) - length + 1)
         total = np.zeros(n, np.uint64)
         for p in positions:
             total += tokens[p:p + n] * _WEIGHTS[p]
         at = np.flatnonzero(left[:n] >= length)
-        yield at, mix(total[at] + np.uint64(tag))
+        yield length, at, mix(total[at] + np.uint64(tag))
 
 
-def _seed_table(rows: DataFrame, kinds: list[int], slots: np.ndarray | None, spark: SparkSession) -> DataFrame:
+def _seed_table(rows: DataFrame, slots: np.ndarray | None, spark: SparkSession) -> DataFrame:
     """``seed``, ``key``, ``place``, ``total`` tokens of the text and the ``window`` of tokens at the place.
 
     With ``slots`` for documents: only seeds whose bit is set. Without, for items: those of
-    fewer tokens than a span have the whole text's seed only.
+    fewer tokens than a span have the whole text's seeds only.
     """
     shared = spark.sparkContext.broadcast(slots)
 
@@ -79,14 +102,12 @@ def _seed_table(rows: DataFrame, kinds: list[int], slots: np.ndarray | None, spa
                 text_of = np.repeat(np.arange(part.num_rows), np.diff(firsts))
                 left, total = firsts[text_of + 1] - np.arange(len(tokens)), np.diff(firsts)[text_of]
                 padded = np.concatenate([tokens, np.zeros(SPAN, np.uint64)])
-                for number, (at, seeds) in enumerate(_seeds(tokens, left, kinds)):
+                for length, at, seeds in _seeds(tokens, left):
                     if bits is not None:
                         slot = (seeds >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
                         chosen = (bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
                     else:
-                        chosen = (total[at] >= SPAN) == (number < len(MASKS))
-                        if number >= len(MASKS):
-                            chosen &= total[at] == kinds[number - len(MASKS)]
+                        chosen = np.minimum(total[at], SPAN) == length
                     at, seeds = at[chosen], seeds[chosen]
                     if not len(at):
                         continue
@@ -121,17 +142,16 @@ def _slots(items: DataFrame) -> np.ndarray:
 def shared_windows(spark: SparkSession, docs: DataFrame, items: DataFrame, folder: str, key: str = "doc_id",
                    text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """``key``, ``item``, ``place`` and ``item_place`` of all shared windows, with ``length`` and ``differing`` tokens."""
-    kinds = list(range(LEAST_TOKENS, SPAN))
-    seeds = _seed_table(_named(items, item_key, item_text), kinds, None, spark)
+    seeds = _seed_table(_named(items, item_key, item_text), None, spark)
     seeds.write.mode("overwrite").parquet(folder)
     stored = spark.read.schema(seeds.schema).parquet(folder)
-    found = _seed_table(_named(docs, key, text), kinds, _slots(stored), spark)
+    found = _seed_table(_named(docs, key, text), _slots(stored), spark)
     length = F.least(F.lit(SPAN), "total")
     theirs = stored.select("seed", F.col("key").alias("item"), F.col("place").alias("item_place"),
                            length.alias("length"), F.col("window").alias("theirs"))
     pairs = F.arrays_zip(F.slice("window", F.lit(1), F.col("length")), F.slice("theirs", F.lit(1), F.col("length")))
     differing = F.size(F.filter(pairs, lambda p: p["0"] != p["1"]))
-    allowed = F.when(F.col("length") < SPAN, 0).otherwise(SUBSTITUTIONS)
+    allowed = F.when(F.col("length") >= SPAN, SUBSTITUTIONS).when(F.col("length") >= ONE_FROM, 1).otherwise(0)
     return (found.drop("total").join(theirs, "seed").withColumn("differing", differing)
             .filter(F.col("differing") <= allowed)
             .select("key", "item", "place", "item_place", "length", "differing").distinct())

@@ -75,15 +75,18 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray,
-               word_bytes: np.ndarray = _IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every word, and where each text's words begin in that list."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = _IN_WORD,
+               breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word, and where each text's words begin in that list.
+
+    ``breaks`` are bytes at which a word ends and another one may begin.
+    """
     inside = word_bytes[data]
     filled = offsets[1:] > offsets[:-1]
     first, last = offsets[:-1][filled], offsets[1:][filled] - 1
     begins, ends = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    ends[:-1] &= ~inside[1:]
+    begins[1:] &= ~inside[:-1] if breaks is None else ~inside[:-1] | breaks[1:]
+    ends[:-1] &= ~inside[1:] if breaks is None else ~inside[1:] | breaks[1:]
     begins[first], ends[last] = inside[first], inside[last]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     return starts, stops, np.searchsorted(starts, offsets)

@@ -139,7 +139,8 @@ def kept_lines(rows: list[tuple], least: int, edits: int = 1) -> dict:
     return out
 
 
-TOKEN = re.compile("[a-z0-9\x80-\U0010ffff]+")
+_UNSPACED = "\u0e00-\u0eff\u1000-\u10bf\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff"
+TOKEN = re.compile(f"[{_UNSPACED}]|(?:(?![{_UNSPACED}])[a-z0-9\x80-\U0010ffff])+")
 
 
 def passages(rows: list[tuple], items: list[tuple], span: int, substitutions: int, least: int) -> dict:
@@ -149,7 +150,7 @@ def passages(rows: list[tuple], items: list[tuple], span: int, substitutions: in
         a = TOKEN.findall((t or "").lower())
         for item, text in items:
             b = TOKEN.findall((text or "").lower())
-            n, allowed = (span, substitutions) if len(b) >= span else (len(b), 0)
+            n, allowed = (span, substitutions) if len(b) >= span else (len(b), int(len(b) >= 8))
             if d is None or item is None or n < least:
                 continue
             for i in range(len(a) - n + 1):

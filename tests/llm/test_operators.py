@@ -224,11 +224,14 @@ def test_masks_find_every_two_substitutions():
     for i in range(decontaminate.SPAN):
         for j in range(i, decontaminate.SPAN):
             assert any(i not in mask and j not in mask for mask in decontaminate.MASKS)
+    for n in range(decontaminate.ONE_FROM, decontaminate.SPAN):
+        own = [positions for length, positions, _ in decontaminate.PATTERNS if length == n]
+        assert all(any(i not in positions for positions in own) for i in range(n))
 
 
 def test_passages_equal_plain_comparison(spark):
     rng = random.Random(9)
-    items = [(i, " ".join(plain.words(rng, n, 300))) for i, n in enumerate([13, 20, 35, 12, 5, 4, 1])]
+    items = [(i, " ".join(plain.words(rng, n, 300))) for i, n in enumerate([13, 20, 35, 12, 5, 4, 8])]
     items += [(7, None), (8, ""), (None, items[1][1]), (1, items[1][1])]
     rows = plain.documents()[:30]
     for i in range(100, 130):
@@ -238,6 +241,9 @@ def test_passages_equal_plain_comparison(spark):
         text = plain.words(rng, rng.randrange(20), 300) + item + plain.words(rng, rng.randrange(20), 300)
         rows.append((i, ", ".join(text).upper()))
     rows += [(131, None), (132, ""), (None, items[2][1]), (133, items[2][1] + " é " + items[2][1])]
+    japanese = "吾輩は猫である。名前はまだ無い。"
+    items += [(9, japanese), (10, "ใครขายไข่ไก่"), (11, "日本 is a country")]
+    rows += [(134, f"Er sagt:{japanese.replace('猫', '犬')}so"), (135, "x ใครขายไข่ไก่ y"), (136, "日本 is a big country"), (137, "日本 IS A country")]
     tests = spark.createDataFrame([(*r, "x") for r in items], "item_id long, text string, key string")
     found = decontaminate.find_passages(spark, plain.table(spark, rows), tests, scratch_folder(spark, "t")).collect()
     got: dict[tuple, set] = {}
