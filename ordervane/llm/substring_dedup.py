@@ -3,13 +3,15 @@
 A window of ``length`` words is removed from a document if it also begins in a
 document with a smaller key. Windows are judged on the input, whatever is removed.
 
-Blocks of windows with a core of their own, or that recur as a whole, are settled by
-their hashes (``repeats``). What is left are the edges of shared passages. Their
-blocks form the reference shards: the blocks of one core, at most ``SHARD_BLOCKS`` of
-them in a shard. Each shard becomes a suffix automaton whose states know the first
-document that has their words, and the documents' blocks of that core are streamed
-through it. A core with more blocks has several shards; its blocks are sent to
-each of them, so that no automaton grows beyond the bound.
+Windows are cut into blocks by their content (``repeats``). Blocks with a core that occurs once are
+ruled out by its hash, as none of their windows is anywhere else. All others, one copy of each different
+block, form the reference shards: the blocks of one core, at most ``SHARD_BLOCKS`` of them in a shard. Each
+shard becomes a suffix automaton whose states know the first document that has their words, and the
+blocks of that core are streamed through it: their matching statistics say for every window the first
+document that has it. A core with more blocks has several shards; its blocks are sent to each of
+them, so that no automaton grows beyond the bound, and the first of all shards counts. Then every copy of
+a block loses the windows that are in a document before its own. Copies of a block have equal hashes
+of the block and of its core, 61 bits each.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` and are compared by 64-bit hashes of their bytes.
 
@@ -103,8 +105,8 @@ def _word_codes(column: pa.Array) -> tuple[SpanHash, np.ndarray]:
     return SpanHash(word_hashes(data, starts, stops)), firsts
 
 
-def _open_runs(docs: DataFrame, open_blocks: DataFrame, length: int, key: str, text: str) -> DataFrame:
-    """The words of blocks: ``core``, ``key``, ``start``, ``words``."""
+def _runs(docs: DataFrame, chosen: DataFrame, length: int, key: str, text: str) -> DataFrame:
+    """The words of blocks: ``core``, ``block``, ``key``, ``words``."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,32 +122,29 @@ def _open_runs(docs: DataFrame, open_blocks: DataFrame, length: int, key: str, t
                 places = np.concatenate([[0], np.cumsum(size)])
                 at = np.repeat(firsts[text_of] + start - places[:-1], size) + np.arange(places[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [blocks.field("core"), part.column("key").take(pa.array(text_of)), blocks.field("start"),
+                    [blocks.field("core"), blocks.field("block"), part.column("key").take(pa.array(text_of)),
                      pa.ListArray.from_arrays(places.astype(np.int32), pa.array(hashes[at]))],
-                    ["core", "key", "start", "words"])
+                    ["core", "block", "key", "words"])
 
-    texts = with_texts(docs, open_blocks, ["start", "n", "core"], "inner", key, text)
+    texts = with_texts(docs, chosen, ["start", "n", "core", "block"], "inner", key, text)
     kind = texts.schema["key"].dataType.simpleString()
-    return texts.mapInArrow(runs, f"core bigint, key {kind}, start int, words array<bigint>")
+    return texts.mapInArrow(runs, f"core bigint, block bigint, key {kind}, words array<bigint>")
 
 
-def _matched(runs: DataFrame, length: int) -> DataFrame:
-    """``key``, ``start`` and ``n`` (1) of all windows that an earlier document's block has."""
+def _first_documents(runs: DataFrame, length: int) -> DataFrame:
+    """``core``, ``block`` and ``firsts``: for each window of a block the first document that has it."""
     counts = runs.groupBy("core").agg(F.ceil(F.count("*") / SHARD_BLOCKS).cast("int").alias("shards"))
     many = counts.filter("shards > 1")
-    own = F.pmod(F.xxhash64("key", "start"), F.col("shards"))
+    own = F.pmod(F.xxhash64("block"), F.col("shards"))
     sent = (runs.join(many, "core", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
             .withColumn("own", own).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-            .select("core", "shard", (F.col("own") != F.col("shard")).alias("visitor"), "key", "start", "words"))
+            .select("core", "shard", (F.col("own") != F.col("shard")).alias("visitor"), "key", "block", "words"))
 
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, residents, automaton, keys, starts = None, [], None, [], []
+        shard, residents, automaton, out = None, [], None, []
 
-        def match(key, start: int, words: list[int]) -> None:
-            for i, first in enumerate(automaton.first_documents(words, length)):
-                if first is not None and first < key:
-                    keys.append(key)
-                    starts.append(start + i)
+        def match(block: int, words: list[int]) -> None:
+            out.append((shard[0], block, automaton.first_documents(words, length)))
 
         def close() -> None:
             nonlocal automaton
@@ -153,16 +152,14 @@ def _matched(runs: DataFrame, length: int) -> DataFrame:
                 automaton = SuffixAutomaton()
                 for key, _, words in residents:
                     automaton.add(words, key)
-                for resident in residents:
-                    match(*resident)
+                for _, block, words in residents:
+                    match(block, words)
 
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(keys, key_type), pa.array(starts, pa.int32()), pa.array([1] * len(keys), pa.int32())],
-                ["key", "start", "n"])
-            keys.clear()
-            starts.clear()
-            return batch
+        def made() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                                               pa.array(columns[2], pa.list_(key_type))], ["core", "block", "firsts"])
 
         key_type = None
         for batch in batches:
@@ -175,34 +172,42 @@ def _matched(runs: DataFrame, length: int) -> DataFrame:
                         shard, residents, automaton = (row["core"], row["shard"]), [], None
                     if row["visitor"]:
                         close()
-                        match(row["key"], row["start"], row["words"])
+                        match(row["block"], row["words"])
                     else:
-                        residents.append((row["key"], row["start"], row["words"]))
-                if keys:
-                    yield out()
+                        residents.append((row["key"], row["block"], row["words"]))
+                if out:
+                    yield made()
         if residents:
             close()
-        if keys:
-            yield out()
+        if out:
+            yield made()
 
     kind = runs.schema["key"].dataType.simpleString()
-    ordered = sent.repartition("core", "shard").sortWithinPartitions("core", "shard", "visitor", "key", "start")
-    return ordered.mapInArrow(streamed, f"key {kind}, start int, n int")
+    # work goes by words and not by bytes, so partitions are not to be packed by their bytes
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sent.repartition(parts, "core", "shard").sortWithinPartitions("core", "shard", "visitor", "key", "block")
+    found = ordered.mapInArrow(streamed, f"core bigint, block bigint, firsts array<{kind}>")
+    least = F.array(*[F.min(F.get("firsts", F.lit(i))) for i in range(BLOCK)])
+    return found.groupBy("core", "block").agg(least.alias("firsts"))
 
 
 def repeated_windows(spark: SparkSession, docs: DataFrame, folder: str, length: int = LENGTH,
                      key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``start`` and ``n``: runs of windows to be removed. ``folder`` takes intermediate tables."""
     found = settle(block_table(docs, _word_codes, length, min(GRAM, length), min(BLOCK, length), key, text))
-    later = F.col("key") > F.col("first")
-    (found.filter(later | F.col("mixed")).select("key", "start", "n", "core", later.alias("later"))
-     .write.mode("overwrite").parquet(f"{folder}/blocks"))
-    blocks = spark.read.schema(found.select("key", "start", "n", "core", later.alias("later")).schema).parquet(
-        f"{folder}/blocks")
-    edges = _open_runs(docs, blocks.filter("not later"), length, key, text)
-    edges.write.mode("overwrite").parquet(f"{folder}/edges")
-    matched = _matched(spark.read.schema(edges.schema).parquet(f"{folder}/edges"), length)
-    return blocks.filter("later").select("key", "start", "n").unionByName(matched)
+    rows = found.select("key", "start", "n", "core", "block")
+    rows.write.mode("overwrite").parquet(f"{folder}/blocks")
+    blocks = spark.read.schema(rows.schema).parquet(f"{folder}/blocks")
+    one = blocks.groupBy("core", "block").agg(F.min(F.struct("key", "start", "n")).alias("at")).select("core", "block", "at.*")
+    runs = _runs(docs, one, length, key, text)
+    runs.write.mode("overwrite").parquet(f"{folder}/runs")
+    firsts = _first_documents(spark.read.schema(runs.schema).parquet(f"{folder}/runs"), length)
+    known = blocks.join(firsts, ["core", "block"])
+    whole = known.filter(F.array_max("firsts") < F.col("key")).select("key", "start", "n")
+    some = known.filter((F.array_max("firsts") >= F.col("key")) & (F.array_min("firsts") < F.col("key"))).select(
+        "key", "start", F.posexplode("firsts").alias("place", "first")).filter("first < key").select(
+        "key", (F.col("start") + F.col("place")).alias("start"), F.lit(1).alias("n"))
+    return whole.unionByName(some)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, folder: str, length: int = LENGTH,
