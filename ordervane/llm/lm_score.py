@@ -16,8 +16,9 @@ to the arc's own weight depends on the word sequence only, so it is joined and a
 are the root's weights of words that are not broadcast.
 
 Most pairs and triples are seen once, and there are more bytes of their hashes than of text. So
-they are counted, and later looked up, in ``PARTS`` parts by their hash, one after the other, and a part's
-shuffle files are deleted before the next one is begun.
+they travel in lists, a row for each bucket of hashes and some texts, and are added up, and later looked up,
+a bucket at a time; the number of buckets grows with the tokens. This is done in ``PARTS`` parts, one after
+the other, and a part's shuffle files are deleted before the next one is begun.
 
 Words are compared by 64-bit hashes of their lower-cased bytes.
 
@@ -48,8 +49,8 @@ from .text_arrays import lower_ascii, mix, slices, utf8_buffers, word_hashes, wo
 #: Bounds of the broadcast parts (words, pairs, triples each) and of the root's broadcast weights.
 MOST_ARCS, MOST_WEIGHTS = 1 << 18, 1 << 21
 LEAST_COUNT = 2
-#: Passes over the texts for pairs and triples, a power of two.
-PARTS = 4
+#: Passes over the texts for pairs, for triples and for looking up both; and tokens for each bucket of hashes.
+PARTS, BUCKET_TOKENS = 2, 1 << 18
 DISCOUNT = 0.5
 #: The hash that stands for the end of a text, and for its start as a context.
 END = np.uint64(0)
@@ -144,25 +145,55 @@ def _sequences(tokens: np.ndarray, firsts: np.ndarray) -> tuple[tuple[np.ndarray
             (left, right, sequence_codes(left, right), text[:-2][both]))
 
 
-def count_sequences(docs: DataFrame, triple: bool, part: int = 0, parts: int = 1, text: str = "text") -> DataFrame:
-    """``left``, ``right`` and ``n`` for the pairs, or triples, of all texts whose code is in this part of all."""
+def _bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((codes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
 
+
+def _lists(bucket: np.ndarray, kind: int, **columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket, with its ``kind`` and lists of its values of the columns."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    offsets = np.append(first, len(bucket)).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[first]), pa.array(np.full(len(first), kind, np.int8)),
+         *(pa.ListArray.from_arrays(offsets, pa.array(c[order])) for c in columns.values())], ["bucket", "kind", *columns])
+
+
+def _bucket_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """Bucket, kind and lists of every row."""
+    for batch in batches:
+        buckets, kinds = batch.column("bucket").to_pylist(), batch.column("kind").to_pylist()
+        lists = []
+        for name in columns:
+            column = batch.column(name)
+            offsets, values = column.offsets.to_numpy(), column.values
+            lists.append([values.slice(a, b - a).to_numpy(zero_copy_only=False) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+        for i, (bucket, kind) in enumerate(zip(buckets, kinds, strict=True)):
+            yield bucket, kind, [column[i] for column in lists]
+
+
+def count_sequences(docs: DataFrame, triple: bool, least: int, part: int = 0, parts: int = 1, buckets: int = 1,
+                    text: str = "text") -> DataFrame:
+    """``left``, ``right``, ``code`` and ``n`` for the pairs, or triples, that all texts have ``least`` times.
+
+    Only the buckets of this part of all are counted.
+    """
     def added(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
         left, right, code, n = (np.concatenate(x) for x in zip(*held, strict=True))
         _, at, back = np.unique(code, return_index=True, return_inverse=True)
         return left[at], right[at], code[at], np.bincount(back, weights=n).astype(np.int64)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            left, right, _, n = added(held)
-            return pa.RecordBatch.from_arrays([pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(n)],
-                                              ["left", "right", "n"])
+            left, right, code, n = added(held)
+            return _lists(_bucket_of(code, buckets), 0, left=left.view(np.int64), right=right.view(np.int64), n=n)
 
         held, size = [], 0
         for batch in batches:
             for piece in slices(batch, "text"):
                 left, right, code, _ = _sequences(*token_hashes(piece.column("text")))[triple]
-                ok = code & np.uint64(parts - 1) == part
+                ok = _bucket_of(code, buckets) % parts == part
                 held.append((left[ok], right[ok], code[ok], np.ones(int(ok.sum()), np.int64)))
                 size += len(held[-1][0])
                 if size > _FLUSH:
@@ -174,20 +205,32 @@ def count_sequences(docs: DataFrame, triple: bool, part: int = 0, parts: int = 1
         if held:
             yield out()
 
-    rows = docs.select(F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(counted, "left bigint, right bigint, n bigint").groupBy("left", "right").agg(F.sum("n").alias("n"))
-
-
-def _coded(rows: DataFrame) -> DataFrame:
-    """With ``code``, from ``left`` and ``right``."""
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (batch.column(c).to_numpy().view(np.uint64) for c in ("left", "right"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sequence_codes(left, right).view(np.int64))],
-                                             [*batch.schema.names, "code"])
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            left, right, code, n = added(held)
+            often = n >= least
+            return pa.RecordBatch.from_arrays([pa.array(x[often]) for x in (left.view(np.int64), right.view(np.int64), code.view(np.int64), n)],
+                                              ["left", "right", "code", "n"])
+
+        held, size, last = [], 0, None
+        for bucket, _, (left, right, n) in _bucket_rows(batches, "left", "right", "n"):
+            if bucket != last and held:
+                yield out()
+                held, size = [], 0
+            last = bucket
+            left, right = left.view(np.uint64), right.view(np.uint64)
+            held.append((left, right, sequence_codes(left, right), n))
+            size += len(left)
+            if size > 4 * _FLUSH:
+                held = [added(held)]
+                size = 0
+        if held:
+            yield out()
 
-    return rows.mapInArrow(coded, T.StructType([*rows.schema, T.StructField("code", T.LongType())]))
+    rows = docs.select(F.col(text).cast("string").alias("text"))
+    lists = rows.mapInArrow(listed, "bucket int, kind tinyint, left array<bigint>, right array<bigint>, n array<bigint>")
+    return lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        counted, "left bigint, right bigint, code bigint, n bigint")
 
 
 def _with_value(spark: SparkSession, rows: DataFrame, by: str, name: str, hot: tuple[np.ndarray, np.ndarray],
@@ -218,6 +261,7 @@ class Automaton:
 
     tokens: int
     types: int
+    buckets: int
     weight_codes: np.ndarray  # hashes of the words whose root weights are broadcast
     weight_counts: np.ndarray
     weight_costs: np.ndarray  # of their failure arcs
@@ -320,9 +364,10 @@ def _trained(spark: SparkSession, docs: DataFrame, folder: str, text: str, least
     hot = F.col("n") >= least(MOST_ARCS)
     weights, weight_counts = _arrays(counts.filter(F.col("n") >= least(MOST_WEIGHTS)), "n")
 
+    buckets = PARTS * max(1, -(-tokens // (PARTS * BUCKET_TOKENS)))
+
     def often(triple: bool, name: str) -> DataFrame:
-        return _coded(_in_parts(spark, lambda part: count_sequences(docs, triple, part, PARTS, text).filter(F.col("n") >= least_count),
-                                f"{folder}/{name}"))
+        return _in_parts(spark, lambda part: count_sequences(docs, triple, least_count, part, PARTS, buckets, text), f"{folder}/{name}")
 
     pairs = often(False, "pair_counts")
     word_values = counts.select("code", F.col("n").alias("value"))
@@ -359,13 +404,13 @@ def _trained(spark: SparkSession, docs: DataFrame, folder: str, text: str, least
     rare_triples = _with_value(spark, triples.filter(~hot), "left", "back", (costed3, hot_costs3), costs3).select(
         "code", (F.log10("share") - F.log10("lower") - F.col("back")).alias("more"))
     rare_words.write.mode("overwrite").parquet(f"{folder}/rare_words")
-    rare_pairs.write.mode("overwrite").parquet(f"{folder}/rare_sequences")
-    rare_triples.write.mode("append").parquet(f"{folder}/rare_sequences")
+    _weight_lists(rare_pairs, buckets).write.mode("overwrite").parquet(f"{folder}/rare_sequences")
+    _weight_lists(rare_triples, buckets).write.mode("append").parquet(f"{folder}/rare_sequences")
 
     for name in ("words", "pairs", "triples", "word_costs", "pair_costs"):
         delete_folder(spark, f"{folder}/{name}")
     core = (weight_counts >= least(MOST_ARCS)) | (weights == END)
-    return Automaton(tokens, types, weights, weight_counts, weight_costs, weights[core], weight_costs[core],
+    return Automaton(tokens, types, buckets, weights, weight_counts, weight_costs, weights[core], weight_costs[core],
                      hot_pairs, pair_left.view(np.uint64), pair_right.view(np.uint64), pair_shares, pair_costs,
                      hot_triples, triple_left.view(np.uint64), triple_right.view(np.uint64), triple_shares)
 
@@ -381,29 +426,77 @@ def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder:
         return _scored(spark, docs, model, counts_folder, folder, key, text)
 
 
-def _rare(spark: SparkSession, texts: DataFrame, model: Automaton, part: int | None) -> DataFrame:
-    """``row`` and ``code`` of every word that is not broadcast, or, of a part, of every pair and triple."""
-    shared = spark.sparkContext.broadcast((model.weight_codes, model.pairs, model.triples))
+_WEIGHTS = "bucket int, kind tinyint, codes array<bigint>, more array<double>"
+
 
+def _weight_lists(rows: DataFrame, buckets: int) -> DataFrame:
+    """``code`` and ``more`` as lists by bucket."""
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs, triples = shared.value
+        def out() -> pa.RecordBatch:
+            codes, more = (np.concatenate(x) for x in zip(*held, strict=True))
+            return _lists(_bucket_of(codes.view(np.uint64), buckets), 0, codes=codes, more=more)
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("code", "more")))
+            size += batch.num_rows
+            if size > _FLUSH:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
+
+    return rows.select("code", "more").mapInArrow(listed, _WEIGHTS)
+
+
+def _looked_up(texts: DataFrame, weights: DataFrame, model: Automaton, part: int) -> DataFrame:
+    """``row`` and ``more``: what is added for the pairs and triples of this part that are not broadcast."""
+    shared, buckets = texts.sparkSession.sparkContext.broadcast((model.pairs, model.triples)), model.buckets
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            codes, rows = (np.concatenate(x) for x in zip(*held, strict=True))
+            return _lists(_bucket_of(codes, buckets), 1, codes=codes.view(np.int64), rows=rows)
+
+        held, size = [], 0
         for batch in batches:
             for piece in slices(batch, "text"):
-                tokens, firsts = token_hashes(piece.column("text"))
-                if part is None:
-                    found = [(words, tokens, np.repeat(np.arange(piece.num_rows), np.diff(firsts)))]
-                else:
-                    found = [(hot, codes, texts) for hot, (_, _, codes, texts) in
-                             zip((pairs, triples), _sequences(tokens, firsts), strict=True)]
-                for hot, codes, of in found:
-                    if part is not None:
-                        ok = codes & np.uint64(PARTS - 1) == part
-                        codes, of = codes[ok], of[ok]
-                    rare = _find(hot, codes) < 0
-                    yield pa.RecordBatch.from_arrays(
-                        [piece.column("row").take(pa.array(of[rare])), pa.array(codes[rare].view(np.int64))], ["row", "code"])
-
-    return texts.select("row", "text").mapInArrow(listed, "row bigint, code bigint")
+                names = piece.column("row").to_numpy()
+                for hot, (_, _, codes, of) in zip(shared.value, _sequences(*token_hashes(piece.column("text"))), strict=True):
+                    rare = np.flatnonzero(_bucket_of(codes, buckets) % PARTS == part)
+                    rare = rare[_find(hot, codes[rare]) < 0]
+                    held.append((codes[rare], names[of[rare]]))
+                    size += len(rare)
+                if size > _FLUSH:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, known, values, parts = None, None, None, []
+        for bucket, kind, (codes, more, rows) in _bucket_rows(batches, "codes", "more", "rows"):
+            if bucket != last:
+                last, known, parts = bucket, None, []
+            if kind == 0:  # weights come before the texts' codes
+                parts.append((codes.view(np.uint64), more))
+                continue
+            if known is None:
+                known, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0))
+                order = np.argsort(known)
+                known, values, parts = known[order], values[order], []
+            at = _find(known, codes.view(np.uint64))
+            found = at >= 0
+            named, back = np.unique(rows[found], return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(named), pa.array(np.bincount(back, weights=values[at[found]], minlength=len(named)).astype(np.float64))], ["row", "more"])
+
+    schema = "bucket int, kind tinyint, codes array<bigint>, more array<double>, rows array<bigint>"
+    asked = texts.select("row", "text").mapInArrow(listed, "bucket int, kind tinyint, codes array<bigint>, rows array<bigint>")
+    both = weights.filter(F.col("bucket") % PARTS == part).withColumn("rows", F.array().cast("array<bigint>")).unionByName(
+        asked.withColumn("more", F.array().cast("array<double>")))
+    names = [field.split()[0] for field in schema.split(", ")]
+    return both.select(*names).repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(added, "row bigint, more double")
 
 
 def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder: str, folder: str, key: str, text: str) -> DataFrame:
@@ -430,30 +523,27 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folde
                 n = piece.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("key"), pa.array(np.arange(row, row + n)), pa.array(np.diff(firsts)), pa.array(known),
-                     pa.array(base), pa.array(np.array(scores, np.float64) + backs), piece.column("text")],
-                    ["key", "row", "n_tokens", "n_known", "base_score", "score", "text"])
+                     pa.array(base), pa.array(np.array(scores, np.float64) + backs), piece.column("text"),
+                     pa.ListArray.from_arrays(np.append(0, np.add.accumulate(np.add.reduceat((found < 0).astype(np.int32), firsts[:-1]))).astype(np.int32),
+                                              pa.array(tokens[found < 0].view(np.int64)))],
+                    ["key", "row", "n_tokens", "n_known", "base_score", "score", "text", "rare"])
                 row += n
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = (f"key {rows.schema['key'].dataType.simpleString()}, row bigint, n_tokens bigint, n_known bigint, "
-              "base_score double, score double, text string")
+              "base_score double, score double, text string, rare array<bigint>")
     texts = _stored(spark, rows.mapInArrow(traversed, schema), f"{folder}/texts")
     words = spark.read.schema("code bigint, base double, more double").parquet(f"{counts_folder}/rare_words")
-    sequences = spark.read.schema("code bigint, more double").parquet(f"{counts_folder}/rare_sequences")
+    weights = spark.read.schema(_WEIGHTS).parquet(f"{counts_folder}/rare_sequences")
     sums = [F.sum(name).alias(name) for name in ("base", "more", "known")]
-    of_words = _rare(spark, texts, model, None).join(words, "code").withColumn("known", F.lit(1)).groupBy("row").agg(*sums)
-    _stored(spark, of_words, f"{folder}/sums")
-
-    def part_of(part: int) -> DataFrame:
-        own = sequences.filter(F.col("code").bitwiseAND(PARTS - 1) == part)
-        added = _rare(spark, texts, model, part).join(own, "code").groupBy("row").agg(F.sum("more").alias("more"))
-        return added.select("row", F.lit(0.0).alias("base"), "more", F.lit(0).cast("bigint").alias("known"))
-
+    of_words = texts.select("row", F.explode("rare").alias("code")).join(words, "code").withColumn("known", F.lit(1))
+    _stored(spark, of_words.groupBy("row").agg(*sums), f"{folder}/sums")
     for part in range(PARTS):
-        part_of(part).write.mode("append").parquet(f"{folder}/sums")
+        added = _looked_up(texts, weights, model, part).groupBy("row").agg(F.sum("more").alias("more"))
+        added.select("row", F.lit(0.0).alias("base"), "more", F.lit(0).cast("bigint").alias("known")).write.mode("append").parquet(f"{folder}/sums")
     rest = spark.read.schema("row bigint, base double, more double, known bigint").parquet(f"{folder}/sums").groupBy("row").agg(*sums)
     base = F.coalesce("base", F.lit(0.0))
-    return texts.drop("text").join(rest, "row", "left").select(
+    return texts.drop("text", "rare").join(rest, "row", "left").select(
         F.col("key").alias(key), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         (F.col("base_score") + base).alias("base_score"),
         (F.col("score") + base + F.coalesce("more", F.lit(0.0))).alias("score"))
