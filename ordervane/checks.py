@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,7 @@ from .sources import sample_tables as sample
 from .sources.batch_folders import DAY, BatchFolders
 from .sources.state import ControlTable, get_watermark, set_watermark
 from .sources.tables import KeyedTable, ModelTables, erp_orders_table
-from .streaming import dedup, landing, orders
+from .streaming import control, dedup, landing, orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -433,10 +435,7 @@ def _landed(spark, folder) -> tuple[str, str]:
     return f"{root}/lake", root
 
 
-@query
-def land_events_stream(spark, folder):
-    place, _ = _landed(spark, folder)
-    landed = lake.read_landed(spark, place, EVENT_TEXT)
+def _typed_events(landed: DataFrame) -> DataFrame:
     return landed.select(
         F.col("event_id").cast("bigint").alias("event_id"),
         F.col("customer_id").cast("int").alias("customer_id"),
@@ -448,8 +447,8 @@ def land_events_stream(spark, folder):
     )
 
 
-def _landed_with_faults(spark, folder) -> str:
-    """Land the faulty messages by a stream as if they came from a topic; gives the lake."""
+def _landed_with_faults(spark, folder) -> tuple[str, str]:
+    """Land the faulty messages by a stream as if they came from a topic; gives the lake and the folder around it."""
     root = scratch_folder(spark, "faults")
     number = F.col("message_id")
     sample.faulty_messages(spark, folder).select(
@@ -458,19 +457,20 @@ def _landed_with_faults(spark, folder) -> str:
     ).write.parquet(f"{root}/sent")
     sent = spark.readStream.schema("offset bigint, value string, topic string, partition int").parquet(f"{root}/sent")
     landing.land_events(sent, f"{root}/lake", f"{root}/checkpoint", once=True).awaitTermination()
-    return f"{root}/lake"
+    return f"{root}/lake", root
 
 
 @query
 def landed_dead_letters(spark, folder):
     """The unreadable messages in the lake, with why and where they came from."""
-    return landing.read_dead_letters(spark, _landed_with_faults(spark, folder)).drop(DAY.name)
+    place, _ = _landed_with_faults(spark, folder)
+    return landing.read_dead_letters(spark, place).drop(DAY.name)
 
 
 @query
 def replayed_dead_letters(spark, folder):
     """What the lake holds by route and replays after unreadable messages were mended and landed again, twice."""
-    place = _landed_with_faults(spark, folder)
+    place, root = _landed_with_faults(spark, folder)
 
     def repair(letters: DataFrame) -> DataFrame:
         """Of texts that are cut off the event id stays; the others cannot be mended."""
@@ -478,7 +478,7 @@ def replayed_dead_letters(spark, folder):
         return letters.withColumn("value", F.when(begun != "", F.concat(begun, F.lit("}"))).otherwise(F.col("value")))
 
     for _ in range(2):
-        landing.replay_dead_letters(spark, place, f"{place}/../replay", repair).awaitTermination()
+        landing.replay_dead_letters(spark, place, f"{root}/replay", repair).awaitTermination()
     letters = landing.read_dead_letters(spark, place)
     landed = lake.read_landed(spark, place, EVENT_TEXT).select("route", F.lit(None).cast("int").alias("replays"))
     return landed.unionByName(letters.select(F.lit(ev.DEAD_LETTER_ROUTE).alias("route"), "replays")).groupBy("route", "replays").agg(
@@ -492,6 +492,47 @@ def recent_landed(spark, folder):
     return lake.recent_landed(spark, place, EVENT_TEXT, limit=25).select("event_id", "timestamp", "route")
 
 
+@query
+def land_events_stream(spark, folder):
+    place, _ = _landed(spark, folder)
+    return _typed_events(lake.read_landed(spark, place, EVENT_TEXT))
+
+
+@query
+def merged_landed_days(spark, folder):
+    """Events landed in several batches, and read after all days but what may be repeated were merged."""
+    root = scratch_folder(spark, "merged")
+    events = sample.order_events(sample.table(spark, folder, "events"))
+    events.select(ev.event_json(events).alias("value")).repartition(6).write.text(f"{root}/sent")
+    sent = streams.read_file_stream(spark, f"{root}/sent", "value string", "text", max_files_per_trigger=2)
+    landing.land_events(sent, f"{root}/lake", f"{root}/checkpoint", once=True).awaitTermination()
+    lake.merge_landed_days(spark, f"{root}/lake", dt.date(9999, 1, 1))
+    return _typed_events(lake.read_landed(spark, f"{root}/lake", EVENT_TEXT))
+
+
+@query
+def stream_progress(spark, folder):
+    """Rows of a landing that has ended, as its kept progress tells them."""
+    root = scratch_folder(spark, "progress")
+    kept = ControlTable(spark, f"{root}/control")
+    listener = control.KeepProgress(kept)
+    spark.streams.addListener(listener)
+    name = f"landing-{uuid.uuid4().hex}"
+    try:
+        messages = sample.order_events(sample.event_stream(spark, folder))
+        landing.land_events(messages.select(ev.event_json(messages).alias("value")), f"{root}/lake", f"{root}/checkpoint",
+                            name=name, once=True).awaitTermination()
+        for _ in range(150):  # events reach listeners a little later
+            if control.last_progress(kept, name):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    now = control.status(spark, name, kept)
+    return spark.createDataFrame([(now["running"], control.last_progress(kept, name)["run_rows"], len(now["offsets"]))],
+                                 "running boolean, run_rows bigint, sources int")
+
+
 @query
 def stream_upsert_orders(spark, folder):
     place, root = _landed(spark, folder)
@@ -619,6 +660,32 @@ def run_layers(spark, folder):
     return tables.read_table("marts", "executive_dashboard")
 
 
+def _stored_view(name: str) -> None:
+    """A view model, stored over stored raw tables, as any session of the catalog selects it."""
+    def run(spark, folder):
+        root = scratch_folder(spark, "views")
+        tables = ModelTables(spark, root, ControlTable(spark, f"{root}/control"))
+        raw, stored = {"raw.crm_customers": sample.crm_customers(spark, folder), "raw.erp_orders": sample.erp_orders(spark, folder)}, {}
+        for source, rows_ in raw.items():
+            layer, table = source.split(".")
+            rows_.write.parquet(f"{root}/{table}")
+            stored[source] = tables.register(layer, table, f"{root}/{table}", rows_.schema)
+        model_run = layers.ModelRun(spark, raw, tables, sample.AS_OF, stored=stored)
+        for layer in ("staging", "intermediate"):
+            result = layers.run_layer(model_run, layer, select=list(layers.VIEWS))
+            if result["status"] != "success":
+                raise RuntimeError(str(result))
+        spark.newSession().table(model_run.stored_name(name))
+        return spark.table(model_run.stored_name(name))
+
+    run.__name__ = f"stored_{name}"
+    query(run)
+
+
+for _name in ("stg_crm_customers", "int_customer_cleaned", "int_order_cleaned"):
+    _stored_view(_name)
+
+
 def _faulty_raw(spark, folder) -> dict[str, DataFrame]:
     """The raw tables with repeated rows, and amounts that are missing or negative."""
     customers, orders = sample.crm_customers(spark, folder), sample.erp_orders(spark, folder)

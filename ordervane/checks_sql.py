@@ -448,3 +448,9 @@ SELECT {KPI_COLUMNS}, (SELECT max(created_at) FROM dim) AS watermark FROM dashbo
 for _kpi in ("kpi_total_customers", "kpi_total_revenue", "kpi_avg_order_value",
              "kpi_active_customer_rate", "kpi_total_orders"):
     ORACLES[_kpi] = f"{BOARD} SELECT {KPI_COLUMNS} FROM dashboard WHERE kpi = '{_kpi}'"
+
+
+for _stored, _same in (("stored_stg_crm_customers", "stg_crm_customers"), ("stored_int_customer_cleaned", "int_customer_cleaned"),
+                       ("stored_int_order_cleaned", "int_order_cleaned"), ("merged_landed_days", "land_events_stream")):
+    ORACLES[_stored] = ORACLES[_same]
+ORACLES["stream_progress"] = "SELECT false AS running, count(*) AS run_rows, CAST(1 AS INTEGER) AS sources FROM events"

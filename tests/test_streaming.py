@@ -367,6 +367,33 @@ def test_progress_is_kept_after_the_stream_ended(spark, tmp_path):
     assert (now["running"], now["batch_id"], now["input_rows"]) == (False, 0, 7) and now["offsets"] == progress["offsets"]
 
 
+def test_requests_are_sent_or_rejected_once(spark, tmp_path):
+    from ordervane.plans import sending
+
+    good = json.dumps({"customer_id": 1, "product_id": "p", "quantity": 2, "price": 1.5})
+    outbox = sending.FileOutbox(spark, str(tmp_path / "out"))
+    calls = []
+
+    def send_twice(messages, query, number):
+        outbox(messages, query, number)
+        calls.append((query, number))
+        outbox(messages, query, number)  # as a batch taken again does
+
+    def run():
+        stream = spark.readStream.text(str(tmp_path / "sent"))
+        sending.send_order_stream(stream, send_twice, outbox.rejects, str(tmp_path / "checkpoint"), LOADED, once=True).awaitTermination()
+
+    send(tmp_path / "sent", "a.txt", [good, "{", json.dumps({"customer_id": 1})])
+    run()
+    run()
+    send(tmp_path / "sent", "b.txt", [good])
+    run()
+    assert len(calls) == 2 and len({q for q, _ in calls}) == 1
+    messages = [json.loads(r.value) for r in outbox.messages.read().collect()]
+    assert [(m["customer_id"], m["status"], m["event_type"]) for m in messages] == [(1, "pending", "order_event")] * 2
+    assert sorted(r.reject_reason for r in outbox.rejects.read().collect()) == ["not a JSON object", "product_id"]
+
+
 def test_start_status_stop(spark, tmp_path):
     send(tmp_path / "sent", "a.txt", [event(1)])
 
