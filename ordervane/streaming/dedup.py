@@ -69,13 +69,13 @@ class SeenIds:
 
     def new_rows(self, batch: DataFrame, query: str, number: int) -> DataFrame:
         """A row of each key of the batch that no other batch has brought."""
-        once = batch.dropDuplicates(self.keys).withColumn("id", self._id())
-        asked = self._named(once.select("id"))
+        once = batch.dropDuplicates(self.keys).withColumn("_seen_id", self._id())
+        asked = self._named(once.select(F.col("_seen_id").alias("id")))
         words = self.words.read(before=(query, number)).alias("word")
         hit = (F.col("asked.place") == F.col("word.place")) & (F.col("word.bits").bitwiseAND(F.col("asked.bits")) == F.col("asked.bits"))
         maybe = asked.alias("asked").join(words, hit).select("asked.id", "asked.hash", "asked.bucket", f"word.{DAY.name}")
         known = self.ids.read(before=(query, number)).join(maybe, ["id", "hash", "bucket", DAY.name], "left_semi")
-        return once.join(known.select("id").distinct(), "id", "left_anti").select(*batch.columns)
+        return once.join(known.select(F.col("id").alias("_seen_id")).distinct(), "_seen_id", "left_anti").select(*batch.columns)
 
     def add(self, rows: DataFrame, query: str, number: int, day: dt.date) -> None:
         """Store the keys of rows that ``new_rows`` gave for this batch."""

@@ -322,10 +322,10 @@ def test_ids_on_disk_keep_repeats_out_however_late(spark, tmp_path):
 
 def test_a_batch_taken_again_does_not_count_its_own_ids(spark, tmp_path):
     seen = dedup.SeenIds(spark, str(tmp_path / "seen"))
-    batch = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "event_id string, n int")
+    batch = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("a", "x", 3)], "event_id string, id string, hash int")
     for _ in range(2):
         fresh = seen.new_rows(batch, "q", 0)
-        assert sorted(r.event_id for r in fresh.collect()) == ["a", "b"]
+        assert sorted((r.event_id, r.id) for r in fresh.collect()) == [("a", "x"), ("b", "y")]
         seen.add(fresh, "q", 0, dt.date(2024, 3, 1))
     assert seen.new_rows(batch, "q", 1).count() == 0
     assert seen.new_rows(batch, "other", 0).count() == 0
