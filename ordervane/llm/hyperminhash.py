@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .settings import SHUFFLES_DELETED, SMALL_BATCHES, settings
 from .text_arrays import SpanHash, lower_ascii, mix, slices, utf8_buffers, window_ok, word_hashes, word_spans
 
 BUCKETS, MANTISSA_BITS = 256, 10
@@ -335,6 +336,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str, words: in
 
     ``folder`` takes intermediate tables.
     """
+    with settings(spark, SHUFFLES_DELETED, SMALL_BATCHES):
+        return _classed(spark, docs, folder, words, percent, key, text)
+
+
+def _classed(spark: SparkSession, docs: DataFrame, folder: str, words: int, percent: int, key: str, text: str) -> DataFrame:
     signed = _stored(signatures(docs, words, key, text), spark, f"{folder}/signatures")
     filled = signed.filter(F.col("key").isNotNull() & (F.col("n") > 0))
     same = ["n", "low", "high"]

@@ -32,7 +32,6 @@ ones are dropped.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -44,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.state import delete_folder
+from .settings import SHUFFLES_DELETED, settings
 from .text_arrays import lower_ascii, mix, slices, utf8_buffers, word_hashes, word_spans
 
 #: Bounds of the broadcast parts (words, pairs, triples each) and of the root's broadcast weights.
@@ -317,20 +317,6 @@ class Automaton:
         return total
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
-    """Within it, the shuffle files of a query are deleted when its table is written."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
 def _stored(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
     rows.write.mode("overwrite").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
@@ -345,7 +331,7 @@ def _in_parts(spark: SparkSession, rows_of: Callable[[int], DataFrame], folder:
 
 def train(spark: SparkSession, docs: DataFrame, folder: str, text: str = "text", least_count: int = LEAST_COUNT) -> Automaton:
     """Learns from all rows. What is not broadcast is stored in ``folder`` for ``score``."""
-    with _shuffles_deleted(spark):
+    with settings(spark, SHUFFLES_DELETED):
         return _trained(spark, docs, folder, text, least_count)
 
 
@@ -422,7 +408,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder:
     ``folder`` takes the texts with the automaton's scores, and what is added for words, pairs
     and triples whose weights are in what ``train`` stored.
     """
-    with _shuffles_deleted(spark):
+    with settings(spark, SHUFFLES_DELETED):
         return _scored(spark, docs, model, counts_folder, folder, key, text)
 
 

@@ -20,6 +20,7 @@ from ordervane.llm import (
     line_dedup,
     lm_score,
     neighbours,
+    settings,
     substring_dedup,
     suffix_array,
     text_arrays,
@@ -329,7 +330,7 @@ def test_parts_do_not_decide_on_scores(spark, monkeypatch):
         rows = lm_score.score(spark, docs, model, f"{place}/counts", f"{place}/texts").collect()
         found.append(sorted((r["doc_id"] or -1, r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows))
     assert found[0] == found[1] != found[2] == found[3]
-    assert spark.conf.get(lm_score._CLEANUP) == "false"
+    assert [spark.conf.get(name) for name in settings.SHUFFLES_DELETED] == ["false"]
 
 
 def test_broadcast_size_does_not_decide_on_sequences(spark, monkeypatch):
