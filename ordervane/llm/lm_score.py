@@ -49,7 +49,7 @@ from .text_arrays import lower_ascii, mix, slices, utf8_buffers, word_hashes, wo
 #: Bounds of the broadcast parts (words, pairs, triples each) and of the root's broadcast weights.
 MOST_ARCS, MOST_WEIGHTS = 1 << 18, 1 << 21
 LEAST_COUNT = 2
-#: Passes over the texts for pairs, for triples and for looking up both; and tokens for each bucket of hashes.
+#: Passes over the texts for counting pairs and triples, and for looking them up; and tokens for each bucket of hashes.
 PARTS, BUCKET_TOKENS = 2, 1 << 18
 DISCOUNT = 0.5
 #: The hash that stands for the end of a text, and for its start as a context.
@@ -151,7 +151,7 @@ def _bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _lists(bucket: np.ndarray, kind: int, **columns: np.ndarray) -> pa.RecordBatch:
     """A row for each bucket, with its ``kind`` and lists of its values of the columns."""
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket)
     bucket = bucket[order]
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
     offsets = np.append(first, len(bucket)).astype(np.int32)
@@ -173,64 +173,65 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[t
             yield bucket, kind, [column[i] for column in lists]
 
 
-def count_sequences(docs: DataFrame, triple: bool, least: int, part: int = 0, parts: int = 1, buckets: int = 1,
-                    text: str = "text") -> DataFrame:
-    """``left``, ``right``, ``code`` and ``n`` for the pairs, or triples, that all texts have ``least`` times.
+def _added(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Left and right part, code and count of all different sequences, of lists of these."""
+    left, right, code, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(code)
+    code = code[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    at = order[first]
+    return left[at], right[at], code[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def count_sequences(docs: DataFrame, least: int, part: int = 0, parts: int = 1, buckets: int = 1, text: str = "text") -> DataFrame:
+    """``triple``, ``left``, ``right``, ``code`` and ``n`` for the pairs and triples that all texts have ``least`` times.
 
     Only the buckets of this part of all are counted.
     """
-    def added(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        left, right, code, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        _, at, back = np.unique(code, return_index=True, return_inverse=True)
-        return left[at], right[at], code[at], np.bincount(back, weights=n).astype(np.int64)
-
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            left, right, code, n = added(held)
-            return _lists(_bucket_of(code, buckets), 0, left=left.view(np.int64), right=right.view(np.int64), n=n)
+        def out(triple: int) -> pa.RecordBatch:
+            left, right, code, n = _added(held[triple])
+            return _lists(_bucket_of(code, buckets), triple, left=left.view(np.int64), right=right.view(np.int64), n=n)
 
-        held, size = [], 0
+        held, size = ([], []), 0
         for batch in batches:
             for piece in slices(batch, "text"):
-                left, right, code, _ = _sequences(*token_hashes(piece.column("text")))[triple]
-                ok = _bucket_of(code, buckets) % parts == part
-                held.append((left[ok], right[ok], code[ok], np.ones(int(ok.sum()), np.int64)))
-                size += len(held[-1][0])
-                if size > _FLUSH:
-                    held = [added(held)]
-                    size = len(held[0][0])
-                    if size > _FLUSH // 2:
-                        yield out()
-                        held, size = [], 0
-        if held:
-            yield out()
+                for own, (left, right, code, _) in zip(held, _sequences(*token_hashes(piece.column("text"))), strict=True):
+                    ok = np.flatnonzero(_bucket_of(code, buckets) % parts == part)
+                    own.append((left[ok], right[ok], code[ok], np.ones(len(ok), np.int64)))
+                    size += len(ok)
+                if size > 2 * _FLUSH:
+                    yield from map(out, (0, 1))
+                    held, size = ([], []), 0
+        if size:
+            yield from map(out, (0, 1))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            left, right, code, n = added(held)
+            left, right, code, n = _added(held)
             often = n >= least
-            return pa.RecordBatch.from_arrays([pa.array(x[often]) for x in (left.view(np.int64), right.view(np.int64), code.view(np.int64), n)],
-                                              ["left", "right", "code", "n"])
+            columns = [pa.array(x[often]) for x in (left.view(np.int64), right.view(np.int64), code.view(np.int64), n)]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(int(often.sum()), last[1] == 1)), *columns],
+                                              ["triple", "left", "right", "code", "n"])
 
         held, size, last = [], 0, None
-        for bucket, _, (left, right, n) in _bucket_rows(batches, "left", "right", "n"):
-            if bucket != last and held:
+        for bucket, kind, (left, right, n) in _bucket_rows(batches, "left", "right", "n"):
+            if (bucket, kind) != last and held:
                 yield out()
                 held, size = [], 0
-            last = bucket
+            last = bucket, kind
             left, right = left.view(np.uint64), right.view(np.uint64)
             held.append((left, right, sequence_codes(left, right), n))
             size += len(left)
             if size > 4 * _FLUSH:
-                held = [added(held)]
-                size = 0
+                held, size = [_added(held)], 0
         if held:
             yield out()
 
     rows = docs.select(F.col(text).cast("string").alias("text"))
     lists = rows.mapInArrow(listed, "bucket int, kind tinyint, left array<bigint>, right array<bigint>, n array<bigint>")
-    return lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        counted, "left bigint, right bigint, code bigint, n bigint")
+    return lists.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(
+        counted, "triple boolean, left bigint, right bigint, code bigint, n bigint")
 
 
 def _with_value(spark: SparkSession, rows: DataFrame, by: str, name: str, hot: tuple[np.ndarray, np.ndarray],
@@ -352,16 +353,14 @@ def _trained(spark: SparkSession, docs: DataFrame, folder: str, text: str, least
 
     buckets = PARTS * max(1, -(-tokens // (PARTS * BUCKET_TOKENS)))
 
-    def often(triple: bool, name: str) -> DataFrame:
-        return _in_parts(spark, lambda part: count_sequences(docs, triple, least_count, part, PARTS, buckets, text), f"{folder}/{name}")
+    counted = _in_parts(spark, lambda part: count_sequences(docs, least_count, part, PARTS, buckets, text), f"{folder}/sequences")
 
-    pairs = often(False, "pair_counts")
+    pairs = counted.filter("not triple").drop("triple")
     word_values = counts.select("code", F.col("n").alias("value"))
     for side in ("left", "right"):
         pairs = _with_value(spark, pairs, side, f"n_{side}", (weights, weight_counts), word_values)
     pairs = _stored(spark, pairs.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_left")).withColumn(
         "lower", (F.col("n_right") + 0.5) / (tokens + 0.5 * (types + 1))).drop("n_right"), f"{folder}/pairs")
-    delete_folder(spark, f"{folder}/pair_counts")
     costs = _stored(spark, pairs.groupBy(F.col("left").alias("code")).agg(cost("share", "lower"), F.first("n_left").alias("n")),
                     f"{folder}/word_costs")
     costed, hot_costs = _arrays(costs.filter(F.col("n") >= least(MOST_WEIGHTS)), "value")
@@ -369,11 +368,11 @@ def _trained(spark: SparkSession, docs: DataFrame, folder: str, text: str, least
     weight_costs = np.where(at >= 0, hot_costs[at], 0.0) if len(costed) else np.zeros(len(weights))
     hot_pairs, pair_counts, pair_left, pair_right, pair_shares = _arrays(pairs.filter(hot), "n", "left", "right", "share")
 
-    triples = often(True, "triple_counts")
+    triples = counted.filter("triple").drop("triple")
     triples = _with_value(spark, triples, "left", "n_left", (hot_pairs, pair_counts), pairs.select("code", F.col("n").alias("value")))
     triples = _with_value(spark, triples, "right", "lower", (hot_pairs, pair_shares), pairs.select("code", F.col("share").alias("value")))
     triples = _stored(spark, triples.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_left")), f"{folder}/triples")
-    delete_folder(spark, f"{folder}/triple_counts")
+    delete_folder(spark, f"{folder}/sequences")
     costs3 = _stored(spark, triples.groupBy(F.col("left").alias("code")).agg(cost("share", "lower"), F.first("n_left").alias("n")),
                      f"{folder}/pair_costs")
     costed3, hot_costs3 = _arrays(costs3.filter(hot), "value")

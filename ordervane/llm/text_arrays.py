@@ -192,7 +192,23 @@ class SpanHash:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    return SpanHash.of_bytes(data)(starts, stops)
+    """A hash of every word: of up to eight bytes by these and their number, of longer ones as a span."""
+    sizes = stops - starts
+    padded = np.append(data, np.zeros(8, np.uint8))
+    packed = np.zeros(len(starts), np.uint64)
+    for i in range(8):
+        byte = padded[starts + i].astype(np.uint64)
+        byte[sizes <= i] = 0
+        packed |= byte << np.uint64(8 * i)
+    hashes = mix(mix(packed) + sizes.astype(np.uint64))
+    long = np.flatnonzero(sizes > 8)
+    if len(long):
+        # their bytes one after the other
+        ends = np.cumsum(sizes[long])
+        begins = ends - sizes[long]
+        at = np.repeat(starts[long] - begins, sizes[long]) + np.arange(ends[-1])
+        hashes[long] = SpanHash.of_bytes(data[at])(begins, ends)
+    return hashes
 
 
 def _sliding(values: np.ndarray, width: int, reduce: np.ufunc, fill: int) -> np.ndarray:
