@@ -50,7 +50,7 @@ from .text_arrays import lower_ascii, mix, slices, utf8_buffers, word_hashes, wo
 MOST_ARCS, MOST_WEIGHTS = 1 << 18, 1 << 21
 LEAST_COUNT = 2
 #: Passes over the texts for counting pairs and triples, and for looking them up; and tokens for each bucket of hashes.
-PARTS, BUCKET_TOKENS = 2, 1 << 18
+PARTS, LOOKUPS, BUCKET_TOKENS = 2, 4, 1 << 18
 DISCOUNT = 0.5
 #: The hash that stands for the end of a text, and for its start as a context.
 END = np.uint64(0)
@@ -151,7 +151,8 @@ def _bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _lists(bucket: np.ndarray, kind: int, **columns: np.ndarray) -> pa.RecordBatch:
     """A row for each bucket, with its ``kind`` and lists of its values of the columns."""
-    order = np.argsort(bucket)
+    small = bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket  # sorted by radix
+    order = np.argsort(small, kind="stable")
     bucket = bucket[order]
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
     offsets = np.append(first, len(bucket)).astype(np.int32)
@@ -441,14 +442,16 @@ def _looked_up(texts: DataFrame, weights: DataFrame, model: Automaton, part: int
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
             codes, rows = (np.concatenate(x) for x in zip(*held, strict=True))
-            return _lists(_bucket_of(codes, buckets), 1, codes=codes.view(np.int64), rows=rows)
+            base = int(rows.min()) if len(rows) else 0
+            made = _lists(_bucket_of(codes, buckets), 1, codes=codes.view(np.int64), rows=(rows - base).astype(np.int32))
+            return made.append_column("base", pa.array(np.full(made.num_rows, base)))
 
         held, size = [], 0
         for batch in batches:
             for piece in slices(batch, "text"):
-                names = piece.column("row").to_numpy()
+                names = piece.column("row").to_numpy()  # neighbours, of one task
                 for hot, (_, _, codes, of) in zip(shared.value, _sequences(*token_hashes(piece.column("text"))), strict=True):
-                    rare = np.flatnonzero(_bucket_of(codes, buckets) % PARTS == part)
+                    rare = np.flatnonzero(_bucket_of(codes, buckets) % LOOKUPS == part)
                     rare = rare[_find(hot, codes[rare]) < 0]
                     held.append((codes[rare], names[of[rare]]))
                     size += len(rare)
@@ -460,28 +463,30 @@ def _looked_up(texts: DataFrame, weights: DataFrame, model: Automaton, part: int
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known, values, parts = None, None, None, []
-        for bucket, kind, (codes, more, rows) in _bucket_rows(batches, "codes", "more", "rows"):
-            if bucket != last:
-                last, known, parts = bucket, None, []
-            if kind == 0:  # weights come before the texts' codes
-                parts.append((codes.view(np.uint64), more))
-                continue
-            if known is None:
-                known, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0))
-                order = np.argsort(known)
-                known, values, parts = known[order], values[order], []
-            at = _find(known, codes.view(np.uint64))
-            found = at >= 0
-            named, back = np.unique(rows[found], return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(named), pa.array(np.bincount(back, weights=values[at[found]], minlength=len(named)).astype(np.float64))], ["row", "more"])
-
-    schema = "bucket int, kind tinyint, codes array<bigint>, more array<double>, rows array<bigint>"
-    asked = texts.select("row", "text").mapInArrow(listed, "bucket int, kind tinyint, codes array<bigint>, rows array<bigint>")
-    both = weights.filter(F.col("bucket") % PARTS == part).withColumn("rows", F.array().cast("array<bigint>")).unionByName(
+        for batch in batches:
+            bases = batch.column("base").to_pylist()
+            for base, (bucket, kind, (codes, more, rows)) in zip(bases, _bucket_rows([batch], "codes", "more", "rows"), strict=True):
+                if bucket != last:
+                    last, known, parts = bucket, None, []
+                if kind == 0:  # weights come before the texts' codes
+                    parts.append((codes.view(np.uint64), more))
+                    continue
+                if known is None:
+                    known, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0))
+                    order = np.argsort(known)
+                    known, values, parts = known[order], values[order], []
+                at = _find(known, codes.view(np.uint64))
+                found = at >= 0
+                named, back = np.unique(rows[found], return_inverse=True)
+                sums = np.bincount(back, weights=values[at[found]], minlength=len(named)).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array(named.astype(np.int64) + base), pa.array(sums)], ["row", "more"])
+
+    asked = texts.select("row", "text").mapInArrow(listed, "bucket int, kind tinyint, codes array<bigint>, rows array<int>, base bigint")
+    both = weights.filter(F.col("bucket") % LOOKUPS == part).withColumns(
+        {"rows": F.array().cast("array<int>"), "base": F.lit(0).cast("bigint")}).unionByName(
         asked.withColumn("more", F.array().cast("array<double>")))
-    names = [field.split()[0] for field in schema.split(", ")]
-    return both.select(*names).repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(added, "row bigint, more double")
+    return both.select("bucket", "kind", "codes", "more", "rows", "base").repartition("bucket").sortWithinPartitions(
+        "bucket", "kind").mapInArrow(added, "row bigint, more double")
 
 
 def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder: str, folder: str, key: str, text: str) -> DataFrame:
@@ -523,7 +528,7 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folde
     sums = [F.sum(name).alias(name) for name in ("base", "more", "known")]
     of_words = texts.select("row", F.explode("rare").alias("code")).join(words, "code").withColumn("known", F.lit(1))
     _stored(spark, of_words.groupBy("row").agg(*sums), f"{folder}/sums")
-    for part in range(PARTS):
+    for part in range(LOOKUPS):
         added = _looked_up(texts, weights, model, part).groupBy("row").agg(F.sum("more").alias("more"))
         added.select("row", F.lit(0.0).alias("base"), "more", F.lit(0).cast("bigint").alias("known")).write.mode("append").parquet(f"{folder}/sums")
     rest = spark.read.schema("row bigint, base double, more double, known bigint").parquet(f"{folder}/sums").groupBy("row").agg(*sums)

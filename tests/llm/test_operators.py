@@ -325,6 +325,7 @@ def test_parts_do_not_decide_on_scores(spark, monkeypatch):
     found = []
     for parts, least in ((1, 2), (4, 2), (1, 1), (2, 1)):
         monkeypatch.setattr(lm_score, "PARTS", parts)
+        monkeypatch.setattr(lm_score, "LOOKUPS", 5 - parts)
         place = scratch_folder(spark, "lm")
         model = lm_score.train(spark, docs.filter(lm_score.trained_on()), f"{place}/counts", least_count=least)
         rows = lm_score.score(spark, docs, model, f"{place}/counts", f"{place}/texts").collect()
