@@ -344,14 +344,16 @@ def _classed(spark: SparkSession, docs: DataFrame, folder: str, words: int, perc
     signed = _stored(signatures(docs, words, key, text), spark, f"{folder}/signatures")
     filled = signed.filter(F.col("key").isNotNull() & (F.col("n") > 0))
     same = ["n", "low", "high"]
-    named = F.struct("one.key", "low", "high").alias("key")  # by key first, so that the smallest node has the smallest key
+    # a node's number stands for it from here on
     nodes = _stored(filled.groupBy(*same).agg(F.min(F.struct("key", "signature")).alias("one"))
-                    .select(named, "one.signature", *same), spark, f"{folder}/nodes")
+                    .select(F.monotonically_increasing_id().alias("key"), F.col("one.key").alias("own"), "one.signature", *same),
+                    spark, f"{folder}/nodes")
     banded = _band_rows(nodes)
     groups = banded.groupBy("band").agg(F.min("key").alias("center"), F.count("*").alias("members")).filter("members > 1")
     shared = _stored(banded.join(groups.drop("members"), "band"), spark, f"{folder}/shared")
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    wanted = shared.select("key.*", F.col("key").alias("node")).distinct()
+    wanted = nodes.join(shared.select("key").distinct(), "key", "left_semi").select(
+        F.col("own").alias("key"), "low", "high", F.col("key").alias("node"))
     several = rows.join(wanted.select("key").distinct(), "key", "left_semi")
     texts = _with_digests(several, words).join(wanted, ["key", "low", "high"]).select(F.col("node").alias("key"), "text")
     texts = _stored(texts.dropDuplicates(["key"]), spark, f"{folder}/texts")
@@ -380,8 +382,9 @@ def _classed(spark: SparkSession, docs: DataFrame, folder: str, words: int, perc
     links = links.unionByName(linked(_candidates(different, percent), 3))
     classes = components(spark, links, f"{folder}/classes3")
 
-    by_set = nodes.select(F.col("key"), *same).join(classes, "key", "left").select(
-        *same, F.coalesce("class", "key")["key"].alias("class"))
+    placed_nodes = nodes.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
+    smallest = placed_nodes.groupBy("class").agg(F.min("own").alias("smallest"))
+    by_set = placed_nodes.join(smallest, "class").select(*same, F.col("smallest").alias("class"))
     own = F.when(F.col("key").isNotNull() & (F.col("n") > 0), F.col("class")).otherwise(F.col("key"))
     placed = signed.drop("signature").join(by_set, same, "left").withColumn("class", own)
     return placed.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("class").alias("component_id"),
