@@ -529,8 +529,9 @@ def stream_progress(spark, folder):
     finally:
         spark.streams.removeListener(listener)
     now = control.status(spark, name, kept)
-    return spark.createDataFrame([(now["running"], control.last_progress(kept, name)["run_rows"], len(now["offsets"]))],
-                                 "running boolean, run_rows bigint, sources int")
+    return spark.range(0, 1, 1, 1).select(
+        F.lit(now["running"]).alias("running"), F.lit(control.last_progress(kept, name)["run_rows"]).cast("bigint").alias("run_rows"),
+        F.lit(len(now["offsets"])).alias("sources"))
 
 
 @query
