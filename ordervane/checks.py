@@ -595,11 +595,11 @@ def lake_listing(spark, folder):
     read = spark.read.text(lake.landed_events(spark, place).batches_path).select(path.alias("read")).distinct()
     both = files.join(read, F.col("name") == F.col("read"), "full")
     name = F.coalesce("name", "read")
-    capped = lake.object_count(lake.list_lake_objects(spark, place, "raw/landed", max_items=2))
+    capped = lake.object_count(lake.list_lake_objects(spark, place, "raw/landed", max_items=2)).first()["object_count"]
     return both.groupBy(F.regexp_extract(name, r"^raw/landed/batches/route=(\w+)/landed_on=", 1).alias("route")).agg(
         F.sum("size").alias("total_bytes"), F.bool_and(F.col("name").isNotNull() & F.col("read").isNotNull()).alias("same_names"),
-        (F.min("last_modified") <= F.current_timestamp()).alias("in_the_past"),
-    ).join(F.broadcast(capped.withColumnRenamed("object_count", "capped")), F.lit(True))
+        (F.min("last_modified") <= F.current_timestamp()).alias("in_the_past"), F.lit(capped).cast("bigint").alias("capped"),
+    )
 
 
 @query
