@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .repeats import block_table, settle, windows_of, with_texts
+from .settings import SHUFFLES_DELETED, settings
 from .text_arrays import SpanHash, covered, slices, utf8_buffers, word_hashes, word_spans
 
 LENGTH = 50
@@ -213,7 +214,9 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, folder: str, length:
 def remove_repeats(spark: SparkSession, docs: DataFrame, folder: str, length: int = LENGTH,
                    key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_words``, ``n_removed``, ``spans`` (begin and end of removed runs of words) and ``kept``, the rest."""
-    texts = with_texts(docs, repeated_windows(spark, docs, folder, length, key, text), ["start", "n"], "left", key, text)
+    with settings(spark, SHUFFLES_DELETED):
+        windows = repeated_windows(spark, docs, folder, length, key, text)
+    texts = with_texts(docs, windows, ["start", "n"], "left", key, text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
