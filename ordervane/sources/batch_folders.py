@@ -151,9 +151,12 @@ class BatchFolders:
         run = self._run()
         rows = self._unmerged(run, self.columns, self.fmt)
         group = [*self.keys, DAY.name, "query"]
-        newest = rows.groupBy("query").agg(F.max("batch").alias("newest"))
-        rows = rows.filter(F.col(DAY.name) < F.lit(before)).join(newest, "query").filter(F.col("batch") < F.col("newest"))
-        last = rows.groupBy(*group).agg(F.max("batch").alias("last_batch"))
+        # of a query's few names, not of its rows, which would meet in one task
+        batches = rows.select(*group, "batch").distinct()
+        newest = batches.groupBy("query").agg(F.max("batch").alias("newest"))
+        rows = rows.filter(F.col(DAY.name) < F.lit(before))
+        last = (batches.filter(F.col(DAY.name) < F.lit(before)).join(newest, "query").filter(F.col("batch") < F.col("newest"))
+                .groupBy(*group).agg(F.max("batch").alias("last_batch")))
         last.coalesce(1).write.mode("overwrite").parquet(f"{self._written_down}/run={run + 1}")
         written = self.spark.read.schema(StructType(self.folders(BATCH[0], _LAST))).parquet(f"{self._written_down}/run={run + 1}")
         groups = written.collect()  # a row per key value, day and query since the last merge

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 from decimal import Decimal
 
+from ordervane import checks
 from ordervane.schemas import EVENT_TEXT
 from ordervane.sources import lake
 from ordervane.sources.event_streams import read_file_stream
@@ -420,3 +421,30 @@ def test_independent_readers_each_see_everything(spark, tmp_path):
         landing.land_events(stream, str(tmp_path / group), str(tmp_path / f"{group}-checkpoint"),
                             once=True).awaitTermination()
         assert lake.read_landed(spark, str(tmp_path / group), EVENT_TEXT).count() == 5
+
+
+def test_files_and_documents_of_the_checks_stay_bounded(spark):
+    assert checks._sent_files(spark.range(1000)) == 6
+    files = checks._sent_files(spark.range(10_000_000))
+    assert files % 3 == 0 and 10_000_000 / files <= checks.SENT_ROWS
+    assert checks._document_ids(100_000) == 100
+    assert 36_000_000 / checks._document_ids(36_000_000) <= 1001
+    assert checks._document_ids(10**9) == 50_000
+
+
+def test_a_merge_sends_no_rows_to_the_task_of_their_query(spark, tmp_path, monkeypatch):
+    """Rows meet the last batches by key, day and query; only names of batches are gathered by query."""
+    send(tmp_path / "sent", "a.txt", [event(i) for i in range(20)])
+    land(spark, tmp_path)
+    send(tmp_path / "sent", "b.txt", [event(i) for i in range(20, 30)])
+    land(spark, tmp_path)
+    plans, place = [], lake.landed_events(spark, str(tmp_path / "lake"))
+
+    def combined(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return rows
+
+    place.combine = combined
+    assert place.merge_days(dt.date(9999, 1, 1)) == 1
+    assert plans[0].count("Join") == 1 and "Aggregate" not in plans[0]
+    assert counts(spark, tmp_path) == {"order": 30}
