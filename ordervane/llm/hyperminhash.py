@@ -10,10 +10,12 @@ full sets. Linked documents form classes.
 
 Equal sets are one node from the start. Candidates are verified in three rounds, each
 leaving out pairs that are in one class already: every node with the smallest node of
-all its bands' groups, then with each band group's smallest node, its center, then nodes of
+all its bands' groups, then with each band group's smallest node, then nodes of
 different classes that still share a band. For these, sets are written as what they lack of a
-center and what they have beside it. Two that are not both linked with the center reach the threshold
-only if enough of these differences are the same (``_candidates`` has the inequality); so pairs are formed
+center and what they have beside it. The center is the node with most links so far, of the class that most of the
+band's group are in: the closer the center, the fewer differences, and all groups around it share them. A node that reaches
+the threshold with the center is linked with it. Two that are not both linked with the center reach the threshold
+only if enough of their differences are the same (``_candidates`` has the inequality); so pairs are formed
 by joining rare differences. A large group of near copies costs about one verification for each
 of its members, also if many of them lie just below the threshold, and no link is passed over.
 
@@ -277,7 +279,7 @@ def _candidates(different: DataFrame, percent: int) -> DataFrame:
     A center has n shingles, and a set lacks ``less`` of them and has ``more`` others. Two sets
     that have s of these differences in common have n - less - less' + s shingles in common. So they
     reach p percent just if ``(100 + p) s >= w + w' - (100 - p) n`` with ``w = 100 less + p more``, and a set
-    is linked with the center itself just if ``w <= (100 - p) n``. Not both are, as the classes differ.
+    is linked with the center itself just if ``w <= (100 - p) n``. Pairs that both are need no link of their own.
     So s is more than ``w / (100 + p)`` for one that is linked, and for another one at least
     ``(w - (100 - p) n) / 100``, as s is no more than the number of the partner's differences. With
     differences in order from rare to common, a pair then has one in common among the first ones of
@@ -301,9 +303,29 @@ def _candidates(different: DataFrame, percent: int) -> DataFrame:
                              *(["slack"] if name == "a" else []))
 
     a, b = side("a").alias("l"), side("b").alias("r")
+    apart = (F.col("of_a") < F.col("of_b")) & (F.greatest("weight_a", "weight_b") > F.col("slack"))
     same = (F.col("l.center") == F.col("r.center")) & (F.col("l.difference") == F.col("r.difference"))
     enough = (100 + percent) * F.least("left_a", "left_b") >= F.col("weight_a") + F.col("weight_b") - F.col("slack")
-    return a.join(b, same & (F.col("of_a") < F.col("of_b")) & enough).select("a", "b").distinct()
+    return a.join(b, same & apart & enough).select("a", "b").distinct()
+
+
+def _around(members: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of a ``center`` and a ``key`` of class ``of``, for the ``members`` of band groups that have several classes.
+
+    A group's center is the node with most links in the class that most of the group are in, or the group's
+    smallest node if no two of them are in one class. It need not be in the group.
+    """
+    ends = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key")))
+    hubs = (ends.groupBy("key").agg(F.count("*").alias("degree")).join(classes, "key")
+            .groupBy(F.col("class").alias("of_key")).agg(F.max(F.struct("degree", (-F.col("key")).alias("key"))).alias("most"))
+            .select("of_key", (-F.col("most.key")).alias("hub")))
+    groups = (members.groupBy("band", "center", "of_key").agg(F.count("*").alias("n"))
+              .groupBy("band", "center").agg(F.max(F.struct("n", (-F.col("of_key")).alias("of"))).alias("most"))
+              .select("band", "center", "most.n", (-F.col("most.of")).alias("of_key")))
+    chosen = groups.join(hubs, "of_key", "left").select(
+        "band", F.when(F.col("n") > 1, F.coalesce("hub", "center")).otherwise(F.col("center")).alias("center"))
+    return members.drop("center").join(chosen, "band").filter("key <> center").select(
+        "center", "key", F.col("of_key").alias("of")).distinct()
 
 
 def components(spark: SparkSession, links: DataFrame, folder: str) -> DataFrame:
@@ -377,8 +399,11 @@ def _classed(spark: SparkSession, docs: DataFrame, folder: str, words: int, perc
     classes = components(spark, links, f"{folder}/classes2")
     members = classed(shared.select("band", "center", "key"), classes, "key")
     mixed = members.groupBy("band").agg(F.min("of_key").alias("x"), F.max("of_key").alias("y")).filter("x <> y").select("band")
-    around = members.join(mixed, "band").filter("key <> center").select("center", "key", F.col("of_key").alias("of")).distinct()
-    different = _stored(_differences(around, texts, words), spark, f"{folder}/differences")
+    mixed = _stored(members.join(mixed, "band"), spark, f"{folder}/mixed")
+    different = _stored(_differences(_around(mixed, links, classes), texts, words), spark, f"{folder}/differences")
+    direct = different.filter(100 * F.col("less") + percent * F.col("more") <= (100 - percent) * F.col("n")).select(
+        F.col("center").alias("a"), F.col("key").alias("b"))
+    links = links.unionByName(direct)
     links = links.unionByName(linked(_candidates(different, percent), 3))
     classes = components(spark, links, f"{folder}/classes3")
 

@@ -572,6 +572,16 @@ def test_candidates_from_differences_leave_out_no_link(spark, percent):
     assert linked <= got and len(got) < len(sets) * (len(sets) - 1) / 2
 
 
+def test_groups_share_the_node_with_most_links_as_center(spark):
+    """A mixed group's center is the hub of the class most of it are in, and not its smallest node."""
+    members = spark.createDataFrame([(1, 1, 1, 1), (1, 1, 5, 4), (1, 1, 6, 4), (1, 1, 7, 4), (2, 2, 2, 2), (2, 2, 3, 3)],
+                                    "band long, center long, key long, of_key long")
+    links = spark.createDataFrame([(4, 6), (5, 6), (6, 7)], "a long, b long")
+    classes = spark.createDataFrame([(k, 4) for k in (4, 5, 6, 7)], "key long, class long")
+    got = {tuple(r) for r in hyperminhash._around(members, links, classes).collect()}
+    assert got == {(6, 1, 1), (6, 5, 4), (6, 7, 4), (2, 3, 3)}
+
+
 def test_one_id_with_two_texts_is_two_nodes(spark):
     rng = random.Random(3)
     one, two = " ".join(plain.words(rng, 40)), " ".join(plain.words(rng, 40))
