@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.state import delete_folder
 from .repeats import block_table, settle, windows_of, with_texts
 from .settings import SHUFFLES_DELETED, settings
 from .text_arrays import SpanHash, covered, slices, utf8_buffers, word_hashes, word_spans
@@ -192,23 +193,32 @@ def _first_documents(runs: DataFrame, length: int) -> DataFrame:
     return found.groupBy("core", "block").agg(least.alias("firsts"))
 
 
+def _stored(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def repeated_windows(spark: SparkSession, docs: DataFrame, folder: str, length: int = LENGTH,
                      key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``start`` and ``n``: runs of windows to be removed. ``folder`` takes intermediate tables."""
+    """``key``, ``start`` and ``n``: runs of windows to be removed.
+
+    ``folder`` takes intermediate tables. Each is deleted, as its shuffle files are, when the next one is there.
+    """
     found = settle(block_table(docs, _word_codes, length, min(GRAM, length), min(BLOCK, length), key, text))
-    rows = found.select("key", "start", "n", "core", "block")
-    rows.write.mode("overwrite").parquet(f"{folder}/blocks")
-    blocks = spark.read.schema(rows.schema).parquet(f"{folder}/blocks")
+    blocks = _stored(spark, found.select("key", "start", "n", "core", "block"), f"{folder}/blocks")
     one = blocks.groupBy("core", "block").agg(F.min(F.struct("key", "start", "n")).alias("at")).select("core", "block", "at.*")
-    runs = _runs(docs, one, length, key, text)
-    runs.write.mode("overwrite").parquet(f"{folder}/runs")
-    firsts = _first_documents(spark.read.schema(runs.schema).parquet(f"{folder}/runs"), length)
+    runs = _stored(spark, _runs(docs, one, length, key, text), f"{folder}/runs")
+    firsts = _stored(spark, _first_documents(runs, length), f"{folder}/firsts")
+    delete_folder(spark, f"{folder}/runs")
     known = blocks.join(firsts, ["core", "block"])
     whole = known.filter(F.array_max("firsts") < F.col("key")).select("key", "start", "n")
     some = known.filter((F.array_max("firsts") >= F.col("key")) & (F.array_min("firsts") < F.col("key"))).select(
         "key", "start", F.posexplode("firsts").alias("place", "first")).filter("first < key").select(
         "key", (F.col("start") + F.col("place")).alias("start"), F.lit(1).alias("n"))
-    return whole.unionByName(some)
+    windows = _stored(spark, whole.unionByName(some), f"{folder}/windows")
+    for name in ("blocks", "firsts"):
+        delete_folder(spark, f"{folder}/{name}")
+    return windows
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, folder: str, length: int = LENGTH,

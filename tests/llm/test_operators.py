@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import plain
@@ -506,6 +507,21 @@ def test_tokens_equal_the_other_library(spark):
     assert byte_bpe.encode(plain.table(spark, rows).limit(0)).count() == 0
 
 
+def test_substring_tables_go_when_the_next_one_is_there(spark):
+    text, place = " ".join(plain.words(random.Random(5), 80)), scratch_folder(spark, "t")
+    found = substring_dedup.repeated_windows(spark, plain.table(spark, [(1, text), (2, "x " + text)]), place, 50)
+    assert {r["key"] for r in found.collect()} == {2}
+    assert {p.name for p in Path(place.removeprefix("file:")).iterdir()} == {"windows"}
+
+
+def test_packed_lists_are_read_as_they_were(spark):
+    codes, bucket = np.arange(10, dtype=np.uint64), np.array([2, 0, 2, 2, 0, 7, 7, 0, 2, 2], np.int32)
+    made = lm_score._lists(bucket, 1, codes=codes, rows=codes.astype(np.uint16))
+    assert made.schema.field("codes").type == pa.binary()
+    got = [(b, k, c.tolist(), r.view(np.uint16).tolist()) for b, k, (c, r) in lm_score._bucket_rows([made], codes=np.uint64, rows=None)]
+    assert got == [(0, 1, [1, 4, 7], [1, 4, 7]), (2, 1, [0, 2, 3, 8, 9], [0, 2, 3, 8, 9]), (7, 1, [5, 6], [5, 6])]
+
+
 # --- 7 near copies ---------------------------------------------------------------------
 
 @pytest.mark.parametrize(("words", "percent"), [(4, 80), (5, 80), (1, 50)])
