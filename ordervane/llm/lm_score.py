@@ -16,7 +16,7 @@ to the arc's own weight depends on the word sequence only, so it is joined and a
 are the root's weights of words that are not broadcast.
 
 Most pairs and triples are seen once, and there are more bytes of their hashes than of text. So
-they travel in lists, a row for each bucket of hashes and some texts, and are added up, and later looked up,
+they travel packed, a row for each bucket of hashes and some texts, and are added up, and later looked up,
 a bucket at a time; the number of buckets grows with the tokens. This is done in ``PARTS`` parts, one after
 the other, and a part's shuffle files are deleted before the next one is begun.
 
@@ -149,27 +149,34 @@ def _bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
     return ((codes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
 
 
+def _packed(values: np.ndarray, places: np.ndarray) -> pa.Array:
+    """The values between neighbouring places as bytes: tasks move them as a whole, and not one by one as those of arrays."""
+    offsets = (places * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _lists(bucket: np.ndarray, kind: int, **columns: np.ndarray) -> pa.RecordBatch:
-    """A row for each bucket, with its ``kind`` and lists of its values of the columns."""
+    """A row for each bucket, with its ``kind`` and its values of the columns, packed."""
     small = bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket  # sorted by radix
     order = np.argsort(small, kind="stable")
     bucket = bucket[order]
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-    offsets = np.append(first, len(bucket)).astype(np.int32)
+    places = np.append(first, len(bucket))
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[first]), pa.array(np.full(len(first), kind, np.int8)),
-         *(pa.ListArray.from_arrays(offsets, pa.array(c[order])) for c in columns.values())], ["bucket", "kind", *columns])
+         *(_packed(c[order], places) for c in columns.values())], ["bucket", "kind", *columns])
+
+
+def _unpacked(batch: pa.RecordBatch, name: str, kind: type | None = None) -> list[np.ndarray]:
+    """Every row's values; without a kind as bytes."""
+    return [np.frombuffer(x, kind or np.uint8) if x else np.zeros(0, kind or np.uint8) for x in batch.column(name).to_pylist()]
 
 
-def _bucket_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
-    """Bucket, kind and lists of every row."""
+def _bucket_rows(batches: Iterator[pa.RecordBatch], **columns: type | None) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """Bucket, kind and values of every row, by the columns' types."""
     for batch in batches:
         buckets, kinds = batch.column("bucket").to_pylist(), batch.column("kind").to_pylist()
-        lists = []
-        for name in columns:
-            column = batch.column(name)
-            offsets, values = column.offsets.to_numpy(), column.values
-            lists.append([values.slice(a, b - a).to_numpy(zero_copy_only=False) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+        lists = [_unpacked(batch, name, kind) for name, kind in columns.items()]
         for i, (bucket, kind) in enumerate(zip(buckets, kinds, strict=True)):
             yield bucket, kind, [column[i] for column in lists]
 
@@ -192,7 +199,7 @@ def count_sequences(docs: DataFrame, least: int, part: int = 0, parts: int = 1,
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(triple: int) -> pa.RecordBatch:
             left, right, code, n = _added(held[triple])
-            return _lists(_bucket_of(code, buckets), triple, left=left.view(np.int64), right=right.view(np.int64), n=n)
+            return _lists(_bucket_of(code, buckets), triple, left=left, right=right, n=n.astype(np.uint32))
 
         held, size = ([], []), 0
         for batch in batches:
@@ -216,13 +223,12 @@ def count_sequences(docs: DataFrame, least: int, part: int = 0, parts: int = 1,
                                               ["triple", "left", "right", "code", "n"])
 
         held, size, last = [], 0, None
-        for bucket, kind, (left, right, n) in _bucket_rows(batches, "left", "right", "n"):
+        for bucket, kind, (left, right, n) in _bucket_rows(batches, left=np.uint64, right=np.uint64, n=np.uint32):
             if (bucket, kind) != last and held:
                 yield out()
                 held, size = [], 0
             last = bucket, kind
-            left, right = left.view(np.uint64), right.view(np.uint64)
-            held.append((left, right, sequence_codes(left, right), n))
+            held.append((left, right, sequence_codes(left, right), n.astype(np.int64)))
             size += len(left)
             if size > 4 * _FLUSH:
                 held, size = [_added(held)], 0
@@ -230,7 +236,7 @@ def count_sequences(docs: DataFrame, least: int, part: int = 0, parts: int = 1,
             yield out()
 
     rows = docs.select(F.col(text).cast("string").alias("text"))
-    lists = rows.mapInArrow(listed, "bucket int, kind tinyint, left array<bigint>, right array<bigint>, n array<bigint>")
+    lists = rows.mapInArrow(listed, "bucket int, kind tinyint, left binary, right binary, n binary")
     return lists.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(
         counted, "triple boolean, left bigint, right bigint, code bigint, n bigint")
 
@@ -412,11 +418,11 @@ def score(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder:
         return _scored(spark, docs, model, counts_folder, folder, key, text)
 
 
-_WEIGHTS = "bucket int, kind tinyint, codes array<bigint>, more array<double>"
+_WEIGHTS = "bucket int, kind tinyint, codes binary, more binary"
 
 
 def _weight_lists(rows: DataFrame, buckets: int) -> DataFrame:
-    """``code`` and ``more`` as lists by bucket."""
+    """``code`` and ``more``, packed by bucket."""
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
             codes, more = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -443,7 +449,9 @@ def _looked_up(texts: DataFrame, weights: DataFrame, model: Automaton, part: int
         def out() -> pa.RecordBatch:
             codes, rows = (np.concatenate(x) for x in zip(*held, strict=True))
             base = int(rows.min()) if len(rows) else 0
-            made = _lists(_bucket_of(codes, buckets), 1, codes=codes.view(np.int64), rows=(rows - base).astype(np.int32))
+            rows -= base
+            short = np.uint16 if len(rows) and rows.max() < 1 << 16 else np.uint32
+            made = _lists(_bucket_of(codes, buckets), 1, codes=codes, rows=rows.astype(short))
             return made.append_column("base", pa.array(np.full(made.num_rows, base)))
 
         held, size = [], 0
@@ -461,32 +469,59 @@ def _looked_up(texts: DataFrame, weights: DataFrame, model: Automaton, part: int
         if held:
             yield out()
 
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known, values, parts = None, None, None, []
         for batch in batches:
-            bases = batch.column("base").to_pylist()
-            for base, (bucket, kind, (codes, more, rows)) in zip(bases, _bucket_rows([batch], "codes", "more", "rows"), strict=True):
+            bases, out = batch.column("base").to_pylist(), []
+            asked = _bucket_rows([batch], codes=np.uint64, more=np.float64, rows=None)
+            for base, (bucket, kind, (codes, more, rows)) in zip(bases, asked, strict=True):
                 if bucket != last:
                     last, known, parts = bucket, None, []
                 if kind == 0:  # weights come before the texts' codes
-                    parts.append((codes.view(np.uint64), more))
+                    parts.append((codes, more))
                     continue
                 if known is None:
                     known, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0))
                     order = np.argsort(known)
                     known, values, parts = known[order], values[order], []
-                at = _find(known, codes.view(np.uint64))
-                found = at >= 0
-                named, back = np.unique(rows[found], return_inverse=True)
-                sums = np.bincount(back, weights=values[at[found]], minlength=len(named)).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(named.astype(np.int64) + base), pa.array(sums)], ["row", "more"])
+                rows = rows.view(np.uint16 if len(rows) == 2 * len(codes) else np.uint32)
+                at = _find(known, codes)
+                ok = at >= 0
+                named, back = np.unique(rows[ok], return_inverse=True)
+                out.append((base, named.astype(np.uint32), np.bincount(back, weights=values[at[ok]], minlength=len(named)).astype(np.float64)))
+            if out:
+                places = np.append(0, np.cumsum([len(x[1]) for x in out]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in out], pa.int64()), *(_packed(np.concatenate([x[i] for x in out]), places) for i in (1, 2))],
+                    ["base", "rows", "more"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            rows, more = (np.concatenate(x) for x in zip(*held, strict=True))
+            named, back = np.unique(rows, return_inverse=True)
+            sums = np.bincount(back, weights=more, minlength=len(named)).astype(np.float64)
+            return pa.RecordBatch.from_arrays([pa.array(named.astype(np.int64) + last), pa.array(sums)], ["row", "more"])
+
+        held, last = [], None
+        for batch in batches:
+            for base, rows, more in zip(batch.column("base").to_pylist(), _unpacked(batch, "rows", np.uint32),
+                                        _unpacked(batch, "more", np.float64), strict=True):
+                if base != last and held:
+                    yield out()
+                    held = []
+                last = base
+                held.append((rows, more))
+        if held:
+            yield out()
 
-    asked = texts.select("row", "text").mapInArrow(listed, "bucket int, kind tinyint, codes array<bigint>, rows array<int>, base bigint")
+    asked = texts.select("row", "text").mapInArrow(listed, "bucket int, kind tinyint, codes binary, rows binary, base bigint")
+    nothing = F.expr("X''")
     both = weights.filter(F.col("bucket") % LOOKUPS == part).withColumns(
-        {"rows": F.array().cast("array<int>"), "base": F.lit(0).cast("bigint")}).unionByName(
-        asked.withColumn("more", F.array().cast("array<double>")))
-    return both.select("bucket", "kind", "codes", "more", "rows", "base").repartition("bucket").sortWithinPartitions(
-        "bucket", "kind").mapInArrow(added, "row bigint, more double")
+        {"rows": nothing, "base": F.lit(0).cast("bigint")}).unionByName(asked.withColumn("more", nothing))
+    sums = both.select("bucket", "kind", "codes", "more", "rows", "base").repartition("bucket").sortWithinPartitions(
+        "bucket", "kind").mapInArrow(found, "base bigint, rows binary, more binary")
+    # the texts that were asked for together meet again, a row for each bucket: not one for each text and bucket
+    return sums.repartition("base").sortWithinPartitions("base").mapInArrow(added, "row bigint, more double")
 
 
 def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folder: str, folder: str, key: str, text: str) -> DataFrame:
@@ -529,7 +564,7 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folde
     of_words = texts.select("row", F.explode("rare").alias("code")).join(words, "code").withColumn("known", F.lit(1))
     _stored(spark, of_words.groupBy("row").agg(*sums), f"{folder}/sums")
     for part in range(LOOKUPS):
-        added = _looked_up(texts, weights, model, part).groupBy("row").agg(F.sum("more").alias("more"))
+        added = _looked_up(texts, weights, model, part)
         added.select("row", F.lit(0.0).alias("base"), "more", F.lit(0).cast("bigint").alias("known")).write.mode("append").parquet(f"{folder}/sums")
     rest = spark.read.schema("row bigint, base double, more double, known bigint").parquet(f"{folder}/sums").groupBy("row").agg(*sums)
     base = F.coalesce("base", F.lit(0.0))
