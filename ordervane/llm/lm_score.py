@@ -549,8 +549,8 @@ class Automaton:
         return np.add.reduceat(total, firsts[:-1])
 
 
-def _stored(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
-    rows.write.mode("overwrite").parquet(folder)
+def _stored(spark: SparkSession, rows: DataFrame, folder: str, compression: str = "snappy") -> DataFrame:
+    rows.write.mode("overwrite").option("compression", compression).parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
@@ -778,7 +778,7 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Automaton, counts_folde
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = (f"key {rows.schema['key'].dataType.simpleString()}, row bigint, n_tokens bigint, n_known bigint, "
               "base_score double, score double, tokens binary, rare array<bigint>")
-    texts = _stored(spark, rows.mapInArrow(traversed, schema), f"{folder}/texts")
+    texts = _stored(spark, rows.mapInArrow(traversed, schema), f"{folder}/texts", "zstd")
     words = spark.read.schema("code bigint, base double, more double").parquet(f"{counts_folder}/rare_words")
     weights = spark.read.schema(_WEIGHTS).parquet(f"{counts_folder}/rare_sequences")
     sums = [F.sum(name).alias(name) for name in ("base", "more", "known")]
