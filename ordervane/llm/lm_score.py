@@ -17,7 +17,8 @@ are the root's weights of words that are not broadcast.
 
 Most pairs and triples are seen once, and there are more bytes of their hashes than of text. So
 they travel packed, a row for each bucket of hashes and some texts, and are added up, and later looked up,
-a bucket at a time; the number of buckets grows with the tokens. This is done in ``PARTS`` parts, one after
+a bucket at a time; the number of buckets grows with the tokens. In the same way pairs meet their words' counts
+and triples their pairs, but for those that are broadcast. Counting and looking up is done in ``PARTS`` parts, one after
 the other, and a part's shuffle files are deleted before the next one is begun.
 
 Words are compared by 64-bit hashes of their lower-cased bytes.

@@ -355,6 +355,73 @@ def test_scores_without_training_rows(spark):
     assert _scored(spark, plain.table(spark, [(1, "a")]).limit(0))[1] == []
 
 
+def test_sequences_are_stored_by_bucket_and_lookups_read_tokens(spark):
+    docs = plain.table(spark, [(i, " ".join(f"w{k} v{k}" for k in range(200))) for i in range(3)])
+    stored = lm_score.count_sequences(docs, 2, buckets=4).collect()
+    assert len(stored) == 8  # not a row for each of them
+    assert {kind: sum(len(r["n"]) // 8 for r in stored if r["kind"] == kind) for kind in (0, 1)} == {0: 401, 1: 400}
+    assert {n for r in stored for n in np.frombuffer(r["n"], np.int64).tolist()} == {3}
+    place = scratch_folder(spark, "lm")
+    model = lm_score.train(spark, docs, f"{place}/counts")
+    lm_score.score(spark, docs, model, f"{place}/counts", f"{place}/texts").collect()
+    texts = spark.read.parquet(f"{place}/texts/texts")
+    assert "text" not in texts.columns and {len(r["tokens"]) for r in texts.collect()} == {8 * 401}
+
+
+@pytest.mark.parametrize("least", [1, 2, 5, 1000])
+def test_automaton_steps_as_a_walk_from_left_to_right(least):
+    rng, random_ = np.random.default_rng(least), random.Random(least)
+    texts = pa.array([" ".join(random_.choice("abcdefgh") for _ in range(random_.randrange(40))) for _ in range(30)] + [None])
+    tokens, firsts = lm_score.token_hashes(texts)
+    pairs, triples = lm_score._sequences(tokens, firsts)
+    words, n = np.unique(tokens, return_counts=True)
+    hot = words[(n >= 4 * least) | (words == lm_score.END)]
+    kept = []
+    for left, right, code, _ in (pairs, triples):
+        codes, at, n = np.unique(code, return_index=True, return_counts=True)
+        below = kept[0][0] if kept else hot
+        ok = (n >= least) & np.isin(left[at], below) & np.isin(right[at], below)
+        kept.append((codes[ok], left[at[ok]], right[at[ok]], rng.random(int(ok.sum()))))
+    word_costs, pair_costs = (np.where(rng.random(k) < 0.5, -rng.random(k), 0.0) for k in (len(hot), len(kept[0][0])))
+    none = np.zeros(0)
+    model = lm_score.Automaton(len(tokens), len(words), 1, none, none, none, hot, word_costs, *kept[0], pair_costs, *kept[1])
+    ids, root = lm_score._find(hot, tokens), -rng.random(len(tokens))
+    got = model.traverse(ids, root, firsts, int(lm_score._find(hot, np.array([lm_score.END]))[0]))
+
+    of_word = dict(zip(hot.tolist(), word_costs.tolist(), strict=True))
+    of_pair = {(a, b): (np.log10(share), c) for _, a, b, share, c in zip(*(x.tolist() for x in (*kept[0], pair_costs)), strict=True)}
+    names = {c: (a, b) for c, a, b in zip(*(x.tolist() for x in kept[0][:3]), strict=True)}
+    of_triple = {(*names[a], names[b][1]): np.log10(share) for _, a, b, share in zip(*(x.tolist() for x in kept[1]), strict=True)}
+    for i, (begin, end) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)):
+        wanted, text = 0.0, [0, *tokens[begin:end].tolist()]
+        for k in range(1, len(text)):
+            if k > 1 and tuple(text[k - 2:k + 1]) in of_triple:
+                wanted += of_triple[tuple(text[k - 2:k + 1])]
+                continue
+            wanted += of_pair.get(tuple(text[k - 2:k]), (0, 0))[1] if k > 1 else 0
+            if (text[k - 1], text[k]) in of_pair:
+                wanted += of_pair[text[k - 1], text[k]][0]
+            else:
+                wanted += of_word.get(text[k - 1], 0) + root[begin + k - 1]
+        assert got[i] == pytest.approx(wanted)
+
+
+def test_index_finds_what_there_is():
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    codes[:50] = np.arange(50, dtype=np.uint64) << np.uint64(40)  # with one slot
+    wanted = np.concatenate([codes[::3], codes[:50] + np.uint64(1 << 39), np.array([7], np.uint64)])
+    places = {c: i for i, c in enumerate(codes.tolist())}
+    assert lm_score._Index(codes).find(wanted).tolist() == [places.get(c, -1) for c in wanted.tolist()]
+    assert lm_score._Index(codes[:0]).find(wanted[:2]).tolist() == [-1, -1]
+
+
+def test_words_that_end_in_zeros_are_told_apart():
+    words = [b"a" * n + b"\0" * zeros for n in range(1, 20) for zeros in range(6)]
+    tokens, _ = lm_score.token_hashes(pa.array([b" ".join(words * 2).decode()]))
+    assert len(set(tokens.tolist())) == len(words) + 1 and tokens[:len(words)].tolist() == tokens[len(words):-1].tolist()
+
+
 # --- 4 neighbours ------------------------------------------------------------------
 
 def test_neighbours_recall_and_order(spark):
