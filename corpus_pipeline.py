@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordervane.llm import byte_bpe, decontaminate, hyperminhash, language_id, line_dedup
+from ordervane.llm.settings import SMALL_BATCHES, settings
 from ordervane.session import scratch_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -86,8 +87,16 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token numbers, with the digest of what they decode to."""
-    coded = byte_bpe.decode(byte_bpe.encode(docs))
+    """The documents' token numbers, with the digest of what they decode to.
+
+    The numbers are stored before they are decoded, so that a task has one Python worker and not two: workers
+    stay alive for later stages, and all of them would hold vocabularies in the executor's memory.
+    """
+    ids = byte_bpe.encode(docs)
+    folder = scratch_folder(spark, "pipeline-ids")
+    with settings(spark, SMALL_BATCHES):
+        ids.write.option("compression", "zstd").parquet(folder)
+    coded = byte_bpe.decode(spark.read.schema(ids.schema).parquet(folder))
     return coded.select("doc_id", byte_bpe.n_tokens("ids").alias("n_tokens"), "ids",
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

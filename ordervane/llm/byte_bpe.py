@@ -121,7 +121,7 @@ class ByteBPE:
     """Encoder and decoder of one rank file, made once in each worker."""
 
     def __init__(self, ranks_path: str, pattern: str):
-        tokens = read_ranks(ranks_path)
+        tokens = _kept_ranks(ranks_path)
         self._split = splitter(pattern)
         self._model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(tokens))
         self._characters = str.maketrans(dict(enumerate(byte_characters())))
@@ -153,7 +153,7 @@ class ByteBPE:
         return [self._known[p] for p in pieces]
 
     def decode(self, ids: bytes | None) -> bytes:
-        return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids or b"", dtype="<u4").tolist()))
+        return decode_ids(self._bytes, ids)
 
 
 @lru_cache(maxsize=4)
@@ -161,6 +161,16 @@ def codec(ranks_path: str, pattern: str) -> ByteBPE:
     return ByteBPE(ranks_path, pattern)
 
 
+@lru_cache(maxsize=4)
+def _kept_ranks(ranks_path: str) -> list[bytes]:
+    """All that decoding needs; a worker that only decodes makes no model."""
+    return read_ranks(ranks_path)
+
+
+def decode_ids(tokens: list[bytes], ids: bytes | None) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", dtype="<u4").tolist()))
+
+
 def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -188,15 +198,17 @@ def encode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None =
 
 def decode(encoded: DataFrame, ranks_path: str | None = None, pattern: str | None = None,
            key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``key``, ``ids`` and ``decoded``, the bytes that the token numbers stand for."""
-    ranks_path, pattern = ranks_path or default_vocabulary(), pattern or public_tokenizers.PATTERN
+    """``key``, ``ids`` and ``decoded``, the bytes that the token numbers stand for. Of the two only the ranks matter here.
+
+    Straight after ``encode`` a task has two Python workers; a table written in between spares the second one.
+    """
+    ranks_path = ranks_path or default_vocabulary()
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(ranks_path, pattern)
+        tokens = _kept_ranks(ranks_path)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
-                out = [bpe.decode(value) for value in part.column("ids").to_pylist()]
+            for part in slices(batch, "ids"):
+                out = [decode_ids(tokens, value) for value in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), part.column("ids"), pa.array(out, pa.binary())], ["key", "ids", "decoded"])
 

@@ -104,6 +104,16 @@ def test_texts_with_one_id_are_judged_by_themselves(spark):
     assert left == sorted((d or 0, t) for i, (d, t) in enumerate(rows) if i not in (4, 6))
 
 
+def test_tokens_are_encoded_and_decoded_by_one_python_worker_to_a_task(spark, capsys):
+    rows = [(1, "some text"), (1, "some text"), (2, None), (3, ""), (None, "\u00e4 \U0001f600")]
+    made = corpus_pipeline.token_stage(spark, plain.table(spark, rows), FOLDER)
+    capsys.readouterr()
+    made.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    assert sorted((r["doc_id"] or 0, r["decoded_sha256"]) for r in made.collect()) == sorted(
+        (d or 0, hashlib.sha256((t or "").encode()).hexdigest()) for d, t in rows)
+
+
 def test_stages_take_empty_tables(spark):
     folder = scratch_folder(spark, "sf")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
